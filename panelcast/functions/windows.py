@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Window, WindowSpec
+from pyspark.sql import functions as F
 
 SERIES = "series_id"
 DS = "ds"
@@ -34,8 +35,18 @@ def preceding(keys=None, order=DS) -> WindowSpec:
 
 
 def following(keys=None, order=DS) -> WindowSpec:
-    """Rows from the current row to the series end."""
-    return by_series(keys, order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    """Rows from the current row to the series end, as a *growing* frame in reverse order.
+
+    Use it with ``last(...)`` to get "the first value at or after this row".
+    Spark evaluates a ``currentRow..unboundedFollowing`` frame by
+    re-aggregating the rest of the partition for every row (quadratic in the
+    series length); the reversed ``unboundedPreceding..currentRow`` frame is
+    evaluated incrementally (linear).  ``order`` must be unique per series.
+    """
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
+    desc = [F.col(o).desc() if isinstance(o, str) else o.desc() for o in order]
+    return Window.partitionBy(*keys_of(keys)).orderBy(*desc).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
 
 
 def trailing(n: int, keys=None, order=DS) -> WindowSpec:

@@ -130,8 +130,8 @@ def interpolate_linear(panel: DataFrame, keys=None, value: str = Y) -> DataFrame
     v = F.col(value)
     prev_v = F.last(v, ignorenulls=True).over(preceding(ks))
     prev_i = F.last(F.when(v.isNotNull(), F.col(rn)), ignorenulls=True).over(preceding(ks))
-    next_v = F.first(v, ignorenulls=True).over(following(ks))
-    next_i = F.first(F.when(v.isNotNull(), F.col(rn)), ignorenulls=True).over(following(ks))
+    next_v = F.last(v, ignorenulls=True).over(following(ks))
+    next_i = F.last(F.when(v.isNotNull(), F.col(rn)), ignorenulls=True).over(following(ks))
     filled = (
         F.when(v.isNotNull(), v)
         .when(prev_v.isNull(), F.lit(None).cast("double"))

@@ -122,7 +122,7 @@ def fill_both_ways(df: DataFrame, columns: Sequence[str], keys=None) -> DataFram
     """WN-11: backward fill, then forward fill, per series.  ``inf`` is a value and stays."""
     ks = keys_of(keys)
     fol, pre = following(ks), preceding(ks)
-    repl = {c: F.coalesce(F.first(F.col(c), ignorenulls=True).over(fol),
+    repl = {c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(fol),
                           F.last(F.col(c), ignorenulls=True).over(pre)).alias(c) for c in columns}
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -43,3 +43,433 @@ def q_cv_seasonal_naive(spark, sf_dir):
     """Flagship: yearly rolling-origin CV of the 7-day seasonal-naive model."""
     p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
     return round_doubles(WF.cv_seasonal_naive(p, season=7))
+
+
+# --- shared inputs ----------------------------------------------------------
+
+from ..operators import diagnostics as D  # noqa: E402
+from ..operators import ensemble as ENS  # noqa: E402
+from ..operators import evaluate as E  # noqa: E402
+from ..operators import features as FE  # noqa: E402
+from ..operators import holidays as H  # noqa: E402
+from ..operators import splits as S  # noqa: E402
+from ..operators.naive import fold_test_predictions  # noqa: E402
+
+G = ["series_id", "fold_idx"]
+
+
+def orders_panel(spark, sf_dir):
+    return T.orders_priority_panel(spark, sf_dir)
+
+
+def orders_interp(spark, sf_dir):
+    """Daily orders panel densified to every day, ``pos`` assigned, gaps interpolated."""
+    dense = C.add_position(C.densify(orders_panel(spark, sf_dir), flag=None))
+    return C.interpolate_linear(dense)
+
+
+def feature_base(spark, sf_dir):
+    """The reference builds features on the cleaned, min-max scaled series."""
+    return cleaned_orders(spark, sf_dir).select("series_id", "ds", "y", "pos")
+
+
+def cv_predictions(spark, sf_dir, season=7, context="with_history"):
+    p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    return fold_test_predictions(p, season, context=context)
+
+
+def cv_fold_metrics(spark, sf_dir):
+    p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    return WF.cv_seasonal_naive(p, season=7)
+
+
+# --- sources (IO-*) ---------------------------------------------------------
+
+@register("source_profile")
+def q_source_profile(spark, sf_dir):
+    return T.profile(orders_panel(spark, sf_dir))
+
+
+@register("panel_rollup")
+def q_panel_rollup(spark, sf_dir):
+    return round_doubles(orders_panel(spark, sf_dir))
+
+
+@register("segment_panel")
+def q_segment_panel(spark, sf_dir):
+    return round_doubles(T.orders_segment_panel(spark, sf_dir))
+
+
+@register("supplier_panel")
+def q_supplier_panel(spark, sf_dir):
+    return round_doubles(T.lineitem_supplier_panel(spark, sf_dir))
+
+
+@register("events_panel")
+def q_events_panel(spark, sf_dir):
+    return round_doubles(T.events_type_panel(spark, sf_dir))
+
+
+@register("head_profile")
+def q_head_profile(spark, sf_dir):
+    """IO-9: the first five targets of each series (the limit is the feature)."""
+    p = orders_panel(spark, sf_dir)
+    rn = F.row_number().over(Window.partitionBy("series_id").orderBy("ds"))
+    return round_doubles(p.withColumn("rn", rn).where(F.col("rn") <= 5))
+
+
+# --- cleaning (CL-*) --------------------------------------------------------
+
+@register("raw_positions")
+def q_raw_positions(spark, sf_dir):
+    return round_doubles(C.sort_and_position(T.orders_raw(spark, sf_dir), tie="o_orderkey"))
+
+
+@register("duplicate_dates")
+def q_duplicate_dates(spark, sf_dir):
+    return C.duplicate_count(T.orders_raw(spark, sf_dir))
+
+
+@register("dedup_first")
+def q_dedup_first(spark, sf_dir):
+    return round_doubles(C.dedup_keep_first(T.orders_raw(spark, sf_dir), tie="o_orderkey"))
+
+
+@register("missing_targets")
+def q_missing_targets(spark, sf_dir):
+    return C.missing_count(C.densify(orders_panel(spark, sf_dir)))
+
+
+@register("interpolated")
+def q_interpolated(spark, sf_dir):
+    return round_doubles(orders_interp(spark, sf_dir))
+
+
+@register("forward_filled")
+def q_forward_filled(spark, sf_dir):
+    dense = C.add_position(C.densify(orders_panel(spark, sf_dir), flag=None))
+    return round_doubles(C.forward_fill(dense))
+
+
+@register("dropped_missing")
+def q_dropped_missing(spark, sf_dir):
+    dense = C.add_position(C.densify(orders_panel(spark, sf_dir), flag=None))
+    return round_doubles(C.drop_missing(dense))
+
+
+@register("outlier_flags")
+def q_outlier_flags(spark, sf_dir):
+    return round_doubles(C.flag_outliers(orders_panel(spark, sf_dir), threshold=3.0))
+
+
+@register("outlier_counts")
+def q_outlier_counts(spark, sf_dir):
+    return C.outlier_count(C.flag_outliers(orders_panel(spark, sf_dir), threshold=2.5))
+
+
+@register("minmax_scaled")
+def q_minmax_scaled(spark, sf_dir):
+    return round_doubles(C.minmax_scale(orders_panel(spark, sf_dir), out="y_scaled"))
+
+
+@register("scaler_table")
+def q_scaler_table(spark, sf_dir):
+    return round_doubles(C.fit_minmax(orders_panel(spark, sf_dir)))
+
+
+@register("frozen_scaler")
+def q_frozen_scaler(spark, sf_dir):
+    """CL-13: scaler fitted on the years before 1998, applied to every row."""
+    p = orders_panel(spark, sf_dir)
+    scaler = C.fit_minmax(p.where(F.year("ds") < 1998))
+    return round_doubles(C.apply_minmax(p, scaler, out="y_scaled"))
+
+
+@register("inverse_scaled")
+def q_inverse_scaled(spark, sf_dir):
+    p = orders_panel(spark, sf_dir)
+    scaled = C.minmax_scale(p, out="y_scaled")
+    return round_doubles(C.inverse_minmax(scaled, C.fit_minmax(p), value="y_scaled", out="y_restored"))
+
+
+@register("preprocessed")
+def q_preprocessed(spark, sf_dir):
+    return round_doubles(cleaned_orders(spark, sf_dir))
+
+
+@register("missing_days")
+def q_missing_days(spark, sf_dir):
+    return C.missing_days(orders_panel(spark, sf_dir))
+
+
+@register("log_transform")
+def q_log_transform(spark, sf_dir):
+    p = C.log_transform(orders_panel(spark, sf_dir), out="y_log")
+    return round_doubles(C.inverse_log_transform(p, value="y_log", out="y_back"))
+
+
+@register("year_filter")
+def q_year_filter(spark, sf_dir):
+    return round_doubles(S.year_filter(orders_panel(spark, sf_dir), [1996, 1998]))
+
+
+# --- features (SC-*, WN-*, JN-1, DK-7) --------------------------------------
+
+@register("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    return round_doubles(FE.add_temporal_features(orders_panel(spark, sf_dir)))
+
+
+@register("lag_features")
+def q_lag_features(spark, sf_dir):
+    return round_doubles(FE.add_lag_features(feature_base(spark, sf_dir)))
+
+
+@register("rolling_features")
+def q_rolling_features(spark, sf_dir):
+    return round_doubles(FE.add_rolling_stats(feature_base(spark, sf_dir)))
+
+
+@register("seasonal_features")
+def q_seasonal_features(spark, sf_dir):
+    return round_doubles(FE.add_seasonality_features(feature_base(spark, sf_dir)))
+
+
+@register("diff_features")
+def q_diff_features(spark, sf_dir):
+    return round_doubles(FE.add_differencing_features(feature_base(spark, sf_dir)))
+
+
+@register("pct_change_features")
+def q_pct_change_features(spark, sf_dir):
+    return round_doubles(FE.add_pct_change_features(feature_base(spark, sf_dir)))
+
+
+@register("holiday_calendar")
+def q_holiday_calendar(spark, sf_dir):
+    return H.calendar_for_panel(orders_panel(spark, sf_dir))
+
+
+@register("holiday_flags")
+def q_holiday_flags(spark, sf_dir):
+    return round_doubles(H.add_holidays(orders_panel(spark, sf_dir)))
+
+
+@register("feature_table")
+def q_feature_table(spark, sf_dir):
+    """WN-12: the 44 features over the cleaned, scaled daily panel, then the two-way fill."""
+    return round_doubles(FE.create_all_features(feature_base(spark, sf_dir)))
+
+
+@register("fourier_terms")
+def q_fourier_terms(spark, sf_dir):
+    return round_doubles(FE.add_fourier_features(orders_panel(spark, sf_dir), yearly=10, weekly=3))
+
+
+# --- splits and folds (SL-*, JN-3, AG-19/20, DK-1..4) -----------------------
+
+@register("temporal_split")
+def q_temporal_split(spark, sf_dir):
+    return round_doubles(S.split_temporal(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")))
+
+
+@register("split_sizes")
+def q_split_sizes(spark, sf_dir):
+    return S.split_sizes(S.split_temporal(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")))
+
+
+@register("distinct_years")
+def q_distinct_years(spark, sf_dir):
+    return S.distinct_years(orders_panel(spark, sf_dir))
+
+
+@register("yearly_folds")
+def q_yearly_folds(spark, sf_dir):
+    f = S.yearly_folds(orders_panel(spark, sf_dir))
+    return f.withColumn("train_years", F.array_join(F.col("train_years"), ","))
+
+
+@register("fold_rows")
+def q_fold_rows(spark, sf_dir):
+    x = S.expand_yearly_folds(orders_panel(spark, sf_dir))
+    return round_doubles(x.select("series_id", "ds", "y", "fold_idx", "role"))
+
+
+@register("fold_sizes")
+def q_fold_sizes(spark, sf_dir):
+    return S.fold_sizes(S.expand_yearly_folds(orders_panel(spark, sf_dir)))
+
+
+def _origin_sizes(rows):
+    return rows.groupBy("series_id", "fold_idx", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"),
+        F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
+
+
+@register("rolling_origin_sizes")
+def q_rolling_origin_sizes(spark, sf_dir):
+    """DK-1/DK-2: expanding row folds (365 train, 30 test, step 30)."""
+    return _origin_sizes(S.rolling_origin_rows(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")))
+
+
+@register("sliding_origin_sizes")
+def q_sliding_origin_sizes(spark, sf_dir):
+    """DK-3/DK-4: sliding 365-row train window, 7-row gap, 10 folds."""
+    rows = S.rolling_origin_rows(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"),
+                                 max_folds=10, gap_size=7, expanding=False)
+    return _origin_sizes(rows)
+
+
+# --- metrics and CV (AG-*, PF-*, SL-4) ----------------------------------------
+
+@register("cv_naive_test_only")
+def q_cv_naive_test_only(spark, sf_dir):
+    """FC-8 in the reference's prediction context: naive forecast from the test rows only."""
+    p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    return round_doubles(WF.cv_seasonal_naive(p, season=1, context="test_only"))
+
+
+@register("error_analysis")
+def q_error_analysis(spark, sf_dir):
+    return round_doubles(E.error_analysis(cv_predictions(spark, sf_dir), G))
+
+
+@register("baseline_naive")
+def q_baseline_naive(spark, sf_dir):
+    """AG-14: naive baseline scored inside each fold's test rows."""
+    actual = cv_predictions(spark, sf_dir).select(*G, "ds", "y")
+    return round_doubles(E.baseline_metrics(actual, G, "naive"))
+
+
+@register("improvement_over_naive")
+def q_improvement_over_naive(spark, sf_dir):
+    return round_doubles(E.improvement_over_baseline(cv_predictions(spark, sf_dir), G, "naive"))
+
+
+@register("compare_naive_models")
+def q_compare_naive_models(spark, sf_dir):
+    a = cv_predictions(spark, sf_dir, season=1)
+    b = cv_predictions(spark, sf_dir, season=7)
+    return round_doubles(E.compare_forecasts(a, b, G, ("naive", "seasonal_naive")))
+
+
+@register("cv_summary")
+def q_cv_summary(spark, sf_dir):
+    return round_doubles(E.cv_summary(cv_fold_metrics(spark, sf_dir), ["series_id"]))
+
+
+@register("fold_counts")
+def q_fold_counts(spark, sf_dir):
+    return E.fold_counts(cv_fold_metrics(spark, sf_dir), ["series_id"])
+
+
+@register("best_fold")
+def q_best_fold(spark, sf_dir):
+    return E.best_fold(cv_fold_metrics(spark, sf_dir), ["series_id"])
+
+
+@register("cv_report")
+def q_cv_report(spark, sf_dir):
+    return round_doubles(E.cv_report(cv_fold_metrics(spark, sf_dir), ["series_id"]))
+
+
+@register("mase")
+def q_mase(spark, sf_dir):
+    p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    train = S.expand_yearly_folds(p, roles="train").select(*G, "ds", "y")
+    return round_doubles(E.mase(cv_predictions(spark, sf_dir), train, G))
+
+
+# --- plot tables and diagnostics (PL-*, ST-*, DK-9..11) -----------------------
+
+@register("actual_vs_predicted")
+def q_actual_vs_predicted(spark, sf_dir):
+    return round_doubles(D.actual_vs_predicted(cv_predictions(spark, sf_dir), G))
+
+
+@register("residuals")
+def q_residuals(spark, sf_dir):
+    return round_doubles(D.residuals(cv_predictions(spark, sf_dir), G))
+
+
+@register("residual_histogram")
+def q_residual_histogram(spark, sf_dir):
+    return round_doubles(D.residual_histogram(cv_predictions(spark, sf_dir), G))
+
+
+@register("qq_table")
+def q_qq_table(spark, sf_dir):
+    return round_doubles(D.qq_table(cv_predictions(spark, sf_dir), G))
+
+
+@register("scatter_table")
+def q_scatter_table(spark, sf_dir):
+    return round_doubles(D.scatter_table(cv_predictions(spark, sf_dir), G))
+
+
+@register("metrics_long")
+def q_metrics_long(spark, sf_dir):
+    m = cv_fold_metrics(spark, sf_dir).where(F.col("status") == "success")
+    return round_doubles(E.metrics_long(m.select(*G, *E.M.ALL_METRICS), G))
+
+
+@register("cv_scores")
+def q_cv_scores(spark, sf_dir):
+    return round_doubles(D.cv_scores(cv_fold_metrics(spark, sf_dir), ["series_id"]))
+
+
+@register("error_distribution")
+def q_error_distribution(spark, sf_dir):
+    return round_doubles(D.error_distribution(cv_predictions(spark, sf_dir), G))
+
+
+@register("forecast_overlay")
+def q_forecast_overlay(spark, sf_dir):
+    hist = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    fc = cv_predictions(spark, sf_dir).select("series_id", "ds", "yhat")
+    return round_doubles(D.overlay(hist, fc, ["series_id"]))
+
+
+@register("forecast_tails")
+def q_forecast_tails(spark, sf_dir):
+    from ..operators.naive import seasonal_naive_forecast
+    fc = seasonal_naive_forecast(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"), 7)
+    return round_doubles(D.tail_slices(fc.select("series_id", "ds", "yhat"), ["series_id"]))
+
+
+def _stack(spark, sf_dir):
+    members = {"naive": cv_predictions(spark, sf_dir, season=1),
+               "seasonal_naive": cv_predictions(spark, sf_dir, season=7)}
+    return ENS.stack_predictions(members, [*G, "ds", "y", "yhat"])
+
+
+@register("model_stack")
+def q_model_stack(spark, sf_dir):
+    return round_doubles(_stack(spark, sf_dir))
+
+
+@register("ensemble_mean")
+def q_ensemble_mean(spark, sf_dir):
+    return round_doubles(ENS.ensemble(_stack(spark, sf_dir), [*G, "ds"], "mean", n_models=2))
+
+
+@register("ensemble_median")
+def q_ensemble_median(spark, sf_dir):
+    return round_doubles(ENS.ensemble(_stack(spark, sf_dir), [*G, "ds"], "median", n_models=2))
+
+
+@register("prediction_intervals")
+def q_prediction_intervals(spark, sf_dir):
+    pred = cv_predictions(spark, sf_dir)
+    return round_doubles(D.prediction_intervals(pred, pred.select(*G, "ds", "yhat"), ["series_id"]))
+
+
+@register("residual_acf")
+def q_residual_acf(spark, sf_dir):
+    return round_doubles(D.residual_acf(cv_predictions(spark, sf_dir), G))
+
+
+@register("dickey_fuller")
+def q_dickey_fuller(spark, sf_dir):
+    return round_doubles(D.dickey_fuller(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"),
+                                         ["series_id"]))

@@ -167,3 +167,537 @@ SELECT * FROM with_folds UNION ALL SELECT * FROM no_fold"""
 
 
 ORACLE["cv_seasonal_naive"] = cv_naive_sql(CLEAN_ORDERS, "orders_clean", 7)
+
+
+# --- more shared fragments ---------------------------------------------------
+
+INTERP_ORDERS = ",".join([ORDERS_PANEL, densified("orders_panel", "orders_dense"),
+                          interpolated("orders_dense", "orders_interp")])
+W_SER = "PARTITION BY series_id ORDER BY ds"
+PREV = f"{W_SER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+NEXT = f"{W_SER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+FOLD_METRIC_COLS = ["n"] + METRIC_COLS
+
+
+def cv_pred_ctes(season: int, name: str, context: str = "with_history") -> str:
+    """CTEs ending in ``{name}(series_id, fold_idx, ds, y, yhat)``: test rows of the yearly folds."""
+    if context == "with_history":
+        return f"""
+{name}_p AS (SELECT series_id, ds, y, lag(y, {season}) OVER ({W_SER}) AS yhat FROM orders_clean),
+{yearly_test_rows(name + "_p", name + "_t")},
+{name} AS (SELECT series_id, fold_idx, ds, y, yhat FROM {name}_t)"""
+    return f"""
+{yearly_test_rows("orders_clean", name + "_t")},
+{name} AS (SELECT series_id, fold_idx, ds, y,
+                  lag(y, {season}) OVER (PARTITION BY series_id, fold_idx ORDER BY ds) AS yhat FROM {name}_t)"""
+
+
+def scored_cte(src: str, name: str, group: str = "series_id, fold_idx") -> str:
+    return f"""
+{name}_v AS (SELECT * FROM {src} WHERE y IS NOT NULL AND yhat IS NOT NULL),
+{direction_cte(name + "_v", name + "_d", group)},
+{name} AS (SELECT {group}, count(*) AS n, {metric_select()} FROM {name}_d GROUP BY {group})"""
+
+
+def fold_metrics_ctes(season: int = 7, context: str = "with_history") -> str:
+    """CTEs ending in ``fold_metrics``: the flagship output per (series, fold)."""
+    return f"""{CLEAN_ORDERS},
+{cv_pred_ctes(season, "cvp", context)},
+{scored_cte("cvp", "cvs")},
+fold_metrics AS (
+  SELECT f.series_id, f.fold_idx, f.test_year, CAST(coalesce(s.n, 0) AS BIGINT) AS n,
+         CASE WHEN coalesce(s.n, 0) > 0 THEN 'success' ELSE 'failed' END AS status,
+         CASE WHEN coalesce(s.n, 0) > 0 THEN NULL ELSE 'All predictions or actuals are NaN' END AS error,
+         {", ".join("s." + m for m in METRIC_COLS)}
+  FROM cvp_t_folds f LEFT JOIN cvs s USING (series_id, fold_idx)
+)"""
+
+
+def histogram_sql(src: str, value: str, group: str, bins: int = 30, name: str = "h") -> str:
+    gcols = [g.strip() for g in group.split(",")]
+    using = ", ".join(gcols)
+    return f"""
+{name}_vals AS (SELECT {group}, {value} AS v FROM {src} WHERE {value} IS NOT NULL AND NOT isnan({value})),
+{name}_st AS (
+  SELECT {group},
+    CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+    CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
+  FROM {name}_vals GROUP BY {group}
+),
+{name}_cnt AS (
+  SELECT {", ".join("a." + g for g in gcols)},
+         CAST(least(floor((a.v - b.lo) / ((b.hi - b.lo) / {float(bins)})), {bins - 1}) AS INTEGER) AS bin, count(*) AS c
+  FROM {name}_vals a JOIN {name}_st b USING ({using}) GROUP BY ALL
+),
+{name} AS (
+  SELECT {", ".join("s." + g for g in gcols)}, CAST(r.b AS INTEGER) AS bin,
+         s.lo + CAST(r.b AS INTEGER) * ((s.hi - s.lo) / {float(bins)}) AS bin_lo,
+         s.lo + (CAST(r.b AS INTEGER) + 1) * ((s.hi - s.lo) / {float(bins)}) AS bin_hi,
+         CAST(coalesce(c.c, 0) AS BIGINT) AS count
+  FROM {name}_st s CROSS JOIN range(0, {bins}) r(b)
+  LEFT JOIN {name}_cnt c ON {" AND ".join(f"c.{g} = s.{g}" for g in gcols)} AND c.bin = r.b
+)"""
+
+
+def q(body: str, doubles: list[str]) -> str:
+    return rounded(body, doubles)
+
+
+# --- sources -----------------------------------------------------------------
+
+ORACLE["source_profile"] = f"""WITH {ORDERS_PANEL}
+SELECT series_id, count(*) AS n_rows, min(ds) AS first_ds, max(ds) AS last_ds FROM orders_panel GROUP BY 1"""
+
+ORACLE["panel_rollup"] = q(f"WITH {ORDERS_PANEL} SELECT * FROM orders_panel", ["y"])
+
+ORACLE["segment_panel"] = q("""
+SELECT c.c_mktsegment AS series_id, CAST(o.o_orderdate AS DATE) AS ds,
+       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS y
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2""", ["y"])
+
+ORACLE["supplier_panel"] = q("""
+SELECT CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) AS ds,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS y
+FROM lineitem GROUP BY 1, 2""", ["y"])
+
+ORACLE["events_panel"] = q("""
+SELECT event_type AS series_id, CAST(ts AS DATE) AS ds,
+       CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS y
+FROM events GROUP BY 1, 2""", ["y"])
+
+ORACLE["head_profile"] = q(f"""WITH {ORDERS_PANEL}
+SELECT * FROM (SELECT *, CAST(row_number() OVER ({W_SER}) AS INTEGER) AS rn FROM orders_panel) t WHERE rn <= 5""",
+                           ["y"])
+
+# --- cleaning ----------------------------------------------------------------
+
+RAW_ORDERS = """
+raw AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS ds, o_totalprice AS y, o_orderkey
+        FROM orders)"""
+
+ORACLE["raw_positions"] = q(f"""WITH {RAW_ORDERS}
+SELECT *, CAST(row_number() OVER (PARTITION BY series_id ORDER BY ds NULLS LAST, o_orderkey) - 1 AS BIGINT) AS pos
+FROM raw""", ["y"])
+
+ORACLE["duplicate_dates"] = f"""WITH {RAW_ORDERS}
+SELECT series_id, CAST(count(*) - count(DISTINCT ds) - max(CASE WHEN ds IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+       AS n_duplicates FROM raw GROUP BY 1"""
+
+ORACLE["dedup_first"] = q(f"""WITH {RAW_ORDERS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds NULLS LAST, o_orderkey) - 1 AS pos,
+                  row_number() OVER (PARTITION BY series_id, ds ORDER BY o_orderkey) AS k FROM raw)
+SELECT series_id, ds, y, CAST(pos AS BIGINT) AS pos FROM ranked WHERE k = 1""", ["y"])
+
+ORACLE["missing_targets"] = f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
+SELECT series_id, CAST(count(*) - count(y) AS BIGINT) AS n_missing FROM orders_dense GROUP BY 1"""
+
+ORACLE["interpolated"] = q(f"WITH {INTERP_ORDERS} SELECT * FROM orders_interp", ["y"])
+
+ORACLE["forward_filled"] = q(f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
+SELECT series_id, ds, pos, last_value(y IGNORE NULLS) OVER ({PREV}) AS y FROM orders_dense""", ["y"])
+
+ORACLE["dropped_missing"] = q(f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
+SELECT * FROM orders_dense WHERE y IS NOT NULL""", ["y"])
+
+
+def outlier_sql(threshold: float) -> str:
+    return f"""WITH {ORDERS_PANEL},
+st AS (SELECT *, avg(y) OVER (PARTITION BY series_id) AS m, stddev_samp(y) OVER (PARTITION BY series_id) AS s
+       FROM orders_panel),
+flags AS (SELECT series_id, ds, y,
+   CASE WHEN s IS NULL OR s = 0 OR y IS NULL THEN false ELSE abs((y - m) / s) > {threshold} END AS is_outlier FROM st)"""
+
+
+ORACLE["outlier_flags"] = q(outlier_sql(3.0) + " SELECT * FROM flags", ["y"])
+ORACLE["outlier_counts"] = outlier_sql(2.5) + """
+SELECT series_id, CAST(count_if(is_outlier) AS BIGINT) AS n_outliers FROM flags GROUP BY 1"""
+
+SCALER = """
+scaler AS (SELECT series_id, min(y) AS y_min, max(y) AS y_max FROM orders_panel GROUP BY 1),
+scaled AS (SELECT p.*, CASE WHEN s.y_max = s.y_min THEN 0.0 ELSE (p.y - s.y_min) / (s.y_max - s.y_min) END AS y_scaled
+           FROM orders_panel p JOIN scaler s USING (series_id))"""
+
+ORACLE["minmax_scaled"] = q(f"WITH {ORDERS_PANEL}, {SCALER} SELECT * FROM scaled", ["y", "y_scaled"])
+ORACLE["scaler_table"] = q(f"WITH {ORDERS_PANEL}, {SCALER} SELECT * FROM scaler", ["y_min", "y_max"])
+ORACLE["frozen_scaler"] = q(f"""WITH {ORDERS_PANEL},
+scaler AS (SELECT series_id, min(y) AS y_min, max(y) AS y_max FROM orders_panel WHERE year(ds) < 1998 GROUP BY 1)
+SELECT p.*, CASE WHEN s.y_max = s.y_min THEN 0.0 ELSE (p.y - s.y_min) / (s.y_max - s.y_min) END AS y_scaled
+FROM orders_panel p LEFT JOIN scaler s USING (series_id)""", ["y", "y_scaled"])
+ORACLE["inverse_scaled"] = q(f"""WITH {ORDERS_PANEL}, {SCALER}
+SELECT c.series_id, c.ds, c.y, c.y_scaled, c.y_scaled * (s.y_max - s.y_min) + s.y_min AS y_restored
+FROM scaled c JOIN scaler s USING (series_id)""", ["y", "y_scaled", "y_restored"])
+
+ORACLE["preprocessed"] = q(f"WITH {CLEAN_ORDERS} SELECT * FROM orders_clean", ["y", "y_raw"])
+
+ORACLE["missing_days"] = f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
+SELECT series_id, ds FROM orders_dense WHERE y IS NULL"""
+
+ORACLE["log_transform"] = q(f"""WITH {ORDERS_PANEL}
+SELECT *, ln(1 + y) AS y_log, exp(ln(1 + y)) - 1 AS y_back FROM orders_panel""", ["y", "y_log", "y_back"])
+
+ORACLE["year_filter"] = q(f"WITH {ORDERS_PANEL} SELECT * FROM orders_panel WHERE year(ds) IN (1996, 1998)", ["y"])
+
+# --- features ----------------------------------------------------------------
+
+TP = "6.283185307179586"
+CAL_COLS = f"""
+  CAST(isodow(ds) - 1 AS INTEGER) AS day_of_week,
+  sin({TP} * (isodow(ds) - 1) / 7.0) AS day_of_week_sin,
+  cos({TP} * (isodow(ds) - 1) / 7.0) AS day_of_week_cos,
+  CAST(month(ds) AS INTEGER) AS month,
+  sin({TP} * month(ds) / 12.0) AS month_sin,
+  cos({TP} * month(ds) / 12.0) AS month_cos,
+  CAST(quarter(ds) AS INTEGER) AS quarter,
+  CAST(dayofyear(ds) AS INTEGER) AS day_of_year,
+  sin({TP} * dayofyear(ds) / 365.0) AS day_of_year_sin,
+  cos({TP} * dayofyear(ds) / 365.0) AS day_of_year_cos,
+  CAST(week(ds) AS INTEGER) AS week_of_year,
+  CAST(CASE WHEN isodow(ds) - 1 >= 5 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend"""
+CAL_DOUBLES = ["day_of_week_sin", "day_of_week_cos", "month_sin", "month_cos", "day_of_year_sin", "day_of_year_cos"]
+
+ORACLE["calendar_features"] = q(f"WITH {ORDERS_PANEL} SELECT *, {CAL_COLS} FROM orders_panel", ["y"] + CAL_DOUBLES)
+
+LAGS, WINS, SEAS, DIFFS, PCTS = [7, 14, 30, 90], [7, 14, 30], [7, 30, 365], [1, 7, 30], [1, 7, 30]
+LAG_COLS = ",\n".join(f"lag(y, {k}) OVER ({W_SER}) AS lag_{k}" for k in LAGS)
+ROLL_NAMES = [f"rolling_{s}_{w}" for w in WINS for s in ("mean", "std", "min", "max", "range")]
+
+
+def _roll(w: int) -> str:
+    fr = f"{W_SER} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW"
+    full = f"count(y) OVER ({fr}) = {w}"
+    return (f"CASE WHEN {full} THEN avg(y) OVER ({fr}) END AS rolling_mean_{w},\n"
+            f"CASE WHEN {full} THEN stddev_samp(y) OVER ({fr}) END AS rolling_std_{w},\n"
+            f"CASE WHEN {full} THEN min(y) OVER ({fr}) END AS rolling_min_{w},\n"
+            f"CASE WHEN {full} THEN max(y) OVER ({fr}) END AS rolling_max_{w},\n"
+            f"CASE WHEN {full} THEN max(y) OVER ({fr}) - min(y) OVER ({fr}) END AS rolling_range_{w}")
+
+
+ROLL_COLS = ",\n".join(_roll(w) for w in WINS)
+SEAS_NAMES = [c for p in SEAS for c in (f"seasonal_mean_{p}", f"deseasonalized_{p}")]
+SEAS_COLS = ",\n".join(
+    f"avg(y) OVER (PARTITION BY series_id, pos % {p}) AS seasonal_mean_{p},\n"
+    f"y - avg(y) OVER (PARTITION BY series_id, pos % {p}) AS deseasonalized_{p}" for p in SEAS)
+DIFF_COLS = ",\n".join(f"y - lag(y, {k}) OVER ({W_SER}) AS diff_{k}" for k in DIFFS)
+
+
+def _pct(k: int) -> str:
+    b = f"lag(yff, {k}) OVER ({W_SER})"
+    return (f"CASE WHEN {b} IS NULL OR yff IS NULL THEN NULL WHEN {b} = 0 THEN "
+            f"(CASE WHEN yff > 0 THEN CAST('inf' AS DOUBLE) WHEN yff < 0 THEN CAST('-inf' AS DOUBLE) END) "
+            f"ELSE yff / {b} - 1.0 END AS pct_change_{k}")
+
+
+PCT_COLS = ",\n".join(_pct(k) for k in PCTS)
+LAG_NAMES = [f"lag_{k}" for k in LAGS]
+DIFF_NAMES = [f"diff_{k}" for k in DIFFS]
+PCT_NAMES = [f"pct_change_{k}" for k in PCTS]
+
+FEAT_BASE = CLEAN_ORDERS + ",\nfeat_base AS (SELECT series_id, ds, y, pos FROM orders_clean)"
+ORACLE["lag_features"] = q(f"WITH {FEAT_BASE} SELECT *, {LAG_COLS} FROM feat_base", ["y"] + LAG_NAMES)
+ORACLE["rolling_features"] = q(f"WITH {FEAT_BASE} SELECT *, {ROLL_COLS} FROM feat_base", ["y"] + ROLL_NAMES)
+ORACLE["seasonal_features"] = q(f"WITH {FEAT_BASE} SELECT *, {SEAS_COLS} FROM feat_base",
+                                ["y"] + SEAS_NAMES)
+ORACLE["diff_features"] = q(f"WITH {FEAT_BASE} SELECT *, {DIFF_COLS} FROM feat_base", ["y"] + DIFF_NAMES)
+ORACLE["pct_change_features"] = q(f"""WITH {FEAT_BASE},
+ff AS (SELECT *, last_value(y IGNORE NULLS) OVER ({PREV}) AS yff FROM feat_base)
+SELECT series_id, ds, y, pos, {PCT_COLS} FROM ff""", ["y"] + PCT_NAMES)
+
+
+def _holiday_rows() -> str:
+    from ..operators.holidays import US_FEDERAL_RULES
+    parts = []
+    for name, kind, month, a, nth, since in US_FEDERAL_RULES:
+        esc = name.replace("'", "''")
+        if kind == "date":
+            d = f"make_date(year, {month}, {a})"
+            parts.append(f"SELECT {d} AS ds, '{esc}' AS name FROM cal_years WHERE year >= {since}")
+            obs = f"(CASE isodow({d}) WHEN 6 THEN {d} - 1 WHEN 7 THEN {d} + 1 END)"
+            parts.append(f"SELECT {obs} AS ds, '{esc} (observed)' AS name FROM cal_years WHERE year >= {since}")
+        elif nth > 0:
+            first = f"make_date(year, {month}, 1)"
+            d = f"{first} + CAST((({a} - (isodow({first}) - 1)) % 7 + 7) % 7 + {7 * (nth - 1)} AS INTEGER)"
+            parts.append(f"SELECT {d} AS ds, '{esc}' AS name FROM cal_years WHERE year >= {since}")
+        else:
+            last = f"last_day(make_date(year, {month}, 1))"
+            d = f"{last} - CAST((((isodow({last}) - 1) - {a}) % 7 + 7) % 7 AS INTEGER)"
+            parts.append(f"SELECT {d} AS ds, '{esc}' AS name FROM cal_years WHERE year >= {since}")
+    return "\nUNION ALL ".join(parts)
+
+
+HOLIDAYS = f"""
+cal_years AS (SELECT unnest(range(lo, hi + 2)) AS year
+              FROM (SELECT min(year(ds)) AS lo, max(year(ds)) AS hi FROM orders_panel) WHERE lo IS NOT NULL),
+cal AS (SELECT 'US' AS country, CAST(ds AS DATE) AS ds, name FROM ({_holiday_rows()}) h WHERE ds IS NOT NULL)"""
+
+ORACLE["holiday_calendar"] = f"WITH {ORDERS_PANEL}, {HOLIDAYS} SELECT * FROM cal"
+ORACLE["holiday_flags"] = q(f"""WITH {ORDERS_PANEL}, {HOLIDAYS}
+SELECT p.*, CAST(CASE WHEN h.ds IS NULL THEN 0 ELSE 1 END AS INTEGER) AS is_holiday
+FROM orders_panel p LEFT JOIN (SELECT DISTINCT ds FROM cal) h ON p.ds = h.ds""", ["y"])
+
+FILLABLE = ["y"] + LAG_NAMES + ROLL_NAMES + SEAS_NAMES + DIFF_NAMES + PCT_NAMES
+FILL_COLS = ",\n".join(
+    f"coalesce(first_value({c} IGNORE NULLS) OVER ({NEXT}), last_value({c} IGNORE NULLS) OVER ({PREV})) AS {c}"
+    for c in FILLABLE)
+CAL_NAMES = ["day_of_week", "day_of_week_sin", "day_of_week_cos", "month", "month_sin", "month_cos", "quarter",
+             "day_of_year", "day_of_year_sin", "day_of_year_cos", "week_of_year", "is_weekend"]
+
+ORACLE["feature_table"] = q(f"""WITH {FEAT_BASE}, {HOLIDAYS.replace("FROM orders_panel", "FROM feat_base")},
+ff AS (SELECT *, last_value(y IGNORE NULLS) OVER ({PREV}) AS yff FROM feat_base),
+feats AS (
+  SELECT f.series_id, f.ds, f.y, f.pos, {CAL_COLS.replace("(ds)", "(f.ds)")},
+         {LAG_COLS.replace("ORDER BY ds", "ORDER BY f.ds")}, {ROLL_COLS.replace("ORDER BY ds", "ORDER BY f.ds")},
+         {SEAS_COLS},
+         CAST(CASE WHEN h.ds IS NULL THEN 0 ELSE 1 END AS INTEGER) AS is_holiday,
+         {DIFF_COLS.replace("ORDER BY ds", "ORDER BY f.ds")}, {PCT_COLS.replace("ORDER BY ds", "ORDER BY f.ds")}
+  FROM ff f LEFT JOIN (SELECT DISTINCT ds FROM cal) h ON f.ds = h.ds
+)
+SELECT series_id, ds, pos, {", ".join(CAL_NAMES)}, is_holiday, {FILL_COLS} FROM feats""",
+                            FILLABLE + CAL_DOUBLES)
+
+
+def _fourier(period: float, order: int, prefix: str) -> tuple[str, list[str]]:
+    import math
+    cols, names = [], []
+    for k in range(1, order + 1):
+        f = repr(2.0 * math.pi * k / period)
+        t = "CAST(ds - DATE '1970-01-01' AS DOUBLE)"
+        cols += [f"sin({f} * {t}) AS {prefix}_sin{k}", f"cos({f} * {t}) AS {prefix}_cos{k}"]
+        names += [f"{prefix}_sin{k}", f"{prefix}_cos{k}"]
+    return ",\n".join(cols), names
+
+
+_FY, _FYN = _fourier(365.25, 10, "fourier_yearly")
+_FW, _FWN = _fourier(7.0, 3, "fourier_weekly")
+ORACLE["fourier_terms"] = q(f"WITH {ORDERS_PANEL} SELECT *, {_FY}, {_FW} FROM orders_panel", ["y"] + _FYN + _FWN)
+
+# --- splits and folds ----------------------------------------------------------
+
+SPLIT = f"""
+split_rows AS (
+  SELECT series_id, ds, y,
+    CASE WHEN rn < floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+         WHEN rn < floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER ({W_SER}) - 1 AS rn, count(*) OVER (PARTITION BY series_id) AS n
+        FROM orders_clean) t
+)"""
+ORACLE["temporal_split"] = q(f"WITH {CLEAN_ORDERS}, {SPLIT} SELECT * FROM split_rows", ["y"])
+ORACLE["split_sizes"] = f"""WITH {CLEAN_ORDERS}, {SPLIT}
+SELECT series_id, split, count(*) AS n_rows FROM split_rows GROUP BY 1, 2"""
+
+YEARS = """
+yrs AS (SELECT series_id, CAST(yr AS INTEGER) AS year,
+               CAST(row_number() OVER (PARTITION BY series_id ORDER BY yr) - 1 AS INTEGER) AS year_rank
+        FROM (SELECT DISTINCT series_id, year(ds) AS yr FROM orders_panel) t)"""
+ORACLE["distinct_years"] = f"WITH {ORDERS_PANEL}, {YEARS} SELECT * FROM yrs"
+FOLDS = YEARS + """,
+folds AS (
+  SELECT y.series_id, y.year_rank - 1 AS fold_idx,
+         (SELECT string_agg(CAST(y2.year AS VARCHAR), ',' ORDER BY y2.year) FROM yrs y2
+          WHERE y2.series_id = y.series_id AND y2.year_rank < y.year_rank) AS train_years,
+         y.year AS test_year
+  FROM yrs y WHERE y.year_rank >= 1 AND y.year_rank <= 3
+)"""
+ORACLE["yearly_folds"] = f"WITH {ORDERS_PANEL}, {FOLDS} SELECT * FROM folds"
+FOLD_ROWS = f"""
+fold_rows AS (
+  SELECT p.series_id, p.ds, p.y, f.fold_idx,
+         CASE WHEN y.year_rank = f.fold_idx + 1 THEN 'test' ELSE 'train' END AS role
+  FROM orders_panel p JOIN yrs y ON p.series_id = y.series_id AND year(p.ds) = y.year
+  JOIN folds f ON f.series_id = p.series_id AND y.year_rank <= f.fold_idx + 1
+)"""
+ORACLE["fold_rows"] = q(f"WITH {ORDERS_PANEL}, {FOLDS}, {FOLD_ROWS} SELECT * FROM fold_rows", ["y"])
+ORACLE["fold_sizes"] = f"""WITH {ORDERS_PANEL}, {FOLDS}, {FOLD_ROWS}
+SELECT series_id, fold_idx, role, count(*) AS n_rows FROM fold_rows GROUP BY 1, 2, 3"""
+
+
+def origin_sql(initial: int, test: int, step: int, max_folds: int | None, gap: int, expanding: bool) -> str:
+    cap = f"least({{}}, {max_folds})" if max_folds is not None else "{}"
+    k = cap.format(f"CAST(floor((n - {initial + gap + test}) / {step}) + 1 AS BIGINT)")
+    train_lo = "0" if expanding else f"f.k * {step}"
+    return f"""WITH {CLEAN_ORDERS},
+base AS (SELECT series_id, ds, CAST(row_number() OVER ({W_SER}) - 1 AS BIGINT) AS rn FROM orders_clean),
+nk AS (SELECT series_id, CASE WHEN count(*) >= {initial + gap + test} THEN {k.replace("n -", "count(*) -")} ELSE 0 END AS kk
+       FROM base GROUP BY 1),
+f AS (SELECT series_id, unnest(range(0, kk)) AS k FROM nk WHERE kk > 0),
+m AS (
+  SELECT b.series_id, CAST(f.k AS INTEGER) AS fold_idx, 'test' AS role, b.rn, b.ds FROM base b JOIN f
+    ON b.series_id = f.series_id AND b.rn >= {initial} + f.k * {step} + {gap}
+       AND b.rn < {initial} + f.k * {step} + {gap} + {test}
+  UNION ALL
+  SELECT b.series_id, CAST(f.k AS INTEGER), 'train', b.rn, b.ds FROM base b JOIN f
+    ON b.series_id = f.series_id AND b.rn >= {train_lo} AND b.rn < {initial} + f.k * {step}
+)
+SELECT series_id, fold_idx, role, count(*) AS n_rows, min(rn) AS first_rn, max(rn) AS last_rn,
+       min(ds) AS first_ds, max(ds) AS last_ds FROM m GROUP BY 1, 2, 3"""
+
+
+ORACLE["rolling_origin_sizes"] = origin_sql(365, 30, 30, None, 0, True)
+ORACLE["sliding_origin_sizes"] = origin_sql(365, 30, 30, 10, 7, False)
+
+# --- metrics and CV -------------------------------------------------------------
+
+def cv_sql(season: int, context: str) -> str:
+    inner = f"""WITH {fold_metrics_ctes(season, context)},
+no_fold AS (
+  SELECT DISTINCT series_id, CAST(NULL AS INTEGER) AS fold_idx, CAST(NULL AS INTEGER) AS test_year,
+         CAST(0 AS BIGINT) AS n, 'failed' AS status, 'No valid folds' AS error,
+         {", ".join("CAST(NULL AS DOUBLE) AS " + m for m in METRIC_COLS)}
+  FROM orders_clean WHERE series_id NOT IN (SELECT series_id FROM cvp_t_folds)
+)
+SELECT * FROM fold_metrics UNION ALL SELECT * FROM no_fold"""
+    return rounded(inner, METRIC_COLS)
+
+
+ORACLE["cv_naive_test_only"] = cv_sql(1, "test_only")
+CVP7 = f"{CLEAN_ORDERS}, {cv_pred_ctes(7, 'cvp')}"
+CVP1 = cv_pred_ctes(1, "cvq")
+
+ORACLE["error_analysis"] = q(f"""WITH {CVP7}
+SELECT series_id, fold_idx, avg(y - yhat) AS mean_error, stddev_pop(y - yhat) AS std_error,
+       min(y - yhat) AS min_error, max(y - yhat) AS max_error,
+       CAST(count_if(y - yhat > 0) AS BIGINT) AS positive_errors, CAST(count_if(y - yhat < 0) AS BIGINT) AS negative_errors,
+       quantile_cont(y - yhat, 0.25) AS q25, quantile_cont(y - yhat, 0.5) AS q50, quantile_cont(y - yhat, 0.75) AS q75
+FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2""",
+                             ["mean_error", "std_error", "min_error", "max_error", "q25", "q50", "q75"])
+
+BASE = """
+base_pred AS (
+  SELECT * FROM (SELECT series_id, fold_idx, ds, y,
+                        lag(y, 1) OVER (PARTITION BY series_id, fold_idx ORDER BY ds) AS yhat FROM cvp) t
+  WHERE yhat IS NOT NULL
+)"""
+ORACLE["baseline_naive"] = q(f"""WITH {CVP7}, {BASE}, {scored_cte("base_pred", "bs")} SELECT * FROM bs""", METRIC_COLS)
+
+IMP = ["mae", "rmse", "mape", "smape"]
+ORACLE["improvement_over_naive"] = q(f"""WITH {CVP7}, {BASE}, {scored_cte("base_pred", "bs")},
+{scored_cte("cvp", "ms")}
+SELECT m.series_id, m.fold_idx, {", ".join(f"(b.{k} - m.{k}) / b.{k} * 100.0 AS {k}_improvement" for k in IMP)}
+FROM ms m JOIN bs b USING (series_id, fold_idx)""", [f"{k}_improvement" for k in IMP])
+
+ORACLE["compare_naive_models"] = q(f"""WITH {CVP7}, {CVP1}, {scored_cte("cvq", "sa")}, {scored_cte("cvp", "sb")}
+SELECT coalesce(a.series_id, b.series_id) AS series_id, coalesce(a.fold_idx, b.fold_idx) AS fold_idx,
+       {", ".join(f"a.{m} AS a_{m}" for m in METRIC_COLS)}, {", ".join(f"b.{m} AS b_{m}" for m in METRIC_COLS)},
+       CASE WHEN a.mape < b.mape THEN 'naive' ELSE 'seasonal_naive' END AS winner,
+       abs(a.mape - b.mape) AS improvement
+FROM sa a FULL JOIN sb b ON a.series_id = b.series_id AND a.fold_idx = b.fold_idx""",
+                                   [f"a_{m}" for m in METRIC_COLS] + [f"b_{m}" for m in METRIC_COLS] + ["improvement"])
+
+LONG = "\nUNION ALL ".join(
+    f"SELECT series_id, fold_idx, '{m}' AS metric, {m} AS value FROM fold_metrics WHERE status = 'success'"
+    for m in METRIC_COLS)
+ORACLE["cv_summary"] = q(f"""WITH {fold_metrics_ctes()}, long AS ({LONG})
+SELECT series_id, metric,
+  CASE WHEN count(value) = count(*) THEN avg(value) END AS mean,
+  CASE WHEN count(value) = count(*) THEN stddev_pop(value) END AS std,
+  CASE WHEN count(value) = count(*) THEN min(value) END AS min,
+  CASE WHEN count(value) = count(*) THEN max(value) END AS max,
+  count(*) AS fold_count
+FROM long GROUP BY 1, 2""", ["mean", "std", "min", "max"])
+ORACLE["metrics_long"] = q(f"WITH {fold_metrics_ctes()} {LONG}", ["value"])
+ORACLE["fold_counts"] = f"""WITH {fold_metrics_ctes()}
+SELECT series_id, count(*) AS total_folds, CAST(count_if(status = 'success') AS BIGINT) AS successful_folds
+FROM fold_metrics GROUP BY 1"""
+ORACLE["best_fold"] = f"""WITH {fold_metrics_ctes()}
+SELECT series_id, arg_min(fold_idx, (coalesce(mape, CAST('inf' AS DOUBLE)), fold_idx)) AS best_fold_idx
+FROM fold_metrics WHERE status = 'success' GROUP BY 1"""
+ORACLE["cv_report"] = q(f"""WITH {fold_metrics_ctes()}
+SELECT series_id, fold_idx, mape, mae, rmse, r2 FROM fold_metrics WHERE status = 'success'""",
+                        ["mape", "mae", "rmse", "r2"])
+ORACLE["mase"] = q(f"""WITH {CVP7},
+trall AS (
+  SELECT c.series_id, f.fold_idx, c.ds, c.y
+  FROM (SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY year(ds)) - 1 AS yrank FROM orders_clean) c
+  JOIN cvp_t_folds f ON c.series_id = f.series_id AND c.yrank <= f.fold_idx
+),
+sc AS (SELECT series_id, fold_idx, avg(d) AS naive_mae FROM (
+         SELECT *, abs(y - lag(y, 1) OVER (PARTITION BY series_id, fold_idx ORDER BY ds)) AS d FROM trall) t
+       GROUP BY 1, 2),
+mm AS (SELECT series_id, fold_idx, avg(abs(y - yhat)) AS mae FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL
+       GROUP BY 1, 2)
+SELECT m.series_id, m.fold_idx, m.mae, s.naive_mae, CASE WHEN s.naive_mae = 0 THEN NULL ELSE m.mae / s.naive_mae END AS mase
+FROM mm m LEFT JOIN sc s USING (series_id, fold_idx)""", ["mae", "naive_mae", "mase"])
+
+# --- plot tables and diagnostics ------------------------------------------------
+
+ORACLE["actual_vs_predicted"] = q(f"""WITH {CVP7}
+SELECT series_id, fold_idx, CAST(row_number() OVER (PARTITION BY series_id, fold_idx ORDER BY ds) - 1 AS INTEGER) AS idx,
+       ds, y AS actual, yhat AS predicted FROM cvp""", ["actual", "predicted"])
+RESID = """
+resid AS (
+  SELECT series_id, fold_idx, CAST(row_number() OVER (PARTITION BY series_id, fold_idx ORDER BY ds) - 1 AS INTEGER) AS idx,
+         ds, y - yhat AS residual FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL
+)"""
+ORACLE["residuals"] = q(f"WITH {CVP7}, {RESID} SELECT * FROM resid", ["residual"])
+ORACLE["residual_histogram"] = q(f"""WITH {CVP7}, {RESID}, {histogram_sql("resid", "residual", "series_id, fold_idx")}
+SELECT * FROM h""", ["bin_lo", "bin_hi"])
+ORACLE["scatter_table"] = q(f"""WITH {CVP7}
+SELECT series_id, fold_idx, ds, y AS actual, yhat AS predicted,
+       min(y) OVER (PARTITION BY series_id, fold_idx) AS line_min, max(y) OVER (PARTITION BY series_id, fold_idx) AS line_max
+FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL""", ["actual", "predicted", "line_min", "line_max"])
+ORACLE["cv_scores"] = q(f"""WITH {fold_metrics_ctes()}
+SELECT series_id, fold_idx, 'Fold ' || CAST(fold_idx + 1 AS VARCHAR) AS label, mape AS score,
+       avg(mape) OVER (PARTITION BY series_id) AS mean,
+       avg(mape) OVER (PARTITION BY series_id) + stddev_pop(mape) OVER (PARTITION BY series_id) AS upper,
+       avg(mape) OVER (PARTITION BY series_id) - stddev_pop(mape) OVER (PARTITION BY series_id) AS lower,
+       mape > avg(mape) OVER (PARTITION BY series_id) AS above_mean
+FROM fold_metrics WHERE status = 'success'""", ["score", "mean", "upper", "lower"])
+ORACLE["error_distribution"] = q(f"""WITH {CVP7},
+ev AS (SELECT series_id, fold_idx, abs(y - yhat) AS abs_error,
+              CASE WHEN y = 0 THEN NULL ELSE (y - yhat) / y * 100.0 END AS pct_error
+       FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL),
+means AS (SELECT series_id, fold_idx, avg(abs_error) AS mean_abs_error, avg(pct_error) AS mean_pct_error,
+                 CAST(count_if(pct_error IS NULL) AS BIGINT) AS n_zero_actual FROM ev GROUP BY 1, 2),
+{histogram_sql("ev", "abs_error", "series_id, fold_idx", name="ha")},
+{histogram_sql("ev", "pct_error", "series_id, fold_idx", name="hp")},
+hh AS (SELECT *, 'abs_error' AS kind FROM ha UNION ALL SELECT *, 'pct_error' AS kind FROM hp)
+SELECT hh.*, m.mean_abs_error, m.mean_pct_error, m.n_zero_actual FROM hh LEFT JOIN means m USING (series_id, fold_idx)""",
+                                 ["bin_lo", "bin_hi", "mean_abs_error", "mean_pct_error"])
+ORACLE["forecast_overlay"] = q(f"""WITH {CVP7}
+SELECT series_id, ds, 'history' AS kind, y AS value, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper
+FROM orders_clean
+UNION ALL
+SELECT series_id, ds, 'forecast', yhat, NULL, NULL FROM cvp""", ["value", "lower", "upper"])
+ORACLE["forecast_tails"] = q(f"""WITH {CLEAN_ORDERS},
+fc AS (SELECT series_id, ds, lag(y, 7) OVER ({W_SER}) AS yhat,
+              row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS rd FROM orders_clean),
+periods AS (SELECT * FROM (VALUES (30), (180), (365)) v(period))
+SELECT fc.series_id, fc.ds, fc.yhat, CAST(p.period AS INTEGER) AS period FROM fc JOIN periods p ON fc.rd <= p.period""",
+                               ["yhat"])
+STACK = f"""{CVP7}, {CVP1},
+stack AS (SELECT 'naive' AS model, series_id, fold_idx, ds, y, yhat FROM cvq
+          UNION ALL SELECT 'seasonal_naive', series_id, fold_idx, ds, y, yhat FROM cvp)"""
+ORACLE["model_stack"] = q(f"WITH {STACK} SELECT * FROM stack", ["y", "yhat"])
+ORACLE["ensemble_mean"] = q(f"""WITH {STACK}
+SELECT series_id, fold_idx, ds,
+       CASE WHEN count(yhat) = count(*) AND count(yhat) = 2 THEN avg(yhat) END AS yhat, count(yhat) AS n_members
+FROM stack GROUP BY 1, 2, 3""", ["yhat"])
+ORACLE["ensemble_median"] = q(f"""WITH {STACK}
+SELECT series_id, fold_idx, ds,
+       CASE WHEN count(yhat) = count(*) AND count(yhat) = 2 THEN median(yhat) END AS yhat, count(yhat) AS n_members
+FROM stack GROUP BY 1, 2, 3""", ["yhat"])
+ORACLE["prediction_intervals"] = q(f"""WITH {CVP7},
+qs AS (SELECT series_id, quantile_cont(y - yhat, 0.025) AS qlo, quantile_cont(y - yhat, 0.975) AS qhi
+       FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1)
+SELECT c.series_id, c.fold_idx, c.ds, c.yhat, c.yhat + q.qlo AS lower, c.yhat + q.qhi AS upper
+FROM cvp c LEFT JOIN qs q USING (series_id)""", ["yhat", "lower", "upper"])
+_ACF_LAGS = range(1, 11)
+ORACLE["residual_acf"] = q(f"""WITH {CVP7}, {RESID},
+cen AS (SELECT *, residual - avg(residual) OVER (PARTITION BY series_id, fold_idx) AS c FROM resid),
+lg AS (SELECT series_id, fold_idx, c,
+         {", ".join(f"lag(c, {k}) OVER (PARTITION BY series_id, fold_idx ORDER BY ds) AS l{k}" for k in _ACF_LAGS)}
+       FROM cen),
+sums AS (SELECT series_id, fold_idx, count(*) AS n, sum(c * c) AS den,
+           {", ".join(f"sum(c * l{k}) AS num{k}" for k in _ACF_LAGS)} FROM lg GROUP BY 1, 2),
+acf AS ({" UNION ALL ".join(
+    f"SELECT series_id, fold_idx, n, {k} AS lag, CASE WHEN den = 0 THEN NULL ELSE num{k} / den END AS acf FROM sums"
+    for k in _ACF_LAGS)})
+SELECT series_id, fold_idx, CAST(lag AS INTEGER) AS lag, n, acf,
+       n * (n + 2) * sum(acf * acf / (n - lag)) OVER (PARTITION BY series_id, fold_idx ORDER BY lag
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ljung_box
+FROM acf""", ["acf", "ljung_box"])
+ORACLE["dickey_fuller"] = q(f"""WITH {CLEAN_ORDERS},
+l AS (SELECT series_id, lag(y) OVER ({W_SER}) AS yl, y - lag(y) OVER ({W_SER}) AS dy FROM orders_clean),
+a AS (SELECT series_id, regr_count(dy, yl) AS n, regr_slope(dy, yl) AS rho, regr_intercept(dy, yl) AS intercept,
+             regr_sxx(dy, yl) AS sxx, regr_syy(dy, yl) AS syy, regr_sxy(dy, yl) AS sxy FROM l GROUP BY 1)
+SELECT series_id, CAST(n AS BIGINT) AS n, rho, intercept,
+       rho / sqrt(((syy - sxy * sxy / sxx) / (n - 2)) / sxx) AS t_stat FROM a""", ["rho", "intercept", "t_stat"])
