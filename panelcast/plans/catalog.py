@@ -473,3 +473,68 @@ def q_residual_acf(spark, sf_dir):
 def q_dickey_fuller(spark, sf_dir):
     return round_doubles(D.dickey_fuller(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"),
                                          ["series_id"]))
+
+
+# --- linear forecaster (FC-*; rows-only checks: an iterative fit has no SQL twin) ----
+
+from ..operators import forecast as FCST  # noqa: E402
+
+LINEAR = FCST.LinearARConfig()
+LINEAR_H7 = FCST.LinearARConfig(name="linear_ar_h7", n_forecasts=7, n_lags=14)
+
+
+def _clean_panel(spark, sf_dir):
+    return cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+
+
+@register("cv_linear_ar")
+def q_cv_linear_ar(spark, sf_dir):
+    """FC-7/FC-8: yearly CV of the linear AR model (30 lags, trend hinges, Fourier terms)."""
+    m, _, _ = WF.cv_linear(_clean_panel(spark, sf_dir), LINEAR)
+    return round_doubles(m)
+
+
+@register("linear_coefficients")
+def q_linear_coefficients(spark, sf_dir):
+    """FC-2 / IO-6: the coefficient table of every (series, fold)."""
+    _, _, c = WF.cv_linear(_clean_panel(spark, sf_dir), LINEAR)
+    return c.withColumn("coef", F.transform("coef", lambda v: F.round(v, 6))).withColumn(
+        "terms", F.array_join("terms", ","))
+
+
+@register("final_fit_metrics")
+def q_final_fit_metrics(spark, sf_dir):
+    """FC-9: fit on the 70 % train split, score on the last 15 %."""
+    m, _, _ = WF.final_fit(_clean_panel(spark, sf_dir), LINEAR)
+    return round_doubles(m)
+
+
+@register("huber_final_fit")
+def q_huber_final_fit(spark, sf_dir):
+    """FC-2 with Huber loss (IRLS passes over weighted partial Gram matrices)."""
+    cfg = FCST.LinearARConfig(name="linear_ar_huber", loss="huber", irls_iterations=2)
+    m, _, _ = WF.final_fit(_clean_panel(spark, sf_dir), cfg)
+    return round_doubles(m)
+
+
+@register("multi_horizon_forecast")
+def q_multi_horizon_forecast(spark, sf_dir):
+    """FC-5: direct models for horizons 1..7, predictions pivoted wide (yhat1..yhat7)."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), LINEAR_H7)
+    return round_doubles(WF.wide_forecast(p, LINEAR_H7.n_forecasts))
+
+
+@register("future_forecast")
+def q_future_forecast(spark, sf_dir):
+    """FC-6: 365 days past each series' end; 7-day direct blocks fed back recursively."""
+    panel = _clean_panel(spark, sf_dir)
+    _, _, coefs = WF.final_fit(panel, LINEAR_H7)
+    return round_doubles(WF.future_forecast(panel, coefs, LINEAR_H7, periods=365))
+
+
+@register("linear_ensemble")
+def q_linear_ensemble(spark, sf_dir):
+    """FC-10/FC-11: two model settings cross-validated together, mean ensemble per row."""
+    cfgs = [FCST.LinearARConfig(name="ar30"), FCST.LinearARConfig(name="ar7_noyear", n_lags=7, yearly_order=0)]
+    _, preds, _ = WF.train_all(_clean_panel(spark, sf_dir), cfgs)
+    return round_doubles(WF.ensemble_predict(preds, n_models=len(cfgs)))

@@ -7,6 +7,10 @@ whole cross-validation is a single Spark job graph.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +37,177 @@ def cv_seasonal_naive(panel: DataFrame, season: int = 7, keys=None, context: str
                        F.lit(0).cast("long").alias("n"), F.lit("failed").alias("status"),
                        F.lit("No valid folds").alias("error")))
     return scored.unionByName(no_fold, allowMissingColumns=True)
+
+
+# --- linear forecaster plans (FC-5..FC-12) -----------------------------------
+
+from ..operators import forecast as FC  # noqa: E402
+from ..operators.splits import split_temporal, with_year_rank  # noqa: E402
+from ..functions.windows import DS, Y, by_series  # noqa: E402
+
+MODEL_KEYS = ["series_id", "fold_idx"]
+
+
+def _test_only_lags(rows: DataFrame, cfg: FC.LinearARConfig) -> DataFrame:
+    """Q13 parity: lags recomputed inside each fold's test rows (history unseen)."""
+    w = by_series(MODEL_KEYS)
+    return rows.select(*[c for c in rows.columns if not c.startswith("lag_")],
+                       *[F.lag(F.col(Y), k).over(w).alias(f"lag_{k}") for k in range(1, cfg.max_lag() + 1)])
+
+
+def cv_linear(panel: DataFrame, cfg: FC.LinearARConfig | None = None,
+              max_folds: int | None = DEFAULT_MAX_FOLDS, context: str = "with_history"):
+    """FC-7/FC-8 with the linear model: all folds of all series in one job graph.
+
+    Returns ``(fold_metrics, predictions, coefficient_table)``.  Fold k's
+    model is fitted on years ranked <= k from a prefix sum of per-year
+    partial Gram matrices and scored on year k+1.
+    """
+    cfg = cfg or FC.LinearARConfig()
+    d = with_year_rank(FC.design(panel.select("series_id", DS, Y), cfg), max_folds=max_folds)
+    train = d.where(F.col("year_rank") < F.col("n_folds")).withColumn("block", F.col("year_rank"))
+    coefs = FC.solve(FC.partial_grams(train, cfg), cfg, "expanding")
+    test = (d.where((F.col("year_rank") >= 1) & (F.col("year_rank") <= F.col("n_folds")))
+            .withColumn("fold_idx", (F.col("year_rank") - 1).cast("int")))
+    if context == "test_only":
+        test = _test_only_lags(test, cfg)
+    pred = FC.predict_rows(test, coefs, cfg)
+    folds = yearly_folds(panel, max_folds=max_folds).select("series_id", "fold_idx", "test_year")
+    h1 = pred.where(F.col("horizon") == 1)
+    metrics = E.score_folds(h1, folds, MODEL_KEYS)
+    fit_status = coefs.where(F.col("horizon") == 1).select(
+        "series_id", "fold_idx", F.col("status").alias("_fs"), F.col("error").alias("_fe"))
+    metrics = (metrics.join(fit_status, MODEL_KEYS, "left")
+               .withColumn("status", F.when(F.col("_fs") == "failed", "failed").otherwise(F.col("status")))
+               .withColumn("error", F.when(F.col("_fs") == "failed", F.col("_fe")).otherwise(F.col("error")))
+               .drop("_fs", "_fe")
+               .withColumn("model", F.lit(cfg.name)))
+    return metrics, pred.withColumn("model", F.lit(cfg.name)), FC.coefficient_table(coefs, cfg)
+
+
+def final_fit(panel: DataFrame, cfg: FC.LinearARConfig | None = None, train_ratio: float = 0.7,
+              val_ratio: float = 0.15):
+    """FC-9: fit on the chronological train split, score on the test split.
+
+    With ``cfg.loss == 'huber'`` the fit is refined by iteratively
+    reweighted least squares (each pass: predict train rows, Huber weights,
+    weighted partial Gram matrices, solve).
+    """
+    cfg = cfg or FC.LinearARConfig()
+    d = FC.design(split_temporal(panel.select("series_id", DS, Y), train_ratio, val_ratio), cfg)
+    d = d.withColumn("fold_idx", F.lit(0)).withColumn("n_folds", F.lit(1)).withColumn("block", F.lit(0))
+    train = d.where(F.col("split") == "train")
+    coefs = FC.solve(FC.partial_grams(train, cfg), cfg, "single")
+    if cfg.loss == "huber":
+        for _ in range(cfg.irls_iterations):
+            fitted = FC.predict_rows(train, coefs, cfg)
+            wts = FC.huber_weights(fitted, cfg.huber_delta).where(F.col("horizon") == 1).drop("horizon")
+            weighted = train.join(wts, ["series_id", "fold_idx", DS], "inner")
+            coefs = FC.solve(FC.partial_grams(weighted, cfg, weight="_w"), cfg, "single")
+    test = d.where(F.col("split") == "test")
+    pred = FC.predict_rows(test, coefs, cfg)
+    metrics = E.score(pred, ["series_id", "horizon"]).withColumn("model", F.lit(cfg.name))
+    return metrics, pred.withColumn("model", F.lit(cfg.name)), FC.coefficient_table(coefs, cfg)
+
+
+def wide_forecast(pred: DataFrame, n_forecasts: int) -> DataFrame:
+    """FC-5 wide form: ``yhat1..yhatH`` columns by pivot on horizon (values listed, no extra job)."""
+    return (pred.groupBy("series_id", "fold_idx", DS).pivot("horizon", list(range(1, n_forecasts + 1)))
+            .agg(F.first("yhat")).select("series_id", "fold_idx", DS,
+                                         *[F.col(str(h)).alias(f"yhat{h}") for h in range(1, n_forecasts + 1)]))
+
+
+FUTURE_SCHEMA = "series_id string, ds date, step int, yhat double"
+
+
+def _future_fn(cfg: FC.LinearARConfig):
+    L, H = cfg.n_lags, cfg.n_forecasts
+    base = cfg.base_terms()
+
+    def run(key, tail: pd.DataFrame, future: pd.DataFrame, coefs: pd.DataFrame) -> pd.DataFrame:
+        if tail.empty or future.empty or coefs.empty:
+            return pd.DataFrame(columns=["series_id", "ds", "step", "yhat"])
+        hist = list(tail.sort_values(DS)[Y].astype(float))[-L:]
+        if len(hist) < L or any(np.isnan(hist)):
+            return pd.DataFrame(columns=["series_id", "ds", "step", "yhat"])
+        fut = future.sort_values(DS).reset_index(drop=True)
+        by_h = {int(r.horizon): np.asarray(r.coef, dtype=float) for r in coefs.itertuples()}
+        out = []
+        i = 0
+        while i < len(fut):
+            recent = hist[::-1][:L]
+            block = []
+            for h in range(1, H + 1):
+                if i + h - 1 >= len(fut) or h not in by_h:
+                    break
+                row = fut.iloc[i + h - 1]
+                x = np.concatenate([[1.0], recent, row[base].to_numpy(dtype=float)])
+                block.append(float(x @ by_h[h]))
+            if not block:
+                break
+            for j, v in enumerate(block):
+                out.append((key[0], fut.iloc[i + j][DS], i + j + 1, v))
+            hist.extend(block)
+            i += len(block)
+        return pd.DataFrame(out, columns=["series_id", "ds", "step", "yhat"])
+
+    return run
+
+
+def future_forecast(panel: DataFrame, coef_table: DataFrame, cfg: FC.LinearARConfig, periods: int = 365,
+                    fold_idx: int = 0) -> DataFrame:
+    """FC-6: forecast ``periods`` days past each series' last date.
+
+    Direct models cover horizons 1..H; beyond that, blocks of H are fed
+    back recursively.  Each group holds one series' last ``n_lags`` values,
+    its future calendar rows (``periods``) and its H coefficient rows: all
+    bounded by the configuration, never by the data volume.
+    """
+    p = panel.select("series_id", DS, Y)
+    rd = F.row_number().over(by_series(["series_id"], F.col(DS).desc()))
+    tail = p.withColumn("_rd", rd).where(F.col("_rd") <= cfg.n_lags).drop("_rd")
+    span = p.groupBy("series_id").agg(F.min(DS).alias("_first"), F.max(DS).alias("_last"))
+    fut = span.select("series_id", "_first",
+                      F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", periods))).alias(DS))
+    fut = fut.select("series_id", DS, *FC._base_columns(cfg, F.col(DS), FC.day_number(F.col("_first"))))
+    coefs = coef_table.where((F.col("fold_idx") == fold_idx) & (F.col("status") == "success")).select(
+        "series_id", "horizon", "coef")
+    return _cogroup3(tail, fut, coefs, _future_fn(cfg))
+
+
+def _cogroup3(tail: DataFrame, fut: DataFrame, coefs: DataFrame, fn) -> DataFrame:
+    """Bundle the three per-series inputs into one tagged frame and run ``fn`` per series."""
+    cols = sorted((set(tail.columns) | set(fut.columns) | set(coefs.columns)) - {"series_id"})
+    typed = {}
+    for df in (tail, fut, coefs):
+        for f in df.schema.fields:
+            typed.setdefault(f.name, f.dataType)
+    allrows = None
+    for df, tag in ((tail, "tail"), (fut, "future"), (coefs, "coef")):
+        t = df.select("series_id", F.lit(tag).alias("_tag"),
+                      *[(F.col(c) if c in df.columns else F.lit(None).cast(typed[c])).alias(c)
+                        for c in cols if c != "series_id"])
+        allrows = t if allrows is None else allrows.unionByName(t)
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        return fn(key, pdf[pdf["_tag"] == "tail"], pdf[pdf["_tag"] == "future"], pdf[pdf["_tag"] == "coef"])
+
+    return allrows.groupBy("series_id").applyInPandas(run, FUTURE_SCHEMA)
+
+
+def train_all(panel: DataFrame, configs: Sequence[FC.LinearARConfig], max_folds: int | None = DEFAULT_MAX_FOLDS):
+    """FC-10: cross-validate several model settings on the same panel; results keyed by ``model``."""
+    metrics = preds = coefs = None
+    for cfg in configs:
+        m, p, c = cv_linear(panel, cfg, max_folds)
+        metrics = m if metrics is None else metrics.unionByName(m)
+        preds = p if preds is None else preds.unionByName(p)
+        coefs = c if coefs is None else coefs.unionByName(c)
+    return metrics, preds, coefs
+
+
+def ensemble_predict(preds: DataFrame, n_models: int, method: str = "mean", weights: DataFrame | None = None):
+    """FC-11: combine member predictions per (series, fold, ds, horizon); members stay rows."""
+    from ..operators.ensemble import ensemble
+    return ensemble(preds.withColumnRenamed("yhat", "yhat"), ["series_id", "fold_idx", DS, "horizon"],
+                    method, n_models=n_models, weights=weights)
