@@ -15,9 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import fourier_columns, temporal_columns
+from ..functions.calendar import TEMPORAL_FEATURE_NAMES, fourier_columns, temporal_columns
 from ..functions.numeric import signed_inf_div
-from ..functions.windows import DS, Y, by_series, following, keys_of, preceding, trailing, whole
+from ..functions.windows import DS, Y, by_series, following, keys_of, preceding, whole
 from .holidays import add_holidays
 
 # The reference's default option lists.
@@ -43,28 +43,69 @@ def add_lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, keys=Non
     return df.select("*", *lag_columns(lags, keys, value))
 
 
-def rolling_columns(windows: Sequence[int], keys=None, value: str = Y) -> list[Column]:
-    """WN-2..WN-5: a statistic is defined only when all w rows of the frame hold a value."""
-    out = []
+def add_rolling_stats(df: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS, keys=None,
+                      value: str = Y) -> DataFrame:
+    """WN-2..WN-5: a statistic is defined only when all w rows of the frame hold a value.
+
+    Linear-time plan instead of Spark's sliding frames (which re-aggregate
+    all w rows for every row, outside codegen):
+
+    * mean and sample std come from running sums of the value centred on
+      its series mean (``S``, ``Q`` and the non-null count ``N``, growing
+      frames), differenced at lag w;
+    * min and max come from a doubling table: level 2k is the max of level
+      k and level k lagged by k, so the max over w rows is the max of the
+      top level at t and at t - (w - k).
+
+    All windows share one partitioning and ordering, so Spark chains the
+    Window operators without another shuffle or sort.
+    """
+    if not windows:
+        return df
+    ks = keys_of(keys)
+    w_spec = by_series(ks)
     v = F.col(value)
+    c = v - F.avg(v).over(whole(ks))
+    run = preceding(ks)
+    cur = (df.withColumn("_c", c)
+           .withColumn("_S", F.sum("_c").over(run))
+           .withColumn("_Q", F.sum(F.col("_c") * F.col("_c")).over(run))
+           .withColumn("_N", F.count(v).over(run))
+           .withColumn("_mx1", v).withColumn("_mn1", v))
+    widest = max(windows)
+    k = 1
+    while 2 * k <= widest:
+        cur = (cur.withColumn(f"_mx{2 * k}", F.greatest(F.col(f"_mx{k}"), F.lag(f"_mx{k}", k).over(w_spec)))
+               .withColumn(f"_mn{2 * k}", F.least(F.col(f"_mn{k}"), F.lag(f"_mn{k}", k).over(w_spec))))
+        k *= 2
+    staged = []
+    for w in windows:
+        top = 1 << (w.bit_length() - 1)
+        staged += [
+            (F.col("_S") - F.coalesce(F.lag("_S", w).over(w_spec), F.lit(0.0))).alias(f"_sw{w}"),
+            (F.col("_Q") - F.coalesce(F.lag("_Q", w).over(w_spec), F.lit(0.0))).alias(f"_qw{w}"),
+            (F.col("_N") - F.coalesce(F.lag("_N", w).over(w_spec), F.lit(0))).alias(f"_nw{w}"),
+            (F.greatest(F.col(f"_mx{top}"), F.lag(f"_mx{top}", w - top).over(w_spec))
+             if w > top else F.col(f"_mx{top}")).alias(f"_xw{w}"),
+            (F.least(F.col(f"_mn{top}"), F.lag(f"_mn{top}", w - top).over(w_spec))
+             if w > top else F.col(f"_mn{top}")).alias(f"_iw{w}"),
+        ]
+    cur = cur.select("*", F.avg(v).over(whole(ks)).alias("_m"), *staged)
+    out = []
     for w in windows:
-        frame = trailing(w, keys)
-        full = F.count(v).over(frame) == w
-        mx = F.max(v).over(frame)
-        mn = F.min(v).over(frame)
+        full = F.col(f"_nw{w}") == w
+        sw, qw = F.col(f"_sw{w}"), F.col(f"_qw{w}")
+        var = (qw - sw * sw / F.lit(float(w))) / F.lit(float(w - 1)) if w > 1 else None
+        mx, mn = F.col(f"_xw{w}"), F.col(f"_iw{w}")
         out += [
-            F.when(full, F.avg(v).over(frame)).alias(f"rolling_mean_{w}"),
-            F.when(full, F.stddev_samp(v).over(frame)).alias(f"rolling_std_{w}"),
+            F.when(full, sw / F.lit(float(w)) + F.col("_m")).alias(f"rolling_mean_{w}"),
+            (F.when(full, F.sqrt(F.greatest(var, F.lit(0.0)))) if var is not None
+             else F.lit(None).cast("double")).alias(f"rolling_std_{w}"),
             F.when(full, mn).alias(f"rolling_min_{w}"),
             F.when(full, mx).alias(f"rolling_max_{w}"),
             F.when(full, mx - mn).alias(f"rolling_range_{w}"),
         ]
-    return out
-
-
-def add_rolling_stats(df: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS, keys=None,
-                      value: str = Y) -> DataFrame:
-    return df.select("*", *rolling_columns(windows, keys, value))
+    return cur.select(*df.columns, *out)
 
 
 def seasonal_columns(periods: Sequence[int], keys=None, value: str = Y, pos: str = "pos",
@@ -163,31 +204,41 @@ def create_all_features(df: DataFrame, keys=None, date_col: str = DS, value: str
     if pos not in df.columns:
         df = df.withColumn(pos, (F.row_number().over(by_series(ks)) - 1).cast("long"))
     before = list(df.columns)
-    out = add_temporal_features(df, date_col)
+    # Window features first, on the narrow input: every Window operator
+    # buffers and copies whole rows, so the calendar columns (pure functions
+    # of the date, never null) are added after the windows and the fill.
+    out = df
     fillable = [value]
+    lag_names = roll_names = seas_names = []
     if add_lags:
         out = add_lag_features(out, lags, ks, value)
-        fillable += [f"lag_{k}" for k in lags]
+        lag_names = [f"lag_{k}" for k in lags]
     if add_rolling:
         out = add_rolling_stats(out, windows, ks, value)
-        fillable += [c for w in windows for c in (f"rolling_mean_{w}", f"rolling_std_{w}", f"rolling_min_{w}",
-                                                  f"rolling_max_{w}", f"rolling_range_{w}")]
+        roll_names = [c for w in windows for c in (f"rolling_mean_{w}", f"rolling_std_{w}", f"rolling_min_{w}",
+                                                   f"rolling_max_{w}", f"rolling_range_{w}")]
     if add_seasonality:
         out = add_seasonality_features(out, seasonal_periods, ks, value, pos, leak_safe)
-        fillable += [c for p in seasonal_periods for c in (f"seasonal_mean_{p}", f"deseasonalized_{p}")]
-    if add_holiday_flag:
-        out = add_holidays(out, calendar, country, date_col)
+        seas_names = [c for p in seasonal_periods for c in (f"seasonal_mean_{p}", f"deseasonalized_{p}")]
     out = add_differencing_features(out, diffs, ks, value)
-    fillable += [f"diff_{k}" for k in diffs]
     out = add_pct_change_features(out, pct_periods, ks, value)
-    fillable += [f"pct_change_{k}" for k in pct_periods]
+    diff_names = [f"diff_{k}" for k in diffs]
+    pct_names = [f"pct_change_{k}" for k in pct_periods]
+    fillable += lag_names + roll_names + seas_names + diff_names + pct_names
+    extra_nullable = [c for c in before if c not in ks and c not in (date_col, pos) and c not in fillable]
+    if leak_safe:
+        out = forward_fill_columns(out, fillable, ks)
+    else:
+        out = fill_both_ways(out, fillable + extra_nullable, ks)
+    out = add_temporal_features(out, date_col)
+    if add_holiday_flag:
+        out = add_holidays(out, calendar, country, date_col)
     if fourier:
         out = add_fourier_features(out, date_col)
-    fillable = [c for c in fillable if c in out.columns]
-    if leak_safe:
-        return forward_fill_columns(out, fillable, ks)
-    extra_nullable = [c for c in before if c not in ks and c not in (date_col, pos) and c not in fillable]
-    return fill_both_ways(out, fillable + extra_nullable, ks)
+    order = (before + TEMPORAL_FEATURE_NAMES + lag_names + roll_names + seas_names
+             + (["is_holiday"] if add_holiday_flag else []) + diff_names + pct_names)
+    order += [c for c in out.columns if c not in order]
+    return out.select(*order)
 
 
 def feature_names(df_before: DataFrame, df_after: DataFrame) -> list[str]:

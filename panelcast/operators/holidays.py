@@ -90,14 +90,54 @@ def calendar_for_panel(panel: DataFrame, country: str = "US", date_col: str = DS
     return holiday_calendar(years, country)
 
 
+def holiday_flag(ds: Column, country: str = "US") -> Column:
+    """``is_holiday`` as a scalar expression of the date, straight from the rules.
+
+    Equivalent to membership in ``holiday_calendar`` (tested), but needs no
+    calendar table, no join and no pass over the data to find its years.
+    """
+    rules = RULES_BY_COUNTRY.get(country)
+    if rules is None:
+        warnings.warn(f"no holiday rules for {country!r}; is_holiday is 0 everywhere")
+        return F.lit(0)
+    wd, m, dom = F.weekday(ds), F.month(ds), F.dayofmonth(ds)
+    hit = F.lit(False)
+    for _name, kind, month, a, nth, since in rules:
+        if kind == "date":
+            on = (m == month) & (dom == a) & (F.year(ds) >= since)
+            nxt, prv = F.date_add(ds, 1), F.date_sub(ds, 1)
+            fri = (wd == 4) & (F.month(nxt) == month) & (F.dayofmonth(nxt) == a) & (F.year(nxt) >= since)
+            mon = (wd == 0) & (F.month(prv) == month) & (F.dayofmonth(prv) == a) & (F.year(prv) >= since)
+            hit = hit | on | fri | mon
+        elif nth > 0:
+            hit = hit | ((m == month) & (wd == a) & (F.floor((dom - 1) / 7) == nth - 1) & (F.year(ds) >= since))
+        else:
+            hit = hit | ((m == month) & (wd == a) & (F.date_add(ds, 7) > F.last_day(ds)) & (F.year(ds) >= since))
+    return F.when(ds.isNull(), F.lit(None).cast("int")).otherwise(hit.cast("int"))
+
+
+# Years covered when no calendar is passed: a fixed span, so the flag needs no
+# pass over the data to find its years (at most MAX_ROWS_PER_YEAR * 401 rows).
+DEFAULT_FIRST_YEAR, DEFAULT_LAST_YEAR = 1800, 2200
+
+
+def fixed_span_calendar(spark, country: str = "US", first: int = DEFAULT_FIRST_YEAR,
+                        last: int = DEFAULT_LAST_YEAR) -> DataFrame:
+    years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
+    return holiday_calendar(years, country)
+
+
 def add_holidays(panel: DataFrame, calendar: DataFrame | None = None, country: str = "US",
                  date_col: str = DS, name: str = "is_holiday") -> DataFrame:
     """``is_holiday`` in {0, 1}; 0 when the date is not in the calendar.
 
-    The calendar is reduced to distinct dates and broadcast: it holds at
-    most ``MAX_ROWS_PER_YEAR`` rows per calendar year of the panel's span.
+    Without a ``calendar`` the rules are expanded for the years 1800-2200
+    (under 9,000 rows, independent of the data).  The calendar is reduced to
+    distinct dates and broadcast; pass only calendars whose size is bounded
+    by their year span (a few rows per year), as generated ones are.
+    ``holiday_flag`` gives the same flag as a pure column expression.
     """
-    cal = calendar if calendar is not None else calendar_for_panel(panel, country, date_col)
+    cal = calendar if calendar is not None else fixed_span_calendar(panel.sparkSession, country)
     flags = cal.select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1))
     j = panel.join(F.broadcast(flags), F.col(date_col) == F.col("_hd"), "left")
     return j.withColumn(name, F.coalesce(F.col("_hf"), F.lit(0))).drop("_hd", "_hf")
