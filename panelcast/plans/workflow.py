@@ -45,6 +45,7 @@ def cv_seasonal_naive(panel: DataFrame, season: int = 7, keys=None, context: str
 from ..operators import forecast as FC  # noqa: E402
 from ..operators.splits import split_temporal, with_year_rank  # noqa: E402
 from ..functions.windows import DS, Y, by_series  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
 
 MODEL_KEYS = ["series_id", "fold_idx"]
 
@@ -57,17 +58,23 @@ def _test_only_lags(rows: DataFrame, cfg: FC.LinearARConfig) -> DataFrame:
 
 
 def cv_linear(panel: DataFrame, cfg: FC.LinearARConfig | None = None,
-              max_folds: int | None = DEFAULT_MAX_FOLDS, context: str = "with_history"):
+              max_folds: int | None = DEFAULT_MAX_FOLDS, context: str = "with_history",
+              checkpoint_input: bool = True):
     """FC-7/FC-8 with the linear model: all folds of all series in one job graph.
 
     Returns ``(fold_metrics, predictions, coefficient_table)``.  Fold k's
     model is fitted on years ranked <= k from a prefix sum of per-year
-    partial Gram matrices and scored on year k+1.
+    partial Gram matrices and scored on year k+1.  The narrow input panel is
+    checkpointed to the reliable checkpoint folder first: the training and
+    scoring branches both read it, and a lost executor replays from there.
     """
     cfg = cfg or FC.LinearARConfig()
-    d = with_year_rank(FC.design(panel.select("series_id", DS, Y), cfg), max_folds=max_folds)
+    if checkpoint_input:
+        panel = cut_lineage(panel.select("series_id", DS, Y))
+    d = with_year_rank(FC.design(panel.select("series_id", DS, Y), cfg, with_base=False), max_folds=max_folds)
     train = d.where(F.col("year_rank") < F.col("n_folds")).withColumn("block", F.col("year_rank"))
     coefs = FC.solve(FC.partial_grams(train, cfg), cfg, "expanding")
+    d = d.select("*", *FC._base_columns(cfg, F.col(DS), F.col("_start")))
     test = (d.where((F.col("year_rank") >= 1) & (F.col("year_rank") <= F.col("n_folds")))
             .withColumn("fold_idx", (F.col("year_rank") - 1).cast("int")))
     if context == "test_only":
@@ -87,7 +94,7 @@ def cv_linear(panel: DataFrame, cfg: FC.LinearARConfig | None = None,
 
 
 def final_fit(panel: DataFrame, cfg: FC.LinearARConfig | None = None, train_ratio: float = 0.7,
-              val_ratio: float = 0.15):
+              val_ratio: float = 0.15, checkpoint_input: bool = True):
     """FC-9: fit on the chronological train split, score on the test split.
 
     With ``cfg.loss == 'huber'`` the fit is refined by iteratively
@@ -95,6 +102,8 @@ def final_fit(panel: DataFrame, cfg: FC.LinearARConfig | None = None, train_rati
     weighted partial Gram matrices, solve).
     """
     cfg = cfg or FC.LinearARConfig()
+    if checkpoint_input:
+        panel = cut_lineage(panel.select("series_id", DS, Y))
     d = FC.design(split_temporal(panel.select("series_id", DS, Y), train_ratio, val_ratio), cfg)
     d = d.withColumn("fold_idx", F.lit(0)).withColumn("n_folds", F.lit(1)).withColumn("block", F.lit(0))
     train = d.where(F.col("split") == "train")
@@ -199,8 +208,9 @@ def _cogroup3(tail: DataFrame, fut: DataFrame, coefs: DataFrame, fn) -> DataFram
 def train_all(panel: DataFrame, configs: Sequence[FC.LinearARConfig], max_folds: int | None = DEFAULT_MAX_FOLDS):
     """FC-10: cross-validate several model settings on the same panel; results keyed by ``model``."""
     metrics = preds = coefs = None
+    panel = cut_lineage(panel.select("series_id", DS, Y))
     for cfg in configs:
-        m, p, c = cv_linear(panel, cfg, max_folds)
+        m, p, c = cv_linear(panel, cfg, max_folds, checkpoint_input=False)
         metrics = m if metrics is None else metrics.unionByName(m)
         preds = p if preds is None else preds.unionByName(p)
         coefs = c if coefs is None else coefs.unionByName(c)

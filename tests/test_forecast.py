@@ -97,3 +97,11 @@ def test_coefficient_save_load(spark, panel_df, tmp_path):
     assert back.count() == 1 and back.collect()[0]["terms"] == cfg.terms()
     assert load_coefficients(spark, str(tmp_path / "missing")) is None
     assert model_summary(back, cfg.to_json()).collect()[0]["n_series"] == 1
+
+
+def test_numpy_base_terms_equal_spark(spark, panel_df):
+    cfg = FC.LinearARConfig(max_changepoints=5)
+    df = FC.design(panel_df({"s": daily("2019-12-20", np.arange(900.0))}), cfg)
+    pdf = df.orderBy("ds").toPandas()
+    got = FC.base_terms_np(pdf["_day"].to_numpy(float), pdf["_start"].to_numpy(float), cfg)
+    np.testing.assert_allclose(got, pdf[cfg.base_terms()].to_numpy(float), rtol=1e-12, atol=1e-12)
