@@ -43,17 +43,21 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the reliable checkpoint folder, from ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is.  Only
-    when it is unset (local tests) do we pick a fresh scratch folder.
+    On a cluster the setting names a shared folder and is used as is (Spark
+    applies it to the context at start-up).  Only when nothing is set (local
+    tests) do we pick a fresh scratch folder for this session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df):
