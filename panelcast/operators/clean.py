@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.numeric import nan_to_null
 from ..functions.windows import DS, SERIES, Y, by_series, following, keys_of, preceding, whole
@@ -36,26 +37,55 @@ def coerce_dates(df: DataFrame, col: str = DS, fmt: str | None = None) -> DataFr
     return df.withColumn(col, F.to_date(F.col(col), fmt) if fmt else F.to_date(F.col(col)))
 
 
-def sort_and_position(raw: DataFrame, tie: str, keys=None) -> DataFrame:
-    """CL-2: 0-based ``pos`` of every raw row after a sort by date (missing dates last).
+def sort_and_position(raw: DataFrame, tie: str, keys=None, partitions: int | None = None) -> DataFrame:
+    """CL-2: 0-based ``pos`` of every raw row after a sort by date (missing dates last), ties by ``tie``.
 
-    ``pos`` = rows of the series on earlier dates + rank inside the date by
-    ``tie``.  The first term comes from a per-(series, day) count and a
-    running sum over the small daily table, so a hot series never has its
-    raw rows gathered in one task.
+    Never gathers a series or a date in one task (zipWithIndex-style):
+
+    1. range-partition on (series, date, tie): the sampled range bounds
+       split even a single hot (series, day) across many partitions;
+    2. count rows per (partition, series) -- a small table -- and turn the
+       counts into per-partition offsets with a running sum per series;
+    3. inside each partition, rows are sorted, so the local rank is a
+       running count; ``pos`` = offset + local rank.
+
+    Step 3 is the one per-partition imperative step (``mapInPandas``); its
+    output is checkpointed (range bounds are re-sampled on every
+    evaluation) and the small offsets table is joined back on
+    (partition, series).
     """
     ks = keys_of(keys)
-    daily = raw.groupBy(*ks, DS).agg(F.count(F.lit(1)).alias("_n"))
-    w = by_series(ks, [F.col(DS).asc_nulls_last()])
-    offsets = daily.select(
-        *ks, DS,
-        F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # NULL dates sort last and form one group; a sentinel key makes the join null-safe
-    dk = F.coalesce(F.col(DS), F.lit("9999-12-31").cast("date")).alias("_dk")
-    offsets = offsets.select(*ks, dk, "_off")
-    ranked = raw.select("*", dk, (F.row_number().over(by_series(ks + [DS], tie)) - 1).alias("_within"))
-    return ranked.join(offsets, ks + ["_dk"], "left").select(
-        *raw.columns, (F.col("_off") + F.col("_within")).cast("long").alias("pos"))
+    n = partitions or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dkey = F.coalesce(F.col(DS), F.lit("9999-12-31").cast("date"))
+    parts = (raw.withColumn("_dk", dkey)
+             .repartitionByRange(n, *[F.col(k) for k in ks], F.col("_dk"), F.col(tie))
+             .sortWithinPartitions(*ks, "_dk", tie)
+             .withColumn("_pid", F.spark_partition_id()))
+    out_schema = StructType(list(parts.schema.fields) + [StructField("_local", LongType())])
+
+    def local_rank(batches):
+        last_key, running = None, 0
+        for pdf in batches:
+            keys_now = list(zip(*[pdf[k] for k in ks])) if len(ks) > 1 else list(pdf[ks[0]])
+            local = []
+            for key in keys_now:
+                running = running + 1 if key == last_key else 0
+                last_key = key
+                local.append(running)
+            yield pdf.assign(_local=local)
+
+    # Range bounds are sampled anew on every evaluation, so the ranked rows
+    # are materialised once (reliable checkpoint) and both the offsets and
+    # the output read that same copy.
+    from ..session import cut_lineage
+    ranked = cut_lineage(parts.mapInPandas(local_rank, out_schema))
+    counts = ranked.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select(
+        "_pid", *ks,
+        F.coalesce(F.sum("_cnt").over(by_series(ks, "_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"))
+    return (ranked.join(offsets, ["_pid", *ks], "left")
+            .select(*raw.columns, (F.col("_off") + F.col("_local")).cast("long").alias("pos")))
 
 
 def duplicate_count(raw: DataFrame, keys=None) -> DataFrame:

@@ -95,14 +95,20 @@ def orders_priority_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_segment_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily order value by customer market segment (orders joined to customer).
 
-    The customer dimension grows with the data, so no broadcast is forced;
-    AQE turns the join into a broadcast at run time when the scanned side is
-    small enough.
+    Orders are first summed per (customer, day): a customer holding a third
+    of all orders reaches the join as at most one row per day, so the join
+    sees no hot key.  Decimal sums are exact, so summing again per
+    (segment, day) after the join gives the same result as joining raw
+    rows.  The customer side grows with the data, so no broadcast is
+    forced; AQE broadcasts it at run time when it is small.
     """
     o = table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate", "o_totalprice"])
+    per_cust = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("ds")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("v"))
     c = table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    j = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    return daily_rollup(j, "c_mktsegment", "o_orderdate", "o_totalprice")
+    j = per_cust.join(c, per_cust.o_custkey == c.c_custkey, "inner")
+    return j.groupBy(F.col("c_mktsegment").cast("string").alias(SERIES), DS).agg(
+        F.sum("v").cast("double").alias(Y))
 
 
 def lineitem_supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
