@@ -132,12 +132,16 @@ def add_holidays(panel: DataFrame, calendar: DataFrame | None = None, country: s
     """``is_holiday`` in {0, 1}; 0 when the date is not in the calendar.
 
     Without a ``calendar`` the rules are expanded for the years 1800-2200
-    (under 9,000 rows, independent of the data).  The calendar is reduced to
-    distinct dates and broadcast; pass only calendars whose size is bounded
-    by their year span (a few rows per year), as generated ones are.
+    (under 9,000 rows, independent of the data) and broadcast.  A user
+    calendar is joined without a forced broadcast.
     ``holiday_flag`` gives the same flag as a pure column expression.
     """
-    cal = calendar if calendar is not None else fixed_span_calendar(panel.sparkSession, country)
-    flags = cal.select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1))
-    j = panel.join(F.broadcast(flags), F.col(date_col) == F.col("_hd"), "left")
+    if calendar is None:
+        # generated: at most MAX_ROWS_PER_YEAR rows per year of a fixed span -> safe to broadcast
+        flags = F.broadcast(fixed_span_calendar(panel.sparkSession, country)
+                            .select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1)))
+    else:
+        # a user table has no proven bound: plain join, AQE broadcasts it only if it is small at run time
+        flags = calendar.select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1))
+    j = panel.join(flags, F.col(date_col) == F.col("_hd"), "left")
     return j.withColumn(name, F.coalesce(F.col("_hf"), F.lit(0))).drop("_hd", "_hf")
