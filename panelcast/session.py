@@ -39,6 +39,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -69,3 +70,30 @@ def cut_lineage(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelcast`` importable in Python workers (``addPyFile`` of a zip, once per context).
+
+    The pandas functions (``mapInPandas``/``applyInPandas``) refer to this
+    package's modules, which workers import by name.  On a cluster the
+    package can equally be shipped with ``--py-files``; this helper does
+    the same from inside the job.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_panelcast_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="panelcast-py-")
+    path = os.path.join(out_dir, "panelcast.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._panelcast_shipped = True
