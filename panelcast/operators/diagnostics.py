@@ -199,3 +199,16 @@ def dickey_fuller(panel: DataFrame, keys: Sequence[str], y: str = Y) -> DataFram
     ssr = F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))
     se = F.sqrt(F.try_divide(F.try_divide(ssr, F.col("n") - 2), F.col("_sxx")))
     return agg.select(*k, "n", "rho", "intercept", F.try_divide(F.col("rho"), se).alias("t_stat"))
+
+
+def plot_tables(pred: DataFrame, group: Sequence[str], bins: int = 30) -> dict[str, DataFrame]:
+    """PL-11: every table ``generate_visualizations`` would draw, keyed alike (lazy plans)."""
+    g = list(group)
+    return {
+        "actual_vs_predicted": actual_vs_predicted(pred, g),
+        "residuals": residuals(pred, g),
+        "residual_histogram": residual_histogram(pred, g, bins),
+        "qq": qq_table(pred, g),
+        "scatter": scatter_table(pred, g),
+        "error_distribution": error_distribution(pred, g, bins),
+    }

@@ -199,7 +199,7 @@ def _cogroup3(tail: DataFrame, fut: DataFrame, coefs: DataFrame, fn) -> DataFram
                         for c in cols if c != "series_id"])
         allrows = t if allrows is None else allrows.unionByName(t)
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):  # no annotations: applyInPandas takes the (key, frame) form
         return fn(key, pdf[pdf["_tag"] == "tail"], pdf[pdf["_tag"] == "future"], pdf[pdf["_tag"] == "coef"])
 
     return allrows.groupBy("series_id").applyInPandas(run, FUTURE_SCHEMA)

@@ -105,3 +105,17 @@ def test_numpy_base_terms_equal_spark(spark, panel_df):
     pdf = df.orderBy("ds").toPandas()
     got = FC.base_terms_np(pdf["_day"].to_numpy(float), pdf["_start"].to_numpy(float), cfg)
     np.testing.assert_allclose(got, pdf[cfg.base_terms()].to_numpy(float), rtol=1e-12, atol=1e-12)
+
+
+def test_plot_tables_and_pipeline(spark, panel_df, tmp_path):
+    from panelcast.operators.diagnostics import plot_tables
+    y = 10 + np.sin(np.arange(1200) * 2 * np.pi / 7)
+    panel = panel_df({"s": daily("2017-01-01", y)})
+    naive = WF.fold_test_predictions(panel, 7)
+    tabs = plot_tables(naive, ["series_id", "fold_idx"])
+    assert set(tabs) >= {"residuals", "qq", "scatter"} and tabs["residual_histogram"].count() == 3 * 30
+    cfg = FC.LinearARConfig(n_lags=7, max_changepoints=2)
+    res = WF.execute_pipeline(panel, str(tmp_path / "out"), cfg)
+    assert res["status"] == "success", res["error"]
+    assert spark.read.parquet(res["tables"]["cv_metrics"]).count() == 3
+    assert spark.read.parquet(str(tmp_path / "out" / "runs")).count() == 1
