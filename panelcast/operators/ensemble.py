@@ -12,8 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import DS
-
 YHAT = "yhat"
 
 
@@ -60,5 +58,3 @@ def inverse_error_weights(fold_metrics: DataFrame, keys: Sequence[str], metric:
     ok = fold_metrics.where(F.col("status") == "success")
     return ok.groupBy("model", *keys).agg(F.try_divide(F.lit(1.0), F.avg(metric)).alias("weight"))
 
-
-__all__ = ["stack_predictions", "ensemble", "inverse_error_weights", "DS"]
