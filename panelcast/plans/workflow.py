@@ -227,8 +227,7 @@ def train_all(panel: DataFrame, configs: Sequence[FC.LinearARConfig], max_folds:
 def ensemble_predict(preds: DataFrame, n_models: int, method: str = "mean", weights: DataFrame | None = None):
     """FC-11: combine member predictions per (series, fold, ds, horizon); members stay rows."""
     from ..operators.ensemble import ensemble
-    return ensemble(preds.withColumnRenamed("yhat", "yhat"), ["series_id", "fold_idx", DS, "horizon"],
-                    method, n_models=n_models, weights=weights)
+    return ensemble(preds, ["series_id", "fold_idx", DS, "horizon"], method, n_models=n_models, weights=weights)
 
 
 def execute_pipeline(panel: DataFrame, out_dir: str, cfg: FC.LinearARConfig | None = None,

@@ -98,3 +98,22 @@ def test_series_do_not_bleed(spark, panel_df):
     preds = E.baseline_predictions(df, ["series_id", "fold_idx"], "naive")
     got = {(r.series_id, str(r.ds)): r.yhat for r in preds.collect()}
     assert got[("b", "2020-01-02")] == 10.0 and got[("a", "2020-01-02")] == 1.0
+
+
+def test_ensembles(spark):
+    import datetime as dt
+
+    from panelcast.operators import ensemble as ENS
+    d = dt.date(2020, 1, 1)
+    rows = [("a", "s", d, 1.0), ("b", "s", d, 3.0), ("c", "s", d, 8.0),
+            ("a", "s", d + dt.timedelta(1), 1.0), ("b", "s", d + dt.timedelta(1), None)]
+    st = spark.createDataFrame(rows, "model string, series_id string, ds date, yhat double")
+    mean = {r.ds: r.yhat for r in ENS.ensemble(st, ["series_id", "ds"], "mean").collect()}
+    assert mean[d] == 4.0 and mean[d + dt.timedelta(1)] is None  # a missing member makes the mean missing
+    assert ENS.ensemble(st, ["series_id", "ds"], "median").where(F.col("ds") == d).collect()[0]["yhat"] == 3.0
+    w = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("c", 0.0)], "model string, weight double")
+    wt = ENS.ensemble(st, ["series_id", "ds"], "weighted", weights=w).where(F.col("ds") == d).collect()[0]
+    assert wt["yhat"] == pytest.approx((3 * 1 + 1 * 3) / 4)
+    fm = spark.createDataFrame([("a", "s", "success", 2.0), ("a", "s", "success", 4.0)],
+                               "model string, series_id string, status string, mae double")
+    assert ENS.inverse_error_weights(fm, ["series_id"]).collect()[0]["weight"] == pytest.approx(1 / 3)
