@@ -166,7 +166,7 @@ def interpolate_linear(panel: DataFrame, keys=None, value: str = Y) -> DataFrame
         F.when(v.isNotNull(), v)
         .when(prev_v.isNull(), F.lit(None).cast("double"))
         .when(next_v.isNull(), prev_v)
-        .otherwise(prev_v + (next_v - prev_v) * (F.col(rn) - prev_i) / (next_i - prev_i))
+        .otherwise(prev_v + (next_v - prev_v) * ((F.col(rn) - prev_i) / (next_i - prev_i)))
     )
     return df.withColumn(value, filled).drop(rn)
 

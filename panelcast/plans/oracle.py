@@ -59,7 +59,7 @@ def interpolated(src: str, name: str) -> str:
 {name} AS (
   SELECT series_id, ds, pos,
     CASE WHEN y IS NOT NULL THEN y WHEN pv IS NULL THEN NULL WHEN nv IS NULL THEN pv
-         ELSE pv + (nv - pv) * (pos - pi) / (ni - pi) END AS y
+         ELSE pv + (nv - pv) * ((pos - pi) / (ni - pi)) END AS y
   FROM {name}_nb
 )"""
 
