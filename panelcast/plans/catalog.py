@@ -538,3 +538,9 @@ def q_linear_ensemble(spark, sf_dir):
     cfgs = [FCST.LinearARConfig(name="ar30"), FCST.LinearARConfig(name="ar7_noyear", n_lags=7, yearly_order=0)]
     _, preds, _ = WF.train_all(_clean_panel(spark, sf_dir), cfgs)
     return round_doubles(WF.ensemble_predict(preds, n_models=len(cfgs)))
+
+
+@register("feature_table_leak_safe")
+def q_feature_table_leak_safe(spark, sf_dir):
+    """WN-12 with ``leak_safe``: past-only seasonal means and forward fill only (no future values)."""
+    return round_doubles(FE.create_all_features(feature_base(spark, sf_dir), leak_safe=True))

@@ -701,3 +701,22 @@ a AS (SELECT series_id, regr_count(dy, yl) AS n, regr_slope(dy, yl) AS rho, regr
              regr_sxx(dy, yl) AS sxx, regr_syy(dy, yl) AS syy, regr_sxy(dy, yl) AS sxy FROM l GROUP BY 1)
 SELECT series_id, CAST(n AS BIGINT) AS n, rho, intercept,
        rho / sqrt(((syy - sxy * sxy / sxx) / (n - 2)) / sxx) AS t_stat FROM a""", ["rho", "intercept", "t_stat"])
+
+SEAS_PAST_COLS = ",\n".join(
+    f"avg(y) OVER (PARTITION BY series_id, pos % {p} ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    f" AS seasonal_mean_{p},\n"
+    f"y - avg(y) OVER (PARTITION BY series_id, pos % {p} ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    f" AS deseasonalized_{p}" for p in SEAS)
+FFILL_COLS = ",\n".join(f"last_value({c} IGNORE NULLS) OVER ({PREV}) AS {c}" for c in FILLABLE)
+ORACLE["feature_table_leak_safe"] = q(f"""WITH {FEAT_BASE}, {HOLIDAYS.replace("FROM orders_panel", "FROM feat_base")},
+ff AS (SELECT *, last_value(y IGNORE NULLS) OVER ({PREV}) AS yff FROM feat_base),
+feats AS (
+  SELECT f.series_id, f.ds, f.y, f.pos, {CAL_COLS.replace("(ds)", "(f.ds)")},
+         {LAG_COLS.replace("ORDER BY ds", "ORDER BY f.ds")}, {ROLL_COLS.replace("ORDER BY ds", "ORDER BY f.ds")},
+         {SEAS_PAST_COLS.replace("ORDER BY ds", "ORDER BY f.ds")},
+         CAST(CASE WHEN h.ds IS NULL THEN 0 ELSE 1 END AS INTEGER) AS is_holiday,
+         {DIFF_COLS.replace("ORDER BY ds", "ORDER BY f.ds")}, {PCT_COLS.replace("ORDER BY ds", "ORDER BY f.ds")}
+  FROM ff f LEFT JOIN (SELECT DISTINCT ds FROM cal) h ON f.ds = h.ds
+)
+SELECT series_id, ds, pos, {", ".join(CAL_NAMES)}, is_holiday, {FFILL_COLS} FROM feats""",
+                                      FILLABLE + CAL_DOUBLES)
