@@ -544,3 +544,10 @@ def q_linear_ensemble(spark, sf_dir):
 def q_feature_table_leak_safe(spark, sf_dir):
     """WN-12 with ``leak_safe``: past-only seasonal means and forward fill only (no future values)."""
     return round_doubles(FE.create_all_features(feature_base(spark, sf_dir), leak_safe=True))
+
+
+@register("cv_supplier_seasonal_naive")
+def q_cv_supplier_seasonal_naive(spark, sf_dir):
+    """The flagship plan on the wider panel: daily shipped quantity of every supplier."""
+    p = C.preprocess_complete(T.lineitem_supplier_panel(spark, sf_dir)).select("series_id", "ds", "y")
+    return round_doubles(WF.cv_seasonal_naive(p, season=7))

@@ -720,3 +720,12 @@ feats AS (
 )
 SELECT series_id, ds, pos, {", ".join(CAL_NAMES)}, is_holiday, {FFILL_COLS} FROM feats""",
                                       FILLABLE + CAL_DOUBLES)
+
+SUPPLIER_PANEL = """
+orders_panel AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) AS ds,
+         CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS y
+  FROM lineitem GROUP BY 1, 2
+)"""
+# the same cleaning and CV chain, with the supplier rollup as its source panel
+ORACLE["cv_supplier_seasonal_naive"] = cv_sql(7, "with_history").replace(ORDERS_PANEL, SUPPLIER_PANEL)
