@@ -1,4 +1,6 @@
 """Plan shape: panel operators never plan a single-partition exchange or a cartesian product."""
+import re
+
 import numpy as np
 from conftest import daily
 
@@ -30,3 +32,17 @@ def test_scan_prunes_columns(spark):
     from panelcast.sources import tables as T
     p = T.lineitem_supplier_panel(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in p
+
+
+def test_cv_reuses_series_partitioning_after_checkpoint(spark, panel_df):
+    # the checkpointed input keeps its series_id hash partitioning: windows and per-series aggregates reuse
+    # it, so no row-level shuffle happens; only the per-fold join may exchange fold-level rows
+    df = panel_df({"a": daily("2018-01-01", np.arange(900.0)), "b": daily("2018-01-01", np.arange(900.0))})
+    src = C.preprocess_complete(df).select("series_id", "ds", "y")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(WF.cv_seasonal_naive(src))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    assert all(re.match(r"series_id#\d+, fold_idx#\d+, \d+$", k) for k in keys), keys
