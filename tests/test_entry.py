@@ -10,5 +10,3 @@ def test_entry_and_registry(spark):
     q, o = mod.queries(), mod.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 70
-    for name in q:
-        assert not name.startswith("op") and name != "pipeline"
