@@ -33,13 +33,14 @@ def sized(docs: DataFrame) -> DataFrame:
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, epochs: int = EPOCHS) -> DataFrame:
     """(src, source_size, weight, target, budget): one row per source.
 
-    Sources below their weight's part of the budget are capped at ``epochs``
-    times their size.  In the order of cap / weight the capped ones come
-    first, and the level of the rest is (budget - caps so far) / weights left.
+    A source stops at its cap, ``epochs`` times its size.  Filled in the order
+    of cap / weight, the level (budget - caps before) / weights left rises
+    while sources are capped and falls after them, so the final level is the
+    largest.
     """
-    by_code_point = F.col("src").asc_nulls_last()  # Spark compares strings by their UTF-8 bytes
+    # one row per source: the windows without a key see that small table only
     per = (sizes.groupBy("src").agg(F.sum("size").alias("source_size"))
-           .withColumn("i", F.row_number().over(Window.orderBy(by_code_point)) - 1)
+           .withColumn("i", F.row_number().over(Window.orderBy(F.col("src").asc_nulls_last())) - 1)
            .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("i") % len(weights) + 1).cast("int")))
            .withColumn("cap", epochs * F.col("source_size")))
     filling = Window.orderBy(F.col("cap") / F.col("weight"), "i")
@@ -48,9 +49,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, epoc
     return (per.withColumn("budget", share * F.sum("source_size").over(everything))
             .withColumn("caps_before", F.sum("cap").over(filling) - F.col("cap"))
             .withColumn("weights_left", F.sum("weight").over(everything) - F.sum("weight").over(filling) + F.col("weight"))
-            .withColumn("capped", F.col("cap") * F.col("weights_left") <= (F.col("budget") - F.col("caps_before")) * F.col("weight"))
-            .withColumn("level", F.min(F.when(~F.col("capped"), level)).over(everything))
-            .withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("weight") * F.col("level")))
+            .withColumn("level", F.max(level).over(everything))
+            .withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight") * F.col("level")))
             .select("src", "source_size", "weight", "target", "budget"))
 
 
