@@ -15,9 +15,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
 
 
 def materialise(df: DataFrame) -> DataFrame:
