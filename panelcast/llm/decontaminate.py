@@ -212,14 +212,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], columns) if found is None else found
 
 
+def _is_clean(shared):
+    @F.pandas_udf(T.BooleanType())
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not shared.value.matches(x) for x in texts], dtype=bool)
+    return clean
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item contaminates, with the columns they came with."""
     for index in index_chunks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf(T.BooleanType())
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not shared.value.matches(x) for x in texts], dtype=bool)
-
-        docs = docs.where(clean("text"))
+        docs = docs.where(_is_clean(docs.sparkSession.sparkContext.broadcast(index))("text"))
     return docs
