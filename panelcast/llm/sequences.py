@@ -82,7 +82,21 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(write, "block long, payload binary")
-    return materialise(packed.repartition(n, "block"))
+    return _written_in_place(packed.repartition(n, "block"))
+
+
+def _written_in_place(df: DataFrame) -> DataFrame:
+    """Checkpoint that keeps the partitioning, so later steps don't shuffle the rows again.
+
+    Adaptive plans don't tell theirs, so this one write runs without.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    was = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return materialise(df)
+    finally:
+        conf.set(key, was)
 
 
 def bucket_count(blocks: DataFrame) -> int:
