@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 from .repeats import runs
-from .sequences import NO_ID, TABLE, Block, Words, answer, ask, bucket_count, conclude, id_column, mix, pack, unsqueeze
+from .sequences import NO_ID, TABLE, Block, Words, answer, ask, bucket_count, conclude, id_column, mix, pack, small, unsqueeze
 
 CUT = 5
 BLOCK_BYTES = 4 << 20
@@ -43,12 +43,6 @@ def held_out(ids: np.ndarray) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i == NO_ID else str(i).encode()) % FOLDS == HELD_OUT for i in ids.tolist()], bool)
 
 
-def small(x: np.ndarray) -> np.ndarray:
-    """The same whole numbers in the narrowest type."""
-    top = int(x.max()) if len(x) else 0
-    return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
-
-
 class Tokens:
     """A block's token stream: the words of each document and then END."""
 

@@ -25,11 +25,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .sequences import Block, answer, ask, bucket_count, conclude, gram_hashes, pack, powers
+from .sequences import Block, answer, ask, bucket_count, conclude, gram_hashes, mix, pack, powers, small
 
 #: An anchor with more places than this is split by whole windows.
 HOT = 50_000
 CHUNK = 1 << 17
+BLOCK_BYTES = 4 << 20
 ALONE, SHARED, SPLIT = 0, 1, 2
 
 
@@ -43,34 +44,43 @@ def _slide(op, x: np.ndarray, w: int) -> np.ndarray:
     return op(x[:n], x[w - size:w - size + n]) if size < w else x[:n]
 
 
-def anchors(tokens: np.ndarray, starts: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of all tokens runs that are the least of some window within one document."""
+def anchors(tokens: np.ndarray, starts: np.ndarray, width: int, k: int) -> tuple[np.ndarray, ...]:
+    """(position, hash, first window, last window) of all runs of tokens that are the least of some window.
+
+    The windows, by their first tokens, lie within one document; those that
+    have a run as their least are neighbours.
+    """
     n, w = len(tokens), width - k + 1
+    none = np.zeros(0, np.int64)
     if n < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, np.zeros(0, np.uint64), none, none
     valid = np.zeros(n + 1, np.int8)  # windows that start here lie in one document
     size = np.diff(starts)
     long = size >= width
     np.add.at(valid, starts[:-1][long], 1)
     np.add.at(valid, (starts[1:] - width + 1)[long], -1)
     valid = np.cumsum(valid[:-1]).astype(bool)[:n - width + 1]
-    found, hashes, done = [], [], 0
+    found, done = [], 0
     while done < len(valid):
         # windows [done, to); their runs [done, to + w - 1)
         to = min(done + CHUNK, len(valid))
         h = gram_hashes(tokens[done:to + width - 1].astype(np.uint64) + np.uint64(1), k) | np.uint64(1)
         least = np.where(valid[done:to], _slide(np.minimum, h, w), np.uint64(0))
         edge = np.zeros(w - 1, np.uint64)
-        most = _slide(np.maximum, np.concatenate((edge, least, edge)), w)  # over the windows that hold a run
-        at = np.flatnonzero(most == h)
-        found.append(at + done)
-        hashes.append(h[at])
+        padded = np.concatenate((edge, least, edge))
+        at = np.flatnonzero(_slide(np.maximum, padded, w) == h)  # the most over the windows that hold a run
+        mine = np.lib.stride_tricks.sliding_window_view(padded, w)[at] == h[at][:, None]
+        first = at + done - (w - 1) + np.argmax(mine, axis=1)
+        found.append((at + done, h[at], first, at + done - np.argmax(mine[:, ::-1], axis=1)))
         done = to
-    at, h = np.concatenate(found), np.concatenate(hashes)
-    if done > CHUNK:  # runs at the chunks' edges were seen twice
-        at, keep = np.unique(at, return_index=True)
-        h = h[keep]
-    return at, h
+    at, h, first, last = (np.concatenate(x) for x in zip(*found))
+    if len(found) > 1:  # runs at the chunks' edges were seen twice
+        order = np.argsort(at, kind="stable")
+        new = runs(at[order])
+        if len(new):
+            first, last = np.minimum.reduceat(first[order], new), np.maximum.reduceat(last[order], new)
+        at, h = at[order][new], h[order][new]
+    return at, h, first, last
 
 
 def runs(*keys: np.ndarray) -> np.ndarray:
@@ -100,25 +110,32 @@ class Sequences:
     def __init__(self, block: Block, tokens: np.ndarray, starts: np.ndarray):
         self.block, self.tokens, self.starts = block, tokens, starts
 
-    def windows(self, at: np.ndarray, before: int, after: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens [at - before, at + after), what lies outside the document filled with the largest value, and how many lie inside on either side."""
-        doc = np.searchsorted(self.starts, at, "right") - 1
-        left = np.minimum(at - self.starts[doc], before)
-        right = np.minimum(self.starts[doc + 1] - at, after)
+    def around(self, at: np.ndarray, before: int, after: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Tokens [at - before, at + after); those outside [at - left, at + right) are the largest value."""
         fill = np.iinfo(self.tokens.dtype).max
         padded = np.concatenate((np.full(before, fill, self.tokens.dtype), self.tokens, np.full(after, fill, self.tokens.dtype)))
-        around = np.lib.stride_tricks.sliding_window_view(padded, before + after)[at]
+        rows = np.lib.stride_tricks.sliding_window_view(padded, before + after)[at]
         place = np.arange(-before, after)
-        inside = (place >= -left[:, None]) & (place < right[:, None])
-        return np.where(inside, around, fill), left, right
+        return np.where((place >= -left[:, None]) & (place < right[:, None]), rows, fill)
 
 
 def _sorted_anchors(seq: Sequences, width: int, k: int):
-    at, h = anchors(seq.tokens, seq.starts, width, k)
+    at, h, first, last = anchors(seq.tokens, seq.starts, width, k)
     owner = seq.block.ids[np.searchsorted(seq.starts, at, "right") - 1]
     order = np.lexsort((owner, h))
-    at, h, owner = at[order], h[order], owner[order]
-    return at, h, owner, runs(h)
+    h = h[order]
+    return at[order], h, owner[order], runs(h), first[order], last[order]
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    """48 bits of each hash, as bytes: two anchors that agree in them only cost a comparison."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _long(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x), 8), np.uint8)
+    out[:, :6] = x
+    return out.view("<u8").ravel()
 
 
 def _by_bucket(h: np.ndarray, n: int) -> np.ndarray:
@@ -144,25 +161,25 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
     anchor, the anchor's number, and the least id of each row; it yields for
     each offset the least id of all rows with the same window.
     """
-    blocks = pack(docs)
+    blocks = pack(docs, BLOCK_BYTES)
     n = bucket_count(blocks)
     reach = width - k
 
     def offer(block: Block, _):
-        _, h, owner, first = _sorted_anchors(read(block), width, k)
+        _, h, owner, first, _, _ = _sorted_anchors(read(block), width, k)
         if not len(first):
             return
         last = np.append(first[1:], len(h)) - 1
-        count = np.minimum(last - first + 1, 65535).astype(np.uint16)
+        count = np.minimum(last - first + 1, 255).astype(np.uint8)
         several = owner[first] != owner[last]
         u = h[first]
         bucket = _by_bucket(u, n)
         order = np.argsort(bucket, kind="stable")
         for at in np.split(order, runs(bucket[order])[1:]):
-            yield int(bucket[at[0]]), (u[at], count[at], several[at])
+            yield int(bucket[at[0]]), (_short(u[at]), count[at], several[at])
 
     def compare(messages: list) -> tuple[list, None]:
-        u = np.concatenate([m[0] for m in messages])
+        u = np.concatenate([_long(m[0]) for m in messages])
         order = np.argsort(u, kind="stable")
         first = runs(u[order])
         size = np.diff(np.append(first, len(u)))
@@ -175,7 +192,7 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
 
     def send(block: Block, states: dict):
         seq = read(block)
-        at, h, owner, first = _sorted_anchors(seq, width, k)
+        at, h, owner, first, low, high = _sorted_anchors(seq, width, k)
         bucket = _by_bucket(h[first], n)
         state = np.zeros(len(first), np.int8)
         order = np.argsort(bucket, kind="stable")
@@ -185,30 +202,29 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
         per = np.repeat(state, np.diff(np.append(first, len(h))))
         out: dict[int, list] = {}
         # equal surroundings are sent once, with all their places
-        p, a, o = at[per == SHARED], h[per == SHARED], owner[per == SHARED]
+        held = per == SHARED
+        p, a, o = at[held], h[held], owner[held]
         if len(p):
-            around, _, _ = seq.windows(p, reach, width)
+            around = seq.around(p, reach, width, p - low[held], high[held] + width - p)
             for b, part in _shares(_by_bucket(a, n)):
                 order, new = equal_rows(around[part])
                 part = part[order]
                 size = np.diff(np.append(new, len(part)))
-                out.setdefault(b, [None, None])[0] = (a[part[new]], around[part[new]], size, p[part].astype(np.uint32), o[part])
-        p, o = at[per == SPLIT], owner[per == SPLIT]
-        if len(p):
-            begin = np.unique(np.concatenate([p - x for x in range(reach + 1)]))
-            begin = begin[begin >= 0]
-            doc = np.searchsorted(seq.starts, begin, "right") - 1
-            begin = begin[begin + width <= seq.starts[doc + 1]]
-            whole, _, _ = seq.windows(begin, 0, width)
+                out.setdefault(b, [None, None])[0] = (around[part[new]], small(size), small(p[part]), small(o[part]))
+        held = per == SPLIT
+        if held.any():
+            low, high = low[held], high[held]
+            begin = np.unique(np.repeat(low, high - low + 1) + np.concatenate([np.arange(x) for x in (high - low + 1).tolist()]))
+            size = np.full(len(begin), width)
+            whole = seq.around(begin, 0, width, 0 * size, size)
             up, _ = powers(width)
-            sums = ((whole.astype(np.uint64) + np.uint64(1)) * up[:width]).sum(axis=1, dtype=np.uint64)
-            sums ^= sums >> np.uint64(31)
+            sums = mix(((whole.astype(np.uint64) + np.uint64(1)) * up[:width]).sum(axis=1, dtype=np.uint64))
             own = seq.block.ids[np.searchsorted(seq.starts, begin, "right") - 1]
-            for b, part in _shares(_by_bucket(sums * np.uint64(0x9E3779B97F4A7C15), n)):
+            for b, part in _shares(_by_bucket(sums, n)):
                 order, new = equal_rows(whole[part])
                 part = part[order]
                 size = np.diff(np.append(new, len(part)))
-                out.setdefault(b, [None, None])[1] = (whole[part[new]], size, begin[part].astype(np.uint32), own[part])
+                out.setdefault(b, [None, None])[1] = (whole[part[new]], small(size), small(begin[part]), small(own[part]))
         for b, x in out.items():
             yield b, x
 
@@ -216,18 +232,19 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
         spans: list[list] = [[] for _ in messages]
         held = [(i, m[0]) for i, m in enumerate(messages) if m[0]]
         if held:
-            sizes = np.concatenate([m[2] for _, m in held])
-            place, owner = (np.concatenate([m[x] for _, m in held]) for x in (3, 4))
+            sizes, place, owner = (np.concatenate([m[x].astype(np.int64) for _, m in held]) for x in (1, 2, 3))
             row = np.repeat(np.arange(len(sizes)), sizes)
-            sender = np.repeat([i for i, _ in held], [len(m[3]) for _, m in held])
+            sender = np.repeat([i for i, _ in held], [len(m[2]) for _, m in held])
             least = np.minimum.reduceat(owner, np.cumsum(sizes) - sizes)
-            contexts = np.concatenate([m[1] for _, m in held])
+            contexts = np.concatenate([m[0] for _, m in held])
+            up, _ = powers(k)
+            anchor = mix(((contexts[:, reach:width].astype(np.uint64) + np.uint64(1)) * up[:k]).sum(axis=1, dtype=np.uint64))
             from_, to = np.full(len(row), -1, np.int64), np.full(len(row), -1, np.int64)
             fill = np.iinfo(contexts.dtype).max
             inside = contexts != fill
             left = reach - np.argmax(inside, axis=1)
             right = width - np.argmax(inside[:, ::-1], axis=1)
-            for offset, smallest in solve(contexts, np.concatenate([m[0] for _, m in held]), least, reach, width):
+            for offset, smallest in solve(contexts, anchor, least, reach, width):
                 good = (left >= offset) & (right >= width - offset)
                 hit = good[row] & (owner > smallest[row])
                 from_[hit] = offset  # offsets ascend, so the last one starts first
@@ -235,13 +252,11 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
             hit = from_ >= 0
             for i in np.unique(sender[hit]):
                 own = hit & (sender == i)
-                p = place[own].astype(np.int64)
-                spans[i].append(np.stack((p - from_[own], p + to[own])))
+                spans[i].append(np.stack((place[own] - from_[own], place[own] + to[own])))
         split = [(i, m[1]) for i, m in enumerate(messages) if m[1]]
         if split:
             whole = np.concatenate([m[0] for _, m in split])
-            sizes = np.concatenate([m[1] for _, m in split])
-            place, owner = (np.concatenate([m[x] for _, m in split]) for x in (2, 3))
+            sizes, place, owner = (np.concatenate([m[x].astype(np.int64) for _, m in split]) for x in (1, 2, 3))
             order, new = equal_rows(whole)
             least = np.minimum.reduceat(owner, np.cumsum(sizes) - sizes)
             smallest = np.empty_like(least)
@@ -249,9 +264,9 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
             hit = owner > np.repeat(smallest, sizes)
             sender = np.repeat([i for i, _ in split], [len(m[2]) for _, m in split])
             for i in np.unique(sender[hit]):
-                p = place[hit & (sender == i)].astype(np.int64)
+                p = place[hit & (sender == i)]
                 spans[i].append(np.stack((p, p + width)))
-        return [np.concatenate(x, axis=1).astype(np.uint32) if x else None for x in spans], None
+        return [small(np.concatenate(x, axis=1)) if x else None for x in spans], None
 
     def end(block: Block, answers: dict) -> pd.DataFrame:
         seq = read(block)

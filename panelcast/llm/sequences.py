@@ -37,8 +37,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def squeeze(x) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(x, protocol=5))
+def squeeze(x, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(x, protocol=5))
 
 
 def unsqueeze(x: bytes):
@@ -66,7 +66,7 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
         def row():
             sizes = np.array([len(x) for x in texts], np.int64)
-            return pd.DataFrame({"block": [part + made], "payload": [squeeze((np.array(ids, np.int64), sizes, b"".join(texts)))]})
+            return pd.DataFrame({"block": [part + made], "payload": [squeeze((np.array(ids, np.int64), sizes, b"".join(texts)), 6)]})
 
         for pdf in batches:
             keys = pdf["doc_id"].astype("Int64").fillna(int(NO_ID)).to_numpy(np.int64)
@@ -153,6 +153,14 @@ def id_column(ids: np.ndarray) -> pd.Series:
     return pd.Series(ids, dtype="Int64").mask(ids == NO_ID)
 
 
+def small(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest type."""
+    if len(x) and x.min() < 0:
+        return x
+    top = int(x.max()) if len(x) else 0
+    return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
 # hashing
 
 def mix(h: np.ndarray) -> np.ndarray:
