@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.numeric import nan_to_null
 from ..functions.windows import DS, Y, by_series, following, keys_of, preceding, whole
@@ -46,45 +45,31 @@ def sort_and_position(raw: DataFrame, tie: str, keys=None, partitions: int | Non
        split even a single hot (series, day) across many partitions;
     2. count rows per (partition, series) -- a small table -- and turn the
        counts into per-partition offsets with a running sum per series;
-    3. inside each partition, rows are sorted, so the local rank is a
-       running count; ``pos`` = offset + local rank.
+    3. inside each partition the local rank is a window over (partition,
+       series), which needs no further shuffle of the rows than by
+       partition; ``pos`` = offset + local rank.
 
-    Step 3 is the one per-partition imperative step (``mapInPandas``); its
-    output is checkpointed (range bounds are re-sampled on every
-    evaluation) and the small offsets table is joined back on
-    (partition, series).
+    The range-partitioned rows are checkpointed once, as range bounds are
+    sampled anew on every evaluation.  A missing key is a series of its own.
     """
     ks = keys_of(keys)
     n = partitions or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dkey = F.coalesce(F.col(DS), F.lit("9999-12-31").cast("date"))
-    parts = (raw.withColumn("_dk", dkey)
-             .repartitionByRange(n, *[F.col(k) for k in ks], F.col("_dk"), F.col(tie))
-             .sortWithinPartitions(*ks, "_dk", tie)
-             .withColumn("_pid", F.spark_partition_id()))
-    out_schema = StructType(list(parts.schema.fields) + [StructField("_local", LongType())])
-
-    def local_rank(batches):
-        last_key, running = None, 0
-        for pdf in batches:
-            keys_now = list(zip(*[pdf[k] for k in ks])) if len(ks) > 1 else list(pdf[ks[0]])
-            local = []
-            for key in keys_now:
-                running = running + 1 if key == last_key else 0
-                last_key = key
-                local.append(running)
-            yield pdf.assign(_local=local)
-
-    # Range bounds are sampled anew on every evaluation, so the ranked rows
-    # are materialised once (reliable checkpoint) and both the offsets and
-    # the output read that same copy.
     from ..session import cut_lineage
-    ranked = cut_lineage(parts.mapInPandas(local_rank, out_schema))
-    counts = ranked.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_cnt"))
+    parts = cut_lineage(raw.withColumn("_dk", dkey)
+                        .repartitionByRange(n, *[F.col(k) for k in ks], F.col("_dk"), F.col(tie))
+                        .withColumn("_pid", F.spark_partition_id()))
+    here = Window.partitionBy("_pid", *ks).orderBy("_dk", tie)
+    ranked = parts.withColumn("_local", F.row_number().over(here) - 1)
+    counts = parts.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
-        "_pid", *ks,
+        F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_o{k}") for k in ks],
         F.coalesce(F.sum("_cnt").over(by_series(ks, "_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    return (ranked.join(offsets, ["_pid", *ks], "left")
+    same = F.col("_pid") == F.col("_opid")
+    for k in ks:
+        same = same & F.col(k).eqNullSafe(F.col(f"_o{k}"))
+    return (ranked.join(offsets, same)
             .select(*raw.columns, (F.col("_off") + F.col("_local")).cast("long").alias("pos")))
 
 
@@ -105,7 +90,7 @@ def dedup_keep_first(raw: DataFrame, tie: str, keys=None, value: str = Y) -> Dat
     """
     ks = keys_of(keys)
     daily = raw.groupBy(*ks, DS).agg(
-        F.min_by(F.col(value), F.col(tie)).alias(value),
+        F.min_by(F.struct(value), F.col(tie))[value].alias(value),
         F.count(F.lit(1)).alias("_n"))
     w = by_series(ks, [F.col(DS).asc_nulls_last()])
     return daily.select(
@@ -128,7 +113,8 @@ def densify(panel: DataFrame, keys=None, flag: str | None = "is_gap") -> DataFra
     """
     ks = keys_of(keys)
     nxt = F.lead(DS).over(by_series(ks))
-    last_day = F.when(nxt.isNull(), F.col(DS)).otherwise(F.date_sub(nxt, 1))
+    # a repeated date stands for itself only
+    last_day = F.when(nxt > F.col(DS), F.date_sub(nxt, 1)).otherwise(F.col(DS))
     expanded = (panel.withColumn("_last", last_day)
                 .select("*", F.posexplode_outer(F.sequence(F.col(DS), F.col("_last"))).alias("_k", "_d")))
     others = [c for c in panel.columns if c not in ks and c != DS]  # noqa: E501
@@ -276,15 +262,20 @@ def inverse_log_transform(panel: DataFrame, value: str = Y, out: str | None = No
 def preprocess_complete(panel: DataFrame, keys=None, missing: str = "interpolate",
                         outliers: bool = True, outlier_threshold: float = 3.0,
                         normalize: bool = True, fill_calendar: bool = True,
-                        log: bool = False) -> DataFrame:
-    """CL-15: validate (dates, order, position), missing values, outlier flags, scaling.
-
-    Output: the panel plus ``pos``, ``y_raw`` (the target before scaling),
-    ``is_outlier`` and the scaled ``y``.  ``fill_calendar`` first adds the
+                        log: bool = False, tie: str | None = None) -> DataFrame:
+    """CL-15: validate (dates, order, duplicates), missing values, outlier flags, scaling.
+
+    Output: the keys, ``ds``, ``pos``, ``y_raw`` (the target before scaling),
+    ``is_outlier`` and the scaled ``y``.  Of several rows of a day the first
+    by ``tie`` stays; without a tie column, the one with the least target,
+    missing last.  Days are aggregated before any window, so a series is at
+    most one row per day from there on.  ``fill_calendar`` first adds the
     missing days (the reference expects a gap-free daily series).
     """
     ks = keys_of(keys)
     p = coerce_dates(panel.withColumn(Y, nan_to_null(Y)))
+    order = F.col(tie) if tie else F.coalesce(F.col(Y), F.lit(float("inf")))
+    p = p.groupBy(*ks, DS).agg(F.min_by(F.struct(Y), order)[Y].alias(Y)).where(F.col(DS).isNotNull())
     if fill_calendar:
         p = densify(p, ks, flag=None)
     p = add_position(p, ks)

@@ -20,6 +20,7 @@ from ..functions.numeric import INF
 from ..functions.windows import DS, Y, by_series
 
 YHAT = "yhat"
+NO_PAIRS = "no row has both a value and a forecast"
 
 
 def valid_pairs(pred: DataFrame, y: str = Y, yhat: str = YHAT) -> DataFrame:
@@ -58,7 +59,7 @@ def score_folds(pred: DataFrame, folds: DataFrame, group: Sequence[str], y: str
     return (j.withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long"))
             .withColumn("status", F.when(ok, "success").otherwise("failed"))
             .withColumn("error", F.when(ok, F.lit(None).cast("string"))
-                        .otherwise(F.lit("All predictions or actuals are NaN"))))
+                        .otherwise(F.lit(NO_PAIRS))))
 
 
 def error_analysis(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT) -> DataFrame:
@@ -82,7 +83,7 @@ def baseline_predictions(actual: DataFrame, group: Sequence[str], method: str =
     elif method == "seasonal_naive":
         k = season
     else:
-        raise ValueError(f"Unknown baseline method: {method}")
+        raise ValueError(f"the baseline is naive or seasonal_naive, not {method!r}")
     w = by_series(list(group))
     return (actual.withColumn(YHAT, F.lag(F.col(y), k).over(w))
             .where(F.col(YHAT).isNotNull()))
@@ -101,13 +102,18 @@ def improvement_over_baseline(pred: DataFrame, group: Sequence[str], method: str
                               y: str = Y, yhat: str = YHAT) -> DataFrame:
     """AG-15: ``(baseline - model) / baseline * 100`` for mae, rmse, mape, smape.
 
-    As in the reference, the model is scored on all rows (no valid-pair
-    mask) and the baseline on its trimmed rows.
+    The model is scored on all rows of its group: one missing value or
+    prediction makes its figures, and so the improvements, missing.  The
+    baseline is scored on its trimmed rows.
     """
     model = pred.select(*group, DS, y, yhat)
+    whole = (model.groupBy(*group).agg(F.count_if(F.col(y).isNull() | F.col(yhat).isNull()).alias("_gaps"))
+             .where(F.col("_gaps") == 0).select(*group))
     mm = score(model, group, y, yhat).select(*group, *[F.col(m).alias(f"model_{m}") for m in IMPROVEMENT_METRICS])
     bm = baseline_metrics(model.drop(yhat), group, method).select(
         *group, *[F.col(m).alias(f"baseline_{m}") for m in IMPROVEMENT_METRICS])
+    mm = mm.join(whole.withColumn("_whole", F.lit(True)), list(group), "left").select(
+        *group, *[F.when(F.col("_whole"), F.col(f"model_{m}")).alias(f"model_{m}") for m in IMPROVEMENT_METRICS])
     j = mm.join(bm, list(group), "inner")
     return j.select(*group, *[
         (F.try_divide(F.col(f"baseline_{m}") - F.col(f"model_{m}"), F.col(f"baseline_{m}")) * 100.0)
@@ -134,24 +140,28 @@ def cv_summary(fold_metrics: DataFrame, group: Sequence[str], metrics: Sequence[
     """AG-16: over successful folds, mean / population std / min / max per metric.
 
     A missing value in any fold makes that metric's statistics missing,
-    as ``numpy.mean`` of a list holding NaN is NaN.
+    as ``numpy.mean`` of a list holding NaN is NaN.  A group without a
+    successful fold has missing statistics and the status ``failed``.
     """
-    ok = fold_metrics.where(F.col("status") == "success")
-    long = metrics_long(ok.select(*group, "fold_idx", *metrics), list(group) + ["fold_idx"], metrics)
-    complete = F.count("value") == F.count(F.lit(1))
+    long = metrics_long(fold_metrics.select(*group, "fold_idx", "status", *metrics), list(group) + ["fold_idx", "status"], metrics)
+    ok = F.col("status") == "success"
+    value = F.when(ok, F.col("value"))
+    folds = F.count_if(ok)
+    complete = (F.count(value) == folds) & (folds > 0)
     return long.groupBy(*group, "metric").agg(
-        F.when(complete, F.avg("value")).alias("mean"),
-        F.when(complete, F.stddev_pop("value")).alias("std"),
-        F.when(complete, F.min("value")).alias("min"),
-        F.when(complete, F.max("value")).alias("max"),
-        F.count(F.lit(1)).alias("fold_count"),
+        F.when(complete, F.avg(value)).alias("mean"),
+        F.when(complete, F.stddev_pop(value)).alias("std"),
+        F.when(complete, F.min(value)).alias("min"),
+        F.when(complete, F.max(value)).alias("max"),
+        folds.alias("fold_count"),
+        F.when(folds > 0, "success").otherwise("failed").alias("status"),
     )
 
 
 def fold_counts(fold_metrics: DataFrame, group: Sequence[str]) -> DataFrame:
     """AG-17 (+ PF-8): total and successful folds."""
     return fold_metrics.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("total_folds"),
+        F.count("fold_idx").alias("total_folds"),
         F.count_if(F.col("status") == "success").alias("successful_folds"))
 
 

@@ -47,65 +47,27 @@ def add_rolling_stats(df: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS, k
                       value: str = Y) -> DataFrame:
     """WN-2..WN-5: a statistic is defined only when all w rows of the frame hold a value.
 
-    Linear-time plan instead of Spark's sliding frames (which re-aggregate
-    all w rows for every row, outside codegen):
-
-    * mean and sample std come from running sums of the value centred on
-      its series mean (``S``, ``Q`` and the non-null count ``N``, growing
-      frames), differenced at lag w;
-    * min and max come from a doubling table: level 2k is the max of level
-      k and level k lagged by k, so the max over w rows is the max of the
-      top level at t and at t - (w - k).
-
-    All windows share one partitioning and ordering, so Spark chains the
-    Window operators without another shuffle or sort.
+    Every window length is one frame of its last w rows and one Window
+    operator for all five statistics.  The sums never reach past the frame,
+    so a spike or an infinite value is gone from the results once it leaves
+    the frame.  All frames share one partitioning and ordering.
     """
     if not windows:
         return df
-    ks = keys_of(keys)
-    w_spec = by_series(ks)
     v = F.col(value)
-    c = v - F.avg(v).over(whole(ks))
-    run = preceding(ks)
-    cur = (df.withColumn("_c", c)
-           .withColumn("_S", F.sum("_c").over(run))
-           .withColumn("_Q", F.sum(F.col("_c") * F.col("_c")).over(run))
-           .withColumn("_N", F.count(v).over(run))
-           .withColumn("_mx1", v).withColumn("_mn1", v))
-    widest = max(windows)
-    k = 1
-    while 2 * k <= widest:
-        cur = (cur.withColumn(f"_mx{2 * k}", F.greatest(F.col(f"_mx{k}"), F.lag(f"_mx{k}", k).over(w_spec)))
-               .withColumn(f"_mn{2 * k}", F.least(F.col(f"_mn{k}"), F.lag(f"_mn{k}", k).over(w_spec))))
-        k *= 2
-    staged = []
-    for w in windows:
-        top = 1 << (w.bit_length() - 1)
-        staged += [
-            (F.col("_S") - F.coalesce(F.lag("_S", w).over(w_spec), F.lit(0.0))).alias(f"_sw{w}"),
-            (F.col("_Q") - F.coalesce(F.lag("_Q", w).over(w_spec), F.lit(0.0))).alias(f"_qw{w}"),
-            (F.col("_N") - F.coalesce(F.lag("_N", w).over(w_spec), F.lit(0))).alias(f"_nw{w}"),
-            (F.greatest(F.col(f"_mx{top}"), F.lag(f"_mx{top}", w - top).over(w_spec))
-             if w > top else F.col(f"_mx{top}")).alias(f"_xw{w}"),
-            (F.least(F.col(f"_mn{top}"), F.lag(f"_mn{top}", w - top).over(w_spec))
-             if w > top else F.col(f"_mn{top}")).alias(f"_iw{w}"),
-        ]
-    cur = cur.select("*", F.avg(v).over(whole(ks)).alias("_m"), *staged)
     out = []
     for w in windows:
-        full = F.col(f"_nw{w}") == w
-        sw, qw = F.col(f"_sw{w}"), F.col(f"_qw{w}")
-        var = (qw - sw * sw / F.lit(float(w))) / F.lit(float(w - 1)) if w > 1 else None
-        mx, mn = F.col(f"_xw{w}"), F.col(f"_iw{w}")
+        frame = by_series(keys_of(keys)).rowsBetween(-(w - 1), 0)
+        full = F.count(v).over(frame) == w
+        low, high = F.min(v).over(frame), F.max(v).over(frame)
         out += [
-            F.when(full, sw / F.lit(float(w)) + F.col("_m")).alias(f"rolling_mean_{w}"),
-            (F.when(full, F.sqrt(F.greatest(var, F.lit(0.0)))) if var is not None
-             else F.lit(None).cast("double")).alias(f"rolling_std_{w}"),
-            F.when(full, mn).alias(f"rolling_min_{w}"),
-            F.when(full, mx).alias(f"rolling_max_{w}"),
-            F.when(full, mx - mn).alias(f"rolling_range_{w}"),
+            F.when(full, F.avg(v).over(frame)).alias(f"rolling_mean_{w}"),
+            F.when(full, F.stddev_samp(v).over(frame)).alias(f"rolling_std_{w}"),
+            F.when(full, low).alias(f"rolling_min_{w}"),
+            F.when(full, high).alias(f"rolling_max_{w}"),
+            F.when(full, high - low).alias(f"rolling_range_{w}"),
         ]
-    return cur.select(*df.columns, *out)
+    return df.select("*", *out)
 
 
 def seasonal_columns(periods: Sequence[int], keys=None, value: str = Y, pos: str = "pos",

@@ -9,23 +9,29 @@ Execution plan
 --------------
 1. ``design``: lags, trend, trend hinges and Fourier terms are Spark window
    and scalar expressions over the panel (one exchange on ``series_id``).
-2. ``partial_grams``: ``mapInPandas`` turns every Arrow batch into one
-   augmented Gram matrix ``[X y]^T [X y]`` (upper triangle) per (series,
-   horizon, block).  Blocks are calendar years (yearly CV) or the training
-   split (final fit).  Rows are never copied per fold.
-3. ``solve``: partials are shuffled by (series, horizon) -- a few kilobytes
-   per block -- and one ``applyInPandas`` call per series adds them up,
-   forms each fold's system as a prefix sum over blocks (expanding window),
-   picks the active terms and solves the small p x p system.  The group
-   holds sufficient statistics only, never the series' rows, so a long or
-   hot series costs more batches, not more memory in one task.
-4. ``predict``: coefficients are joined back on (series, fold, horizon) and
-   the dot product is a JVM-side ``zip_with`` + ``aggregate``.
+2. ``partial_grams``: ``mapInPandas`` turns every Arrow batch into augmented
+   Gram matrices ``[X y]^T [X y]`` (upper triangle) per (series, block).
+   One matrix over all ``n_lags + H - 1`` lags holds every horizon's system
+   as a sub-matrix; only the few rows that some horizons can use and others
+   can't (a series' head, gaps) have matrices of their own.  Blocks are
+   calendar years (yearly CV) or the training split (final fit).  Rows are
+   never copied per fold or horizon.
+3. ``solve``: partials are shuffled by series -- some kilobytes per block --
+   and one ``applyInPandas`` call per series adds them up, forms each fold's
+   system as a prefix sum over blocks (expanding window), and solves the
+   small p x p system of every horizon.  The group holds sufficient
+   statistics only, never the series' rows, so a long or hot series costs
+   more batches, not more memory in one task.
+4. ``predict``: a model's coefficients of all horizons are one row; they are
+   joined once on (series, fold) and the dot products are JVM-side
+   ``zip_with`` + ``aggregate``.  The panel is scanned once whatever H is.
 
 Trend hinges sit on a fixed grid (every ``changepoint_every_days`` from the
-series start) so the design does not depend on the fold; per fold, only
-hinges inside the first ``changepoint_range`` of the training span are
-active, and yearly terms need ``yearly_min_days`` of training history.
+series start, over the longest series' whole span) so the design does not
+depend on the fold; per fold, only hinges inside the first
+``changepoint_range`` of the training span are active.  Yearly terms are
+active after ``yearly_min_days`` of training history (0: always).  Every fit
+records the terms that were active.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -53,16 +59,15 @@ class LinearARConfig:
     n_lags: int = 30
     n_forecasts: int = 1
     changepoint_every_days: int = 120
-    max_changepoints: int = 24
+    max_changepoints: int | None = None  # None: as many as the longest series' span holds
     changepoint_range: float = 0.8
     weekly_order: int = 3
     yearly_order: int = 6
-    yearly_min_days: int = 730
+    yearly_min_days: int = 730  # an explicit setting; every fit records its active terms (0: always)
     ridge: float = 1e-4
     loss: str = "ls"  # "ls" or "huber"
     huber_delta: float = 1.345
     irls_iterations: int = 3
-    extra: dict = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
@@ -71,7 +76,7 @@ class LinearARConfig:
         return self.n_forecasts + self.n_lags - 1
 
     def base_terms(self) -> list[str]:
-        names = ["trend"] + [f"cp_{j}" for j in range(1, self.max_changepoints + 1)]
+        names = ["trend"] + [f"cp_{j}" for j in range(1, (self.max_changepoints or 0) + 1)]
         names += [f"weekly_{f}{k}" for k in range(1, self.weekly_order + 1) for f in ("sin", "cos")]
         names += [f"yearly_{f}{k}" for k in range(1, self.yearly_order + 1) for f in ("sin", "cos")]
         return names
@@ -80,11 +85,19 @@ class LinearARConfig:
         return ["intercept"] + [f"ar_{j}" for j in range(1, self.n_lags + 1)] + self.base_terms()
 
 
+def resolved(cfg: LinearARConfig, panel: DataFrame, keys=None) -> LinearARConfig:
+    """``cfg`` with the number of hinges that the panel's longest series needs (one aggregate, if it is open)."""
+    if cfg.max_changepoints is not None:
+        return cfg
+    days = (panel.groupBy(*keys_of(keys)).agg(F.datediff(F.max(DS), F.min(DS)).alias("d")).agg(F.max("d")).first()[0]) or 0
+    return replace(cfg, max_changepoints=int(cfg.changepoint_range * days // cfg.changepoint_every_days))
+
+
 def _base_columns(cfg: LinearARConfig, ds: Column, start: Column) -> list[Column]:
     t_days = day_number(ds) - start
     t = t_days / 365.25
     cols = [t.alias("trend")]
-    for j in range(1, cfg.max_changepoints + 1):
+    for j in range(1, (cfg.max_changepoints or 0) + 1):
         c = j * cfg.changepoint_every_days / 365.25
         cols.append(F.greatest(t - F.lit(c), F.lit(0.0)).alias(f"cp_{j}"))
     absolute = day_number(ds)
@@ -99,7 +112,7 @@ def base_terms_np(day: np.ndarray, start: np.ndarray, cfg: LinearARConfig) -> np
     """The base terms of ``_base_columns`` in numpy (same formulas; tested equal)."""
     t = (day - start) / 365.25
     cols = [t]
-    for j in range(1, cfg.max_changepoints + 1):
+    for j in range(1, (cfg.max_changepoints or 0) + 1):
         cols.append(np.maximum(t - j * cfg.changepoint_every_days / 365.25, 0.0))
     for period, order in ((7.0, cfg.weekly_order), (365.25, cfg.yearly_order)):
         for k in range(1, order + 1):
@@ -126,12 +139,15 @@ def design(panel: DataFrame, cfg: LinearARConfig, keys=None, value: str = Y,
     return out.select("*", *_base_columns(cfg, F.col(DS), F.col("_start"))) if with_base else out
 
 
-def _x_array(cfg: LinearARConfig, horizon: int) -> Column:
-    lag_cols = [F.col(f"lag_{horizon + j - 1}") for j in range(1, cfg.n_lags + 1)]
-    return F.array(F.lit(1.0), *lag_cols, *[F.col(c) for c in cfg.base_terms()]).alias("x")
+# --- step 2: partial Gram matrices --------------------------------------------
+
+SHARED = 0  # the horizon number of the matrix that all horizons share
 
 
-# --- step 2: partial Gram matrices --------------------------------------------
+def horizon_columns(cfg: LinearARConfig, horizon: int) -> list[int]:
+    """Columns of horizon ``horizon`` in the matrix of (1, all lags, base terms, y)."""
+    rest = 1 + cfg.max_lag()
+    return [0, *range(horizon, horizon + cfg.n_lags), *range(rest, rest + len(cfg.base_terms()) + 1)]
 
 PARTIAL_SCHEMA = T.StructType([
     T.StructField("series_id", T.StringType()),
@@ -144,11 +160,17 @@ PARTIAL_SCHEMA = T.StructType([
 ])
 
 
+def _grams(z: np.ndarray, keys: pd.DataFrame, horizon: int, trend: int, w: np.ndarray | None = None):
+    """One row per (series, block) of ``z``'s rows."""
+    iu = np.triu_indices(z.shape[1])
+    for (sid, blk, nf), idx in keys.groupby(["series_id", "block", "n_folds"], sort=False).indices.items():
+        zz = z[idx]
+        g = zz.T @ zz if w is None else (zz * w[idx][:, None]).T @ zz
+        yield sid, horizon, int(blk), int(nf), len(idx), float(zz[:, trend].max()), g[iu]
+
+
 def _partials_fn(cfg: LinearARConfig, weighted: bool):
-    L = cfg.n_lags
-    base = cfg.base_terms()
-    p = 1 + L + len(base)
-    iu = np.triu_indices(p + 1)
+    L, M = cfg.n_lags, cfg.max_lag()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -156,23 +178,23 @@ def _partials_fn(cfg: LinearARConfig, weighted: bool):
                 continue
             out = []
             b = base_terms_np(pdf["_day"].to_numpy(dtype=float), pdf["_start"].to_numpy(dtype=float), cfg)
-            yv = pdf[Y].to_numpy(dtype=float)
-            wv = pdf["_w"].to_numpy(dtype=float) if weighted else None
+            lags = pdf[[f"lag_{k}" for k in range(1, M + 1)]].to_numpy(dtype=float)
+            z = np.column_stack([np.ones(len(pdf)), lags, b, pdf[Y].to_numpy(dtype=float)])
             keys = pdf[["series_id", "block", "n_folds"]]
+            every = ~np.isnan(z).any(axis=1)
+            if not weighted and every.any():
+                out += _grams(z[every], keys[every], SHARED, 1 + M)
             for h in range(1, cfg.n_forecasts + 1):
-                lag = pdf[[f"lag_{h + j - 1}" for j in range(1, L + 1)]].to_numpy(dtype=float)
-                z = np.column_stack([np.ones(len(pdf)), lag, b, yv])
-                ok = ~np.isnan(z).any(axis=1)
+                own = z[:, horizon_columns(cfg, h)]
+                ok = ~np.isnan(own).any(axis=1)
+                w = None
                 if weighted:
-                    ok &= ~np.isnan(wv)
-                if not ok.any():
-                    continue
-                zk, kk = z[ok], keys[ok]
-                wk = wv[ok] if weighted else None
-                for (sid, blk, nf), idx in kk.groupby(["series_id", "block", "n_folds"], sort=False).indices.items():
-                    zz = zk[idx]
-                    g = (zz * wk[idx][:, None]).T @ zz if weighted else zz.T @ zz
-                    out.append((sid, h, int(blk), int(nf), len(idx), float(zz[:, 1 + L].max()), g[iu]))
+                    w = np.array([x[h - 1] if x is not None else np.nan for x in pdf["_w"]], dtype=float)
+                    ok &= ~np.isnan(w)
+                else:
+                    ok &= ~every
+                if ok.any():
+                    out += _grams(own[ok], keys[ok], h, 1 + L, None if w is None else w[ok])
             if out:
                 yield pd.DataFrame(out, columns=[f.name for f in PARTIAL_SCHEMA.fields])
 
@@ -197,6 +219,7 @@ COEF_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
     T.StructField("n_rows", T.LongType()),
     T.StructField("train_mse", T.DoubleType()),
+    T.StructField("active", T.ArrayType(T.StringType())),
 ])
 
 
@@ -204,14 +227,19 @@ def _solver_fn(cfg: LinearARConfig, mode: str):
     L = cfg.n_lags
     terms = cfg.terms()
     p = len(terms)
-    iu = np.triu_indices(p + 1)
-    cp_at = np.array([j * cfg.changepoint_every_days / 365.25 for j in range(1, cfg.max_changepoints + 1)])
+    cp_at = np.array([j * cfg.changepoint_every_days / 365.25 for j in range(1, (cfg.max_changepoints or 0) + 1)])
     first_cp = 1 + L + 1
-    first_year = first_cp + cfg.max_changepoints + 2 * cfg.weekly_order
+    first_year = first_cp + len(cp_at) + 2 * cfg.weekly_order
+
+    def whole(triangle: np.ndarray) -> np.ndarray:
+        size = int((math.sqrt(8 * len(triangle) + 1) - 1) / 2)
+        full = np.zeros((size, size))
+        full[np.triu_indices(size)] = triangle
+        return full + np.triu(full, 1).T
 
     def solve_one(G: np.ndarray, n: int, t_max: float):
         if n == 0:
-            return None, "failed", "no training rows", float("nan")
+            return None, "failed", NO_ROWS, float("nan"), None
         xtx, xty, yty = G[:p, :p], G[:p, p], G[p, p]
         active = np.diag(xtx) > 0
         active[0] = True
@@ -228,39 +256,56 @@ def _solver_fn(cfg: LinearARConfig, mode: str):
         try:
             beta_a = np.linalg.solve(a, xty[active])
         except np.linalg.LinAlgError as e:
-            return None, "failed", f"singular system: {e}", float("nan")
+            return None, "failed", f"singular system: {e}", float("nan"), None
         beta = np.zeros(p)
         beta[active] = beta_a
         sse = yty - 2.0 * beta @ xty + beta @ xtx @ beta
-        return beta, "success", None, float(max(sse, 0.0) / n)
+        return beta, "success", None, float(max(sse, 0.0) / n), [t for t, on in zip(terms, active) if on]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sid, h = pdf["series_id"].iloc[0], int(pdf["horizon"].iloc[0])
-        n_folds = int(pdf["n_folds"].max())
-        blocks = {}
-        for blk, grp in pdf.groupby("block"):
-            tri = np.sum(np.stack(grp["g"].to_numpy()), axis=0)
-            full = np.zeros((p + 1, p + 1))
-            full[iu] = tri
-            full = full + np.triu(full, 1).T
-            blocks[int(blk)] = (full, int(grp["n"].sum()), float(grp["t_max"].max()))
+        sid, n_folds = pdf["series_id"].iloc[0], int(pdf["n_folds"].max())
+        parts: dict[tuple[int, int], tuple] = {}
+        for (h, blk), grp in pdf.groupby(["horizon", "block"]):
+            total = whole(np.sum(np.stack(grp["g"].to_numpy()), axis=0))
+            parts[int(h), int(blk)] = (total, int(grp["n"].sum()), float(grp["t_max"].max()))
         rows = []
         folds = range(n_folds) if mode == "expanding" else [0]
-        for k in folds:
-            use = [b for b in blocks if b <= k]
-            G = sum((blocks[b][0] for b in use), np.zeros((p + 1, p + 1)))
-            n = sum(blocks[b][1] for b in use)
-            t_max = max((blocks[b][2] for b in use), default=0.0)
-            beta, status, err, mse = solve_one(G, n, t_max)
-            rows.append((sid, k, h, None if beta is None else beta.tolist(), status, err, n, mse))
+        for h in range(1, cfg.n_forecasts + 1):
+            cols = np.ix_(horizon_columns(cfg, h), horizon_columns(cfg, h))
+            G, n, t_max, at = np.zeros((p + 1, p + 1)), 0, 0.0, sorted(parts, key=lambda x: x[1])
+            for k in folds:
+                while at and at[0][1] <= k:
+                    own = at.pop(0)
+                    if own[0] in (SHARED, h):
+                        g, rows_in, t = parts[own]
+                        G, n, t_max = G + (g[cols] if own[0] == SHARED else g), n + rows_in, max(t_max, t)
+                beta, status, err, mse, active = solve_one(G, n, t_max)
+                rows.append((sid, k, h, None if beta is None else beta.tolist(), status, err, n, mse, active))
         return pd.DataFrame(rows, columns=[f.name for f in COEF_SCHEMA.fields])
 
     return run
 
 
-def solve(partials: DataFrame, cfg: LinearARConfig, mode: str = "expanding") -> DataFrame:
-    """Coefficients per (series, fold, horizon).  ``mode``: ``expanding`` (fold k = blocks <= k) or ``single``."""
-    return partials.groupBy("series_id", "horizon").applyInPandas(_solver_fn(cfg, mode), COEF_SCHEMA)
+NO_ROWS = "no training rows"
+
+
+def solve(partials: DataFrame, cfg: LinearARConfig, mode: str = "expanding", models: DataFrame | None = None) -> DataFrame:
+    """Coefficients per (series, fold, horizon).  ``mode``: ``expanding`` (fold k = blocks <= k) or ``single``.
+
+    ``models`` (series_id, fold_idx) lists the models that must have a row: one
+    without any training row is ``failed``.
+    """
+    fitted = partials.groupBy("series_id").applyInPandas(_solver_fn(cfg, mode), COEF_SCHEMA)
+    if models is None:
+        return fitted
+    every = models.select("series_id", F.col("fold_idx").cast("int").alias("fold_idx"),
+                          F.explode(F.sequence(F.lit(1), F.lit(cfg.n_forecasts))).alias("horizon"))
+    missing = F.col("status").isNull()
+    return (every.join(fitted, ["series_id", "fold_idx", "horizon"], "left")
+            .withColumn("error", F.when(missing, NO_ROWS).otherwise(F.col("error")))
+            .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long"))
+            .withColumn("status", F.coalesce("status", F.lit("failed")))
+            .select(*[f.name for f in COEF_SCHEMA.fields]))
 
 
 # --- step 4: predict --------------------------------------------------------------
@@ -269,40 +314,55 @@ def dot(x: Column, coef: Column) -> Column:
     return F.aggregate(F.zip_with(x, coef, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def predict_rows(design_rows: DataFrame, coefs: DataFrame, cfg: LinearARConfig,
-                 extra: Sequence[str] = ()) -> DataFrame:
-    """FC-4/FC-5: ``yhat`` for each row and horizon from the joined coefficients.
+def with_yhats(design_rows: DataFrame, coefs: DataFrame, cfg: LinearARConfig) -> DataFrame:
+    """The rows with ``yhats``, the forecasts of horizons 1..H (missing where the fit failed)."""
+    order = F.array_sort(F.collect_list(F.struct("horizon", "coef")))
+    models = (coefs.where(F.col("status") == "success").groupBy("series_id", "fold_idx").agg(order.alias("_models")))
+    lags = F.array(*[F.col(f"lag_{k}") for k in range(1, cfg.max_lag() + 1)])
+    base = F.array(*[F.col(c) for c in cfg.base_terms()])
+    by_horizon = F.map_from_arrays(F.col("_models")["horizon"], F.transform(
+        "_models", lambda m: dot(F.concat(F.array(F.lit(1.0)), F.slice("_lags", m["horizon"], cfg.n_lags), F.col("_base")), m["coef"])))
+    rows = design_rows.withColumn("_lags", lags).withColumn("_base", base).join(models, ["series_id", "fold_idx"])
+    horizons = F.sequence(F.lit(1), F.lit(cfg.n_forecasts))
+    return (rows.withColumn("_by", by_horizon).withColumn("yhats", F.transform(horizons, lambda h: F.col("_by")[h]))
+            .drop("_lags", "_base", "_models", "_by"))
+
+
+def predict_rows(design_rows: DataFrame, coefs: DataFrame, cfg: LinearARConfig, extra: Sequence[str] = ()) -> DataFrame:
+    """FC-4/FC-5: ``yhat`` for each row and horizon.
+
+    ``design_rows`` carries ``series_id, fold_idx, ds, y`` and the design columns.
+    """
+    have = {r: F.col(r) for r in ("series_id", "fold_idx", DS, Y, *extra)}
+    fitted = with_yhats(design_rows, coefs, cfg)
+    return (fitted.select(*have.values(), F.posexplode("yhats").alias("_h", "yhat"))
+            .select("series_id", "fold_idx", DS, (F.col("_h") + 1).alias("horizon"), Y, *extra, "yhat"))
+
+
+def with_huber_weights(train: DataFrame, coefs: DataFrame, cfg: LinearARConfig) -> DataFrame:
+    """``train`` with ``_w``: per horizon the IRLS weight ``min(1, delta * s / |r|)``.
 
-    ``design_rows`` carries ``series_id, fold_idx, ds, y`` and the design
-    columns.  (A 70-term ``coef[i] * term_i`` sum was measured 2x slower
-    than the array dot product: wide expressions fall out of codegen.)
+    ``s`` is a robust residual scale per (series, fold, horizon).
     """
-    per_h = None
-    for h in range(1, cfg.n_forecasts + 1):
-        part = design_rows.select("series_id", "fold_idx", DS, Y, *extra, F.lit(h).alias("horizon"), _x_array(cfg, h))
-        per_h = part if per_h is None else per_h.unionByName(part)
-    ok = coefs.where(F.col("status") == "success").select("series_id", "fold_idx", "horizon", "coef")
-    j = per_h.join(ok, ["series_id", "fold_idx", "horizon"], "inner")
-    return j.select("series_id", "fold_idx", DS, "horizon", Y, *extra, dot(F.col("x"), F.col("coef")).alias("yhat"))
-
-
-def huber_weights(pred: DataFrame, delta: float) -> DataFrame:
-    """IRLS weights ``min(1, delta * s / |r|)`` with ``s`` a robust residual scale per (series, fold, horizon)."""
-    r = F.col(Y) - F.col("yhat")
-    g = ["series_id", "fold_idx", "horizon"]
-    scale = pred.groupBy(*g).agg((F.median(F.abs(r)) / 0.6745).alias("_s"))
-    j = pred.join(scale, g, "left")
-    w = F.when((F.col("_s") > 0) & (F.abs(r) > F.lit(delta) * F.col("_s")),
-               F.lit(delta) * F.col("_s") / F.abs(r)).otherwise(F.lit(1.0))
-    return j.select(*g, DS, w.alias("_w"))
+    keys = ["series_id", "fold_idx"]
+    fitted = with_yhats(train, coefs, cfg)
+    spread = (fitted.select(*keys, Y, F.posexplode("yhats").alias("_h", "_f"))
+              .groupBy(*keys, "_h").agg((F.median(F.abs(F.col(Y) - F.col("_f"))) / 0.6745).alias("_s"))
+              .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_h", "_s"))).alias("_scales")))
+
+    def weight(f: Column, s: Column) -> Column:
+        r, limit = F.abs(F.col(Y) - f), F.lit(cfg.huber_delta) * s["_s"]
+        return F.when(f.isNull() | F.col(Y).isNull(), F.lit(None).cast("double")).when((limit > 0) & (r > limit), limit / r).otherwise(F.lit(1.0))
+
+    return (fitted.join(spread, keys).withColumn("_w", F.zip_with("yhats", "_scales", weight)).drop("yhats", "_scales"))
 
 
 COEF_TABLE_COLUMNS = ["model", "series_id", "fold_idx", "horizon", "terms", "coef", "status", "error",
-                      "n_rows", "train_mse"]
+                      "n_rows", "train_mse", "active"]
 
 
 def coefficient_table(coefs: DataFrame, cfg: LinearARConfig) -> DataFrame:
     """FC-2 output with the model name and term names (the IO-6 model artefact)."""
     terms = F.array(*[F.lit(t) for t in cfg.terms()])
     return coefs.select(F.lit(cfg.name).alias("model"), "series_id", "fold_idx", "horizon",
-                        terms.alias("terms"), "coef", "status", "error", "n_rows", "train_mse")
+                        terms.alias("terms"), "coef", "status", "error", "n_rows", "train_mse", "active")

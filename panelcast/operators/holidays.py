@@ -3,7 +3,7 @@
 The calendar is generated by Spark from rules, for exactly the years the
 panel spans (plus one, for a New Year's Day observed on 31 December), so it
 is derived from the data and its size is bounded by the year span times
-the number of rules.  That bound is what makes the broadcast safe.
+the number of rules.  The flag alone needs no calendar: see ``holiday_flag``.
 Users with their own calendar pass a ``(country, ds, name)`` table instead.
 """
 
@@ -37,10 +37,6 @@ US_FEDERAL_RULES = [
 
 RULES_BY_COUNTRY = {"US": US_FEDERAL_RULES}
 
-# Upper bound on calendar rows per year (each fixed-date rule can add an
-# observed day); used to prove the broadcast size.
-MAX_ROWS_PER_YEAR = 2 * len(US_FEDERAL_RULES)
-
 
 def _nth_weekday(year: Column, month: int, weekday: int, nth: int) -> Column:
     if nth > 0:
@@ -116,32 +112,17 @@ def holiday_flag(ds: Column, country: str = "US") -> Column:
     return F.when(ds.isNull(), F.lit(None).cast("int")).otherwise(hit.cast("int"))
 
 
-# Years covered when no calendar is passed: a fixed span, so the flag needs no
-# pass over the data to find its years (at most MAX_ROWS_PER_YEAR * 401 rows).
-DEFAULT_FIRST_YEAR, DEFAULT_LAST_YEAR = 1800, 2200
-
-
-def fixed_span_calendar(spark, country: str = "US", first: int = DEFAULT_FIRST_YEAR,
-                        last: int = DEFAULT_LAST_YEAR) -> DataFrame:
-    years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
-    return holiday_calendar(years, country)
-
-
 def add_holidays(panel: DataFrame, calendar: DataFrame | None = None, country: str = "US",
                  date_col: str = DS, name: str = "is_holiday") -> DataFrame:
     """``is_holiday`` in {0, 1}; 0 when the date is not in the calendar.
 
-    Without a ``calendar`` the rules are expanded for the years 1800-2200
-    (under 9,000 rows, independent of the data) and broadcast.  A user
-    calendar is joined without a forced broadcast.
-    ``holiday_flag`` gives the same flag as a pure column expression.
+    Without a ``calendar`` the rules are evaluated on the date itself
+    (``holiday_flag``): any year, no table and no join.  A user calendar has
+    no proven bound and is joined without a forced broadcast.
     """
     if calendar is None:
-        # generated: at most MAX_ROWS_PER_YEAR rows per year of a fixed span -> safe to broadcast
-        flags = F.broadcast(fixed_span_calendar(panel.sparkSession, country)
-                            .select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1)))
-    else:
-        # a user table has no proven bound: plain join, AQE broadcasts it only if it is small at run time
-        flags = calendar.select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1))
+        flag = F.coalesce(holiday_flag(F.col(date_col).cast("date"), country), F.lit(0))
+        return panel.withColumn(name, flag)
+    flags = calendar.select(F.col("ds").alias("_hd")).distinct().withColumn("_hf", F.lit(1))
     j = panel.join(flags, F.col(date_col) == F.col("_hd"), "left")
     return j.withColumn(name, F.coalesce(F.col("_hf"), F.lit(0))).drop("_hd", "_hf")

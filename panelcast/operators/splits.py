@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.windows import DS, by_series, keys_of, whole
 
-DEFAULT_MAX_FOLDS = 3  # the reference's hard-coded cap
+DEFAULT_MAX_FOLDS: int | None = None  # every fold; a cap is an explicit argument
 
 
 def split_temporal(panel: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.15,

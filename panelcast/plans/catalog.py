@@ -1,7 +1,7 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
-Every query reads the driver tables in full (no id subsets, no row caps)
-and rounds its double columns to 6 places so the DuckDB oracle in
+Every query reads its driver tables in full (no id subsets, no row or fold
+caps) and rounds its double columns to 6 places so the DuckDB oracle in
 ``oracle.py`` can be compared value by value.
 """
 
@@ -197,6 +197,12 @@ def q_preprocessed(spark, sf_dir):
     return round_doubles(cleaned_orders(spark, sf_dir))
 
 
+@register("preprocessed_raw_rows")
+def q_preprocessed_raw_rows(spark, sf_dir):
+    """CL-15 on raw order rows, many per day: the first of a day stays, then the full cleaning chain."""
+    return round_doubles(C.preprocess_complete(T.orders_raw(spark, sf_dir), tie="o_orderkey"))
+
+
 @register("missing_days")
 def q_missing_days(spark, sf_dir):
     return C.missing_days(orders_panel(spark, sf_dir))
@@ -314,9 +320,9 @@ def q_rolling_origin_sizes(spark, sf_dir):
 
 @register("sliding_origin_sizes")
 def q_sliding_origin_sizes(spark, sf_dir):
-    """DK-3/DK-4: sliding 365-row train window, 7-row gap, 10 folds."""
+    """DK-3/DK-4: sliding 365-row train window, 7-row gap, every fold."""
     rows = S.rolling_origin_rows(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"),
-                                 max_folds=10, gap_size=7, expanding=False)
+                                 gap_size=7, expanding=False)
     return _origin_sizes(rows)
 
 
@@ -363,6 +369,27 @@ def q_fold_counts(spark, sf_dir):
     return E.fold_counts(cv_fold_metrics(spark, sf_dir), ["series_id"])
 
 
+def events_cv_metrics(spark, sf_dir):
+    """A panel of 30 days: no series has a yearly fold, every one has its failed row."""
+    p = C.preprocess_complete(T.events_type_panel(spark, sf_dir)).select("series_id", "ds", "y")
+    return WF.cv_seasonal_naive(p, season=7)
+
+
+@register("events_cv")
+def q_events_cv(spark, sf_dir):
+    return round_doubles(events_cv_metrics(spark, sf_dir))
+
+
+@register("events_cv_summary")
+def q_events_cv_summary(spark, sf_dir):
+    return round_doubles(E.cv_summary(events_cv_metrics(spark, sf_dir), ["series_id"]))
+
+
+@register("events_fold_counts")
+def q_events_fold_counts(spark, sf_dir):
+    return E.fold_counts(events_cv_metrics(spark, sf_dir), ["series_id"])
+
+
 @register("best_fold")
 def q_best_fold(spark, sf_dir):
     return E.best_fold(cv_fold_metrics(spark, sf_dir), ["series_id"])
@@ -480,7 +507,7 @@ def q_dickey_fuller(spark, sf_dir):
 from ..operators import forecast as FCST  # noqa: E402
 
 LINEAR = FCST.LinearARConfig()
-LINEAR_H7 = FCST.LinearARConfig(name="linear_ar_h7", n_forecasts=7, n_lags=14)
+LINEAR_H30 = FCST.LinearARConfig(name="linear_ar_h30", n_forecasts=30)
 
 
 def _clean_panel(spark, sf_dir):
@@ -499,7 +526,7 @@ def q_linear_coefficients(spark, sf_dir):
     """FC-2 / IO-6: the coefficient table of every (series, fold)."""
     _, _, c = WF.cv_linear(_clean_panel(spark, sf_dir), LINEAR)
     return c.withColumn("coef", F.transform("coef", lambda v: F.round(v, 6))).withColumn(
-        "terms", F.array_join("terms", ","))
+        "terms", F.array_join("terms", ",")).withColumn("active", F.array_join("active", ","))
 
 
 @register("final_fit_metrics")
@@ -512,24 +539,24 @@ def q_final_fit_metrics(spark, sf_dir):
 @register("huber_final_fit")
 def q_huber_final_fit(spark, sf_dir):
     """FC-2 with Huber loss (IRLS passes over weighted partial Gram matrices)."""
-    cfg = FCST.LinearARConfig(name="linear_ar_huber", loss="huber", irls_iterations=2)
+    cfg = FCST.LinearARConfig(name="linear_ar_huber", loss="huber")
     m, _, _ = WF.final_fit(_clean_panel(spark, sf_dir), cfg)
     return round_doubles(m)
 
 
 @register("multi_horizon_forecast")
 def q_multi_horizon_forecast(spark, sf_dir):
-    """FC-5: direct models for horizons 1..7, predictions pivoted wide (yhat1..yhat7)."""
-    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), LINEAR_H7)
-    return round_doubles(WF.wide_forecast(p, LINEAR_H7.n_forecasts))
+    """FC-5: direct models for horizons 1..30, predictions pivoted wide (yhat1..yhat30)."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), LINEAR_H30)
+    return round_doubles(WF.wide_forecast(p, LINEAR_H30.n_forecasts))
 
 
 @register("future_forecast")
 def q_future_forecast(spark, sf_dir):
-    """FC-6: 365 days past each series' end; 7-day direct blocks fed back recursively."""
+    """FC-6: 365 days past each series' end; 30-day direct blocks fed back recursively."""
     panel = _clean_panel(spark, sf_dir)
-    _, _, coefs = WF.final_fit(panel, LINEAR_H7)
-    return round_doubles(WF.future_forecast(panel, coefs, LINEAR_H7, periods=365))
+    _, _, coefs = WF.final_fit(panel, LINEAR_H30)
+    return round_doubles(WF.future_forecast(panel, coefs, LINEAR_H30, periods=365))
 
 
 @register("linear_ensemble")

@@ -115,14 +115,14 @@ def direction_cte(src: str, name: str, group: str) -> str:
 )"""
 
 
-def yearly_test_rows(src: str, name: str, max_folds: int = 3) -> str:
+def yearly_test_rows(src: str, name: str) -> str:
     """Rows of ``src`` that are the test rows of a yearly fold, with ``fold_idx`` and the fold dimension."""
     return f"""
 {name}_yr AS (
   SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY year(ds)) - 1 AS yrank FROM {src}
 ),
 {name}_nf AS (
-  SELECT series_id, least(count(DISTINCT year(ds)) - 1, {max_folds}) AS n_folds FROM {src} GROUP BY 1
+  SELECT series_id, count(DISTINCT year(ds)) - 1 AS n_folds FROM {src} GROUP BY 1
 ),
 {name}_folds AS (
   SELECT y.series_id, CAST(y.yrank - 1 AS INTEGER) AS fold_idx, CAST(y.yr AS INTEGER) AS test_year
@@ -152,13 +152,13 @@ scored AS (
 with_folds AS (
   SELECT f.series_id, f.fold_idx, f.test_year, CAST(coalesce(s.n, 0) AS BIGINT) AS n,
          CASE WHEN coalesce(s.n, 0) > 0 THEN 'success' ELSE 'failed' END AS status,
-         CASE WHEN coalesce(s.n, 0) > 0 THEN NULL ELSE 'All predictions or actuals are NaN' END AS error,
+         CASE WHEN coalesce(s.n, 0) > 0 THEN NULL ELSE 'no row has both a value and a forecast' END AS error,
          {", ".join("s." + m for m in METRIC_COLS)}
   FROM test_rows_folds f LEFT JOIN scored s USING (series_id, fold_idx)
 ),
 no_fold AS (
   SELECT DISTINCT series_id, CAST(NULL AS INTEGER) AS fold_idx, CAST(NULL AS INTEGER) AS test_year,
-         CAST(0 AS BIGINT) AS n, 'failed' AS status, 'No valid folds' AS error,
+         CAST(0 AS BIGINT) AS n, 'failed' AS status, 'the series spans a single year, which makes no fold' AS error,
          {", ".join("CAST(NULL AS DOUBLE) AS " + m for m in METRIC_COLS)}
   FROM {clean_name} WHERE series_id NOT IN (SELECT series_id FROM test_rows_folds)
 )
@@ -207,7 +207,7 @@ def fold_metrics_ctes(season: int = 7, context: str = "with_history") -> str:
 fold_metrics AS (
   SELECT f.series_id, f.fold_idx, f.test_year, CAST(coalesce(s.n, 0) AS BIGINT) AS n,
          CASE WHEN coalesce(s.n, 0) > 0 THEN 'success' ELSE 'failed' END AS status,
-         CASE WHEN coalesce(s.n, 0) > 0 THEN NULL ELSE 'All predictions or actuals are NaN' END AS error,
+         CASE WHEN coalesce(s.n, 0) > 0 THEN NULL ELSE 'no row has both a value and a forecast' END AS error,
          {", ".join("s." + m for m in METRIC_COLS)}
   FROM cvp_t_folds f LEFT JOIN cvs s USING (series_id, fold_idx)
 )"""
@@ -257,12 +257,12 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2""", ["y
 
 ORACLE["supplier_panel"] = q("""
 SELECT CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) AS ds,
-       CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS y
+       SUM(l_quantity) AS y
 FROM lineitem GROUP BY 1, 2""", ["y"])
 
 ORACLE["events_panel"] = q("""
 SELECT event_type AS series_id, CAST(ts AS DATE) AS ds,
-       CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS y
+       SUM(value) AS y
 FROM events GROUP BY 1, 2""", ["y"])
 
 ORACLE["head_profile"] = q(f"""WITH {ORDERS_PANEL}
@@ -329,6 +329,14 @@ FROM scaled c JOIN scaler s USING (series_id)""", ["y", "y_scaled", "y_restored"
 
 ORACLE["preprocessed"] = q(f"WITH {CLEAN_ORDERS} SELECT * FROM orders_clean", ["y", "y_raw"])
 
+RAW_DAYS = """
+orders_panel AS (SELECT series_id, ds, y FROM (
+  SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS ds, o_totalprice AS y,
+         row_number() OVER (PARTITION BY o_orderpriority, CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS k FROM orders) t
+  WHERE k = 1)"""
+ORACLE["preprocessed_raw_rows"] = q(f"WITH {CLEAN_ORDERS} SELECT * FROM orders_clean".replace(ORDERS_PANEL, RAW_DAYS),
+                                    ["y", "y_raw"])
+
 ORACLE["missing_days"] = f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
 SELECT series_id, ds FROM orders_dense WHERE y IS NULL"""
 
@@ -495,7 +503,7 @@ folds AS (
          (SELECT string_agg(CAST(y2.year AS VARCHAR), ',' ORDER BY y2.year) FROM yrs y2
           WHERE y2.series_id = y.series_id AND y2.year_rank < y.year_rank) AS train_years,
          y.year AS test_year
-  FROM yrs y WHERE y.year_rank >= 1 AND y.year_rank <= 3
+  FROM yrs y WHERE y.year_rank >= 1
 )"""
 ORACLE["yearly_folds"] = f"WITH {ORDERS_PANEL}, {FOLDS} SELECT * FROM folds"
 FOLD_ROWS = f"""
@@ -532,7 +540,7 @@ SELECT series_id, fold_idx, role, count(*) AS n_rows, min(rn) AS first_rn, max(r
 
 
 ORACLE["rolling_origin_sizes"] = origin_sql(365, 30, 30, None, 0, True)
-ORACLE["sliding_origin_sizes"] = origin_sql(365, 30, 30, 10, 7, False)
+ORACLE["sliding_origin_sizes"] = origin_sql(365, 30, 30, None, 7, False)
 
 # --- metrics and CV -------------------------------------------------------------
 
@@ -540,7 +548,7 @@ def cv_sql(season: int, context: str) -> str:
     inner = f"""WITH {fold_metrics_ctes(season, context)},
 no_fold AS (
   SELECT DISTINCT series_id, CAST(NULL AS INTEGER) AS fold_idx, CAST(NULL AS INTEGER) AS test_year,
-         CAST(0 AS BIGINT) AS n, 'failed' AS status, 'No valid folds' AS error,
+         CAST(0 AS BIGINT) AS n, 'failed' AS status, 'the series spans a single year, which makes no fold' AS error,
          {", ".join("CAST(NULL AS DOUBLE) AS " + m for m in METRIC_COLS)}
   FROM orders_clean WHERE series_id NOT IN (SELECT series_id FROM cvp_t_folds)
 )
@@ -591,12 +599,21 @@ SELECT series_id, metric,
   CASE WHEN count(value) = count(*) THEN stddev_pop(value) END AS std,
   CASE WHEN count(value) = count(*) THEN min(value) END AS min,
   CASE WHEN count(value) = count(*) THEN max(value) END AS max,
-  count(*) AS fold_count
+  count(*) AS fold_count, 'success' AS status
 FROM long GROUP BY 1, 2""", ["mean", "std", "min", "max"])
 ORACLE["metrics_long"] = q(f"WITH {fold_metrics_ctes()} {LONG}", ["value"])
 ORACLE["fold_counts"] = f"""WITH {fold_metrics_ctes()}
 SELECT series_id, count(*) AS total_folds, CAST(count_if(status = 'success') AS BIGINT) AS successful_folds
 FROM fold_metrics GROUP BY 1"""
+EVENTS_PANEL = """
+orders_panel AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS ds, SUM(value) AS y FROM events GROUP BY 1, 2)"""
+ORACLE["events_cv"] = cv_sql(7, "with_history").replace(ORDERS_PANEL, EVENTS_PANEL)
+ORACLE["events_cv_summary"] = f"""WITH {EVENTS_PANEL}
+SELECT DISTINCT series_id, m.metric, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min,
+       CAST(NULL AS DOUBLE) AS max, CAST(0 AS BIGINT) AS fold_count, 'failed' AS status
+FROM orders_panel JOIN (VALUES {", ".join(f"('{m}')" for m in METRIC_COLS)}) m(metric) ON true"""
+ORACLE["events_fold_counts"] = f"""WITH {EVENTS_PANEL}
+SELECT DISTINCT series_id, CAST(0 AS BIGINT) AS total_folds, CAST(0 AS BIGINT) AS successful_folds FROM orders_panel"""
 ORACLE["best_fold"] = f"""WITH {fold_metrics_ctes()}
 SELECT series_id, arg_min(fold_idx, (coalesce(mape, CAST('inf' AS DOUBLE)), fold_idx)) AS best_fold_idx
 FROM fold_metrics WHERE status = 'success' GROUP BY 1"""
@@ -724,7 +741,7 @@ SELECT series_id, ds, pos, {", ".join(CAL_NAMES)}, is_holiday, {FFILL_COLS} FROM
 SUPPLIER_PANEL = """
 orders_panel AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) AS ds,
-         CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS y
+         SUM(l_quantity) AS y
   FROM lineitem GROUP BY 1, 2
 )"""
 # the same cleaning and CV chain, with the supplier rollup as its source panel

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -27,10 +28,10 @@ def cv_seasonal_naive(panel: DataFrame, season: int = 7, keys=None, context: str
     """FC-8 with the seasonal-naive model: per (series, fold) metrics and status.
 
     A series with a single year has no fold and yields one ``failed`` row
-    with ``fold_idx`` NULL ("No valid folds").  The narrow input is
-    checkpointed first (reliable checkpoint folder): the fold dimension, the
-    predictions and the no-fold check all read it, so the upstream cleaning
-    plan runs once instead of three times (measured 15 s -> 10 s at sf0.1).
+    with ``fold_idx`` NULL.  The narrow input is checkpointed first (reliable
+    checkpoint folder): the fold dimension, the predictions and the no-fold
+    check all read it, so the upstream cleaning plan runs once instead of
+    three times (measured 15 s -> 10 s at sf0.1).
     """
     ks = keys_of(keys)
     if checkpoint_input:
@@ -39,12 +40,18 @@ def cv_seasonal_naive(panel: DataFrame, season: int = 7, keys=None, context: str
     folds = yearly_folds(panel, ks, max_folds=max_folds).select(*ks, "fold_idx", "test_year")
     pred = fold_test_predictions(panel, season, ks, value, context, max_folds)
     scored = E.score_folds(pred, folds, ks + ["fold_idx"])
-    no_fold = (panel.select(*ks).distinct()
-               .join(folds.select(*ks).distinct(), ks, "left_anti")
-               .select(*ks, F.lit(None).cast("int").alias("fold_idx"), F.lit(None).cast("int").alias("test_year"),
-                       F.lit(0).cast("long").alias("n"), F.lit("failed").alias("status"),
-                       F.lit("No valid folds").alias("error")))
-    return scored.unionByName(no_fold, allowMissingColumns=True)
+    return scored.unionByName(without_folds(panel, folds, ks), allowMissingColumns=True)
+
+
+ONE_YEAR = "the series spans a single year, which makes no fold"
+
+
+def without_folds(panel: DataFrame, folds: DataFrame, ks: Sequence[str]) -> DataFrame:
+    """One ``failed`` row for every series that has no fold."""
+    return (panel.select(*ks).distinct()
+            .join(folds.select(*ks).distinct(), list(ks), "left_anti")
+            .select(*ks, F.lit(None).cast("int").alias("fold_idx"), F.lit(None).cast("int").alias("test_year"),
+                    F.lit(0).cast("long").alias("n"), F.lit("failed").alias("status"), F.lit(ONE_YEAR).alias("error")))
 
 
 # --- linear forecaster plans (FC-5..FC-12) -----------------------------------
@@ -71,59 +78,73 @@ def cv_linear(panel: DataFrame, cfg: FC.LinearARConfig | None = None,
 
     Returns ``(fold_metrics, predictions, coefficient_table)``.  Fold k's
     model is fitted on years ranked <= k from a prefix sum of per-year
-    partial Gram matrices and scored on year k+1.  The narrow input panel is
-    checkpointed to the reliable checkpoint folder first: the training and
-    scoring branches both read it, and a lost executor replays from there.
+    partial Gram matrices and scored on year k+1, each horizon on its own.
+    A series without a fold has one ``failed`` metrics row.  The narrow input
+    panel is checkpointed to the reliable checkpoint folder first: the
+    training and scoring branches both read it, and a lost executor replays
+    from there.  Huber weights differ per fold, which prefix sums cannot
+    express, so that loss is for ``final_fit`` only.
     """
     cfg = cfg or FC.LinearARConfig()
+    if cfg.loss != "ls":
+        raise ValueError(f"cross-validation fits by least squares; loss {cfg.loss!r} is for final_fit")
     if checkpoint_input:
         panel = cut_lineage(panel.select("series_id", DS, Y))
+    cfg = FC.resolved(cfg, panel)
     d = with_year_rank(FC.design(panel.select("series_id", DS, Y), cfg, with_base=False), max_folds=max_folds)
     train = d.where(F.col("year_rank") < F.col("n_folds")).withColumn("block", F.col("year_rank"))
-    coefs = FC.solve(FC.partial_grams(train, cfg), cfg, "expanding")
+    folds = yearly_folds(panel, max_folds=max_folds).select("series_id", "fold_idx", "test_year")
+    # a few kilobytes per model, read by the predictions, the status and the table
+    coefs = cut_lineage(FC.solve(FC.partial_grams(train, cfg), cfg, "expanding", folds))
     d = d.select("*", *FC._base_columns(cfg, F.col(DS), F.col("_start")))
     test = (d.where((F.col("year_rank") >= 1) & (F.col("year_rank") <= F.col("n_folds")))
             .withColumn("fold_idx", (F.col("year_rank") - 1).cast("int")))
     if context == "test_only":
         test = _test_only_lags(test, cfg)
     pred = FC.predict_rows(test, coefs, cfg)
-    folds = yearly_folds(panel, max_folds=max_folds).select("series_id", "fold_idx", "test_year")
-    h1 = pred.where(F.col("horizon") == 1)
-    metrics = E.score_folds(h1, folds, MODEL_KEYS)
-    fit_status = coefs.where(F.col("horizon") == 1).select(
-        "series_id", "fold_idx", F.col("status").alias("_fs"), F.col("error").alias("_fe"))
-    metrics = (metrics.join(fit_status, MODEL_KEYS, "left")
-               .withColumn("status", F.when(F.col("_fs") == "failed", "failed").otherwise(F.col("status")))
-               .withColumn("error", F.when(F.col("_fs") == "failed", F.col("_fe")).otherwise(F.col("error")))
-               .drop("_fs", "_fe")
-               .withColumn("model", F.lit(cfg.name)))
-    return metrics, pred.withColumn("model", F.lit(cfg.name)), FC.coefficient_table(coefs, cfg)
+    metrics = _scored(pred, folds, coefs, cfg).unionByName(without_folds(panel, folds, ["series_id"]), allowMissingColumns=True)
+    model = F.lit(cfg.name)
+    return metrics.withColumn("model", model), pred.withColumn("model", model), FC.coefficient_table(coefs, cfg)
+
+
+def _scored(pred: DataFrame, models: DataFrame, coefs: DataFrame, cfg: FC.LinearARConfig) -> DataFrame:
+    """Metrics of every model and horizon; a failed fit keeps its own error."""
+    keys = MODEL_KEYS + ["horizon"]
+    every = models.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(cfg.n_forecasts))))
+    fit = coefs.select(*keys, F.col("status").alias("_fs"), F.col("error").alias("_fe"))
+    failed = F.col("_fs") == "failed"
+    return (E.score_folds(pred, every, keys).join(fit, keys, "left")
+            .withColumn("status", F.when(failed, "failed").otherwise(F.col("status")))
+            .withColumn("error", F.when(failed, F.col("_fe")).otherwise(F.col("error")))
+            .drop("_fs", "_fe"))
 
 
 def final_fit(panel: DataFrame, cfg: FC.LinearARConfig | None = None, train_ratio: float = 0.7,
               val_ratio: float = 0.15, checkpoint_input: bool = True):
-    """FC-9: fit on the chronological train split, score on the test split.
+    """FC-9: fit on the chronological train split, score on the test split, per series and horizon.
 
     With ``cfg.loss == 'huber'`` the fit is refined by iteratively
-    reweighted least squares (each pass: predict train rows, Huber weights,
-    weighted partial Gram matrices, solve).
+    reweighted least squares: each pass predicts the train rows, weighs them
+    per horizon, and solves again.  A pass's coefficients are written before
+    the next one, so the plan doesn't grow with the passes.  Every series has
+    a row for every horizon, ``failed`` if it could not be fitted or scored.
     """
     cfg = cfg or FC.LinearARConfig()
     if checkpoint_input:
         panel = cut_lineage(panel.select("series_id", DS, Y))
+    cfg = FC.resolved(cfg, panel)
+    models = panel.select("series_id").distinct().withColumn("fold_idx", F.lit(0))
     d = FC.design(split_temporal(panel.select("series_id", DS, Y), train_ratio, val_ratio), cfg)
     d = d.withColumn("fold_idx", F.lit(0)).withColumn("n_folds", F.lit(1)).withColumn("block", F.lit(0))
     train = d.where(F.col("split") == "train")
-    coefs = FC.solve(FC.partial_grams(train, cfg), cfg, "single")
+    coefs = cut_lineage(FC.solve(FC.partial_grams(train, cfg), cfg, "single", models))
     if cfg.loss == "huber":
         for _ in range(cfg.irls_iterations):
-            fitted = FC.predict_rows(train, coefs, cfg)
-            wts = FC.huber_weights(fitted, cfg.huber_delta).where(F.col("horizon") == 1).drop("horizon")
-            weighted = train.join(wts, ["series_id", "fold_idx", DS], "inner")
-            coefs = FC.solve(FC.partial_grams(weighted, cfg, weight="_w"), cfg, "single")
+            weighted = FC.with_huber_weights(train, coefs, cfg)
+            coefs = cut_lineage(FC.solve(FC.partial_grams(weighted, cfg, weight="_w"), cfg, "single", models))
     test = d.where(F.col("split") == "test")
     pred = FC.predict_rows(test, coefs, cfg)
-    metrics = E.score(pred, ["series_id", "horizon"]).withColumn("model", F.lit(cfg.name))
+    metrics = _scored(pred, models, coefs, cfg).drop("fold_idx").withColumn("model", F.lit(cfg.name))
     return metrics, pred.withColumn("model", F.lit(cfg.name)), FC.coefficient_table(coefs, cfg)
 
 
@@ -134,19 +155,24 @@ def wide_forecast(pred: DataFrame, n_forecasts: int) -> DataFrame:
                                          *[F.col(str(h)).alias(f"yhat{h}") for h in range(1, n_forecasts + 1)]))
 
 
-FUTURE_SCHEMA = "series_id string, ds date, step int, yhat double"
+FUTURE_SCHEMA = "series_id string, ds date, step int, yhat double, status string, error string"
 
 
 def _future_fn(cfg: FC.LinearARConfig):
     L, H = cfg.n_lags, cfg.n_forecasts
     base = cfg.base_terms()
 
+    columns = ["series_id", "ds", "step", "yhat", "status", "error"]
+
+    def failed(key, error: str) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], None, None, None, "failed", error)], columns=columns)
+
     def run(key, tail: pd.DataFrame, future: pd.DataFrame, coefs: pd.DataFrame) -> pd.DataFrame:
-        if tail.empty or future.empty or coefs.empty:
-            return pd.DataFrame(columns=["series_id", "ds", "step", "yhat"])
+        if coefs.empty:
+            return failed(key, "no fitted model")
         hist = list(tail.sort_values(DS)[Y].astype(float))[-L:]
         if len(hist) < L or any(np.isnan(hist)):
-            return pd.DataFrame(columns=["series_id", "ds", "step", "yhat"])
+            return failed(key, f"the last {L} values are not all present")
         fut = future.sort_values(DS).reset_index(drop=True)
         by_h = {int(r.horizon): np.asarray(r.coef, dtype=float) for r in coefs.itertuples()}
         out = []
@@ -163,10 +189,10 @@ def _future_fn(cfg: FC.LinearARConfig):
             if not block:
                 break
             for j, v in enumerate(block):
-                out.append((key[0], fut.iloc[i + j][DS], i + j + 1, v))
+                out.append((key[0], fut.iloc[i + j][DS], i + j + 1, v, "success", None))
             hist.extend(block)
             i += len(block)
-        return pd.DataFrame(out, columns=["series_id", "ds", "step", "yhat"])
+        return pd.DataFrame(out, columns=columns)
 
     return run
 
@@ -178,8 +204,12 @@ def future_forecast(panel: DataFrame, coef_table: DataFrame, cfg: FC.LinearARCon
     Direct models cover horizons 1..H; beyond that, blocks of H are fed
     back recursively.  Each group holds one series' last ``n_lags`` values,
     its future calendar rows (``periods``) and its H coefficient rows: all
-    bounded by the configuration, never by the data volume.
+    bounded by the configuration, never by the data volume.  A series that
+    cannot be forecast has one ``failed`` row.  ``coef_table`` fixes the
+    number of hinges.
     """
+    hinges = coef_table.select("terms").first()
+    cfg = replace(cfg, max_changepoints=sum(t.startswith("cp_") for t in hinges[0]) if hinges else 0)
     p = panel.select("series_id", DS, Y)
     rd = F.row_number().over(by_series(["series_id"], F.col(DS).desc()))
     tail = p.withColumn("_rd", rd).where(F.col("_rd") <= cfg.n_lags).drop("_rd")
@@ -240,6 +270,7 @@ def execute_pipeline(panel: DataFrame, out_dir: str, cfg: FC.LinearARConfig | No
     way (the reference saves partial results after a failure too).
     """
     from ..operators.clean import preprocess_complete
+    from ..operators.diagnostics import plot_tables
     from ..operators.features import create_all_features
     from ..sources.files import append_run, run_record, save_coefficients
 
@@ -257,19 +288,30 @@ def execute_pipeline(panel: DataFrame, out_dir: str, cfg: FC.LinearARConfig | No
             f"{out_dir}/features")
         written["features"] = f"{out_dir}/features"
         model_in = clean.select("series_id", DS, Y)
-        cv_metrics, _, cv_coefs = cv_linear(model_in, cfg, max_folds)
-        cv_metrics.write.mode("overwrite").parquet(f"{out_dir}/cv_metrics")
-        written["cv_metrics"] = f"{out_dir}/cv_metrics"
-        E.cv_summary(spark.read.parquet(f"{out_dir}/cv_metrics"), ["model", "series_id"]).write.mode(
-            "overwrite").parquet(f"{out_dir}/cv_summary")
-        written["cv_summary"] = f"{out_dir}/cv_summary"
-        final_metrics, final_pred, final_coefs = final_fit(model_in, cfg)
-        save_coefficients(final_coefs, f"{out_dir}/coefficients")
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+            written[name] = f"{out_dir}/{name}"
+            return spark.read.parquet(f"{out_dir}/{name}")
+
+        keep("split", split_temporal(model_in))
+        # the written table is the reliable copy: nothing is checkpointed again
+        cv_metrics, cv_pred, _ = cv_linear(model_in, cfg, max_folds, checkpoint_input=False)
+        cv_metrics = keep("cv_metrics", cv_metrics)
+        cv_pred = keep("cv_predictions", cv_pred)
+        keep("cv_summary", E.cv_summary(cv_metrics, ["model", "series_id"]))
+        final_metrics, final_pred, final_coefs = final_fit(model_in, cfg, checkpoint_input=False)
+        saved = save_coefficients(final_coefs, f"{out_dir}/coefficients")
+        if not saved:
+            raise RuntimeError("the coefficients could not be written")
         written["coefficients"] = f"{out_dir}/coefficients"
-        final_metrics.write.mode("overwrite").parquet(f"{out_dir}/final_metrics")
-        written["final_metrics"] = f"{out_dir}/final_metrics"
+        keep("final_metrics", final_metrics)
+        keep("final_predictions", final_pred)
+        first = cv_pred.where(F.col("horizon") == 1).drop("horizon", "model")
+        for name, table in plot_tables(first, MODEL_KEYS).items():
+            keep(f"plot_{name}", table)
     except Exception as e:  # noqa: BLE001 - recorded, as in the reference
-        status, error = "failed", f"{type(e).__name__}: {e}"[:2000]
+        status, error = "failed", f"{type(e).__name__}: {e}"
     record = run_record(spark, json.loads(cfg.to_json()), status, error, written)
     append_run(record, f"{out_dir}/runs")
     return {"status": status, "error": error, "tables": written}

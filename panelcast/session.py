@@ -8,6 +8,7 @@ small command-line uses.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,6 +31,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # files go with the last reference
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
@@ -44,11 +46,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, from ``spark.checkpoint.dir``.
+    """The reliable checkpoint folder, from ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is (Spark
-    applies it to the context at start-up).  Only when nothing is set (local
-    tests) do we pick a fresh scratch folder for this session.
+    On a cluster the setting names a folder that all executors share.  Where
+    it is unset, a local session (one machine, as in tests) gets a scratch
+    folder; any other session is told to set it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[[^-]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -10,8 +10,8 @@ Scale notes
   at most one row per (task, series, day).  After the rollup a series holds
   at most one row per calendar day, which bounds every later per-series
   window by the series' span in days, not by the raw data volume.
-* Money is summed as ``DECIMAL(18,2)`` (exact, order independent) and cast
-  to double once, so results do not depend on partitioning.
+* Values are summed as they are.  Money columns, which hold cents, are asked
+  to be summed as decimals (``exact_scale=2``): exact and order independent.
 """
 
 from __future__ import annotations
@@ -55,15 +55,21 @@ def to_panel(df: DataFrame, keys: str | Sequence[str] | None, time_col: str, val
 
 
 def daily_rollup(df: DataFrame, keys: str | Sequence[str] | None, time_col: str, value_col: str,
-                 how: str = "sum", exact_scale: int | None = 2) -> DataFrame:
+                 how: str = "sum", exact_scale: int | None = None) -> DataFrame:
     """Roll raw rows up to one row per (series, day).
 
-    ``how``: ``sum`` | ``mean`` | ``count`` | ``max`` | ``min``.  With
-    ``exact_scale`` the sum runs on DECIMAL(18, scale).
+    ``how``: ``sum`` | ``mean`` | ``count`` | ``max`` | ``min``.  A DECIMAL
+    column is summed exactly, any other as double.  ``exact_scale`` is for
+    doubles known to hold that many decimals, such as money: the sum then
+    runs on DECIMAL(38, scale) and doesn't depend on the order.
     """
+    exact_column = dict(df.dtypes)[value_col].startswith("decimal")
     p = to_panel(df, keys, time_col, value_col)
+    if exact_column:
+        p = df.select((F.lit("all") if keys is None else series_key(keys)).alias(SERIES),
+                      F.to_date(F.col(time_col)).alias(DS), F.col(value_col).alias(Y))
     if how == "sum":
-        v = F.col(Y).cast(f"decimal(18,{exact_scale})") if exact_scale is not None else F.col(Y)
+        v = F.col(Y).cast(f"decimal(38,{exact_scale})") if exact_scale is not None and not exact_column else F.col(Y)
         agg = F.sum(v).cast("double")
     elif how == "mean":
         agg = F.avg(Y)
@@ -89,7 +95,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_priority_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily order value by ``o_orderpriority`` (5 series)."""
     o = table(spark, sf_dir, "orders", ["o_orderpriority", "o_orderdate", "o_totalprice"])
-    return daily_rollup(o, "o_orderpriority", "o_orderdate", "o_totalprice")
+    return daily_rollup(o, "o_orderpriority", "o_orderdate", "o_totalprice", exact_scale=2)
 
 
 def orders_segment_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +126,7 @@ def lineitem_supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_type_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily event value by ``event_type`` (30 days, 5 series)."""
     e = table(spark, sf_dir, "events", ["event_type", "ts", "value"])
-    return daily_rollup(e, "event_type", "ts", "value", exact_scale=4)
+    return daily_rollup(e, "event_type", "ts", "value")
 
 
 def profile(panel: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def test_panel_equals_single_runs(spark, panel_df):
 def test_one_year_series_fails_gracefully(spark, panel_df):
     m = WF.cv_seasonal_naive(panel_df({"s": daily("2020-02-01", [1.0] * 30)}))
     r = m.collect()
-    assert len(r) == 1 and r[0]["status"] == "failed" and r[0]["error"] == "No valid folds"
+    assert len(r) == 1 and r[0]["status"] == "failed" and r[0]["error"] == WF.ONE_YEAR
 
 
 def test_multi_horizon_and_future(spark, panel_df):

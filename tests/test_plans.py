@@ -18,8 +18,26 @@ def test_feature_table_single_shuffle(spark, panel_df):
     p = plan(FE.create_all_features(C.preprocess_complete(df).select("series_id", "ds", "y", "pos")))
     assert "SinglePartition" not in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    # one exchange for the panel (the holiday calendar adds its own small broadcast side)
-    assert p.count("Exchange hashpartitioning(series_id") == 1
+    # one exchange to combine a day's rows (partial aggregates first), one for all windows of the panel
+    assert len(re.findall(r"Exchange hashpartitioning\(series_id#\d+, \d+\)", p)) == 1
+    assert p.count("Exchange hashpartitioning(series_id") == 2
+    assert "Join" not in p  # the holiday flag is computed from the date
+
+
+def test_horizons_share_one_scan_and_passes_add_nothing(spark, panel_df, tmp_path):
+    from panelcast.operators import forecast as FC
+    panel_df({"a": daily("2018-01-01", np.arange(900.0))}).write.parquet(str(tmp_path / "p"))
+    src = spark.read.parquet(str(tmp_path / "p"))
+
+    def shape(h, loss="ls", passes=1):
+        cfg = FC.LinearARConfig(n_lags=3, n_forecasts=h, weekly_order=1, yearly_order=0, loss=loss, irls_iterations=passes)
+        metrics, pred, _ = (WF.final_fit if loss == "huber" else WF.cv_linear)(src, cfg, checkpoint_input=False)
+        p = plan(pred)
+        return p.count("FileScan") + p.count("Scan parquet"), len(re.findall(r"\bWindow\b", p)), p.count("MapInPandas")
+
+    one, many = shape(1), shape(30)
+    assert one == many
+    assert shape(2, "huber", 1) == shape(2, "huber", 3)
 
 
 def test_cv_plan_has_no_single_partition(spark, panel_df):

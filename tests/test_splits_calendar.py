@@ -22,7 +22,8 @@ def test_yearly_folds(spark, panel_df):
     five = daily("2016-06-01", [1.0] * (365 * 5))
     one = daily("2020-02-01", [1.0] * 10)
     df = panel_df({"five": five, "one": one})
-    folds = S.yearly_folds(df).orderBy("series_id", "fold_idx").collect()
+    assert S.yearly_folds(df).count() == 5  # no cap unless asked for
+    folds = S.yearly_folds(df, max_folds=3).orderBy("series_id", "fold_idx").collect()
     assert [(f.series_id, f.fold_idx, f.train_years, f.test_year) for f in folds] == [
         ("five", 0, [2016], 2017), ("five", 1, [2016, 2017], 2018), ("five", 2, [2016, 2017, 2018], 2019)]
     rows = S.expand_yearly_folds(df)
@@ -58,7 +59,8 @@ def test_holiday_calendar_known_dates(spark):
 
 def test_holiday_flag_expression_equals_calendar(spark):
     days = spark.range(0, 366 * 12).select(F.date_add(F.lit(dt.date(2015, 1, 1)), F.col("id").cast("int")).alias("ds"))
-    cal = H.fixed_span_calendar(spark).select(F.col("ds").alias("h")).distinct()
+    years = spark.range(1990, 2032).select(F.col("id").cast("int").alias("year"))
+    cal = H.holiday_calendar(years).select(F.col("ds").alias("h")).distinct()
     joined = days.join(cal, days.ds == cal.h, "left").select("ds", F.col("h").isNotNull().cast("int").alias("a"))
     mism = joined.withColumn("b", H.holiday_flag(F.col("ds"))).where("a != b").count()
     assert mism == 0
