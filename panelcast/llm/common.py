@@ -25,9 +25,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` into the shared checkpoint folder and go on from there."""
+    """Write ``df`` into the shared checkpoint folder and go on from there.
+
+    The shuffles behind it are done with.  Spark deletes their files when the
+    driver's collector finds them unused, so it is asked to run; else the
+    executors' disks hold the files of all steps at once.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    written = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -223,11 +223,13 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
         t = Tokens(block)
         count, number = known(t, answers)
         for b, hs, ss, size, pairs, (_, w, c, _) in requests(t, count, number):
-            yield b, (small(number[hs]), small(ss), small(size), small(number[w[pairs]]), small(c[pairs]), small(count[w[pairs]]))
+            word, which = np.unique(w[pairs], return_inverse=True)  # a word's number and count are sent once
+            yield b, (small(number[hs]), small(ss), small(size), small(which), small(c[pairs]), small(number[word]), small(count[word]))
 
     def bigram_table(messages: list):
         hist, part = (np.concatenate([m[i].astype(np.int64) for m in messages]) for i in (0, 1))
-        size, word, count, of_word = (np.concatenate([m[i].astype(np.int64) for m in messages]) for i in (2, 3, 4, 5))
+        size, count = (np.concatenate([m[i].astype(np.int64) for m in messages]) for i in (2, 4))
+        word, of_word = (np.concatenate([m[i].astype(np.int64)[m[3]] for m in messages]) for i in (5, 6))
         order = np.lexsort((part, hist))
         first = runs(hist[order], part[order])
         group = np.empty(len(hist), np.int64)
@@ -245,6 +247,7 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
         h_cuts, p_cuts = np.cumsum([len(m[0]) for m in messages])[:-1], np.cumsum([len(m[3]) for m in messages])[:-1]
         answers = [(small(x), [small(sums[g, i]) for i in range(sums.shape[1])])
                    for x, g in zip(np.split(every, p_cuts), np.split(group, h_cuts))]
+        # the bucket's part of the bigram table: by history, its words ascending
         table = {"figures": _of_counts(seen), "history": small(hist[order][first]), "size": small(np.bincount(of_pair[at], minlength=k)),
                  "word": small(word[at]), "count": small(seen)}
         return answers, table

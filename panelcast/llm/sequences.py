@@ -200,27 +200,43 @@ def gram_hashes(tokens: np.ndarray, k: int) -> np.ndarray:
 class Words:
     """The words of a block: hash of each, first and end byte, and the documents' first words."""
 
+    #: Documents are read in runs of about so many bytes: what is needed per byte stays small.
+    RUN = 1 << 19
+
     def __init__(self, block: Block, lower: bool = False):
-        data = LOWER[block.bytes] if lower else block.bytes
-        solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
-        begins = solid.copy()
-        ends = solid.copy()
-        begins[1:] &= ~solid[:-1]
-        ends[:-1] &= ~solid[1:]
-        cuts = block.starts[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < len(data))]
-        if len(cuts):  # a word ends with its document
-            begins[cuts] = solid[cuts]
-            ends[cuts - 1] = solid[cuts - 1]
-        self.first = np.flatnonzero(begins)
-        self.end = np.flatnonzero(ends) + 1
-        size = self.end - self.first
-        self.hash = np.zeros(len(size), np.uint64)
-        if len(size):
-            up, _ = powers(int(size.max()))
-            at = np.flatnonzero(solid)
-            within = at - np.repeat(self.first, size)
-            value = (data[at].astype(np.uint64) + np.uint64(1)) * up[within]
-            offsets = np.concatenate(([0], np.cumsum(size)[:-1]))
-            self.hash = mix(np.add.reduceat(value, offsets) + size.astype(np.uint64) * MIX)
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        doc, n = 0, len(block.sizes)
+        while doc < n:
+            to = max(int(np.searchsorted(block.starts, block.starts[doc] + self.RUN, "right")) - 1, doc + 1)
+            a, b = int(block.starts[doc]), int(block.starts[to])
+            if b > a:
+                h, first, end = _words(block.bytes[a:b], block.starts[doc + 1:to] - a, lower)
+                parts.append((h, first + a, end + a))
+            doc = to
+        self.hash, self.first, self.end = (np.concatenate(x) for x in zip(*parts))
         self.starts = np.searchsorted(self.first, block.starts)
+
+
+def _words(data: np.ndarray, cuts: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, end byte) of the words; a word ends at a cut, where a document begins."""
+    data = LOWER[data] if lower else data
+    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    begins = solid.copy()
+    ends = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    ends[:-1] &= ~solid[1:]
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    if len(cuts):
+        begins[cuts] = solid[cuts]
+        ends[cuts - 1] = solid[cuts - 1]
+    first = np.flatnonzero(begins)
+    end = np.flatnonzero(ends) + 1
+    size = end - first
+    if not len(size):
+        return np.zeros(0, np.uint64), first, end
+    up, _ = powers(int(size.max()))
+    at = np.flatnonzero(solid)
+    within = at - np.repeat(first, size)
+    value = (data[at].astype(np.uint64) + np.uint64(1)) * up[within]
+    offsets = np.concatenate(([0], np.cumsum(size)[:-1]))
+    return mix(np.add.reduceat(value, offsets) + size.astype(np.uint64) * MIX), first, end
