@@ -10,10 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..functions.windows import DS, Y, by_series, whole
 from .evaluate import YHAT, valid_pairs
@@ -65,11 +63,31 @@ def residual_histogram(pred: DataFrame, group: Sequence[str], bins: int = 30) ->
     return histogram(residuals(pred, group), "residual", group, bins)
 
 
-@F.pandas_udf(DoubleType())
-def _norm_ppf(p: pd.Series) -> pd.Series:
-    from statistics import NormalDist
-    nd = NormalDist()
-    return p.map(lambda v: nd.inv_cdf(v) if v is not None and 0.0 < v < 1.0 else float("nan"))
+# Acklam's rational approximation of the normal quantile
+# (relative error below 1.2e-9): numerator and denominator of the centre, then of the tails.
+QUANTILE_CENTRE = ([-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.357751867269, -30.66479806614716, 2.506628277459239],
+                   [-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0])
+QUANTILE_TAIL = ([-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783],
+                 [0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0])
+QUANTILE_SPLIT = 0.02425
+
+
+def normal_quantile(p: Column) -> Column:
+    """The standard normal's quantile; missing outside (0, 1)."""
+    def poly(x: Column, c: list[float]) -> Column:
+        out = F.lit(c[0])
+        for v in c[1:]:
+            out = out * x + F.lit(v)
+        return out
+
+    def tail(q: Column) -> Column:
+        r = F.sqrt(F.lit(-2.0) * F.log(q))
+        return poly(r, QUANTILE_TAIL[0]) / poly(r, QUANTILE_TAIL[1])
+
+    x = p - 0.5
+    centre = x * poly(x * x, QUANTILE_CENTRE[0]) / poly(x * x, QUANTILE_CENTRE[1])
+    return (F.when((p <= 0) | (p >= 1), F.lit(None).cast("double")).when(p < QUANTILE_SPLIT, tail(p))
+            .when(p > 1 - QUANTILE_SPLIT, -tail(1.0 - p)).otherwise(centre))
 
 
 def qq_table(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT) -> DataFrame:
@@ -84,7 +102,7 @@ def qq_table(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT
          .when(F.col("i") == 1, 1.0 - last)
          .otherwise((F.col("i") - 0.3175) / (F.col("n") + 0.365)))
     return ranked.select(*g, "i", "residual", m.alias("plotting_position")) \
-        .withColumn("theoretical", _norm_ppf(F.col("plotting_position")))
+        .withColumn("theoretical", normal_quantile(F.col("plotting_position")))
 
 
 def qq_fit(qq: DataFrame, group: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics as M
@@ -184,6 +184,26 @@ def mase(pred: DataFrame, train: DataFrame, group: Sequence[str], season: int =
     w = by_series(list(group))
     scale = (train.withColumn("_d", F.abs(F.col(y) - F.lag(F.col(y), season).over(w)))
              .groupBy(*group).agg(F.avg("_d").alias("naive_mae")))
+    return _over_scale(pred, scale, group, y, yhat)
+
+
+def yearly_mase(pred: DataFrame, panel: DataFrame, keys: Sequence[str], season: int = 1,
+                y: str = Y, yhat: str = YHAT) -> DataFrame:
+    """DK-8 for yearly folds: a fold trains on a prefix of the series, so its scale is a running sum over years.
+
+    No train row is copied per fold.
+    """
+    ks = list(keys)
+    step = F.abs(F.col(y) - F.lag(F.col(y), season).over(by_series(ks)))
+    per_year = (panel.withColumn("_d", step).groupBy(*ks, F.year(DS).alias("_year"))
+                .agg(F.sum("_d").alias("_s"), F.count("_d").alias("_c")))
+    upto = by_series(ks, "_year").rowsBetween(Window.unboundedPreceding, 0)
+    scale = per_year.select(*ks, (F.row_number().over(by_series(ks, "_year")) - 1).alias("fold_idx"),
+                            F.try_divide(F.sum("_s").over(upto), F.sum("_c").over(upto)).alias("naive_mae"))
+    return _over_scale(pred, scale, [*ks, "fold_idx"], y, yhat)
+
+
+def _over_scale(pred: DataFrame, scale: DataFrame, group: Sequence[str], y: str, yhat: str) -> DataFrame:
     m = valid_pairs(pred, y, yhat).groupBy(*group).agg(M.mae(y, yhat).alias("mae"))
     return m.join(scale, list(group), "left").withColumn(
         "mase", F.try_divide(F.col("mae"), F.col("naive_mae")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.windows import DS, Y, by_series, keys_of
-from .splits import DEFAULT_MAX_FOLDS, expand_yearly_folds
+from .splits import DEFAULT_MAX_FOLDS, expand_yearly_folds, rolling_origin_rows
 
 YHAT = "yhat"
 
@@ -23,6 +23,23 @@ def seasonal_naive_forecast(panel: DataFrame, season: int = 7, keys=None, value:
     return panel.withColumn(YHAT, F.lag(F.col(value), season).over(by_series(keys)))
 
 
+def rolling_origin_predictions(panel: DataFrame, season: int = 7, keys=None, value: str = Y, test_size: int = 30,
+                               gap_size: int = 0, **folds) -> DataFrame:
+    """Seasonal-naive forecasts for the test rows of row-count folds (DK-1..DK-4), from rows before the origin only.
+
+    A test row j rows past the origin takes the last value of its season
+    before the origin: ``season * ceil((j + 1) / season)`` rows back.
+    """
+    ks = keys_of(keys)
+    reach = -(-(gap_size + test_size) // season)
+    w = by_series(ks)
+    back = panel.withColumn("_back", F.array(*[F.lag(F.col(value), season * i).over(w) for i in range(1, reach + 1)]))
+    rows = rolling_origin_rows(back, ks, test_size=test_size, gap_size=gap_size, roles="test", **folds)
+    origin = folds.get("initial_train_size", 365) + F.col("fold_idx") * folds.get("step_size", 30)
+    seasons = F.floor((F.col("rn") - origin) / season).cast("int")
+    return rows.select(*ks, "fold_idx", DS, F.col(value).alias(Y), F.get("_back", seasons).alias(YHAT))
+
+
 def fold_test_predictions(panel: DataFrame, season: int = 7, keys=None, value: str = Y,
                           context: str = "with_history",
                           max_folds: int | None = DEFAULT_MAX_FOLDS) -> DataFrame:

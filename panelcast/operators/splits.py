@@ -118,13 +118,17 @@ def fold_sizes(expanded: DataFrame, keys=None) -> DataFrame:
 
 def rolling_origin_rows(panel: DataFrame, keys=None, initial_train_size: int = 365, test_size: int = 30,
                         step_size: int = 30, max_folds: int | None = None, gap_size: int = 0,
-                        expanding: bool = True) -> DataFrame:
+                        expanding: bool = True, roles: str = "both") -> DataFrame:
     """DK-1..DK-4: row-count folds.
 
     Fold k has origin ``o = initial + k*step``; test rows are positions
     ``[o+gap, o+gap+test)``, train rows ``[0 or o-initial, o)``.  Only folds
     with a full test window exist.  Rows are expanded with ``explode`` over
     the folds they belong to, computed arithmetically from the position.
+    ``roles='test'`` expands test rows only: each into test_size / step_size
+    folds, however long the series.  Train rows belong to a number of folds
+    that grows with the series, so fit from sums per block rather than from
+    copies, and see ``rolling_origin_bounds`` for sizes.
     """
     ks = keys_of(keys)
     rn = (F.row_number().over(by_series(ks)) - 1).cast("long")
@@ -147,12 +151,39 @@ def rolling_origin_rows(panel: DataFrame, keys=None, initial_train_size: int = 3
         r_hi = F.least(r_hi, F.floor(x / s))
     test_ids = F.when(t_lo <= t_hi, F.sequence(t_lo.cast("long"), t_hi.cast("long")))
     train_ids = F.when(r_lo <= r_hi, F.sequence(r_lo.cast("long"), r_hi.cast("long")))
-    roles = F.concat(
+    if roles == "test":
+        train_ids = F.lit(None).cast("array<bigint>")
+    members = F.concat(
         F.coalesce(F.transform(test_ids, lambda k: F.struct(k.alias("fold_idx"), F.lit("test").alias("role"))),
                    F.array().cast("array<struct<fold_idx:bigint,role:string>>")),
         F.coalesce(F.transform(train_ids, lambda k: F.struct(k.alias("fold_idx"), F.lit("train").alias("role"))),
                    F.array().cast("array<struct<fold_idx:bigint,role:string>>")),
     )
-    return (df.withColumn("_m", F.explode(roles))
+    return (df.withColumn("_m", F.explode(members))
             .select(*[c for c in panel.columns], "rn", F.col("_m.fold_idx").cast("int").alias("fold_idx"),
                     F.col("_m.role").alias("role")))
+
+
+def rolling_origin_bounds(panel: DataFrame, keys=None, initial_train_size: int = 365, test_size: int = 30,
+                          step_size: int = 30, max_folds: int | None = None, gap_size: int = 0,
+                          expanding: bool = True) -> DataFrame:
+    """Rows, first and last position and date of every fold and role, by arithmetic: no row is copied per fold."""
+    ks = keys_of(keys)
+    at = panel.select(*ks, DS, (F.row_number().over(by_series(ks)) - 1).cast("long").alias("rn"))
+    n = at.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
+    span = F.col("_n") - F.lit(initial_train_size + gap_size + test_size)
+    count = F.when(span >= 0, F.floor(span / F.lit(step_size)) + 1).otherwise(F.lit(0))
+    if max_folds is not None:
+        count = F.least(count, F.lit(int(max_folds)))
+    folds = n.withColumn("_k", count.cast("long")).where(F.col("_k") > 0).select(
+        *ks, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)).alias("_f"))
+    origin = F.lit(initial_train_size) + F.col("_f") * step_size
+    train_from = F.lit(0).cast("long") if expanding else origin - initial_train_size
+    role = lambda name, a, b: F.struct(F.lit(name).alias("role"), a.cast("long").alias("first_rn"), b.cast("long").alias("last_rn"))
+    bounds = folds.select(*ks, F.col("_f").cast("int").alias("fold_idx"), F.explode(F.array(
+        role("train", train_from, origin - 1), role("test", origin + gap_size, origin + gap_size + test_size - 1))).alias("_b"))
+    bounds = bounds.select(*ks, "fold_idx", "_b.*").withColumn("n_rows", F.col("last_rn") - F.col("first_rn") + 1)
+    for side in ("first", "last"):
+        named = at.select(*ks, F.col(DS).alias(f"{side}_ds"), F.col("rn").alias(f"{side}_rn"))
+        bounds = bounds.join(named, [*ks, f"{side}_rn"])
+    return bounds

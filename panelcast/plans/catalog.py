@@ -53,7 +53,7 @@ from ..operators import evaluate as E  # noqa: E402
 from ..operators import features as FE  # noqa: E402
 from ..operators import holidays as H  # noqa: E402
 from ..operators import splits as S  # noqa: E402
-from ..operators.naive import fold_test_predictions  # noqa: E402
+from ..operators.naive import fold_test_predictions, rolling_origin_predictions  # noqa: E402
 
 G = ["series_id", "fold_idx"]
 
@@ -200,7 +200,7 @@ def q_preprocessed(spark, sf_dir):
 @register("preprocessed_raw_rows")
 def q_preprocessed_raw_rows(spark, sf_dir):
     """CL-15 on raw order rows, many per day: the first of a day stays, then the full cleaning chain."""
-    return round_doubles(C.preprocess_complete(T.orders_raw(spark, sf_dir), tie="o_orderkey"))
+    return round_doubles(C.preprocess_complete(T.orders_raw(spark, sf_dir), tie="o_orderkey").drop("y_raw"))
 
 
 @register("missing_days")
@@ -306,24 +306,30 @@ def q_fold_sizes(spark, sf_dir):
     return S.fold_sizes(S.expand_yearly_folds(orders_panel(spark, sf_dir)))
 
 
-def _origin_sizes(rows):
-    return rows.groupBy("series_id", "fold_idx", "role").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"),
-        F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
-
-
 @register("rolling_origin_sizes")
 def q_rolling_origin_sizes(spark, sf_dir):
     """DK-1/DK-2: expanding row folds (365 train, 30 test, step 30)."""
-    return _origin_sizes(S.rolling_origin_rows(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")))
+    return S.rolling_origin_bounds(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"))
 
 
 @register("sliding_origin_sizes")
 def q_sliding_origin_sizes(spark, sf_dir):
     """DK-3/DK-4: sliding 365-row train window, 7-row gap, every fold."""
-    rows = S.rolling_origin_rows(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"),
-                                 gap_size=7, expanding=False)
-    return _origin_sizes(rows)
+    return S.rolling_origin_bounds(cleaned_orders(spark, sf_dir).select("series_id", "ds", "y"), gap_size=7, expanding=False)
+
+
+@register("rolling_origin_cv")
+def q_rolling_origin_cv(spark, sf_dir):
+    """DK-1/DK-2: seasonal-naive forecasts scored on every row-count fold."""
+    p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    return round_doubles(E.score(rolling_origin_predictions(p), G))
+
+
+@register("gap_origin_cv")
+def q_gap_origin_cv(spark, sf_dir):
+    """DK-3/DK-4: as above with a sliding window and seven unseen rows before the test rows."""
+    p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+    return round_doubles(E.score(rolling_origin_predictions(p, gap_size=7, expanding=False), G))
 
 
 # --- metrics and CV (AG-*, PF-*, SL-4) ----------------------------------------
@@ -403,8 +409,7 @@ def q_cv_report(spark, sf_dir):
 @register("mase")
 def q_mase(spark, sf_dir):
     p = cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
-    train = S.expand_yearly_folds(p, roles="train").select(*G, "ds", "y")
-    return round_doubles(E.mase(cv_predictions(spark, sf_dir), train, G))
+    return round_doubles(E.yearly_mase(cv_predictions(spark, sf_dir), p, ["series_id"]))
 
 
 # --- plot tables and diagnostics (PL-*, ST-*, DK-9..11) -----------------------
@@ -485,6 +490,15 @@ def q_ensemble_median(spark, sf_dir):
     return round_doubles(ENS.ensemble(_stack(spark, sf_dir), [*G, "ds"], "median", n_models=2))
 
 
+@register("ensemble_weighted")
+def q_ensemble_weighted(spark, sf_dir):
+    """DK-5: members weighted by the inverse of their mean CV error, per series."""
+    stack = _stack(spark, sf_dir)
+    folds = E.score(stack, ["model", *G]).withColumn("status", F.lit("success"))
+    weights = ENS.inverse_error_weights(folds, ["series_id"])
+    return round_doubles(ENS.ensemble(stack, [*G, "ds"], "weighted", weights=weights))
+
+
 @register("prediction_intervals")
 def q_prediction_intervals(spark, sf_dir):
     pred = cv_predictions(spark, sf_dir)
@@ -514,6 +528,65 @@ def _clean_panel(spark, sf_dir):
     return cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
 
 
+#: A model with a closed form: one lag and a trend, no penalty.
+SMALL = dict(n_lags=1, max_changepoints=0, weekly_order=0, yearly_order=0, ridge=0.0)
+
+
+@register("ar1_cv_predictions")
+def q_ar1_cv_predictions(spark, sf_dir):
+    """FC-1, FC-2, FC-4, FC-5: one lag and a trend, three horizons, every yearly fold."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", n_forecasts=3, **SMALL))
+    return round_doubles(p)
+
+
+@register("ar1_cv_metrics")
+def q_ar1_cv_metrics(spark, sf_dir):
+    """FC-7, FC-8: the same models scored per fold and horizon."""
+    m, _, _ = WF.cv_linear(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", n_forecasts=3, **SMALL))
+    return round_doubles(m)
+
+
+@register("ar1_final_fit")
+def q_ar1_final_fit(spark, sf_dir):
+    """FC-9: fit on the train split, predictions of the test split."""
+    _, p, _ = WF.final_fit(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", n_forecasts=3, **SMALL))
+    return round_doubles(p)
+
+
+@register("ar1_huber_fit")
+def q_ar1_huber_fit(spark, sf_dir):
+    """FC-2 with Huber loss: three reweighting passes."""
+    _, p, _ = WF.final_fit(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1h", n_forecasts=3, loss="huber", **SMALL))
+    return round_doubles(p)
+
+
+def _ar1_future(spark, sf_dir):
+    panel, cfg = _clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", **SMALL)
+    _, _, coefs = WF.final_fit(panel, cfg)
+    return panel, WF.future_forecast(panel, coefs, cfg, periods=365)
+
+
+@register("ar1_future")
+def q_ar1_future(spark, sf_dir):
+    """FC-6: a year past each series' end, each step fed back."""
+    return round_doubles(_ar1_future(spark, sf_dir)[1])
+
+
+@register("ar1_future_tails")
+def q_ar1_future_tails(spark, sf_dir):
+    """SL-5 / PL-10: history and future on one axis, its last 30, 180 and 365 days."""
+    panel, future = _ar1_future(spark, sf_dir)
+    return round_doubles(D.tail_slices(D.overlay(panel, future, ["series_id"]).drop("lower", "upper"), ["series_id"]))
+
+
+@register("ar1_ensemble")
+def q_ar1_ensemble(spark, sf_dir):
+    """FC-10, FC-11: two settings trained on one panel, combined per row."""
+    cfgs = [FCST.LinearARConfig(name="one", **SMALL), FCST.LinearARConfig(name="two", **SMALL)]
+    _, preds, _ = WF.train_all(_clean_panel(spark, sf_dir), cfgs)
+    return round_doubles(WF.ensemble_predict(preds, n_models=len(cfgs)))
+
+
 @register("cv_linear_ar")
 def q_cv_linear_ar(spark, sf_dir):
     """FC-7/FC-8: yearly CV of the linear AR model (30 lags, trend hinges, Fourier terms)."""

@@ -334,8 +334,8 @@ orders_panel AS (SELECT series_id, ds, y FROM (
   SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS ds, o_totalprice AS y,
          row_number() OVER (PARTITION BY o_orderpriority, CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS k FROM orders) t
   WHERE k = 1)"""
-ORACLE["preprocessed_raw_rows"] = q(f"WITH {CLEAN_ORDERS} SELECT * FROM orders_clean".replace(ORDERS_PANEL, RAW_DAYS),
-                                    ["y", "y_raw"])
+ORACLE["preprocessed_raw_rows"] = q(f"WITH {CLEAN_ORDERS} SELECT * EXCLUDE (y_raw) FROM orders_clean".replace(ORDERS_PANEL, RAW_DAYS),
+                                    ["y"])
 
 ORACLE["missing_days"] = f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
 SELECT series_id, ds FROM orders_dense WHERE y IS NULL"""
@@ -593,6 +593,25 @@ FROM sa a FULL JOIN sb b ON a.series_id = b.series_id AND a.fold_idx = b.fold_id
 LONG = "\nUNION ALL ".join(
     f"SELECT series_id, fold_idx, '{m}' AS metric, {m} AS value FROM fold_metrics WHERE status = 'success'"
     for m in METRIC_COLS)
+
+
+def origin_cv_sql(gap: int) -> str:
+    """Seasonal-naive forecasts from before each origin, scored per fold; the train window doesn't matter to them."""
+    return q(f"""WITH {CLEAN_ORDERS},
+base AS (SELECT series_id, ds, y, CAST(row_number() OVER ({W_SER}) - 1 AS BIGINT) AS rn FROM orders_clean),
+nk AS (SELECT series_id, CASE WHEN count(*) >= {395 + gap} THEN CAST(floor((count(*) - {395 + gap}) / 30) + 1 AS BIGINT) ELSE 0 END AS kk
+       FROM base GROUP BY 1),
+f AS (SELECT series_id, unnest(range(0, kk)) AS k FROM nk WHERE kk > 0),
+t AS (SELECT b.series_id, CAST(f.k AS INTEGER) AS fold_idx, b.ds, b.y,
+             b.rn - 7 * CAST(floor((b.rn - 365 - f.k * 30) / 7) + 1 AS BIGINT) AS src
+      FROM base b JOIN f ON b.series_id = f.series_id AND b.rn BETWEEN 365 + f.k * 30 + {gap} AND 365 + f.k * 30 + {gap} + 29),
+op AS (SELECT t.series_id, t.fold_idx, t.ds, t.y, s.y AS yhat FROM t LEFT JOIN base s ON s.series_id = t.series_id AND s.rn = t.src),
+{scored_cte("op", "os")} SELECT * FROM os""", METRIC_COLS)
+
+
+ORACLE["rolling_origin_cv"] = origin_cv_sql(0)
+ORACLE["gap_origin_cv"] = origin_cv_sql(7)
+
 ORACLE["cv_summary"] = q(f"""WITH {fold_metrics_ctes()}, long AS ({LONG})
 SELECT series_id, metric,
   CASE WHEN count(value) = count(*) THEN avg(value) END AS mean,
@@ -692,6 +711,12 @@ ORACLE["ensemble_median"] = q(f"""WITH {STACK}
 SELECT series_id, fold_idx, ds,
        CASE WHEN count(yhat) = count(*) AND count(yhat) = 2 THEN median(yhat) END AS yhat, count(yhat) AS n_members
 FROM stack GROUP BY 1, 2, 3""", ["yhat"])
+ORACLE["ensemble_weighted"] = q(f"""WITH {STACK},
+err AS (SELECT model, series_id, fold_idx, avg(abs(y - yhat)) AS mae FROM stack WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2, 3),
+wt AS (SELECT model, series_id, 1.0 / avg(mae) AS weight FROM err GROUP BY 1, 2)
+SELECT s.series_id, s.fold_idx, s.ds, sum(w.weight * s.yhat) / sum(CASE WHEN s.yhat IS NOT NULL THEN w.weight END) AS yhat,
+       count(s.yhat) AS n_members
+FROM stack s LEFT JOIN wt w USING (model, series_id) GROUP BY 1, 2, 3""", ["yhat"])
 ORACLE["prediction_intervals"] = q(f"""WITH {CVP7},
 qs AS (SELECT series_id, quantile_cont(y - yhat, 0.025) AS qlo, quantile_cont(y - yhat, 0.975) AS qhi
        FROM cvp WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1)
@@ -746,3 +771,110 @@ orders_panel AS (
 )"""
 # the same cleaning and CV chain, with the supplier rollup as its source panel
 ORACLE["cv_supplier_seasonal_naive"] = cv_sql(7, "with_history").replace(ORDERS_PANEL, SUPPLIER_PANEL)
+
+# --- quantiles and the fitted forecaster -----------------------------------------
+
+
+def _poly(x: str, c: list[float]) -> str:
+    out = repr(c[0])
+    for v in c[1:]:
+        out = f"({out} * {x} + {v!r})"
+    return out
+
+
+def _quantile(p: str) -> str:
+    from ..operators.diagnostics import QUANTILE_CENTRE, QUANTILE_SPLIT, QUANTILE_TAIL
+
+    def tail(v: str) -> str:
+        r = f"sqrt(CAST(-2.0 AS DOUBLE) * ln({v}))"
+        return f"{_poly(r, QUANTILE_TAIL[0])} / {_poly(r, QUANTILE_TAIL[1])}"
+    x = f"({p} - 0.5)"
+    centre = f"{x} * {_poly(f'({x} * {x})', QUANTILE_CENTRE[0])} / {_poly(f'({x} * {x})', QUANTILE_CENTRE[1])}"
+    return (f"CASE WHEN {p} < {QUANTILE_SPLIT} THEN {tail(p)} WHEN {p} > 1 - {QUANTILE_SPLIT} THEN -({tail(f'(1.0 - {p})')}) ELSE {centre} END")
+
+
+ORACLE["qq_table"] = q(f"""WITH {CVP7}, {RESID},
+rk AS (SELECT series_id, fold_idx, residual, CAST(row_number() OVER (PARTITION BY series_id, fold_idx ORDER BY residual) AS INTEGER) AS i,
+              count(*) OVER (PARTITION BY series_id, fold_idx) AS n FROM resid),
+pp AS (SELECT series_id, fold_idx, i, residual, CASE WHEN i = n THEN pow(CAST(0.5 AS DOUBLE), 1.0 / n) WHEN i = 1 THEN 1.0 - pow(CAST(0.5 AS DOUBLE), 1.0 / n)
+              ELSE (i - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END AS plotting_position FROM rk)
+SELECT *, {_quantile("plotting_position")} AS theoretical FROM pp""", ["residual", "plotting_position", "theoretical"])
+
+# rows of the one-lag model: for each horizon the lag it may use, and the trend
+AR1_ROWS = f"""{CLEAN_ORDERS},
+ar_base AS (SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY year(ds)) - 1 AS yrank,
+                   CAST(ds - min(ds) OVER (PARTITION BY series_id) AS DOUBLE) / 365.25 AS t,
+                   row_number() OVER ({W_SER}) - 1 AS rn, count(*) OVER (PARTITION BY series_id) AS cnt FROM orders_clean),
+ar_split AS (SELECT *, CASE WHEN rn < floor(cnt * CAST(0.7 AS DOUBLE)) THEN 'train'
+                  WHEN rn < floor(cnt * CAST(0.7 AS DOUBLE)) + floor(cnt * CAST(0.15 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM ar_base),
+ar_rows AS ({" UNION ALL ".join(f"SELECT *, {h} AS horizon, lag(y, {h}) OVER ({W_SER}) AS x FROM ar_split" for h in (1, 2, 3))}),
+ar_folds AS (SELECT DISTINCT series_id, CAST(yrank - 1 AS INTEGER) AS fold_idx, CAST(year(ds) AS INTEGER) AS test_year FROM ar_base WHERE yrank >= 1)"""
+
+
+def _fit(name: str, rows: str, group: str, w: str = "1.0") -> str:
+    """Weighted least squares of y on (1, x, t), in closed form."""
+    return f"""
+{name}_m AS (SELECT {group}, sum({w}) AS sw, sum({w} * x) / sum({w}) AS mx, sum({w} * t) / sum({w}) AS mt, sum({w} * y) / sum({w}) AS my
+             FROM {rows} WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY {group}),
+{name}_s AS (SELECT {group}, any_value(m.mx) AS mx, any_value(m.mt) AS mt, any_value(m.my) AS my,
+               sum({w} * (x - m.mx) * (x - m.mx)) AS sxx, sum({w} * (t - m.mt) * (t - m.mt)) AS stt, sum({w} * (x - m.mx) * (t - m.mt)) AS sxt,
+               sum({w} * (x - m.mx) * (y - m.my)) AS sxy, sum({w} * (t - m.mt) * (y - m.my)) AS sty
+             FROM {rows} JOIN {name}_m m USING ({group}) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY {group}),
+{name} AS (SELECT {group}, (sxy * stt - sty * sxt) / (sxx * stt - sxt * sxt) AS bx, (sty * sxx - sxy * sxt) / (sxx * stt - sxt * sxt) AS bt,
+             my - (sxy * stt - sty * sxt) / (sxx * stt - sxt * sxt) * mx - (sty * sxx - sxy * sxt) / (sxx * stt - sxt * sxt) * mt AS b0
+           FROM {name}_s)"""
+
+
+AR1_CV = f"""{AR1_ROWS},
+ar_train AS (SELECT f.fold_idx, r.* FROM ar_rows r JOIN ar_folds f ON f.series_id = r.series_id AND r.yrank <= f.fold_idx),
+{_fit("ar_fit", "ar_train", "series_id, fold_idx, horizon")},
+ar_pred AS (SELECT r.series_id, c.fold_idx, r.ds, r.horizon, r.y, c.b0 + c.bx * r.x + c.bt * r.t AS yhat
+            FROM ar_rows r JOIN ar_fit c ON c.series_id = r.series_id AND c.horizon = r.horizon AND c.fold_idx = r.yrank - 1)"""
+ORACLE["ar1_cv_predictions"] = q(f"WITH {AR1_CV} SELECT *, 'ar1' AS model FROM ar_pred", ["y", "yhat"])
+ORACLE["ar1_cv_metrics"] = q(f"""WITH {AR1_CV}, {scored_cte("ar_pred", "am", "series_id, fold_idx, horizon")}
+SELECT f.series_id, f.fold_idx, f.test_year, a.horizon, {", ".join("a." + c for c in FOLD_METRIC_COLS)},
+       'success' AS status, CAST(NULL AS VARCHAR) AS error, 'ar1' AS model
+FROM ar_folds f JOIN am a USING (series_id, fold_idx)""", METRIC_COLS)
+
+
+def _test_rows(fit: str, model: str) -> str:
+    return (f"SELECT r.series_id, 0 AS fold_idx, r.ds, r.horizon, r.y, c.b0 + c.bx * r.x + c.bt * r.t AS yhat, '{model}' AS model "
+            f"FROM ar_rows r JOIN {fit} c USING (series_id, horizon) WHERE r.split = 'test'")
+
+
+AR1_FINAL = f"""{AR1_ROWS},
+ar_tr AS (SELECT * FROM ar_rows WHERE split = 'train'),
+{_fit("ar_ff", "ar_tr", "series_id, horizon")}"""
+ORACLE["ar1_final_fit"] = q(f"WITH {AR1_FINAL} {_test_rows('ar_ff', 'ar1')}", ["y", "yhat"])
+
+
+def _huber(k: int, before: str) -> str:
+    """One pass: residuals of the fit before, their scale, weights, the next fit."""
+    r = "abs(r.y - (c.b0 + c.bx * r.x + c.bt * r.t))"
+    return f"""
+hr{k} AS (SELECT r.*, {r} AS res FROM ar_tr r JOIN {before} c USING (series_id, horizon) WHERE r.x IS NOT NULL AND r.y IS NOT NULL),
+hs{k} AS (SELECT series_id, horizon, CAST(1.345 AS DOUBLE) * (median(res) / CAST(0.6745 AS DOUBLE)) AS lim FROM hr{k} GROUP BY 1, 2),
+hw{k} AS (SELECT a.series_id, a.horizon, a.x, a.t, a.y, CASE WHEN lim > 0 AND res > lim THEN lim / res ELSE CAST(1.0 AS DOUBLE) END AS w
+          FROM hr{k} a JOIN hs{k} USING (series_id, horizon)),
+{_fit(f"hf{k}", f"hw{k}", "series_id, horizon", "w")}"""
+
+
+ORACLE["ar1_huber_fit"] = q(f"WITH {AR1_FINAL}, {_huber(1, 'ar_ff')}, {_huber(2, 'hf1')}, {_huber(3, 'hf2')} {_test_rows('hf3', 'ar1h')}",
+                            ["y", "yhat"])
+AR1_FUTURE = f"""{AR1_FINAL},
+ar_end AS (SELECT series_id, max(ds) AS last_ds, min(ds) AS first_ds, arg_max(y, ds) AS last_y FROM orders_clean GROUP BY 1),
+ar_fut AS (
+  SELECT e.series_id, 0 AS step, e.last_ds AS ds, e.last_y AS yhat, e.first_ds FROM ar_end e
+  UNION ALL
+  SELECT p.series_id, p.step + 1, CAST(p.ds + 1 AS DATE), c.b0 + c.bx * p.yhat + c.bt * (CAST(p.ds + 1 - p.first_ds AS DOUBLE) / 365.25), p.first_ds
+  FROM ar_fut p JOIN ar_ff c ON c.series_id = p.series_id AND c.horizon = 1 WHERE p.step < 365)"""
+ORACLE["ar1_future"] = q(f"""WITH RECURSIVE {AR1_FUTURE}
+SELECT series_id, ds, CAST(step AS INTEGER) AS step, yhat, 'success' AS status, CAST(NULL AS VARCHAR) AS error FROM ar_fut WHERE step > 0""", ["yhat"])
+ORACLE["ar1_future_tails"] = q(f"""WITH RECURSIVE {AR1_FUTURE},
+ov AS (SELECT series_id, ds, 'history' AS kind, y AS value FROM orders_clean
+       UNION ALL SELECT series_id, ds, 'forecast', yhat FROM ar_fut WHERE step > 0),
+ovr AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS rd FROM ov)
+SELECT o.series_id, o.ds, o.kind, o.value, CAST(p.period AS INTEGER) AS period
+FROM ovr o JOIN (VALUES (30), (180), (365)) p(period) ON o.rd <= p.period""", ["value"])
+ORACLE["ar1_ensemble"] = q(f"""WITH {AR1_CV}
+SELECT series_id, fold_idx, ds, horizon, yhat, CASE WHEN yhat IS NULL THEN 0 ELSE 2 END::BIGINT AS n_members FROM ar_pred WHERE horizon = 1""", ["yhat"])

@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import uuid
 from collections.abc import Mapping
@@ -25,9 +26,10 @@ def read_preamble_csv(spark: SparkSession, path: str, date_col: str, target_col:
     lines are numbered (a window per file over that block, bounded by the
     block size); later blocks pass straight through.  Line order inside a
     block follows the scan order, recorded with ``monotonically_increasing_id``.
-    The header names come from one line of one file (a single-row job).
-    Every column is read as text, then the date and target are typed; the
-    target's NaN becomes NULL.
+    The headers of all files must be equal (one distinct value is fetched).
+    Names may hold spaces and be quoted.  A line with another number of
+    fields raises.  Every column is read as text, then the date and target
+    are typed; the target's NaN becomes NULL.
     """
     raw = (spark.read.text(path)
            .select("value", F.col("_metadata.file_path").alias("_f"),
@@ -35,18 +37,20 @@ def read_preamble_csv(spark: SparkSession, path: str, date_col: str, target_col:
                    F.monotonically_increasing_id().alias("_i")))
     first_block = raw.where(F.col("_b") == 0)
     numbered = first_block.withColumn("_ln", F.row_number().over(Window.partitionBy("_f").orderBy("_i")))
-    header_rows = numbered.where(F.col("_ln") == skip + 1).select("value").limit(1).collect()
+    header_rows = numbered.where(F.col("_ln") == skip + 1).select("value").distinct().limit(2).collect()
     if not header_rows:
         raise ValueError(f"{path}: fewer than {skip + 1} lines")
-    names = [h.strip() for h in header_rows[0][0].split(sep)]
+    if len(header_rows) > 1:
+        raise ValueError(f"{path}: the files' headers differ: {[r[0] for r in header_rows]}")
+    names = [h.strip() for h in next(csv.reader([header_rows[0][0]], delimiter=sep, skipinitialspace=True))]
     missing = [c for c in (date_col, target_col) if c not in names]
     if missing:
         raise ValueError(f"{path}: required column(s) {missing} not in header {names}")
     body = numbered.where(F.col("_ln") > skip + 1).select("value").unionByName(
         raw.where(F.col("_b") > 0).select("value"))
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     parsed = body.where(F.length(F.trim("value")) > 0).select(
-        F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("r")).select("r.*")
+        F.from_csv("value", schema, {"sep": sep, "mode": "FAILFAST"}).alias("r")).select("r.*")
     d = F.to_date(F.col(date_col), date_format) if date_format else F.to_date(F.col(date_col))
     t = F.col(target_col).cast("double")
     return parsed.withColumn(date_col, d).withColumn(

@@ -15,7 +15,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["cv_seasonal_naive", "preprocessed", "feature_table", "holiday_flags", "fold_rows",
-          "cv_summary", "residual_histogram", "raw_positions", "rolling_origin_sizes", "segment_panel"]
+          "cv_summary", "residual_histogram", "raw_positions", "rolling_origin_sizes", "segment_panel",
+          "ar1_cv_metrics", "ar1_huber_fit", "ar1_future", "gap_origin_cv", "qq_table", "ensemble_weighted",
+          "preprocessed_raw_rows", "events_cv_summary"]
 
 
 def _norm(v):

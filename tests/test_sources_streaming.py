@@ -11,7 +11,7 @@ from panelcast.streaming import ops as ST
 
 def write_csv(path, n=40, nan_at=(3,), empty_at=(5,)):
     lines = ["Report title", "Generated by test", "Units: MW", "", "notes line"]
-    lines.append("Date,Country_Demand,Other")
+    lines.append("Date,Daily Load,Other")
     for i in range(n):
         v = "NaN" if i in nan_at else ("" if i in empty_at else f"{100 + i}.5")
         lines.append(f"2020-01-{i % 28 + 1:02d},{v},x{i}")
@@ -21,12 +21,12 @@ def write_csv(path, n=40, nan_at=(3,), empty_at=(5,)):
 def test_preamble_csv(spark, tmp_path):
     f = tmp_path / "data.csv"
     write_csv(f, n=20)
-    df = FS.read_preamble_csv(spark, str(f), "Date", "Country_Demand")
-    assert df.columns == ["Date", "Country_Demand", "Other"]
+    df = FS.read_preamble_csv(spark, str(f), "Date", "Daily Load")
+    assert df.columns == ["Date", "Daily Load", "Other"]
     assert df.count() == 20
-    assert df.where(F.col("Country_Demand").isNull()).count() == 2  # NaN and empty both NULL
+    assert df.where(F.col("Daily Load").isNull()).count() == 2  # NaN and empty both NULL
     assert dict(df.dtypes)["Date"] == "date"
-    head = FS.csv_head(df, "Date", "Country_Demand").collect()
+    head = FS.csv_head(df, "Date", "Daily Load").collect()
     assert len(head) == 5
     with pytest.raises(ValueError):
         FS.read_preamble_csv(spark, str(f), "Date", "Missing")
