@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import materialise
 from .sequences import Block, answer, ask, bucket_count, conclude, gram_hashes, mix, pack, powers, small
 
 #: An anchor with more places than this is split by whole windows.
@@ -276,8 +277,9 @@ def shared_windows(docs: DataFrame, read: Callable[[Block], Sequences], width: i
             np.add.at(change, to.astype(np.int64), -1)
         return finish(seq, np.cumsum(change[:-1]) > 0)
 
-    states = answer(ask(blocks, None, offer), compare)
-    spans = answer(ask(blocks, states, send), cover)
+    # both answers are small, and once they are written the questions' shuffles can go
+    states = materialise(answer(ask(blocks, None, offer), compare))
+    spans = materialise(answer(ask(blocks, states, send), cover))
     return conclude(blocks, spans, end, form)
 
 
