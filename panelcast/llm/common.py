@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,17 +25,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` into the shared checkpoint folder and go on from there.
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
 
-    The shuffles behind it are done with.  Spark deletes their files when the
-    driver's collector finds them unused, so it is asked to run; else the
-    executors' disks hold the files of all steps at once.
+    Spark deletes them when the driver's collector finds that nothing refers
+    to them any more; until it runs, the executors' disks hold the files of
+    all steps at once.  What still refers to a shuffle keeps it.
     """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` into the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
-    written = df.checkpoint(eager=True)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return written
+    release(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -34,7 +34,7 @@ from .repeats import runs
 from .sequences import NO_ID, TABLE, Block, Words, answer, ask, bucket_count, conclude, id_column, mix, pack, small, unsqueeze
 
 CUT = 5
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 FOLDS, HELD_OUT = 7, 2
 
@@ -127,6 +127,15 @@ class Unigrams:
         return self.discounted.mass(sums) / self.scale
 
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """An ascending array as its differences."""
+    return small(np.diff(x, prepend=0))
+
+
+def unstep(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x.astype(np.int64))
+
+
 def _tables(said: DataFrame, columns: int) -> np.ndarray:
     """The buckets' own figures, a row of numbers each (as many rows as buckets)."""
     def read(batches):
@@ -210,26 +219,28 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
         all_h = np.repeat(histories, deal[histories])
         all_s = np.arange(len(all_h)) - np.repeat(np.cumsum(deal[histories]) - deal[histories], deal[histories])
         h_bucket, p_bucket = place(all_h, all_s), place(h[asked], share)
-        h_order, p_order = np.lexsort((all_s, all_h, h_bucket)), np.lexsort((w[asked], share, h[asked], p_bucket))
+        h_order, p_order = np.lexsort((all_s, number[all_h], h_bucket)), np.lexsort((number[w[asked]], share, number[h[asked]], p_bucket))
         h_cuts, p_cuts = (np.searchsorted(x, np.arange(n + 1)) for x in (h_bucket[h_order], p_bucket[p_order]))
         for b in np.unique(h_bucket).tolist():
             own = h_order[h_cuts[b]:h_cuts[b + 1]]
             pairs = p_order[p_cuts[b]:p_cuts[b + 1]]
-            keys = all_h[own] * np.int64(n + 1) + all_s[own]
-            size = np.bincount(np.searchsorted(keys, h[asked[pairs]] * np.int64(n + 1) + share[pairs]), minlength=len(own))
+            keys = number[all_h[own]] * np.int64(n + 1) + all_s[own]
+            size = np.bincount(np.searchsorted(keys, number[h[asked[pairs]]] * np.int64(n + 1) + share[pairs]), minlength=len(own))
             yield b, all_h[own], all_s[own], size, asked[pairs], (h, w, c, of)
 
     def bigrams_of(block: Block, answers: dict):
         t = Tokens(block)
         count, number = known(t, answers)
         for b, hs, ss, size, pairs, (_, w, c, _) in requests(t, count, number):
-            word, which = np.unique(w[pairs], return_inverse=True)  # a word's number and count are sent once
-            yield b, (small(number[hs]), small(ss), small(size), small(which), small(c[pairs]), small(number[word]), small(count[word]))
+            # histories and words ascend, so their numbers are sent as steps; a word's number and count are sent once
+            word, one, which = np.unique(number[w[pairs]], return_index=True, return_inverse=True)
+            yield b, (steps(number[hs]), small(ss), small(size), small(which), small(c[pairs]), steps(word), small(count[w[pairs[one]]]))
 
     def bigram_table(messages: list):
-        hist, part = (np.concatenate([m[i].astype(np.int64) for m in messages]) for i in (0, 1))
+        hist, part = np.concatenate([unstep(m[0]) for m in messages]), np.concatenate([m[1].astype(np.int64) for m in messages])
         size, count = (np.concatenate([m[i].astype(np.int64) for m in messages]) for i in (2, 4))
-        word, of_word = (np.concatenate([m[i].astype(np.int64)[m[3]] for m in messages]) for i in (5, 6))
+        word = np.concatenate([unstep(m[5])[m[3]] for m in messages])
+        of_word = np.concatenate([m[6].astype(np.int64)[m[3]] for m in messages])
         order = np.lexsort((part, hist))
         first = runs(hist[order], part[order])
         group = np.empty(len(hist), np.int64)
@@ -248,7 +259,7 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
         answers = [(small(x), [small(sums[g, i]) for i in range(sums.shape[1])])
                    for x, g in zip(np.split(every, p_cuts), np.split(group, h_cuts))]
         # the bucket's part of the bigram table: by history, its words ascending
-        table = {"figures": _of_counts(seen), "history": small(hist[order][first]), "size": small(np.bincount(of_pair[at], minlength=k)),
+        table = {"figures": _of_counts(seen), "history": steps(hist[order][first]), "size": small(np.bincount(of_pair[at], minlength=k)),
                  "word": small(word[at]), "count": small(seen)}
         return answers, table
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 BLOCK_BYTES = 1 << 20
 #: Compressed bytes of text that a bucket stands for at most, and buckets per shuffle partition at least.
@@ -146,6 +146,7 @@ def conclude(blocks: DataFrame, said: DataFrame, finish: Callable[[Block, dict],
         keys = zip(right["kind"], right["bucket"]) if "kind" in right else right["bucket"]
         answers = {k: unsqueeze(x) for k, x in zip(keys, right["message"])}
         return pd.concat([finish(Block.read(p), answers) for p in left["payload"]], ignore_index=True)
+    release(blocks.sparkSession)
     return blocks.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(both, form)
 
 
