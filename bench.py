@@ -39,6 +39,9 @@ def main() -> None:
     def supplier_clean():
         return C.preprocess_complete(T.lineitem_supplier_panel(spark, sf_dir)).select("series_id", "ds", "y", "pos")
 
+    def orders_clean():
+        return CAT.cleaned_orders(spark, sf_dir).select("series_id", "ds", "y")
+
     plans = {
         "daily_rollup": lambda: T.lineitem_supplier_panel(spark, sf_dir),
         "feature_table": lambda: FE.create_all_features(supplier_clean()),
@@ -47,6 +50,9 @@ def main() -> None:
                                              FC.LinearARConfig())[0],
         "metrics_summary": lambda: E.cv_summary(
             WF.cv_seasonal_naive(supplier_clean().select("series_id", "ds", "y")), ["series_id"]),
+        "horizons_30": lambda: WF.cv_linear(orders_clean(), FC.LinearARConfig(n_forecasts=30))[0],
+        "huber_final_fit": lambda: WF.final_fit(orders_clean(), FC.LinearARConfig(loss="huber"))[0],
+        "row_origin_cv": lambda: CAT.QUERIES["rolling_origin_cv"](spark, sf_dir),
         "flagship_orders_cv": lambda: CAT.QUERIES["cv_seasonal_naive"](spark, sf_dir),
     }
     timings = {}

@@ -15,7 +15,7 @@ chronological split count rows of the current frame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import nan_to_null
@@ -207,9 +207,12 @@ def _scaled(value, lo, hi):
 
 
 def minmax_scale(panel: DataFrame, keys=None, value: str = Y, out: str | None = None,
-                 enabled: bool = True) -> DataFrame:
+                 enabled: bool = True, fit_on: Column | None = None) -> DataFrame:
     """CL-12 fit + transform on the same panel, via whole-series window min/max.
 
+    ``fit_on`` names the rows that the range is taken from (say, the train
+    rows of a split); other rows may then leave [0, 1].
+
     No scaler join is needed: the series window shares the panel's
     partitioning.  A constant series maps to 0.
     """
@@ -217,7 +220,8 @@ def minmax_scale(panel: DataFrame, keys=None, value: str = Y, out: str | None =
     if not enabled:
         return panel if out == value else panel.withColumn(out, F.col(value))
     w = whole(keys)
-    return (panel.withColumn("_lo", F.min(value).over(w)).withColumn("_hi", F.max(value).over(w))
+    fitted = F.col(value) if fit_on is None else F.when(fit_on, F.col(value))
+    return (panel.withColumn("_lo", F.min(fitted).over(w)).withColumn("_hi", F.max(fitted).over(w))
             .withColumn(out, _scaled(value, "_lo", "_hi")).drop("_lo", "_hi"))
 
 
@@ -262,13 +266,13 @@ def inverse_log_transform(panel: DataFrame, value: str = Y, out: str | None = No
 def preprocess_complete(panel: DataFrame, keys=None, missing: str = "interpolate",
                         outliers: bool = True, outlier_threshold: float = 3.0,
                         normalize: bool = True, fill_calendar: bool = True,
-                        log: bool = False, tie: str | None = None) -> DataFrame:
+                        log: bool = False, tie: str | None = None, fit_on: Column | None = None) -> DataFrame:
     """CL-15: validate (dates, order, duplicates), missing values, outlier flags, scaling.
 
     Output: the keys, ``ds``, ``pos``, ``y_raw`` (the target before scaling),
     ``is_outlier`` and the scaled ``y``.  Of several rows of a day the first
     by ``tie`` stays; without a tie column, the one with the least target,
-    missing last.  Days are aggregated before any window, so a series is at
+    missing last.  ``fit_on`` limits the rows that fit the scale.  Days are aggregated before any window, so a series is at
     most one row per day from there on.  ``fill_calendar`` first adds the
     missing days (the reference expects a gap-free daily series).
     """
@@ -284,5 +288,5 @@ def preprocess_complete(panel: DataFrame, keys=None, missing: str = "interpolate
         p = log_transform(p)
     p = p.withColumn("y_raw", F.col(Y))
     p = flag_outliers(p, outlier_threshold, outliers, ks)
-    p = minmax_scale(p, ks, enabled=normalize)
+    p = minmax_scale(p, ks, enabled=normalize, fit_on=fit_on)
     return p

@@ -23,6 +23,24 @@ YHAT = "yhat"
 NO_PAIRS = "no row has both a value and a forecast"
 
 
+def prediction_column(columns: Sequence[str], date_col: str = DS) -> str:
+    """PF-7 / SC-12: ``yhat1``; else the first name that starts with ``yhat``, then with ``y``; else the first but the date."""
+    names = [c for c in columns if c != date_col]
+    for fits in (lambda c: c == "yhat1", lambda c: c.startswith("yhat"), lambda c: c.startswith("y"), lambda c: True):
+        for c in names:
+            if fits(c):
+                return c
+    raise ValueError(f"no prediction column among {list(columns)}")
+
+
+def align_forecast(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], y: str = Y) -> DataFrame:
+    """JN-4: a forecast table, wide or long, joined to the actual rows on the keys and the date."""
+    ks = list(keys)
+    column = prediction_column([c for c in forecast.columns if c not in ks])
+    return (actual.select(*ks, DS, F.col(y).alias(Y))
+            .join(forecast.select(*ks, DS, F.col(column).alias(YHAT)), [*ks, DS]))
+
+
 def valid_pairs(pred: DataFrame, y: str = Y, yhat: str = YHAT) -> DataFrame:
     """PF-2: keep rows where both actual and prediction are present."""
     return pred.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())

@@ -203,6 +203,13 @@ def q_preprocessed_raw_rows(spark, sf_dir):
     return round_doubles(C.preprocess_complete(T.orders_raw(spark, sf_dir), tie="o_orderkey").drop("y_raw"))
 
 
+@register("preprocessed_train_scale")
+def q_preprocessed_train_scale(spark, sf_dir):
+    """CL-15 with the scale fitted on the years before 1998 only: later rows may leave [0, 1]."""
+    p = C.preprocess_complete(orders_panel(spark, sf_dir), fit_on=F.year("ds") < 1998)
+    return round_doubles(p.drop("y_raw"))
+
+
 @register("missing_days")
 def q_missing_days(spark, sf_dir):
     return C.missing_days(orders_panel(spark, sf_dir))
@@ -546,6 +553,14 @@ def q_ar1_cv_metrics(spark, sf_dir):
     return round_doubles(m)
 
 
+@register("ar1_intervals")
+def q_ar1_intervals(spark, sf_dir):
+    """DK-9: empirical intervals of every horizon from the residuals of its own CV predictions."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", n_forecasts=3, **SMALL))
+    p = p.drop("model")
+    return round_doubles(D.prediction_intervals(p, p.drop("y"), ["series_id", "horizon"]))
+
+
 @register("ar1_final_fit")
 def q_ar1_final_fit(spark, sf_dir):
     """FC-9: fit on the train split, predictions of the test split."""

@@ -337,6 +337,10 @@ orders_panel AS (SELECT series_id, ds, y FROM (
 ORACLE["preprocessed_raw_rows"] = q(f"WITH {CLEAN_ORDERS} SELECT * EXCLUDE (y_raw) FROM orders_clean".replace(ORDERS_PANEL, RAW_DAYS),
                                     ["y"])
 
+TRAIN_SCALE = CLEAN_ORDERS.replace("min(y) OVER (PARTITION BY series_id) AS lo", "min(CASE WHEN year(ds) < 1998 THEN y END) OVER (PARTITION BY series_id) AS lo") \
+    .replace("max(y) OVER (PARTITION BY series_id) AS hi", "max(CASE WHEN year(ds) < 1998 THEN y END) OVER (PARTITION BY series_id) AS hi")
+ORACLE["preprocessed_train_scale"] = q(f"WITH {TRAIN_SCALE} SELECT * EXCLUDE (y_raw) FROM orders_clean", ["y"])
+
 ORACLE["missing_days"] = f"""WITH {ORDERS_PANEL}, {densified("orders_panel", "orders_dense")}
 SELECT series_id, ds FROM orders_dense WHERE y IS NULL"""
 
@@ -837,6 +841,13 @@ SELECT f.series_id, f.fold_idx, f.test_year, a.horizon, {", ".join("a." + c for
 FROM ar_folds f JOIN am a USING (series_id, fold_idx)""", METRIC_COLS)
 
 
+ORACLE["ar1_intervals"] = q(f"""WITH {AR1_CV},
+iq AS (SELECT series_id, horizon, quantile_cont(y - yhat, 0.025) AS qlo, quantile_cont(y - yhat, 0.975) AS qhi
+       FROM ar_pred WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2)
+SELECT c.series_id, c.fold_idx, c.ds, c.horizon, c.yhat, c.yhat + i.qlo AS lower, c.yhat + i.qhi AS upper
+FROM ar_pred c LEFT JOIN iq i USING (series_id, horizon)""", ["yhat", "lower", "upper"])
+
+
 def _test_rows(fit: str, model: str) -> str:
     return (f"SELECT r.series_id, 0 AS fold_idx, r.ds, r.horizon, r.y, c.b0 + c.bx * r.x + c.bt * r.t AS yhat, '{model}' AS model "
             f"FROM ar_rows r JOIN {fit} c USING (series_id, horizon) WHERE r.split = 'test'")

@@ -260,6 +260,28 @@ def ensemble_predict(preds: DataFrame, n_models: int, method: str = "mean", weig
     return ensemble(preds, ["series_id", "fold_idx", DS, "horizon"], method, n_models=n_models, weights=weights)
 
 
+def run_settings(cfg: FC.LinearARConfig, **sections) -> dict:
+    """IO-8: the settings of a run in six sections: model, data, cv, features, evaluation, visualization."""
+    from ..functions.metrics import ALL_METRICS
+    from ..operators.features import DEFAULT_LAGS, DEFAULT_WINDOWS
+    out = {"model": json.loads(cfg.to_json()), "data": {}, "cv": {},
+           "features": {"lag_values": list(DEFAULT_LAGS), "rolling_windows": list(DEFAULT_WINDOWS)},
+           "evaluation": {"metrics": list(ALL_METRICS)}, "visualization": {}}
+    for name, values in sections.items():
+        out[name] = out[name] | values
+    return out
+
+
+def settings_table(spark, configs: Sequence[FC.LinearARConfig]) -> DataFrame:
+    """UD-4: one row per model setting: model, settings (JSON)."""
+    return spark.createDataFrame([(c.name, c.to_json()) for c in configs], "model string, settings string")
+
+
+def configs_of(settings: DataFrame) -> list[FC.LinearARConfig]:
+    """The settings of a ``settings_table`` (a handful of rows) as records."""
+    return [FC.LinearARConfig(**json.loads(r.settings)) for r in settings.select("settings").collect()]
+
+
 def execute_pipeline(panel: DataFrame, out_dir: str, cfg: FC.LinearARConfig | None = None,
                      missing: str = "interpolate", normalize: bool = True,
                      max_folds: int | None = DEFAULT_MAX_FOLDS) -> dict:
@@ -312,6 +334,8 @@ def execute_pipeline(panel: DataFrame, out_dir: str, cfg: FC.LinearARConfig | No
             keep(f"plot_{name}", table)
     except Exception as e:  # noqa: BLE001 - recorded, as in the reference
         status, error = "failed", f"{type(e).__name__}: {e}"
-    record = run_record(spark, json.loads(cfg.to_json()), status, error, written)
+    settings = run_settings(cfg, data={"missing": missing, "normalize": normalize}, cv={"max_folds": max_folds},
+                            visualization={"tables": sorted(t for t in written if t.startswith("plot_"))})
+    record = run_record(spark, settings, status, error, written)
     append_run(record, f"{out_dir}/runs")
     return {"status": status, "error": error, "tables": written}

@@ -110,3 +110,39 @@ def test_improvement_needs_whole_rows(spark, panel_df):
     assert E.improvement_over_baseline(pred, ["series_id"]).first().mae_improvement == 0.0
     holed = pred.withColumn("yhat", F.when(F.dayofmonth("ds") > 2, F.col("yhat")))
     assert E.improvement_over_baseline(holed, ["series_id"]).first().mae_improvement is None
+
+
+def test_prediction_column_and_alignment(spark, panel_df):
+    assert E.prediction_column(["ds", "y2", "yhat3", "yhat1"]) == "yhat1"
+    assert E.prediction_column(["ds", "trend", "y2", "yhat3"]) == "yhat3"
+    assert E.prediction_column(["ds", "trend", "y2"]) == "y2" and E.prediction_column(["ds", "trend"]) == "trend"
+    actual = panel_df({"s": daily("2020-01-01", [1.0, 2.0, 3.0])})
+    wide = actual.where("ds > '2020-01-01'").select("series_id", "ds", (F.col("y") + 1).alias("yhat1"), F.lit(0.0).alias("yhat2"))
+    got = E.align_forecast(wide, actual, ["series_id"]).orderBy("ds").collect()
+    assert [(r.y, r.yhat) for r in got] == [(2.0, 3.0), (3.0, 4.0)]
+
+
+def test_settings_round_trip(spark):
+    cfgs = [FC.LinearARConfig(name="a", n_lags=3), FC.LinearARConfig(name="b", loss="huber")]
+    assert WF.configs_of(WF.settings_table(spark, cfgs)) == cfgs
+    assert set(WF.run_settings(cfgs[0])) == {"model", "data", "cv", "features", "evaluation", "visualization"}
+
+
+def test_normal_quantile(spark):
+    from statistics import NormalDist
+
+    from panelcast.operators.diagnostics import normal_quantile
+    ps = [1e-9, 0.001, 0.02, 0.3, 0.5, 0.9, 0.99, 1 - 1e-7]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").select(normal_quantile(F.col("p")).alias("q")).collect()
+    assert [r.q for r in got] == pytest.approx([NormalDist().inv_cdf(p) for p in ps], abs=1e-7)
+
+
+def test_csv_names_with_blanks_and_differing_headers(spark, tmp_path):
+    from panelcast.sources.files import read_preamble_csv
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text('p\n"The Date","Load, MW",note\n2020-01-01,1.5,a\n2020-01-02,NaN,"b, c"\n')
+    got = read_preamble_csv(spark, str(tmp_path / "a"), "The Date", "Load, MW", skip=1).orderBy("The Date").collect()
+    assert [(str(r[0]), r[1], r[2]) for r in got] == [("2020-01-01", 1.5, "a"), ("2020-01-02", None, "b, c")]
+    (tmp_path / "a" / "y.csv").write_text("p\nDate,Load,note\n2020-01-01,1.5,a\n")
+    with pytest.raises(ValueError, match="differ"):
+        read_preamble_csv(spark, str(tmp_path / "a"), "The Date", "Load, MW", skip=1)
