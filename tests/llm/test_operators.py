@@ -340,3 +340,23 @@ def test_every_operator_is_registered():
 def test_nothing_else_imports_this(module):
     code = f"import sys, {module}; sys.exit(any('.llm' in m for m in sys.modules))"
     assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(corpus_pipeline.__file__)).returncode == 0
+
+
+def test_components(spark):
+    from panelcast.llm.components import components
+    rnd = np.random.default_rng(6)
+    links = [(i, i + 1) for i in range(0, 60)] + [tuple(map(int, x)) for x in rnd.integers(100, 200, (70, 2))] + [(500, 500), (7, 6), (300, 999)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    want = {x: root(x) for x in parent if x != 500}
+    alone = {x for a, b in links if a == b for x in (a,)} - {x for a, b in links if a != b for x in (a, b)}
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: r for x, r in want.items() if x not in alone}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
