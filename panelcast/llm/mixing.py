@@ -87,9 +87,9 @@ def mix_documents(docs: DataFrame, **how) -> DataFrame:
     Rows with the same id, source and size are taken alike, as often as the first of them in the queue.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    plan = (mix(sized(docs), **how).groupBy("doc_id", "src", "size").agg(F.max("copies").cast("int").alias("_copies"))
-            .where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("src").alias("_src"), F.col("size").alias("_size"), "_copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (size == F.col("_size"))
+    plan = (mix(sized(docs), **how).groupBy("doc_id", "src", "size").agg(F.max("copies").cast("int").alias("__mix_copies"))
+            .where("__mix_copies > 0").select(F.col("doc_id").alias("__mix_id"), F.col("src").alias("__mix_src"), F.col("size").alias("__mix_size"), "__mix_copies"))
+    same = F.col("doc_id").eqNullSafe(F.col("__mix_id")) & F.col("source").eqNullSafe(F.col("__mix_src")) & (size == F.col("__mix_size"))
     once = docs.join(plan, same)
-    return (once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_id", "_src", "_size", "_copies", "_copy"))
+    return (once.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
+            .drop("__mix_id", "__mix_src", "__mix_size", "__mix_copies", "__mix_copy"))

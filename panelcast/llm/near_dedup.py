@@ -262,5 +262,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, with the columns they came with."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("_gone")).distinct()
-    return docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))) == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("__gone_id")).distinct()
+    return docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))) == F.col("__gone_id"), "left_anti")

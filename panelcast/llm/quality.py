@@ -123,9 +123,9 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     report = base_rules(docs)
     bad, same = _same_text(depleted(docs, **limits))
     failed = report.where("base_failed").select("host", "key").unionByName(bad.select(F.col("host_").alias("host"), F.col("key_").alias("key")))
-    failed = failed.distinct().select(F.col("host").alias("_host"), F.col("key").alias("_key"))
+    failed = failed.distinct().select(F.col("host").alias("__failed_host"), F.col("key").alias("__failed_key"))
     keyed = F.coalesce(F.col("text"), F.lit(""))
-    return docs.join(failed, F.col("source").eqNullSafe(F.col("_host")) & (text_key(keyed) == F.col("_key")), "left_anti")
+    return docs.join(failed, F.col("source").eqNullSafe(F.col("__failed_host")) & (text_key(keyed) == F.col("__failed_key")), "left_anti")
 
 
 ORACLE = rf"""

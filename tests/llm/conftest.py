@@ -17,7 +17,7 @@ def make_docs(spark):
     """Documents from (doc_id, text, source) rows, with further columns whose names clash with the operators' own."""
     def make(rows):
         full = [(d, t, "en", s, len(t) if t is not None else None, "x", 1) for d, t, s in rows]
-        return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, key string, block int")
+        return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, key string, _id int")
     return make
 
 
