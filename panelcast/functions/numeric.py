@@ -18,11 +18,6 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c.cast("double"))
 
 
-def safe_div(num, den) -> Column:
-    """``num / den`` or NULL when ``den`` is 0 or NULL."""
-    return F.try_divide(col_(num), col_(den))
-
-
 def signed_inf_div(num, den) -> Column:
     """Float division with IEEE results: x/0 = +-inf, 0/0 = NULL (NaN in numpy)."""
     num, den = col_(num), col_(den)
@@ -33,7 +28,3 @@ def signed_inf_div(num, den) -> Column:
         .when(num < 0, F.lit(-INF))
         .otherwise(F.lit(None).cast("double"))
     )
-
-
-def round6(c, digits: int = 6) -> Column:
-    return F.round(col_(c), digits)

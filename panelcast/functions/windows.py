@@ -49,11 +49,6 @@ def following(keys=None, order=DS) -> WindowSpec:
         Window.unboundedPreceding, Window.currentRow)
 
 
-def trailing(n: int, keys=None, order=DS) -> WindowSpec:
-    """The current row and the ``n - 1`` rows before it."""
-    return by_series(keys, order).rowsBetween(-(n - 1), Window.currentRow)
-
-
 def whole(keys=None) -> WindowSpec:
     """The whole series, unordered (for series-level statistics)."""
     return Window.partitionBy(*keys_of(keys))

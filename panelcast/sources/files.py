@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import csv
 import json
+import logging
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
+LOG = logging.getLogger(__name__)
+
 def read_preamble_csv(spark: SparkSession, path: str, date_col: str, target_col: str, skip: int = 5,
                       date_format: str | None = None, sep: str = ",") -> DataFrame:
     """IO-1: skip the first ``skip`` lines of every file, use the next line as header.
@@ -94,7 +96,8 @@ def save_coefficients(coef_table: DataFrame, path: str) -> bool:
             return False
         coef_table.write.mode("overwrite").partitionBy("model").parquet(path)
         return True
-    except Exception:  # noqa: BLE001 - the reference reports failure as False
+    except Exception:  # noqa: BLE001 - failure is the return value, its cause goes to the log
+        LOG.exception("the coefficients were not written to %s", path)
         return False
 
 
@@ -104,6 +107,7 @@ def load_coefficients(spark: SparkSession, path: str, model: str | None = None)
         df = spark.read.parquet(path)
         return df.where(F.col("model") == model) if model else df
     except Exception:  # noqa: BLE001
+        LOG.exception("no coefficients were read from %s", path)
         return None
 
 
@@ -124,4 +128,5 @@ def save_metadata(summary: DataFrame, path: str) -> bool:
         summary.coalesce(1).write.mode("overwrite").json(path)
         return True
     except Exception:  # noqa: BLE001
+        LOG.exception("the metadata were not written to %s", path)
         return False

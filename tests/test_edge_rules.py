@@ -122,6 +122,15 @@ def test_prediction_column_and_alignment(spark, panel_df):
     assert [(r.y, r.yhat) for r in got] == [(2.0, 3.0), (3.0, 4.0)]
 
 
+def test_metadata_and_failures(spark, tmp_path, caplog):
+    from panelcast.sources.files import load_coefficients, save_metadata
+    assert save_metadata(spark.range(2), str(tmp_path / "m")) and spark.read.json(str(tmp_path / "m")).count() == 2
+    assert load_coefficients(spark, str(tmp_path / "none")) is None and "no coefficients" in caplog.text
+    assert E.absolute_errors(spark.createDataFrame([(1.0, 3.0)], "y double, yhat double")).first().abs_error == 2.0
+    with pytest.raises(ValueError, match="missing required"):
+        T.require_columns(spark.range(1), "ds")
+
+
 def test_settings_round_trip(spark):
     cfgs = [FC.LinearARConfig(name="a", n_lags=3), FC.LinearARConfig(name="b", loss="huber")]
     assert WF.configs_of(WF.settings_table(spark, cfgs)) == cfgs
