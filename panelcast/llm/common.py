@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,16 +31,20 @@ def release(spark: SparkSession) -> None:
 
     Spark deletes them when the driver's collector finds that nothing refers
     to them any more; until it runs, the executors' disks hold the files of
-    all steps at once.  What still refers to a shuffle keeps it.
+    all steps at once.  What still refers to a shuffle keeps it.  The first
+    collection frees Python's handles, the second what they held.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` into the shared checkpoint folder and go on from there."""
+def materialise(df: DataFrame, tidy: bool = True) -> DataFrame:
+    """Write ``df`` into the shared checkpoint folder and go on from there, without the shuffles before (``tidy``)."""
     ensure_checkpoint_dir(df.sparkSession)
-    release(df.sparkSession)
+    if tidy:
+        release(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = materialise(
             large.join(low.withColumnRenamed("a", "n"), F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a > b").unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+            .where("a > b").unionByName(low.select("a", F.col("m").alias("b"))).distinct(), tidy=False)
         now, before = contents(small), now
     return small.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         small.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
