@@ -2,15 +2,16 @@
 
 import math
 
-import brute
 import public_tokenizers
 import pytest
-from conftest import odd_rows
 from tokenizers import Tokenizer
 
 from panelcast.llm import katz, near_dedup, suffix_dedup, suffix_trees, token_files
 from panelcast.llm.queries import TOKENIZER
 
+from . import brute
+from .conftest import odd_rows
+
 
 def rows_of(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

@@ -5,12 +5,10 @@ import os
 import subprocess
 import sys
 
-import brute
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF, odd_rows
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -18,6 +16,9 @@ from panelcast.llm import chat, decontaminate, katz, mixing, near_dedup, quality
 from panelcast.llm.queries import ORACLE, QUERIES, TOKENIZER
 from panelcast.llm.tokens import PieceEncoder
 
+from . import brute
+from .conftest import SF, odd_rows
+
 # chat
 
 
