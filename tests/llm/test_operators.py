@@ -193,7 +193,8 @@ def test_random_access(sf_docs, tmp_path):
     path = public_tokenizers.path(TOKENIZER)
     files = token_files.write_sequences(sf_docs, str(tmp_path / "out"), path, length=64).orderBy("part", "file").collect()
     assert sorted(os.listdir(tmp_path / "out")) == sorted(os.path.basename(f.path) for f in files)
-    want = [i for d, t in sorted((r.doc_id, r.text) for r in sf_docs.collect()) for i in [*Tokenizer.from_file(path).encode(t).ids, 0]]
+    tokenizer = Tokenizer.from_file(path)
+    want = [i for d, t in sorted((r.doc_id, r.text) for r in sf_docs.collect()) for i in [*tokenizer.encode(t).ids, 0]]
     got = []
     for f in files:
         seqs = token_files.SequenceFile(f.path)
