@@ -390,7 +390,8 @@ def events_cv_metrics(spark, sf_dir):
 
 @register("events_cv")
 def q_events_cv(spark, sf_dir):
-    return round_doubles(events_cv_metrics(spark, sf_dir))
+    m = events_cv_metrics(spark, sf_dir)
+    return round_doubles(m.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("fold_idx", "test_year")}))
 
 
 @register("events_cv_summary")

@@ -630,7 +630,8 @@ SELECT series_id, count(*) AS total_folds, CAST(count_if(status = 'success') AS
 FROM fold_metrics GROUP BY 1"""
 EVENTS_PANEL = """
 orders_panel AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS ds, SUM(value) AS y FROM events GROUP BY 1, 2)"""
-ORACLE["events_cv"] = cv_sql(7, "with_history").replace(ORDERS_PANEL, EVENTS_PANEL)
+ORACLE["events_cv"] = f"""SELECT * REPLACE (coalesce(fold_idx, -1) AS fold_idx, coalesce(test_year, -1) AS test_year)
+FROM ({cv_sql(7, "with_history").replace(ORDERS_PANEL, EVENTS_PANEL)}) AS e"""
 ORACLE["events_cv_summary"] = f"""WITH {EVENTS_PANEL}
 SELECT DISTINCT series_id, m.metric, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min,
        CAST(NULL AS DOUBLE) AS max, CAST(0 AS BIGINT) AS fold_count, 'failed' AS status
