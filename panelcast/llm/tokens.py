@@ -10,18 +10,24 @@ import numpy as np
 
 #: Unicode White_Space, as the byte-level pre-tokenizer's \s means it (fixed values).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: The pre-tokenizer never joins what this splits: a run of non-blanks with at most one space before it.
-PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Letters that a run of letters is looked for in (fixed ranges, all of them letters to the pre-tokenizer).
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: The pre-tokenizer never joins what this splits: a whole run of letters with at most one space before it,
+#: what is left of a run of non-blanks, and blanks.
+PIECE = re.compile(f" ?[{LETTER}]+(?![^\\W\\d_])| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+WORD_PIECE = re.compile(f" ?[{LETTER}]+")
 #: Longer pieces are encoded but not remembered; so many pieces are remembered at most.
-MAX_PIECE, MAX_PIECES = 64, 300_000
+MAX_PIECE, MAX_PIECES = 64, 1_000_000
 
 
 class PieceEncoder:
     """Encodes whole texts with a byte-level tokenizer file, remembering pieces.
 
     The pre-tokenizer cuts a text before the merges and no merge crosses a
-    cut, so the ids of a text are those of its pieces in order.  Texts that
-    hold a special token's string are encoded whole.
+    cut, so the ids of a text are those of its pieces in order.  New words
+    are encoded by the library many at once, in lists it cuts into the same
+    words; all other new pieces each on its own.  Texts that hold a special
+    token's string are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -31,33 +37,55 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, dict[str, bytes]] = {"ids": {}, "offsets": {}}
+
+    def _listed(self, pieces: list[str], between: str, what: str) -> dict[str, bytes]:
+        """Words that the pre-tokenizer tells apart when ``between`` stands between them."""
+        out = {}
+        for at in range(0, len(pieces), 20_000):
+            part = pieces[at:at + 20_000]
+            encoded = self.tokenizer.encode(between.join(part), add_special_tokens=False)
+            spans = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+            first = np.cumsum([0, *[len(x) + len(between) for x in part]])[:-1]
+            end = first + np.array([len(x) for x in part])
+            low, high = np.searchsorted(spans[:, 0], first), np.searchsorted(spans[:, 0], end)
+            if what == "ids":
+                size, data = 4, np.array(encoded.ids, "<u4").tobytes()
+            else:
+                word = np.maximum(np.searchsorted(first, spans[:, 0], "right") - 1, 0)
+                size, data = 8, (spans - first[word][:, None]).astype("<u4").tobytes()
+            out.update((x, data[size * a:size * b]) for x, a, b in zip(part, low.tolist(), high.tolist()))
+        return out
 
-    def _encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids, start and end characters) of each text, as 32-bit integers."""
-        return [(np.array(e.ids, "<u4").tobytes(), np.array(e.offsets, "<u4").tobytes())
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _encode(self, pieces: list[str], what: str) -> dict[str, bytes]:
+        """``ids``, or ``offsets`` (first and end character of each token), as 32-bit integers."""
+        words = [x for x in pieces if WORD_PIECE.fullmatch(x)]
+        made = self._listed([x for x in words if x[0] == " "], "", what) | self._listed([x for x in words if x[0] != " "], "\n", what)
+        rest = [x for x in pieces if x not in made]
+        for x, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            made[x] = np.array(e.ids if what == "ids" else e.offsets, "<u4").tobytes()
+        return made
 
-    def _pieces(self, texts: list[str]) -> list[tuple[list[str], list[tuple[bytes, bytes]]]]:
+    def _pieces(self, texts: list[str], what: str) -> list[tuple[list[str], list[bytes]]]:
         cut = [[x] if any(s in x for s in self.special) else PIECE.findall(x) for x in texts]
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
-        made = dict(zip(new, self._encode(new)))
-        self.known.update((k, v) for k, v in made.items() if len(k) <= MAX_PIECE)
-        known = self.known
-        return [(p, [known[x] if x in known else made[x] for x in p]) for p in cut]
+        known = self.known[what]
+        if len(known) > MAX_PIECES:
+            known.clear()
+        made = self._encode(list(set().union(*cut).difference(known)), what)
+        long = {k: v for k, v in made.items() if len(k) > MAX_PIECE}
+        known.update((k, v) for k, v in made.items() if len(k) <= MAX_PIECE)
+        return [(p, list(map(known.__getitem__, p)) if not long else [known[x] if x in known else long[x] for x in p]) for p in cut]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join([g[0] for g in got]), "<u4") for _, got in self._pieces(texts)]
+        return [np.frombuffer(b"".join(got), "<u4") for _, got in self._pieces(texts, "ids")]
 
     def spans(self, texts: list[str]) -> list[np.ndarray]:
         """Per text an (n_tokens, 2) array of the characters each token covers, from and to."""
         out = []
-        for pieces, got in self._pieces(texts):
-            rel = np.frombuffer(b"".join([g[1] for g in got]), "<u4").reshape(-1, 2).astype(np.int64)
+        for pieces, got in self._pieces(texts, "offsets"):
+            rel = np.frombuffer(b"".join(got), "<u4").reshape(-1, 2).astype(np.int64)
             starts = np.cumsum([0, *map(len, pieces)])[:-1]
-            out.append(rel + np.repeat(starts, [len(g[0]) // 4 for g in got])[:, None] if len(rel) else rel)
+            out.append(rel + np.repeat(starts, [len(g) // 8 for g in got])[:, None] if len(rel) else rel)
         return out
 
 
