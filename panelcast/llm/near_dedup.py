@@ -1,12 +1,13 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
 A document's set holds its distinct five-word shingles (64-bit hashes).
-Documents of equal sets form a class.  A class's signature has SYMBOLS b-bit
-minima.  Two signatures that differ in at most DISTANCE symbols differ, by
-the pigeonhole principle, in at most ``ERRORS`` symbols of one of the CHUNKS
-chunks; so for every chunk each way to leave out one symbol is a key, and
-such signatures share a key.  At a similarity of 0.85, a pair's distance
-exceeds DISTANCE with a probability under 1e-5; every other pair is found.
+Documents of equal sets form a class.  A class's signature has SYMBOLS
+16-bit minima.  Two signatures that differ in at most ``distance(percent)``
+symbols differ, by the pigeonhole principle, in at most ``ERRORS`` symbols of
+one of the chunks; so for every chunk each way to leave out one symbol is a
+key, and such signatures share a key.  A pair of the similarity asked for
+exceeds that distance with a probability of MISSED at most (24 symbols and 13
+chunks for 0.85, 28 and 15 for 0.8); every other pair is found.
 
 Classes that share a key are compared by their signatures and joined into
 families, and within a family links are confirmed on the full sets.  Only the
@@ -24,6 +25,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -38,17 +40,30 @@ from .sequences import LOWER, NO_ID, Block, Words, gram_hashes, id_column, mix,
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
-SYMBOLS, DISTANCE, ERRORS = 64, 24, 1
-CHUNKS = DISTANCE // (ERRORS + 1) + 1
+SYMBOLS, ERRORS = 64, 1
+#: The probability at most that a pair just as similar as asked for has no key in common.
+MISSED = 5e-6
 TILE = 1024
 #: Ids (8 bytes each) that are broadcast at most to pick out documents.
 BROADCAST_IDS = 500_000
 BATCH_BYTES = 1 << 20
 
-BOUNDS = [SYMBOLS * i // CHUNKS for i in range(CHUNKS + 1)]
 FACTORS = (mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
 
 
+def distance(percent: int) -> int:
+    """The least distance that a pair of this similarity exceeds with a probability of MISSED at most."""
+    differ, more = 1 - percent / 100, 0.0
+    for d in range(SYMBOLS, 0, -1):
+        more += comb(SYMBOLS, d) * differ ** d * (1 - differ) ** (SYMBOLS - d)
+        if more > MISSED:
+            return d
+    return 0
+
+
+DISTANCE = distance(PERCENT)
+
+
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, starts): the distinct shingle hashes of each text, ascending, one text after the other."""
     block = Block(np.zeros(len(texts), np.int64), np.array([len(x) for x in texts], np.int64), b"".join(texts))
@@ -71,12 +86,12 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(texts, SYMBOLS) bytes; rows of empty sets are zero."""
-    out = np.zeros((len(starts) - 1, SYMBOLS), np.uint8)
+    """(texts, SYMBOLS) minima; rows of empty sets are zero."""
+    out = np.zeros((len(starts) - 1, SYMBOLS), np.uint16)
     full = np.flatnonzero(np.diff(starts))
     if len(full):
         for i, f in enumerate(FACTORS):
-            out[full, i] = mix(np.minimum.reduceat(h * f, starts[full])) & np.uint64(255)
+            out[full, i] = mix(np.minimum.reduceat(h * f, starts[full])) & np.uint64(0xFFFF)
     return out
 
 
@@ -110,12 +125,18 @@ def describe(docs: DataFrame) -> DataFrame:
         made, "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
-def chunk_keys(sig: np.ndarray) -> np.ndarray:
+def read_signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, SYMBOLS)
+
+
+def chunk_keys(sig: np.ndarray, most: int = DISTANCE) -> np.ndarray:
     """(classes, SYMBOLS) keys: each chunk's symbols with one of them left out."""
+    chunks = most // (ERRORS + 1) + 1
+    bounds = [SYMBOLS * i // chunks for i in range(chunks + 1)]
     up, _ = powers(SYMBOLS)
     value = (sig.astype(np.uint64) + np.uint64(1)) * up[:SYMBOLS]
     out = np.empty(sig.shape, np.uint64)
-    for a, b in zip(BOUNDS, BOUNDS[1:]):
+    for a, b in zip(bounds, bounds[1:]):
         whole = value[:, a:b].sum(axis=1, dtype=np.uint64)
         out[:, a:b] = whole[:, None] - value[:, a:b]
     return mix(out + np.arange(SYMBOLS, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -135,18 +156,17 @@ def forest(n: int, linked) -> list[tuple[int, int]]:
     return out
 
 
-def near(sig: np.ndarray):
-    return lambda x, others: (sig[others] != sig[x]).sum(axis=1) <= DISTANCE
+def near(sig: np.ndarray, most: int):
+    return lambda x, others: (sig[others] != sig[x]).sum(axis=1) <= most
 
 
-def similar(sig: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):
-    """Confirmed on the full sets; sizes and signatures first."""
+def similar(sets: list[np.ndarray], percent: int):
+    """Confirmed on the full sets, sizes first."""
     size = np.array([len(s) for s in sets])
-    close = near(sig)
 
     def linked(x: int, others: np.ndarray) -> np.ndarray:
         most, least = np.maximum(size[others], size[x]), np.minimum(size[others], size[x])
-        hit = (100 * least >= percent * most) & close(x, others)
+        hit = 100 * least >= percent * most
         at = np.flatnonzero(hit)
         if len(at):
             mine, theirs = sets[x], np.concatenate([sets[i] for i in others[at]])
@@ -184,20 +204,22 @@ def _grouped(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
 
 
-def _signature_links(batches):
-    for pdf, first in _groups(batches, ["key", "tile_a", "tile_b"]):
-        cls = pdf["cls"].to_numpy()
-        sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(-1, SYMBOLS)
-        ends = np.append(first[1:], len(pdf))
-        two = first[ends - first == 2]
-        two = two[(sig[two] != sig[two + 1]).sum(axis=1) <= DISTANCE]
-        links = [np.stack((cls[two], cls[two + 1]), axis=1)]
-        for a, b in zip(first, ends):
-            if b - a > 2:
-                got = forest(b - a, near(sig[a:b]))
-                if got:
-                    links.append(cls[a:b][np.array(got)])
-        yield pd.DataFrame(np.concatenate(links), columns=["a", "b"])
+def _signature_links(most: int):
+    def link(batches):
+        for pdf, first in _groups(batches, ["key", "tile_a", "tile_b"]):
+            cls = pdf["cls"].to_numpy()
+            sig = read_signatures(pdf["signature"])
+            ends = np.append(first[1:], len(pdf))
+            two = first[ends - first == 2]
+            two = two[(sig[two] != sig[two + 1]).sum(axis=1) <= most]
+            links = [np.stack((cls[two], cls[two + 1]), axis=1)]
+            for a, b in zip(first, ends):
+                if b - a > 2:
+                    got = forest(b - a, near(sig[a:b], most))
+                    if got:
+                        links.append(cls[a:b][np.array(got)])
+            yield pd.DataFrame(np.concatenate(links), columns=["a", "b"])
+    return link
 
 
 def _set_links(percent: int):
@@ -207,8 +229,7 @@ def _set_links(percent: int):
             for a, b in zip(first, np.append(first[1:], len(pdf))):
                 rows = pdf.iloc[a:b].drop_duplicates("cls")
                 cls = rows["cls"].to_numpy()
-                sig = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, SYMBOLS)
-                got = forest(len(rows), similar(sig, [np.frombuffer(x, np.uint64) for x in rows["shingles"]], percent))
+                got = forest(len(rows), similar([np.frombuffer(x, np.uint64) for x in rows["shingles"]], percent))
                 if got:
                     links.append(cls[np.array(got)])
             yield pd.DataFrame(np.concatenate(links), columns=["a", "b"])
@@ -222,19 +243,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                           .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
                           .withColumn("cls", F.monotonically_increasing_id()))
 
+    most = distance(percent)
+
     def keys_of(batches):
         for pdf in batches:
-            sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(-1, SYMBOLS)
-            yield pd.DataFrame({"key": chunk_keys(sig).ravel().view(np.int64), "cls": np.repeat(pdf["cls"].to_numpy(), SYMBOLS)})
+            keys = chunk_keys(read_signatures(pdf["signature"]), most)
+            yield pd.DataFrame({"key": keys.ravel().view(np.int64), "cls": np.repeat(pdf["cls"].to_numpy(), SYMBOLS)})
 
     keys = classes.select("cls", "signature").mapInPandas(keys_of, "key long, cls long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = keys.join(shared, "key").join(classes.select("cls", "signature"), "cls")
-    links = _grouped(tiled(members, "key", "n"), ["key", "tile_a", "tile_b"]).mapInPandas(_signature_links, "a long, b long")
+    links = _grouped(tiled(members, "key", "n"), ["key", "tile_a", "tile_b"]).mapInPandas(_signature_links(most), "a long, b long")
     families = materialise(components(links))
 
     sized = families.join(families.groupBy("root").agg(F.count("*").alias("n")), "root")
-    wanted = materialise(sized.join(classes, F.col("node") == F.col("cls")).select("root", "n", "cls", "set_key", "signature", "rep"))
+    wanted = materialise(sized.join(classes, F.col("node") == F.col("cls")).select("root", "n", "cls", "set_key", "rep"))
     ids = wanted.select(F.coalesce("rep", F.lit(int(NO_ID))).alias("_id")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)

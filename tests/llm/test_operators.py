@@ -362,3 +362,40 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: r for x, r in want.items() if x not in alone}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# near copies at the pipeline's similarity
+
+
+def edited(words, at):
+    return " ".join(f"edit{i}" if i in at else w for i, w in enumerate(words))
+
+
+def test_distances_follow_the_similarity():
+    assert near_dedup.distance(85) == near_dedup.DISTANCE == 24 and near_dedup.distance(80) == 28
+    rnd = np.random.default_rng(7)
+    for percent in (90, 85, 80, 70, 50):
+        most = near_dedup.distance(percent)
+        assert sum(rnd.binomial(near_dedup.SYMBOLS, 1 - percent / 100, 100_000) > most) <= 8
+        a = rnd.integers(0, 1 << 16, (100, near_dedup.SYMBOLS)).astype(np.uint16)
+        b = a.copy()
+        for row in b:
+            row[rnd.choice(near_dedup.SYMBOLS, most, replace=False)] ^= 1
+        assert (near_dedup.chunk_keys(a, most) == near_dedup.chunk_keys(b, most)).any(axis=1).all()
+
+
+def test_links_at_lower_similarities(make_docs):
+    rnd = np.random.default_rng(8)
+    rows = []
+    for k in range(150):
+        words = [f"d{k}w{j}" for j in range(120)]
+        n = int(rnd.integers(1, 9))
+        rows += [(2 * k, " ".join(words), "s"), (2 * k + 1, edited(words, {10 + 13 * i for i in range(n)}), "s")]
+    for percent in (80, 60):
+        got = near_dedup.near_duplicates(make_docs(rows), percent).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted(brute.near_rows([r[:2] for r in rows], percent))
+
+
+def test_full_sets_decide_within_a_family():
+    sets = [np.arange(100, dtype=np.uint64), np.arange(8, 108, dtype=np.uint64)]
+    assert near_dedup.similar(sets, 80)(0, np.array([1])).all() and not near_dedup.similar(sets, 90)(0, np.array([1])).any()
