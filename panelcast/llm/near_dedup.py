@@ -18,8 +18,9 @@ into tiles, and each pair of tiles is a group of its own: no group has over
 
 Defined results: documents without words have an empty set and are their own
 component; a null id comes after all others and gets a null component of its
-own; rows of equal id are one document, all of them are kept or none; an
-empty table gives an empty result.
+own; in the report all rows with the id of their component are kept;
+``drop_near_duplicates`` decides by row, one of each component stays whether
+ids are null, repeated or neither; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, text_key
 from .components import components
 from .repeats import runs
 from .sequences import LOWER, NO_ID, Block, Words, gram_hashes, id_column, mix, powers
@@ -96,15 +97,14 @@ def signatures(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches):
-    """(ids, hashes, starts) of runs of documents of bounded size."""
+    """(rows, hashes, starts) of runs of documents of bounded size."""
     for pdf in batches:
-        keys = pdf["doc_id"].astype("Int64").fillna(int(NO_ID)).to_numpy(np.int64)
         texts, first, held = [], 0, 0
         for i, x in enumerate(pdf["text"]):
             texts.append(x.encode("utf-8", "replace") if isinstance(x, str) else b"")
             held += len(texts[-1])
-            if held >= BATCH_BYTES or i + 1 == len(keys):
-                yield keys[first:i + 1], *shingle_sets(texts)
+            if held >= BATCH_BYTES or i + 1 == len(pdf):
+                yield pdf.iloc[first:i + 1], *shingle_sets(texts)
                 texts, first, held = [], i + 1, 0
 
 
@@ -112,17 +112,27 @@ def _set_key(h: np.ndarray, a: int, b: int) -> bytes:
     return hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest()
 
 
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc_id")
+
+
+def _key() -> Column:
+    return text_key(F.coalesce(F.col("text"), F.lit("")))
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) per document row; no key for an empty set."""
+    """(doc_id, a, b, n, n_shingles, set_key, signature) per document row: a, b, n are the text's key; no set key for an empty set."""
     def made(batches):
-        for ids, h, starts in _sets(batches):
+        for rows, h, starts in _sets(batches):
             sig = signatures(h, starts)
             size = np.diff(starts)
-            yield pd.DataFrame({"doc_id": id_column(ids), "n_shingles": size,
+            yield pd.DataFrame({"doc_id": id_column(rows["doc_id"].to_numpy()), "a": rows["a"].to_numpy(), "b": rows["b"].to_numpy(),
+                                "n": rows["n"].to_numpy(), "n_shingles": size,
                                 "set_key": [_set_key(h, a, b) if b > a else None for a, b in zip(starts, starts[1:])],
                                 "signature": [x.tobytes() for x in sig]})
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        made, "doc_id long, n_shingles long, set_key binary, signature binary")
+    # ids without nulls: pandas would turn them into floats
+    return docs.select(_id(), "text", _key().alias("k")).select("doc_id", "text", "k.*").mapInPandas(
+        made, "doc_id long, a long, b long, n int, n_shingles long, set_key binary, signature binary")
 
 
 def read_signatures(column) -> np.ndarray:
@@ -236,8 +246,8 @@ def _set_links(percent: int):
     return confirm
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per document row."""
+def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What ``describe`` tells of the documents, and (set_key, rep, root) of every class: its least id and its component."""
     described = materialise(describe(docs))
     classes = materialise(described.where(F.col("set_key").isNotNull()).groupBy("set_key")
                           .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
@@ -275,15 +285,41 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     confirmed = _grouped(in_families, ["root", "tile_a", "tile_b"]).mapInPandas(_set_links(percent), "a long, b long")
     groups = components(confirmed)
 
-    of_class = classes.join(groups, F.col("cls") == F.col("node"), "left").select("set_key", "rep", F.coalesce("root", "cls").alias("root"))
+    return described, classes.join(groups, F.col("cls") == F.col("node"), "left").select("set_key", "rep", F.coalesce("root", "cls").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per document row."""
+    described, of_class = _linked(docs, percent)
     least = of_class.groupBy("root").agg(F.min("rep").alias("component"))
     of_class = of_class.join(least, "root").select("set_key", "component")
-    found = described.drop("signature").join(of_class, "set_key", "left")
+    found = described.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay, with the columns they came with."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("__gone_id")).distinct()
-    return docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))) == F.col("__gone_id"), "left_anti")
+    """One row of each component and all without words, with the columns they came with.
+
+    The row with the least id stays, of several the one with the least text
+    key, of rows equal in both the one whose columns hash least.
+    """
+    described, of_class = _linked(docs, percent)
+    row = F.struct(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("id"), F.struct("a", "b", "n").alias("key"))
+    texts = described.where(F.col("set_key").isNotNull()).groupBy("set_key", row.alias("__row")).agg(F.count("*").alias("__copies"))
+    # a class's least row first: hot classes and components are combined before the shuffles
+    firsts = of_class.join(texts.groupBy("set_key").agg(F.min("__row").alias("first")), "set_key").select("set_key", "root", "first")
+    firsts = firsts.join(firsts.groupBy("root").agg(F.min("first").alias("__first")), "root").select("set_key", "__first")
+    verdict = materialise(texts.join(firsts, "set_key").select("__row", (F.col("__row") == F.col("__first")).alias("__stays"), "__copies")
+                          .where("__copies > 1 OR NOT __stays").select("__row.id", "__row.key", "__stays")
+                          .toDF("__id", "__key", "__stays"))
+    same = (_id() == F.col("__id")) & (_key() == F.col("__key"))
+    stay = docs.join(verdict, same, "left_anti")
+    several = verdict.where("__stays")
+    if several.isEmpty():
+        return stay
+    # rows equal in id and text: each task sends one of them
+    plain = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    one = (docs.join(several, same, "left_semi").groupBy(_id().alias("__id"), _key().alias("__key"))
+           .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("__whole")).select("__whole.*"))
+    return stay.unionByName(one)

@@ -399,3 +399,22 @@ def test_links_at_lower_similarities(make_docs):
 def test_full_sets_decide_within_a_family():
     sets = [np.arange(100, dtype=np.uint64), np.arange(8, 108, dtype=np.uint64)]
     assert near_dedup.similar(sets, 80)(0, np.array([1])).all() and not near_dedup.similar(sets, 90)(0, np.array([1])).any()
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(make_docs):
+    words = [f"word{i}" for i in range(120)]
+    text, near = " ".join(words), edited(words, {60})
+    unique = [" ".join(f"u{k}x{i}" for i in range(30)) for k in range(4)]
+    rows = [(5, text, "a"), (None, near, "a"), (None, unique[0], "a"), (5, unique[1], "b"), (9, text, "b"), (9, unique[2], "b"),
+            (None, None, "c"), (None, "  ", "c"), (2 ** 60 + 1, unique[3], "a"), (2 ** 60 + 1, unique[3], "a"), (2 ** 60 + 2, unique[3], "a")]
+    for same_id in (None, 7):
+        rows += [(same_id, f"only {same_id} " + " ".join(f"c{same_id}x{i}" for i in range(30)), "d")] * 6
+    docs = make_docs(rows)
+    kept = near_dedup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.source) for r in kept.collect()), key=repr)
+    gone = [(None, near, "a"), (9, text, "b"), rows[9], rows[10]] + [rows[11]] * 5 + [rows[17]] * 5
+    want = list(rows)
+    for r in gone:
+        want.remove(r)
+    assert got == sorted(want, key=repr)
