@@ -16,6 +16,9 @@ from panelcast.llm.common import documents, table
 from panelcast.llm.queries import TOKENIZER
 from panelcast.session import ensure_checkpoint_dir, ship_package
 
+#: Near copies share this percentage of their five-word shingles at least; 85 is op7's alone.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lose most of their words with frequent lines go."""
@@ -26,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
     ship_package(spark)
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

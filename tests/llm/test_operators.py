@@ -418,3 +418,13 @@ def test_one_row_of_each_group_stays_whatever_its_id(make_docs):
     for r in gone:
         want.remove(r)
     assert got == sorted(want, key=repr)
+
+
+def test_the_pipelines_stage_links_at_eighty_percent(spark, sf_docs, make_docs):
+    words = [f"word{i}" for i in range(120)]
+    rows = [(1, " ".join(words), "a"), (2, edited(words, {30, 90}), "a"), (3, edited(words, {20, 50, 80}), "b")]  # 0.841 and 0.771
+    for docs in (make_docs(rows), sf_docs):
+        plain = [(r.doc_id, r.text) for r in docs.collect()]
+        want = {d for d, _, _, kept in brute.near_rows(plain, 80) if kept}
+        assert want < {d for d, _, _, kept in brute.near_rows(plain, 85) if kept}
+        assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == sorted(want)
