@@ -64,6 +64,7 @@ def main() -> None:
             run(build())
             runs.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(runs), 3)
+        print(f"{name} {timings[name]} s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_warm_median_sec",

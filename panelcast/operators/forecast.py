@@ -315,17 +315,23 @@ def dot(x: Column, coef: Column) -> Column:
 
 
 def with_yhats(design_rows: DataFrame, coefs: DataFrame, cfg: LinearARConfig) -> DataFrame:
-    """The rows with ``yhats``, the forecasts of horizons 1..H (missing where the fit failed)."""
-    order = F.array_sort(F.collect_list(F.struct("horizon", "coef")))
-    models = (coefs.where(F.col("status") == "success").groupBy("series_id", "fold_idx").agg(order.alias("_models")))
+    """The rows with ``yhats``, the forecasts of horizons 1..H (missing where the fit failed).
+
+    A model is one array of H coefficient arrays, put together on the few rows
+    of ``coefs``, so a row costs H dot products: horizon h reads ``n_lags``
+    lags from lag h on.
+    """
+    own = F.map_from_entries(F.collect_list(F.when(F.col("status") == "success", F.struct("horizon", "coef"))))
+    models = (coefs.groupBy("series_id", "fold_idx").agg(own.alias("_own"))
+              .where(F.size("_own") > 0)
+              .select("series_id", "fold_idx", F.transform(
+                  F.sequence(F.lit(1), F.lit(cfg.n_forecasts)), lambda h: F.col("_own")[h]).alias("_models")))
     lags = F.array(*[F.col(f"lag_{k}") for k in range(1, cfg.max_lag() + 1)])
     base = F.array(*[F.col(c) for c in cfg.base_terms()])
-    by_horizon = F.map_from_arrays(F.col("_models")["horizon"], F.transform(
-        "_models", lambda m: dot(F.concat(F.array(F.lit(1.0)), F.slice("_lags", m["horizon"], cfg.n_lags), F.col("_base")), m["coef"])))
     rows = design_rows.withColumn("_lags", lags).withColumn("_base", base).join(models, ["series_id", "fold_idx"])
-    horizons = F.sequence(F.lit(1), F.lit(cfg.n_forecasts))
-    return (rows.withColumn("_by", by_horizon).withColumn("yhats", F.transform(horizons, lambda h: F.col("_by")[h]))
-            .drop("_lags", "_base", "_models", "_by"))
+    yhats = F.transform("_models", lambda coef, i: dot(
+        F.concat(F.array(F.lit(1.0)), F.slice("_lags", i + 1, F.lit(cfg.n_lags)), F.col("_base")), coef))
+    return rows.withColumn("yhats", yhats).drop("_lags", "_base", "_models")
 
 
 def predict_rows(design_rows: DataFrame, coefs: DataFrame, cfg: LinearARConfig, extra: Sequence[str] = ()) -> DataFrame:
@@ -335,7 +341,8 @@ def predict_rows(design_rows: DataFrame, coefs: DataFrame, cfg: LinearARConfig,
     """
     have = {r: F.col(r) for r in ("series_id", "fold_idx", DS, Y, *extra)}
     fitted = with_yhats(design_rows, coefs, cfg)
-    return (fitted.select(*have.values(), F.posexplode("yhats").alias("_h", "yhat"))
+    # outer: the arrays are never empty, and a plain explode would first filter by them, at the cost of all forecasts again
+    return (fitted.select(*have.values(), F.posexplode_outer("yhats").alias("_h", "yhat"))
             .select("series_id", "fold_idx", DS, (F.col("_h") + 1).alias("horizon"), Y, *extra, "yhat"))
 
 
@@ -346,7 +353,7 @@ def with_huber_weights(train: DataFrame, coefs: DataFrame, cfg: LinearARConfig)
     """
     keys = ["series_id", "fold_idx"]
     fitted = with_yhats(train, coefs, cfg)
-    spread = (fitted.select(*keys, Y, F.posexplode("yhats").alias("_h", "_f"))
+    spread = (fitted.select(*keys, Y, F.posexplode_outer("yhats").alias("_h", "_f"))
               .groupBy(*keys, "_h").agg((F.median(F.abs(F.col(Y) - F.col("_f"))) / 0.6745).alias("_s"))
               .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_h", "_s"))).alias("_scales")))
 
