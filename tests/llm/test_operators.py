@@ -322,7 +322,7 @@ def test_pipeline_against_plain_versions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     report = {r.doc_id: r.kept for r in quality.quality_report(docs).collect()}
     rows = [(r.doc_id, r.text) for r in docs.collect() if report[r.doc_id]]
-    stay = {d for d, _, _, kept in brute.near_rows(rows) if kept}
+    stay = {d for d, _, _, kept in brute.near_rows(rows, corpus_pipeline.NEAR_PERCENT) if kept}
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     clean = {d: t for d, t in rows if d in stay and not any(overlap(i, t) >= 0.8 for i in items)}
     left = docs.where(docs.doc_id.isin(list(clean)))
