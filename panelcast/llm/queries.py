@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, katz, mixing, near_dedup, quality, suffix_dedup, suffix_trees, token_counts, token_files
+from . import (
+    chat, decontaminate, filter_audit, katz, mixing, near_dedup, orchard, packing, quality, suffix_dedup, suffix_trees, token_counts,
+    token_files,
+)
 from .common import documents, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -52,6 +55,18 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_trees.remove_repeats(documents(spark, sf_dir), texts=False)
 
 
+def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
+def op12_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_chat_repair": op1_chat_repair,
     "op2_token_files": op2_token_files,
@@ -63,8 +78,13 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_weighted_mix": op9_weighted_mix,
     "op10_suffix_trees": op10_suffix_trees,
+    "op11_nnls_packing": op11_nnls_packing,
+    "op12_orchard_clusters": op12_orchard_clusters,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE = {
     "op4_quality_rules": quality.ORACLE,
+    "op12_orchard_clusters": orchard.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }

@@ -334,7 +334,7 @@ def test_pipeline_against_plain_versions(spark):
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5
 
 
