@@ -3,7 +3,10 @@
 Lines are normalised and hashed, the distinct documents that hold a line are
 counted per host, lines above the host's limit are removed, and a document
 that loses too many of its words is rejected.  Exact copies of a text count
-as one document, so a clean text is not rejected for having copies.
+as one document.  So do near copies: texts of several lines that have few
+words in lines of their own (lines that no other text of the host holds) are
+together one holder of a line, so a clean text is not rejected for having
+copies.
 
 Defined results: a null or empty text has no words and fails the base rule;
 a null host is a host of its own; repeated rows get the same verdict each;
@@ -23,6 +26,9 @@ MIN_DOCS = 5
 MAX_SHARE = 0.02
 #: A document is depleted when over this percentage of its words stood in removed lines.
 MAX_REMOVED_PCT = 50
+#: A text of so many different lines at least, with under this percentage of their words in lines of its own, is a near copy.
+NEAR_LINES = 4
+OWN_PCT = 20
 #: Up to so many boilerplate lines (16 bytes and a host name each) are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
 
@@ -70,21 +76,55 @@ def base_rules(docs: DataFrame) -> DataFrame:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: host, text key, hash of the normalised line, its words."""
+    """One row per line with a word: host, text key, hash of the normalised line, its words; words and number of the text's different lines."""
     text = F.coalesce(F.col("text"), F.lit(""))
     tidy = F.transform(F.split(F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " "), "\n"), lambda x: F.trim(x))
     described = F.transform(F.filter(tidy, lambda x: x != ""), lambda x: F.struct(
         F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
-    return (docs.select(F.col("source").alias("host"), text_key(text).alias("key"), F.explode(described).alias("l"))
-            .select("host", "key", F.col("l")["line"].alias("line"), F.col("l")["n"].alias("n")))
+    whole = bind(described, lambda d: bind(F.array_distinct(d), lambda u: F.struct(
+        d.alias("d"), F.aggregate(u, F.lit(0), lambda a, x: a + x["n"]).alias("words"), F.size(u).alias("lines"))))
+    texts = docs.select(F.col("source").alias("host"), text_key(text).alias("key"), whole.alias("x"))
+    return (texts.select("host", "key", "x.words", "x.lines", F.explode("x.d").alias("l"))
+            .select("host", "key", F.col("l")["line"].alias("line"), F.col("l")["n"].alias("n"), "words", "lines"))
 
 
-def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, line, n_docs) of lines held by more distinct documents than the host's limit."""
-    lines = document_lines(docs)
-    text = F.coalesce(F.col("text"), F.lit(""))
+def line_counts(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """Candidates (host, line), lines of more than ``min_docs`` texts; and per text (host, key) the words ``own`` of lines it holds alone."""
     # distinct (host, line, text) first: a hot line is spread by the texts that hold it
-    held = (lines.select("host", "line", "key").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
+    held = (lines.select("host", "line", "key", "n").distinct().groupBy("host", "line")
+            .agg(F.count("*").alias("n_docs"), F.min(F.struct("key", "n")).alias("one")))
+    alone, many = F.col("n_docs") == 1, F.col("n_docs") > min_docs
+    return (held.where(alone | many)
+            .groupBy("host", F.when(alone, F.col("one")["key"]).alias("key"), F.when(many, F.col("line")).alias("line"))
+            .agg(F.sum(F.col("one")["n"]).alias("own")))
+
+
+def _match(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join on columns of which any may be null."""
+    renamed = right.select(*[F.col(c).alias(f"{c}_") if c in on else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    return left.join(F.broadcast(renamed) if right.count() <= BROADCAST_ROWS else renamed, same, how).drop(*[f"{c}_" for c in on])
+
+
+def text_lines(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(host, key, line, n, words, lines): words of every text in each candidate line, and (line null) in all others."""
+    candidates = counts.where(F.col("line").isNotNull()).select("host", "line", F.lit(True).alias("many"))
+    marked = _match(document_lines(docs), candidates, ["host", "line"])
+    return marked.groupBy("host", "key", F.when(F.col("many"), F.col("line")).alias("line")).agg(
+        F.sum("n").alias("n"), F.max("words").alias("words"), F.max("lines").alias("lines"))
+
+
+def frequent_lines(docs: DataFrame, per_text: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """(host, line, n_docs) of lines held by more distinct documents than the host's limit; near copies are one holder together."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = counts.where(F.col("key").isNotNull()).select("host", "key", "own")
+    holders = per_text.where(F.col("line").isNotNull())
+    renamed = own.select(F.col("host").alias("host_"), F.col("key").alias("key_"), "own")
+    holders = holders.join(renamed, F.col("host").eqNullSafe(F.col("host_")) & (F.col("key") == F.col("key_")), "left")
+    near = (F.col("lines") >= NEAR_LINES) & (100 * F.coalesce("own", F.lit(0)) < OWN_PCT * F.col("words"))
+    held = (holders.groupBy("host", "line").agg((F.count_if(~near) + F.max(near.cast("int"))).alias("n_docs"))
             .where(F.col("n_docs") > min_docs))
     hosts = (docs.select(F.col("source").alias("host_"), text_key(text).alias("key")).distinct()
              .groupBy("host_").agg(F.count("*").alias("host_docs")))
@@ -92,16 +132,14 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
             .where(F.col("n_docs") > max_share * F.col("host_docs")).select("host", "line", "n_docs"))
 
 
-def depleted(docs: DataFrame, max_removed_pct: int = MAX_REMOVED_PCT, **limits) -> DataFrame:
+def depleted(docs: DataFrame, max_removed_pct: int = MAX_REMOVED_PCT, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """(host, key) of texts that lose over ``max_removed_pct`` percent of their words with the removed lines."""
-    frequent = materialise(frequent_lines(docs, **limits)).select(F.col("host").alias("host_"), F.col("line").alias("line_"))
-    if frequent.count() <= BROADCAST_ROWS:
-        frequent = F.broadcast(frequent)
-    lines = document_lines(docs).join(
-        frequent, F.col("host").eqNullSafe(F.col("host_")) & (F.col("line") == F.col("line_")), "left")
+    counts = materialise(line_counts(document_lines(docs), min_docs))
+    per_text = materialise(text_lines(docs, counts))
+    frequent = materialise(frequent_lines(docs, per_text, counts, min_docs, max_share)).select("host", "line", F.lit(True).alias("gone"))
     # sums over all copies of a text: the share is that of one copy
-    return (lines.groupBy("host", "key")
-            .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("line_").isNotNull(), F.col("n")).otherwise(0)).alias("removed"))
+    return (_match(per_text, frequent, ["host", "line"]).groupBy("host", "key")
+            .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("gone"), F.col("n")).otherwise(0)).alias("removed"))
             .where(100 * F.col("removed") > max_removed_pct * F.col("n")).select("host", "key"))
 
 
@@ -147,9 +185,14 @@ lines AS (SELECT rid, host, text, trim(regexp_replace(x, '[\x20\x09\x0B-\x0D]+',
   FROM (SELECT rid, host, text, unnest(string_split(lower(text), chr(10))) AS x FROM d)),
 sized AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS n FROM lines WHERE line <> ''),
 hosts AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host),
-frequent AS (SELECT s.host, s.line FROM sized s JOIN hosts h ON s.host IS NOT DISTINCT FROM h.host
-  GROUP BY s.host, s.line, h.host_docs
-  HAVING count(DISTINCT s.text) > {MIN_DOCS} AND count(DISTINCT s.text) > {MAX_SHARE} * h.host_docs),
+holding AS (SELECT DISTINCT host, text, line, n FROM sized),
+shared AS (SELECT *, count(*) OVER (PARTITION BY host, line) AS c FROM holding),
+texts AS (SELECT host, text, count(*) >= {NEAR_LINES} AND 100 * sum(CASE WHEN c = 1 THEN n ELSE 0 END) < {OWN_PCT} * sum(n) AS near
+  FROM shared GROUP BY host, text),
+counted AS (SELECT s.host, s.line, count(*) FILTER (NOT near) + max(near::INT) AS n_docs
+  FROM holding s JOIN texts t ON s.host IS NOT DISTINCT FROM t.host AND s.text = t.text GROUP BY s.host, s.line),
+frequent AS (SELECT c.host, c.line FROM counted c JOIN hosts h ON c.host IS NOT DISTINCT FROM h.host
+  WHERE n_docs > {MIN_DOCS} AND n_docs > {MAX_SHARE} * h.host_docs),
 lost AS (SELECT s.rid FROM sized s LEFT JOIN frequent f ON s.host IS NOT DISTINCT FROM f.host AND s.line = f.line
   GROUP BY s.rid HAVING 100 * sum(CASE WHEN f.line IS NULL THEN 0 ELSE s.n END) > {MAX_REMOVED_PCT} * sum(s.n))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
