@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import exact_id, id_values, ids_of, materialise
 
 #: States: the role of the turn written last, or START.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -140,8 +140,7 @@ def _stretches(batches):
     """(conv_id, part, roles, texts) of each conversation's rows in a sorted partition."""
     key, roles, texts, part = None, [], [], None
     for pdf in batches:
-        ids = [None if pd.isna(x) else int(x) for x in pdf["conv_id"].to_numpy(object)]
-        for c, p, r, t in zip(ids, pdf["part"], pdf["role"], pdf["text"]):
+        for c, p, r, t in zip(ids_of(pdf, "conv_id"), pdf["part"], pdf["role"], pdf["text"]):
             if roles and c != key:
                 yield key, part, roles, texts
                 roles, texts = [], []
@@ -200,8 +199,9 @@ def repair_conversations(turns: DataFrame) -> DataFrame:
             ends = ends or [(key, part, roles)]
         out = pd.DataFrame([(key, part, stretch_cost(roles).ravel().tolist()) for key, part, roles in ends],
                            columns=["conv_id", "part", "cost"])
-        yield out.astype({"conv_id": "Int64"})
+        yield out.assign(conv_id=id_values(e[0] for e in ends))
 
+    ranged = ranged.select(*exact_id("conv_id"), "role", "text", "part")
     # at most two rows per partition
     plan = spark.sparkContext.broadcast(_plan(ranged.mapInPandas(edges, "conv_id long, part int, cost array<long>").collect()))
 
@@ -225,4 +225,4 @@ OUTPUT = "conv_id long, stretch int, turn int, role string, text string, action
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in OUTPUT.split(", ")]).astype({"conv_id": "Int64"})
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in OUTPUT.split(", ")]).assign(conv_id=id_values(r[0] for r in rows))

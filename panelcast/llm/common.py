@@ -6,6 +6,7 @@ import gc
 import time
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,6 +49,21 @@ def materialise(df: DataFrame, tidy: bool = True) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def exact_id(name: str) -> tuple[Column, Column]:
+    """The id as a long that is never null, and ``no_id``: pandas turns a column with nulls into floats, which hold 53 bits."""
+    return F.coalesce(F.col(name).cast("long"), F.lit(0)).alias(name), F.col(name).isNull().alias("no_id")
+
+
+def id_values(ids) -> pd.Series:
+    """Whole numbers and None as a column of nullable 64-bit integers."""
+    return pd.Series(pd.array(list(ids), dtype="Int64"))
+
+
+def ids_of(pdf: pd.DataFrame, name: str) -> list:
+    """Ids of rows of ``exact_id``, None for null."""
+    return [None if none else i for i, none in zip(pdf[name].tolist(), pdf["no_id"].tolist())]
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often ``body`` names it."""
     return F.transform(F.array(value), body)[0]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, words
+from .common import exact_id, id_values, ids_of, materialise, words
 
 K1, B = 1.2, 0.75
 SHINGLE, OVERLAP = 5, 0.8
@@ -61,13 +61,16 @@ def question_answer(w: list[bytes]) -> tuple[list[bytes], list[bytes]]:
 class Index:
     """Inverted index of one chunk: impacts divided by the item's threshold, so that 1 is the threshold of all."""
 
-    def __init__(self, rows, n_items: int, mean_words: float):
-        """rows: (item_id, words as text, document frequency of each distinct word in order of first use)."""
+    def __init__(self, rows, n_items: int, mean_words: float, longest: int | None = None):
+        """rows: (item_id, words as text, document frequency of each distinct word in order of first use).
+
+        ``longest``: words of the longest item of the whole benchmark, so that passages don't depend on the chunk.
+        """
         parsed = sorted(((len(w), i, key, w, df) for i, (key, w, df) in enumerate(rows)), key=lambda x: x[:2])
         self.ids = [p[2] for p in parsed]
         self.words = [p[3] for p in parsed]
         self.shingles = [shingles(w) for w in self.words]
-        self.longest = max((len(w) for w in self.words), default=1)
+        self.longest = longest or max((len(w) for w in self.words), default=1)
         postings: dict[bytes, list] = {}
         for item, (n, _, _, w, df) in enumerate(parsed):
             tf: dict[bytes, int] = {}
@@ -178,7 +181,7 @@ def index_chunks(benchmark: DataFrame):
     lower = F.translate("text", ASCII_UPPER, ASCII_LOWER)
     items = materialise(benchmark.select(F.col("item_id").alias("item"), words(lower).alias("w"), F.length("text").alias("chars"))
                         .where(F.size("w") > 0).distinct())
-    n, mean, chars = items.agg(F.count("*"), F.avg(F.size("w")), F.sum("chars")).first()
+    n, mean, chars, longest = items.agg(F.count("*"), F.avg(F.size("w")), F.sum("chars"), F.max(F.size("w"))).first()
     if not n:
         return
     df = items.select(F.explode(F.array_distinct("w")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
@@ -189,7 +192,7 @@ def index_chunks(benchmark: DataFrame):
         own = terms.where(F.col("chunk") == c) if chunks > 1 else terms
         counts = {r[0].encode(): r[1] for r in
                   own.select(F.explode("w").alias("term")).distinct().join(df, "term").collect()}
-        yield Index([(r[0], [x.encode("utf-8", "replace") for x in r[1]], counts) for r in own.select("item", "w").collect()], n, mean)
+        yield Index([(r[0], [x.encode("utf-8", "replace") for x in r[1]], counts) for r in own.select("item", "w").collect()], n, mean, longest)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -202,12 +205,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def search(batches, shared=shared):
             index = shared.value
             for pdf in batches:
-                rows = [(key, index.ids[item], share, q, r, score, a) for key, text in zip(pdf["doc_id"], pdf["text"])
+                rows = [(key, index.ids[item], share, q, r, score, a) for key, text in zip(ids_of(pdf, "doc_id"), pdf["text"])
                         for item, (share, score, a, q, r) in sorted(index.matches(text).items())]
                 out = pd.DataFrame(rows, columns=[x.split()[0] for x in columns.split(", ")])
-                yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
+                yield out.assign(doc_id=id_values(r[0] for r in rows), item_id=id_values(r[1] for r in rows))
 
-        part = docs.select("doc_id", "text").mapInPandas(search, columns)
+        part = docs.select(*exact_id("doc_id"), "text").mapInPandas(search, columns)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], columns) if found is None else found
 

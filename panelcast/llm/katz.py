@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 from .repeats import runs
-from .sequences import NO_ID, TABLE, Block, Words, answer, ask, bucket_count, conclude, id_column, mix, pack, small, unsqueeze
+from .sequences import TABLE, Block, Words, answer, ask, bucket_count, conclude, id_column, mix, pack, small, unsqueeze
 
 CUT = 5
 BLOCK_BYTES = 8 << 20
@@ -39,8 +39,9 @@ END = np.uint64(0x5851F42D4C957F2D)
 FOLDS, HELD_OUT = 7, 2
 
 
-def held_out(ids: np.ndarray) -> np.ndarray:
-    return np.array([zlib.crc32(b"" if i == NO_ID else str(i).encode()) % FOLDS == HELD_OUT for i in ids.tolist()], bool)
+def held_out(block: Block) -> np.ndarray:
+    names = (b"" if none else str(i).encode() for i, none in zip(block.ids.tolist(), block.no_id.tolist()))
+    return np.array([zlib.crc32(x) % FOLDS == HELD_OUT for x in names], bool)
 
 
 class Tokens:
@@ -57,7 +58,7 @@ class Tokens:
         inner[ends] = False
         stream[inner], stream[ends] = words.hash, END
         self.types, self.type = np.unique(stream, return_inverse=True)
-        self.out = held_out(block.ids)
+        self.out = held_out(block)
         self.train = ~self.out[self.doc]
         self.before = np.empty_like(self.type)  # the type before, END's at a document's start
         self.before[1:] = self.type[:-1]
@@ -287,7 +288,7 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
             total = np.zeros(len(h), np.int64)
         p = np.where(total > 0, pair.count(total) / scale[h], weight[h] * unigram_p[w])
         log_p, base_p = np.log10(p)[of], np.log10((count + 1) / (train_tokens + types + 1))[t.type]
-        out = pd.DataFrame({"doc_id": id_column(block.ids), "held_out": t.out, "n_tokens": np.diff(t.starts),
+        out = pd.DataFrame({"doc_id": id_column(block), "held_out": t.out, "n_tokens": np.diff(t.starts),
                             "n_known": np.add.reduceat((count > 0)[t.type].astype(np.int64), t.starts[:-1])})
         out["train_tokens"] = train_tokens
         out["base_score"], out["score"] = (np.add.reduceat(x, t.starts[:-1]) for x in (base_p, log_p))

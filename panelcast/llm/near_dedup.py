@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import materialise, text_key
 from .components import components
 from .repeats import runs
-from .sequences import LOWER, NO_ID, Block, Words, gram_hashes, id_column, mix, powers
+from .sequences import LOWER, NO_ID, Block, Words, gram_hashes, mix, powers
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -116,6 +116,10 @@ def _id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc_id")
 
 
+def _ids(ids: np.ndarray) -> pd.Series:
+    return pd.Series(ids, dtype="Int64").mask(ids == NO_ID)
+
+
 def _key() -> Column:
     return text_key(F.coalesce(F.col("text"), F.lit("")))
 
@@ -126,7 +130,7 @@ def describe(docs: DataFrame) -> DataFrame:
         for rows, h, starts in _sets(batches):
             sig = signatures(h, starts)
             size = np.diff(starts)
-            yield pd.DataFrame({"doc_id": id_column(rows["doc_id"].to_numpy()), "a": rows["a"].to_numpy(), "b": rows["b"].to_numpy(),
+            yield pd.DataFrame({"doc_id": _ids(rows["doc_id"].to_numpy()), "a": rows["a"].to_numpy(), "b": rows["b"].to_numpy(),
                                 "n": rows["n"].to_numpy(), "n_shingles": size,
                                 "set_key": [_set_key(h, a, b) if b > a else None for a, b in zip(starts, starts[1:])],
                                 "signature": [x.tobytes() for x in sig]})

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, release
+from .common import exact_id, ids_of, materialise, release
 
 BLOCK_BYTES = 1 << 20
 #: Compressed bytes of text that a bucket stands for at most, and buckets per shuffle partition at least.
@@ -31,7 +31,7 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 S32 = np.uint64(32)
 #: The block number of what a bucket keeps.
 TABLE = -1
-#: Stands for a null id: it comes after all others.
+#: Where ids are compared, a null one comes after all others.
 NO_ID = np.int64(2 ** 63 - 1)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -48,8 +48,9 @@ def unsqueeze(x: bytes):
 class Block:
     """Some document rows: ids, and their texts one after the other."""
 
-    def __init__(self, ids: np.ndarray, sizes: np.ndarray, data: bytes):
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, data: bytes, no_id: np.ndarray | None = None):
         self.ids, self.sizes = ids, sizes
+        self.no_id = np.zeros(len(ids), bool) if no_id is None else no_id
         self.starts = np.concatenate(([0], np.cumsum(sizes)))
         self.bytes = np.frombuffer(data, np.uint8)
 
@@ -62,26 +63,27 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, payload) of all rows of (doc_id, text); a null text is empty.  Partitioned by block, written."""
     def write(batches):
         part, made = TaskContext.get().partitionId() << 32, 0
-        ids, texts, held = [], [], 0
+        ids, none, texts, held = [], [], [], 0
 
         def row():
             sizes = np.array([len(x) for x in texts], np.int64)
-            return pd.DataFrame({"block": [part + made], "payload": [squeeze((np.array(ids, np.int64), sizes, b"".join(texts)), 6)]})
+            return pd.DataFrame({"block": [part + made], "payload": [
+                squeeze((np.array(ids, np.int64), sizes, b"".join(texts), np.array(none, bool)), 6)]})
 
         for pdf in batches:
-            keys = pdf["doc_id"].astype("Int64").fillna(int(NO_ID)).to_numpy(np.int64)
-            for key, text in zip(keys.tolist(), pdf["text"]):
-                ids.append(key)
+            for key, text in zip(ids_of(pdf, "doc_id"), pdf["text"]):
+                ids.append(int(NO_ID) if key is None else key)
+                none.append(key is None)
                 texts.append(text.encode("utf-8", "replace") if isinstance(text, str) else b"")
                 held += len(texts[-1])
                 if held >= block_bytes:
                     yield row()
-                    made, ids, texts, held = made + 1, [], [], 0
+                    made, ids, none, texts, held = made + 1, [], [], [], 0
         if ids:
             yield row()
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(write, "block long, payload binary")
+    packed = docs.select(*exact_id("doc_id"), "text").mapInPandas(write, "block long, payload binary")
     return _written_in_place(packed.repartition(n, "block"))
 
 
@@ -150,8 +152,8 @@ def conclude(blocks: DataFrame, said: DataFrame, finish: Callable[[Block, dict],
     return blocks.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(both, form)
 
 
-def id_column(ids: np.ndarray) -> pd.Series:
-    return pd.Series(ids, dtype="Int64").mask(ids == NO_ID)
+def id_column(block: Block) -> pd.Series:
+    return pd.Series(block.ids, dtype="Int64").mask(block.no_id)
 
 
 def small(x: np.ndarray) -> np.ndarray:

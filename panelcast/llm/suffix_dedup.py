@@ -143,7 +143,7 @@ def finish(seq: Sequences, covered: np.ndarray) -> pd.DataFrame:
         kept = data[a:b][~gone] if spans else data[a:b]
         rows.append((int(b - a), int(gone.sum()) if spans else 0, spans, hashlib.sha256(kept.tobytes()).hexdigest(), kept.tobytes()))
     out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-    out.insert(0, "doc_id", id_column(seq.block.ids))
+    out.insert(0, "doc_id", id_column(seq.block))
     return out
 
 

@@ -84,7 +84,7 @@ def finish(seq: Sequences, covered: np.ndarray) -> pd.DataFrame:
         kept = b" ".join([data[i:j].tobytes() for i, j in zip(words.first[stay].tolist(), words.end[stay].tolist())])
         rows.append((int(b - a), int(b - a) - len(stay), hashlib.sha256(kept).hexdigest(), kept))
     out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept"])
-    out.insert(0, "doc_id", id_column(seq.block.ids))
+    out.insert(0, "doc_id", id_column(seq.block))
     return out
 
 

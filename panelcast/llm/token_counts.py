@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import exact_id, id_values, ids_of
 from .tokens import encoder, in_batches
 
 FIELDS = ("source", "lang", "text")
@@ -60,11 +61,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = FIEL
                     rows.append((len(spans), *per[:k].tolist(), int(per[k:].sum()), int(crossing.sum()), len(starts) - k,
                                  per[k:].tolist()))
             out = pd.DataFrame(rows, columns=["n_tokens", *names, "crossing_tokens", "n_sections", "section_tokens"])
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
+            out.insert(0, "doc_id", id_values(ids_of(pdf, "doc_id")))
             yield out
 
     texts = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
-    rendered = docs.select("doc_id", F.concat_ws("\n", *texts).alias("whole"),
+    rendered = docs.select(*exact_id("doc_id"), F.concat_ws("\n", *texts).alias("whole"),
                            *[F.length(x).cast("long").alias(f"_len{i}") for i, x in enumerate(texts[:-1])])
     kinds = ", ".join(f"{n} long" for n in ("n_tokens", *names, "crossing_tokens", "n_sections"))
     return rendered.mapInPandas(count, f"doc_id long, {kinds}, section_tokens array<long>")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from panelcast.session import ensure_checkpoint_dir
 
-from .common import materialise, running_total
+from .common import exact_id, id_values, ids_of, materialise, running_total
 from .tokens import encoder, in_batches
 
 LENGTH = 2048
@@ -113,11 +113,11 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, length: int =
         coder, part = encoder(tokenizer), TaskContext.get().partitionId()
         made, out = [], None
         for pdf in batches:
-            texts, keys = list(pdf["text"]), pdf["doc_id"].to_numpy(object)
+            texts, keys = list(pdf["text"]), ids_of(pdf, "doc_id")
             for a, b in in_batches(texts):
                 for key, ids in zip(keys[a:b], coder.ids(texts[a:b])):
                     out = out or _FileWriter(folder, f"part-{part:06d}-{len(made):05d}.arrow", length, coder.vocabulary)
-                    out.add(None if pd.isna(key) else int(key), np.append(ids, np.uint32(end_id)))
+                    out.add(key, np.append(ids, np.uint32(end_id)))
                     if out.tokens >= file_ids:
                         made.append((part, len(made), *out.close()))
                         out = None
@@ -129,7 +129,7 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, length: int =
     text = F.coalesce(F.col("text"), F.lit(""))
     order = [F.col("doc_id").asc_nulls_last(), "tie"]
     ranged = (docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie"))
-              .repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text"))
+              .repartitionByRange(n, *order).sortWithinPartitions(*order).select(*exact_id("doc_id"), "text"))
     return materialise(ranged.mapInPandas(write, "part int, file int, path string, n_sequences long, n_tokens long"))
 
 
@@ -186,8 +186,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                         crc = zlib.crc32(x.astype("<u4").tobytes(), crc)
                     rows.append((part, file, at, key, sum(map(len, pieces)), crc, path))
                 out = pd.DataFrame(rows, columns=["part", "file", "at", "doc_id", "n_tokens", "ids_crc32", "path"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield out.assign(doc_id=id_values(r[3] for r in rows))
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_file = manifest.select("part", "file", "path").repartition(n, "path")
