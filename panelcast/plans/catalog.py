@@ -576,6 +576,45 @@ def q_ar1_huber_fit(spark, sf_dir):
     return round_doubles(p)
 
 
+@register("ar1_cv_huber")
+def q_ar1_cv_huber(spark, sf_dir):
+    """FC-2, FC-7 with Huber loss in every fold: each fold has row weights of its own, three passes."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1h", n_forecasts=2, loss="huber", **SMALL))
+    return round_doubles(p)
+
+
+@register("ar1_cv_newest")
+def q_ar1_cv_newest(spark, sf_dir):
+    """FC-2 with newer rows weighing up to twice as much as a fold's oldest."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1n", n_forecasts=3, newest_weight=2.0, **SMALL))
+    return round_doubles(p)
+
+
+@register("ar1_cv_half_life")
+def q_ar1_cv_half_life(spark, sf_dir):
+    """FC-2 with weights that halve with every year before a fold's end."""
+    _, p, _ = WF.cv_linear(_clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1d", n_forecasts=3, half_life_days=365.25, **SMALL))
+    return round_doubles(p)
+
+
+QUANTILES = (0.1, 0.5, 0.9)
+
+
+@register("quantile_intercept")
+def q_quantile_intercept(spark, sf_dir):
+    """FC-2, DK-9: the quantile model with an intercept alone is the exact quantile of a fold's training rows."""
+    cfg = FCST.LinearARConfig(name="level", **(SMALL | dict(n_lags=0, trend=False)), irls_iterations=1)
+    return round_doubles(WF.cv_quantiles(_clean_panel(spark, sf_dir), cfg, QUANTILES))
+
+
+@register("quantile_coverage")
+def q_quantile_coverage(spark, sf_dir):
+    """DK-9: bounds from quantile models of one lag and a trend, and the share of test values below each."""
+    cfg = FCST.LinearARConfig(name="ar1q", **SMALL, irls_iterations=3)
+    bounds = WF.cv_quantiles(_clean_panel(spark, sf_dir), cfg, QUANTILES)
+    return round_doubles(WF.coverage(bounds, QUANTILES, G))
+
+
 def _ar1_future(spark, sf_dir):
     panel, cfg = _clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", **SMALL)
     _, _, coefs = WF.final_fit(panel, cfg)
@@ -667,3 +706,33 @@ def q_cv_supplier_seasonal_naive(spark, sf_dir):
     """The flagship plan on the wider panel: daily shipped quantity of every supplier."""
     p = C.preprocess_complete(T.lineitem_supplier_panel(spark, sf_dir)).select("series_id", "ds", "y")
     return round_doubles(WF.cv_seasonal_naive(p, season=7))
+
+
+# --- long series: the same results without a window over a series -----------------
+
+from ..operators import longseries as LS  # noqa: E402
+
+
+@register("long_preprocessed")
+def q_long_preprocessed(spark, sf_dir):
+    """CL-15 in stretches: two-pass carries instead of windows over the series."""
+    return round_doubles(LS.preprocess_complete(orders_panel(spark, sf_dir)))
+
+
+@register("long_feature_table")
+def q_long_feature_table(spark, sf_dir):
+    """WN-12 in stretches of 500 rows with a halo: five series over some 25 tasks."""
+    return round_doubles(LS.create_all_features(feature_base(spark, sf_dir), size=500))
+
+
+@register("event_row_features")
+def q_event_row_features(spark, sf_dir):
+    """WN-1..WN-5, WN-7 over raw events (irregular in time, as many rows as the table has), ordered by time and id."""
+    e = T.table(spark, sf_dir, "events", ["event_id", "event_type", "ts", "value"])
+    rows = e.select(F.col("event_type").alias("series_id"), F.struct("ts", "event_id").alias("ds"), "event_id", F.col("value").alias("y"))
+
+    def features(stretch, keys):
+        out = FE.add_lag_features(stretch, [1, 90], keys)
+        return FE.add_differencing_features(FE.add_rolling_stats(out, [7, 30], keys), [1], keys)
+
+    return round_doubles(LS.look_back(rows, features, back=90, size=1000, pos="pos").drop("ds"))

@@ -860,15 +860,36 @@ ar_tr AS (SELECT * FROM ar_rows WHERE split = 'train'),
 ORACLE["ar1_final_fit"] = q(f"WITH {AR1_FINAL} {_test_rows('ar_ff', 'ar1')}", ["y", "yhat"])
 
 
-def _huber(k: int, before: str) -> str:
+def _huber(k: int, before: str, rows: str = "ar_tr", group: str = "series_id, horizon") -> str:
     """One pass: residuals of the fit before, their scale, weights, the next fit."""
     r = "abs(r.y - (c.b0 + c.bx * r.x + c.bt * r.t))"
     return f"""
-hr{k} AS (SELECT r.*, {r} AS res FROM ar_tr r JOIN {before} c USING (series_id, horizon) WHERE r.x IS NOT NULL AND r.y IS NOT NULL),
-hs{k} AS (SELECT series_id, horizon, CAST(1.345 AS DOUBLE) * (median(res) / CAST(0.6745 AS DOUBLE)) AS lim FROM hr{k} GROUP BY 1, 2),
-hw{k} AS (SELECT a.series_id, a.horizon, a.x, a.t, a.y, CASE WHEN lim > 0 AND res > lim THEN lim / res ELSE CAST(1.0 AS DOUBLE) END AS w
-          FROM hr{k} a JOIN hs{k} USING (series_id, horizon)),
-{_fit(f"hf{k}", f"hw{k}", "series_id, horizon", "w")}"""
+hr{k} AS (SELECT r.*, {r} AS res FROM {rows} r JOIN {before} c USING ({group}) WHERE r.x IS NOT NULL AND r.y IS NOT NULL),
+hs{k} AS (SELECT {group}, CAST(1.345 AS DOUBLE) * (median(res) / CAST(0.6745 AS DOUBLE)) AS lim FROM hr{k} GROUP BY ALL),
+hw{k} AS (SELECT {group}, a.x, a.t, a.y, CASE WHEN lim > 0 AND res > lim THEN lim / res ELSE CAST(1.0 AS DOUBLE) END AS w
+          FROM hr{k} a JOIN hs{k} USING ({group})),
+{_fit(f"hf{k}", f"hw{k}", group, "w")}"""
+
+
+def _cv_rows(fit: str, model: str, horizons: int) -> str:
+    return (f"SELECT r.series_id, c.fold_idx, r.ds, r.horizon, r.y, c.b0 + c.bx * r.x + c.bt * r.t AS yhat, '{model}' AS model FROM ar_rows r "
+            f"JOIN {fit} c ON c.series_id = r.series_id AND c.horizon = r.horizon AND c.fold_idx = r.yrank - 1 WHERE r.horizon <= {horizons}")
+
+
+_FOLD = "series_id, fold_idx, horizon"
+ORACLE["ar1_cv_huber"] = q(f"WITH {AR1_CV}, {', '.join(_huber(k, b, 'ar_train', _FOLD) for k, b in ((1, 'ar_fit'), (2, 'hf1'), (3, 'hf2')))} "
+                           f"{_cv_rows('hf3', 'ar1h', 2)}", ["y", "yhat"])
+#: the last training day of each model, and a row's weight against it
+_RECENT = "ar_end_t AS (SELECT *, max(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN t END) OVER (PARTITION BY series_id, fold_idx, horizon) AS t_end FROM ar_train)"
+ORACLE["ar1_cv_newest"] = q(f"""WITH {AR1_CV}, {_RECENT}, ar_w AS (SELECT *, (1 + t / t_end) / 2 AS w FROM ar_end_t),
+{_fit("ar_fw", "ar_w", _FOLD, "w")} {_cv_rows("ar_fw", "ar1n", 3)}""", ["y", "yhat"])
+ORACLE["ar1_cv_half_life"] = q(f"""WITH {AR1_CV}, {_RECENT}, ar_w AS (SELECT *, pow(CAST(0.5 AS DOUBLE), t_end - t) AS w FROM ar_end_t),
+{_fit("ar_fw", "ar_w", _FOLD, "w")} {_cv_rows("ar_fw", "ar1d", 3)}""", ["y", "yhat"])
+ORACLE["quantile_intercept"] = q(f"""WITH {AR1_ROWS},
+ql AS (SELECT f.series_id, f.fold_idx, {", ".join(f"quantile_cont(b.y, {q_}) AS q{100 * q_:g}" for q_ in (0.1, 0.5, 0.9))}
+       FROM ar_base b JOIN ar_folds f ON f.series_id = b.series_id AND b.yrank <= f.fold_idx WHERE b.y IS NOT NULL GROUP BY 1, 2)
+SELECT b.series_id, l.fold_idx, b.ds, 1 AS horizon, b.y, l.q10, l.q50, l.q90
+FROM ar_base b JOIN ql l ON l.series_id = b.series_id AND l.fold_idx = b.yrank - 1""", ["y", "q10", "q50", "q90"])
 
 
 ORACLE["ar1_huber_fit"] = q(f"WITH {AR1_FINAL}, {_huber(1, 'ar_ff')}, {_huber(2, 'hf1')}, {_huber(3, 'hf2')} {_test_rows('hf3', 'ar1h')}",
@@ -890,3 +911,21 @@ SELECT o.series_id, o.ds, o.kind, o.value, CAST(p.period AS INTEGER) AS period
 FROM ovr o JOIN (VALUES (30), (180), (365)) p(period) ON o.rd <= p.period""", ["value"])
 ORACLE["ar1_ensemble"] = q(f"""WITH {AR1_CV}
 SELECT series_id, fold_idx, ds, horizon, yhat, CASE WHEN yhat IS NULL THEN 0 ELSE 2 END::BIGINT AS n_members FROM ar_pred WHERE horizon = 1""", ["yhat"])
+
+ORACLE["long_preprocessed"] = ORACLE["preprocessed"]
+ORACLE["long_feature_table"] = ORACLE["feature_table"]
+_EV = "PARTITION BY event_type ORDER BY ts, event_id"
+
+
+def _event_roll(w: int) -> str:
+    frame = f"OVER ({_EV} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+    full = f"CASE WHEN count(value) {frame} = {w} THEN"
+    return (f"{full} avg(value) {frame} END AS rolling_mean_{w}, {full} stddev_samp(value) {frame} END AS rolling_std_{w}, "
+            f"{full} min(value) {frame} END AS rolling_min_{w}, {full} max(value) {frame} END AS rolling_max_{w}, "
+            f"{full} max(value) {frame} - min(value) {frame} END AS rolling_range_{w}")
+
+
+ORACLE["event_row_features"] = q(f"""SELECT event_type AS series_id, event_id, value AS y, row_number() OVER ({_EV}) - 1 AS pos,
+  lag(value, 1) OVER ({_EV}) AS lag_1, lag(value, 90) OVER ({_EV}) AS lag_90, {_event_roll(7)}, {_event_roll(30)},
+  value - lag(value, 1) OVER ({_EV}) AS diff_1 FROM events""",
+    ["y", "lag_1", "lag_90", "diff_1"] + [f"rolling_{s}_{w}" for w in (7, 30) for s in ("mean", "std", "min", "max", "range")])

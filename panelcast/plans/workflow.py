@@ -82,12 +82,11 @@ def cv_linear(panel: DataFrame, cfg: FC.LinearARConfig | None = None,
     A series without a fold has one ``failed`` metrics row.  The narrow input
     panel is checkpointed to the reliable checkpoint folder first: the
     training and scoring branches both read it, and a lost executor replays
-    from there.  Huber weights differ per fold, which prefix sums cannot
-    express, so that loss is for ``final_fit`` only.
+    from there.  A robust loss starts from that fit and is refined for all
+    folds together (``forecast.refit``); a pass's coefficients are written
+    before the next one.
     """
     cfg = cfg or FC.LinearARConfig()
-    if cfg.loss != "ls":
-        raise ValueError(f"cross-validation fits by least squares; loss {cfg.loss!r} is for final_fit")
     if checkpoint_input:
         panel = cut_lineage(panel.select("series_id", DS, Y))
     cfg = FC.resolved(cfg, panel)
@@ -96,7 +95,10 @@ def cv_linear(panel: DataFrame, cfg: FC.LinearARConfig | None = None,
     folds = yearly_folds(panel, max_folds=max_folds).select("series_id", "fold_idx", "test_year")
     # a few kilobytes per model, read by the predictions, the status and the table
     coefs = cut_lineage(FC.solve(FC.partial_grams(train, cfg), cfg, "expanding", folds))
-    d = d.select("*", *FC._base_columns(cfg, F.col(DS), F.col("_start")))
+    base = FC._base_columns(cfg, F.col(DS), F.col("_start"))
+    d = d.select("*", *base)
+    if cfg.loss != "ls":
+        coefs = FC.refit(train.select("*", *base), coefs, cfg, folds, cut_lineage)
     test = (d.where((F.col("year_rank") >= 1) & (F.col("year_rank") <= F.col("n_folds")))
             .withColumn("fold_idx", (F.col("year_rank") - 1).cast("int")))
     if context == "test_only":
@@ -123,11 +125,10 @@ def final_fit(panel: DataFrame, cfg: FC.LinearARConfig | None = None, train_rati
               val_ratio: float = 0.15, checkpoint_input: bool = True):
     """FC-9: fit on the chronological train split, score on the test split, per series and horizon.
 
-    With ``cfg.loss == 'huber'`` the fit is refined by iteratively
-    reweighted least squares: each pass predicts the train rows, weighs them
-    per horizon, and solves again.  A pass's coefficients are written before
-    the next one, so the plan doesn't grow with the passes.  Every series has
-    a row for every horizon, ``failed`` if it could not be fitted or scored.
+    A robust loss is refined by reweighting passes (``forecast.refit``); a
+    pass's coefficients are written before the next one, so the plan doesn't
+    grow with the passes.  Every series has a row for every horizon,
+    ``failed`` if it could not be fitted or scored.
     """
     cfg = cfg or FC.LinearARConfig()
     if checkpoint_input:
@@ -138,16 +139,47 @@ def final_fit(panel: DataFrame, cfg: FC.LinearARConfig | None = None, train_rati
     d = d.withColumn("fold_idx", F.lit(0)).withColumn("n_folds", F.lit(1)).withColumn("block", F.lit(0))
     train = d.where(F.col("split") == "train")
     coefs = cut_lineage(FC.solve(FC.partial_grams(train, cfg), cfg, "single", models))
-    if cfg.loss == "huber":
-        for _ in range(cfg.irls_iterations):
-            weighted = FC.with_huber_weights(train, coefs, cfg)
-            coefs = cut_lineage(FC.solve(FC.partial_grams(weighted, cfg, weight="_w"), cfg, "single", models))
+    if cfg.loss != "ls":
+        coefs = FC.refit(train, coefs, cfg, models, cut_lineage)
     test = d.where(F.col("split") == "test")
     pred = FC.predict_rows(test, coefs, cfg)
     metrics = _scored(pred, models, coefs, cfg).drop("fold_idx").withColumn("model", F.lit(cfg.name))
     return metrics, pred.withColumn("model", F.lit(cfg.name)), FC.coefficient_table(coefs, cfg)
 
 
+def quantile_column(q: float) -> str:
+    return f"q{100 * q:g}".replace(".", "_")
+
+
+def cv_quantiles(panel: DataFrame, cfg: FC.LinearARConfig, quantiles: Sequence[float] = (0.1, 0.5, 0.9),
+                 max_folds: int | None = DEFAULT_MAX_FOLDS) -> DataFrame:
+    """FC-2, DK-9: a model per quantile, all folds and horizons; one row per forecast with a column per quantile.
+
+    The columns never cross: a row's forecasts are put in order, which does
+    not raise any of their losses.  A row has a forecast for every quantile or
+    for none.
+    """
+    panel = cut_lineage(panel.select("series_id", DS, Y))
+    stacked = None
+    for q in sorted(quantiles):
+        _, pred, _ = cv_linear(panel, replace(cfg, loss="quantile", quantile=q), max_folds, checkpoint_input=False)
+        stacked = pred if stacked is None else stacked.unionByName(pred)
+    rows = stacked.groupBy("series_id", "fold_idx", DS, "horizon").agg(
+        F.first(Y).alias(Y), F.array_sort(F.collect_list("yhat")).alias("_q"))
+    whole = F.size("_q") == len(quantiles)
+    return rows.select("series_id", "fold_idx", DS, "horizon", Y, *[
+        F.when(whole, F.col("_q")[i]).alias(quantile_column(q)) for i, q in enumerate(sorted(quantiles))])
+
+
+def coverage(bounds: DataFrame, quantiles: Sequence[float], group: Sequence[str]) -> DataFrame:
+    """Share of actual values at or below each quantile forecast, per group and quantile."""
+    known = bounds.where(F.col(Y).isNotNull())
+    each = F.explode(F.array(*[F.struct(F.lit(float(q)).alias("quantile"), F.col(quantile_column(q)).alias("bound")) for q in sorted(quantiles)]))
+    return (known.select(*group, Y, each.alias("_e")).where(F.col("_e.bound").isNotNull())
+            .groupBy(*group, F.col("_e.quantile").alias("quantile"))
+            .agg(F.count(F.lit(1)).alias("n"), F.avg((F.col(Y) <= F.col("_e.bound")).cast("double")).alias("covered")))
+
+
 def wide_forecast(pred: DataFrame, n_forecasts: int) -> DataFrame:
     """FC-5 wide form: ``yhat1..yhatH`` columns by pivot on horizon (values listed, no extra job)."""
     return (pred.groupBy("series_id", "fold_idx", DS).pivot("horizon", list(range(1, n_forecasts + 1)))
@@ -175,19 +207,20 @@ def _future_fn(cfg: FC.LinearARConfig):
             return failed(key, f"the last {L} values are not all present")
         fut = future.sort_values(DS).reset_index(drop=True)
         by_h = {int(r.horizon): np.asarray(r.coef, dtype=float) for r in coefs.itertuples()}
+        gaps = [h for h in range(1, min(H, len(fut)) + 1) if h not in by_h]
+        if gaps:  # blocks of H days are fed back whole
+            return failed(key, f"no fitted model for horizon {gaps[0]}")
         out = []
         i = 0
         while i < len(fut):
             recent = hist[::-1][:L]
             block = []
             for h in range(1, H + 1):
-                if i + h - 1 >= len(fut) or h not in by_h:
+                if i + h - 1 >= len(fut):
                     break
                 row = fut.iloc[i + h - 1]
                 x = np.concatenate([[1.0], recent, row[base].to_numpy(dtype=float)])
                 block.append(float(x @ by_h[h]))
-            if not block:
-                break
             for j, v in enumerate(block):
                 out.append((key[0], fut.iloc[i + j][DS], i + j + 1, v, "success", None))
             hist.extend(block)
@@ -205,8 +238,8 @@ def future_forecast(panel: DataFrame, coef_table: DataFrame, cfg: FC.LinearARCon
     back recursively.  Each group holds one series' last ``n_lags`` values,
     its future calendar rows (``periods``) and its H coefficient rows: all
     bounded by the configuration, never by the data volume.  A series that
-    cannot be forecast has one ``failed`` row.  ``coef_table`` fixes the
-    number of hinges.
+    cannot be forecast, for want of values or of the model of any horizon, has
+    one ``failed`` row that says so.  ``coef_table`` fixes the number of hinges.
     """
     hinges = coef_table.select("terms").first()
     cfg = replace(cfg, max_changepoints=sum(t.startswith("cp_") for t in hinges[0]) if hinges else 0)

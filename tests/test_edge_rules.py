@@ -90,9 +90,11 @@ def test_horizons_of_one_matrix_equal_single_fits(spark, panel_df):
         assert coefs.where(F.col("horizon") == h).first().n_rows == ok.sum()
 
 
-def test_cv_refuses_a_loss_it_cannot_fit(panel_df):
-    with pytest.raises(ValueError, match="final_fit"):
-        WF.cv_linear(panel_df({"s": daily("2019-01-01", [1.0] * 5)}), FC.LinearARConfig(loss="huber"))
+def test_settings_that_exclude_each_other():
+    for bad in (dict(loss="absolute"), dict(loss="huber", newest_weight=2.0), dict(newest_weight=2.0, half_life_days=30.0),
+                dict(trend=False, max_changepoints=2)):
+        with pytest.raises(ValueError):
+            FC.LinearARConfig(**bad)
 
 
 def test_a_cluster_needs_a_checkpoint_folder(monkeypatch):
