@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.windows import DS, Y, by_series, whole
 from .evaluate import YHAT, valid_pairs
+from .quantiles import exact_quantiles, with_groups
+from .ranges import TIE, in_ranges, plain, rank
 
 
 def actual_vs_predicted(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT) -> DataFrame:
@@ -91,12 +93,13 @@ def normal_quantile(p: Column) -> Column:
 
 
 def qq_table(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT) -> DataFrame:
-    """PL-5: ordered residuals against normal quantiles (Filliben plotting positions)."""
+    """PL-5: ordered residuals against normal quantiles (Filliben plotting positions).
+
+    Ranks come from range partitions, so a group may have any number of residuals.
+    """
     g = list(group)
-    r = residuals(pred, group, y, yhat)
-    w = by_series(g, "residual")
-    n = F.count(F.lit(1)).over(whole(g))
-    ranked = r.select(*g, "residual", F.row_number().over(w).alias("i"), n.alias("n"))
+    r = valid_pairs(pred, y, yhat).select(*g, (F.col(y) - F.col(yhat)).alias("residual"))
+    ranked = plain(rank(in_ranges(r, g, ["residual"]), ["residual", TIE], "i", "n")).withColumn("i", (F.col("i") + 1).cast("int"))
     last = F.pow(F.lit(0.5), 1.0 / F.col("n"))
     m = (F.when(F.col("i") == F.col("n"), last)
          .when(F.col("i") == 1, 1.0 - last)
@@ -172,10 +175,17 @@ def tail_slices(forecast: DataFrame, keys: Sequence[str], periods: Sequence[int]
 
 
 def prediction_intervals(cv_pred: DataFrame, forecast: DataFrame, keys: Sequence[str], level: float = 0.95,
-                         y: str = Y, yhat: str = YHAT) -> DataFrame:
-    """DK-9: empirical residual quantiles of the CV predictions added to the forecast."""
+                         y: str = Y, yhat: str = YHAT, large: bool = False) -> DataFrame:
+    """DK-9: empirical residual quantiles of the CV predictions added to the forecast.
+
+    ``large``: for groups with more residuals than a task should hold; the same quantiles by ranks.
+    """
     k = list(keys)
     a = (1.0 - level) / 2.0
+    if large:
+        q = exact_quantiles(valid_pairs(cv_pred, y, yhat), k, F.col(y) - F.col(yhat), [a, 1.0 - a]).drop("n")
+        return (with_groups(forecast, q, k).withColumn("lower", F.col(yhat) + F.col("q")[0])
+                .withColumn("upper", F.col(yhat) + F.col("q")[1]).drop("q"))
     q = valid_pairs(cv_pred, y, yhat).groupBy(*k).agg(
         F.percentile(F.col(y) - F.col(yhat), F.lit(a)).alias("_qlo"),
         F.percentile(F.col(y) - F.col(yhat), F.lit(1.0 - a)).alias("_qhi"))

@@ -80,9 +80,18 @@ def score_folds(pred: DataFrame, folds: DataFrame, group: Sequence[str], y: str
                         .otherwise(F.lit(NO_PAIRS))))
 
 
-def error_analysis(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT) -> DataFrame:
-    """AG-12 per group (e = actual - predicted; population std; linear quantiles)."""
-    return valid_pairs(pred, y, yhat).groupBy(*group).agg(*M.error_analysis_columns(y, yhat))
+def error_analysis(pred: DataFrame, group: Sequence[str], y: str = Y, yhat: str = YHAT, large: bool = False) -> DataFrame:
+    """AG-12 per group (e = actual - predicted; population std; linear quantiles).
+
+    ``large``: for groups with more errors than a task should hold; the same quantiles by ranks.
+    """
+    pairs = valid_pairs(pred, y, yhat)
+    if not large:
+        return pairs.groupBy(*group).agg(*M.error_analysis_columns(y, yhat))
+    from .quantiles import exact_quantiles, with_groups
+    quartiles = exact_quantiles(pairs, group, F.col(y) - F.col(yhat), [0.25, 0.5, 0.75])
+    return with_groups(pairs.groupBy(*group).agg(*M.error_analysis_columns(y, yhat)[:-3]), quartiles.select(
+        *group, *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]), group)
 
 
 def absolute_errors(pred: DataFrame, y: str = Y, yhat: str = YHAT) -> DataFrame:

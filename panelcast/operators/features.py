@@ -138,8 +138,15 @@ def forward_fill_columns(df: DataFrame, columns: Sequence[str], keys=None) -> Da
 
 def add_fourier_features(df: DataFrame, date_col: str = DS, yearly: int = 10, weekly: int = 3,
                          daily: int = 0) -> DataFrame:
-    """DK-7: Fourier terms on the day axis (daily order needs sub-day data; 0 = off)."""
+    """DK-7: Fourier terms on the day axis; ``daily`` ones need times of day, dates have none (0 = off)."""
     cols = []
+    if daily and not dict(df.dtypes)[date_col].startswith("timestamp"):
+        raise ValueError(f"daily terms need timestamps, {date_col} is a {dict(df.dtypes)[date_col]}")
+    if dict(df.dtypes)[date_col].startswith("timestamp"):
+        from .frequency import fourier_terms
+        for period, order, prefix in ((365.25, yearly, "yearly"), (7.0, weekly, "weekly"), (1.0, daily, "daily")):
+            cols += fourier_terms(F.col(date_col), period, order, f"fourier_{prefix}")
+        return df.select("*", *cols)
     if yearly:
         cols += fourier_columns(date_col, 365.25, yearly, "fourier_yearly")
     if weekly:

@@ -50,15 +50,22 @@ def _units(unit: str, descending: bool = False):
     return Window.partitionBy(GROUP).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def running_sum(rows: DataFrame, order: Sequence[str], amount: Column, name: str, total: str | None = None, unit: str = UNIT) -> DataFrame:
+    """``name``: sum of ``amount`` over the group's rows up to the row itself; ``total``: over all of them."""
+    rows_in = rows.withColumn("_amount", amount)
+    sums = rows_in.groupBy(unit, GROUP).agg(F.sum("_amount").alias("_sum"))
+    sums = sums.select(unit, GROUP, F.coalesce(F.sum("_sum").over(_units(unit)), F.lit(0)).alias("_before"),
+                       F.sum("_sum").over(Window.partitionBy(GROUP)).alias("_total"))
+    here = _inside(unit, order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows_in.withColumn("_local", F.sum("_amount").over(here)).join(sums, [unit, GROUP])
+    out = out.withColumn(name, F.col("_before") + F.col("_local"))
+    out = out.withColumn(total, F.col("_total")) if total else out
+    return out.select(*[c for c in rows.columns if c not in (name, total)], name, *([total] if total else []))
+
+
 def rank(rows: DataFrame, order: Sequence[str], name: str = "pos", total: str | None = None, unit: str = UNIT) -> DataFrame:
     """``name``: 0-based place of every row in its group; ``total``: the group's rows."""
-    sizes = rows.groupBy(unit, GROUP).agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.select(unit, GROUP, F.coalesce(F.sum("_size").over(_units(unit)), F.lit(0)).alias("_before"),
-                         F.sum("_size").over(Window.partitionBy(GROUP)).alias("_total"))
-    local = rows.withColumn("_local", F.row_number().over(_inside(unit, order)) - 1)
-    out = local.join(sizes, [unit, GROUP]).withColumn(name, (F.col("_before") + F.col("_local")).cast("long"))
-    out = out.withColumn(total, F.col("_total")) if total else out
-    return out.select(*[c for c in rows.columns if c != name], name, *([total] if total else []))
+    return running_sum(rows, order, F.lit(1).cast("long"), name, total, unit).withColumn(name, F.col(name) - 1)
 
 
 def carry(rows: DataFrame, order: Sequence[str], forward: Mapping[str, Column] | None = None,

@@ -736,3 +736,51 @@ def q_event_row_features(spark, sf_dir):
         return FE.add_differencing_features(FE.add_rolling_stats(out, [7, 30], keys), [1], keys)
 
     return round_doubles(LS.look_back(rows, features, back=90, size=1000, pos="pos").drop("ds"))
+
+
+# --- quantiles of large groups, and steps of less than a day ------------------------
+
+from ..operators import frequency as FR  # noqa: E402
+from ..operators.quantiles import exact_quantiles  # noqa: E402
+
+PROBS = (0.025, 0.25, 0.5, 0.75, 0.975)
+
+
+@register("event_value_quantiles")
+def q_event_value_quantiles(spark, sf_dir):
+    """AG-12's quantiles over all raw events of a type, by ranks: no task holds a type's values."""
+    e = T.table(spark, sf_dir, "events", ["event_type", "value"])
+    found = exact_quantiles(e, ["event_type"], F.col("value"), PROBS)
+    return round_doubles(found.select("event_type", "n", *[F.col("q")[i].alias(f"q{i}") for i in range(len(PROBS))]))
+
+
+@register("large_prediction_intervals")
+def q_large_prediction_intervals(spark, sf_dir):
+    """DK-9 with the quantiles by ranks."""
+    pred = cv_predictions(spark, sf_dir)
+    return round_doubles(D.prediction_intervals(pred, pred.select(*G, "ds", "yhat"), ["series_id"], large=True))
+
+
+def _hourly_events(spark, sf_dir):
+    """Hourly value by event type; hours without an event are found by the series' own step."""
+    e = T.table(spark, sf_dir, "events", ["event_type", "ts", "value"])
+    return FR.densify_steps(FR.step_rollup(e, "event_type", "ts", "value", 3600))
+
+
+def _timed(df):
+    return df.withColumn("ds", F.date_format("ds", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("hourly_events")
+def q_hourly_events(spark, sf_dir):
+    """PF-1, CL-16, CL-6 on hours: roll-up, spine, interpolation, and the value a day before."""
+    dense = _hourly_events(spark, sf_dir)
+    lagged = FR.season_lags(dense, days=(1,))
+    return round_doubles(_timed(C.interpolate_linear(lagged.withColumn("filled", F.col("y")), value="filled")))
+
+
+@register("hourly_fourier")
+def q_hourly_fourier(spark, sf_dir):
+    """DK-7 with the daily order 4: terms on an axis of fractional days."""
+    h = _hourly_events(spark, sf_dir).select("series_id", "ds")
+    return round_doubles(_timed(FE.add_fourier_features(h, yearly=1, weekly=2, daily=4)))

@@ -929,3 +929,33 @@ ORACLE["event_row_features"] = q(f"""SELECT event_type AS series_id, event_id, v
   lag(value, 1) OVER ({_EV}) AS lag_1, lag(value, 90) OVER ({_EV}) AS lag_90, {_event_roll(7)}, {_event_roll(30)},
   value - lag(value, 1) OVER ({_EV}) AS diff_1 FROM events""",
     ["y", "lag_1", "lag_90", "diff_1"] + [f"rolling_{s}_{w}" for w in (7, 30) for s in ("mean", "std", "min", "max", "range")])
+
+ORACLE["event_value_quantiles"] = q(f"""SELECT event_type, count(value) AS n,
+  {", ".join(f"quantile_cont(value, {p}) AS q{i}" for i, p in enumerate((0.025, 0.25, 0.5, 0.75, 0.975)))}
+FROM events WHERE value IS NOT NULL GROUP BY 1""", [f"q{i}" for i in range(5)])
+ORACLE["large_prediction_intervals"] = ORACLE["prediction_intervals"]
+HOURLY = """
+hr_sum AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS ds, sum(value) AS y FROM events GROUP BY 1, 2),
+hr_span AS (SELECT series_id, min(ds) AS a, max(ds) AS b FROM hr_sum GROUP BY 1),
+hr_all AS (SELECT series_id, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS ds FROM hr_span),
+hourly AS (SELECT a.series_id, a.ds, s.y, s.ds IS NULL AS is_gap FROM hr_all a LEFT JOIN hr_sum s ON s.series_id = a.series_id AND s.ds = a.ds)"""
+_HW = "PARTITION BY series_id ORDER BY ds"
+_HP, _HN = f"{_HW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW", f"{_HW} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+ORACLE["hourly_events"] = q(f"""WITH {HOURLY},
+hr_n AS (SELECT *, row_number() OVER ({_HW}) AS rn, lag(y, 24) OVER ({_HW}) AS lag_1d FROM hourly),
+hr_p AS (SELECT *, last_value(y IGNORE NULLS) OVER ({_HP}) AS pv, last_value(CASE WHEN y IS NOT NULL THEN rn END IGNORE NULLS) OVER ({_HP}) AS pi,
+                first_value(y IGNORE NULLS) OVER ({_HN}) AS nv, first_value(CASE WHEN y IS NOT NULL THEN rn END IGNORE NULLS) OVER ({_HN}) AS ni FROM hr_n)
+SELECT series_id, strftime(ds, '%Y-%m-%d %H:%M:%S') AS ds, y, is_gap, lag_1d,
+  CASE WHEN y IS NOT NULL THEN y WHEN pv IS NULL THEN NULL WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * ((rn - pi)::DOUBLE / (ni - pi)) END AS filled
+FROM hr_p""", ["y", "lag_1d", "filled"])
+
+
+def _hour_terms(days: float, order: int, prefix: str) -> tuple[str, list[str]]:
+    angle = f"{TP} * {{k}} * (((epoch_us(ds)) % {round(days * 86_400 * 1_000_000)}) / {days * 86_400 * 1_000_000})"
+    names = [f"fourier_{prefix}_{f}{k}" for k in range(1, order + 1) for f in ("sin", "cos")]
+    return ", ".join(f"{f}({angle.format(k=k)}) AS fourier_{prefix}_{f}{k}" for k in range(1, order + 1) for f in ("sin", "cos")), names
+
+
+_HOUR = [_hour_terms(365.25, 1, "yearly"), _hour_terms(7, 2, "weekly"), _hour_terms(1, 4, "daily")]
+ORACLE["hourly_fourier"] = q(f"""WITH {HOURLY} SELECT series_id, strftime(ds, '%Y-%m-%d %H:%M:%S') AS ds, {", ".join(x for x, _ in _HOUR)} FROM hourly""",
+                             [n for _, names in _HOUR for n in names])
