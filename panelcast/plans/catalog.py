@@ -784,3 +784,20 @@ def q_hourly_fourier(spark, sf_dir):
     """DK-7 with the daily order 4: terms on an axis of fractional days."""
     h = _hourly_events(spark, sf_dir).select("series_id", "ds")
     return round_doubles(_timed(FE.add_fourier_features(h, yearly=1, weekly=2, daily=4)))
+
+
+@register("holiday_calendars")
+def q_holiday_calendars(spark, sf_dir):
+    """JN-1 for three more countries, with the holidays that move with Easter, over the panel's years."""
+    years = orders_panel(spark, sf_dir)
+    found = [H.calendar_for_panel(years, c) for c in ("DE", "FR", "GB")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@register("holiday_windows")
+def q_holiday_windows(spark, sf_dir):
+    """JN-1: flags of three countries from the date alone, and the days next to a British holiday."""
+    p = orders_panel(spark, sf_dir)
+    for c in ("DE", "FR", "GB"):
+        p = H.add_holidays(p, country=c, name=f"is_holiday_{c.lower()}")
+    return round_doubles(H.add_holiday_windows(p, "GB", before=2, after=1))

@@ -415,12 +415,20 @@ ff AS (SELECT *, last_value(y IGNORE NULLS) OVER ({PREV}) AS yff FROM feat_base)
 SELECT series_id, ds, y, pos, {PCT_COLS} FROM ff""", ["y"] + PCT_NAMES)
 
 
-def _holiday_rows() -> str:
-    from ..operators.holidays import US_FEDERAL_RULES
+def _holiday_rows(country: str = "US") -> str:
+    from ..operators.holidays import RULES_BY_COUNTRY
     parts = []
-    for name, kind, month, a, nth, since in US_FEDERAL_RULES:
+    for name, kind, month, a, nth, since in RULES_BY_COUNTRY[country]:
         esc = name.replace("'", "''")
-        if kind == "date":
+        if kind in ("fixed", "substitute"):
+            d = f"make_date(year, {month}, {a})"
+            parts.append(f"SELECT {d} AS ds, '{esc}' AS name FROM cal_years WHERE year >= {since}")
+            if kind == "substitute":
+                moved = f"(CASE isodow({d}) WHEN 6 THEN {d} + 2 WHEN 7 THEN {d} + {nth} END)"
+                parts.append(f"SELECT {moved} AS ds, '{esc} (substitute)' AS name FROM cal_years WHERE year >= {since}")
+        elif kind == "easter":
+            parts.append(f"SELECT CAST(e + {a} AS DATE) AS ds, '{esc}' AS name FROM easters WHERE year >= {since}")
+        elif kind == "date":
             d = f"make_date(year, {month}, {a})"
             parts.append(f"SELECT {d} AS ds, '{esc}' AS name FROM cal_years WHERE year >= {since}")
             obs = f"(CASE isodow({d}) WHEN 6 THEN {d} - 1 WHEN 7 THEN {d} + 1 END)"
@@ -959,3 +967,24 @@ def _hour_terms(days: float, order: int, prefix: str) -> tuple[str, list[str]]:
 _HOUR = [_hour_terms(365.25, 1, "yearly"), _hour_terms(7, 2, "weekly"), _hour_terms(1, 4, "daily")]
 ORACLE["hourly_fourier"] = q(f"""WITH {HOURLY} SELECT series_id, strftime(ds, '%Y-%m-%d %H:%M:%S') AS ds, {", ".join(x for x, _ in _HOUR)} FROM hourly""",
                              [n for _, names in _HOUR for n in names])
+
+#: Easter by Oudin's steps (1940): golden number, epact, full moon, Sunday.
+_EASTERS = """
+cal_years AS (SELECT unnest(range(lo, hi + 2)) AS year FROM (SELECT min(year(ds)) AS lo, max(year(ds)) AS hi FROM orders_panel) WHERE lo IS NOT NULL),
+ea AS (SELECT year, year % 19 AS g, year // 100 AS c FROM cal_years),
+eb AS (SELECT *, (c - c // 4 - (8 * c + 13) // 25 + 19 * g + 15) % 30 AS h FROM ea),
+ec AS (SELECT *, h - (h // 28) * (1 - (29 // (h + 1)) * ((21 - g) // 11)) AS i FROM eb),
+ed AS (SELECT *, i - (year + year // 4 + i + 2 - c + c // 4) % 7 AS l FROM ec),
+easters AS (SELECT year, make_date(year, 3 + (l + 40) // 44, l + 28 - 31 * ((3 + (l + 40) // 44) // 4)) AS e FROM ed)"""
+COUNTRIES = ("DE", "FR", "GB")
+_CALS = " UNION ALL ".join(f"SELECT '{c}' AS country, CAST(ds AS DATE) AS ds, name FROM ({_holiday_rows(c)}) h WHERE ds IS NOT NULL" for c in COUNTRIES)
+ORACLE["holiday_calendars"] = f"WITH {ORDERS_PANEL}, {_EASTERS} {_CALS}"
+
+
+def _on(country: str, shift: int, name: str) -> str:
+    return f"CAST(EXISTS (SELECT 1 FROM cals c WHERE c.country = '{country}' AND c.ds = CAST(p.ds + ({shift}) AS DATE)) AS INTEGER) AS {name}"
+
+
+ORACLE["holiday_windows"] = q(f"""WITH {ORDERS_PANEL}, {_EASTERS}, cals AS ({_CALS})
+SELECT p.*, {", ".join(_on(c, 0, f"is_holiday_{c.lower()}") for c in COUNTRIES)},
+  {_on("GB", 1, "holiday_before_1")}, {_on("GB", 2, "holiday_before_2")}, {_on("GB", -1, "holiday_after_1")} FROM orders_panel p""", ["y"])

@@ -9,7 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from panelcast.session import local_session
-    s = local_session("*", shuffle_partitions=8, app="panelcast-tests")
+    # hundreds of plans over a few rows each: compiling them would take longer than running them
+    s = local_session("*", shuffle_partitions=4, app="panelcast-tests", extra={
+        "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     yield s
     s.stop()
 
