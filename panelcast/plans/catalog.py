@@ -801,3 +801,11 @@ def q_holiday_windows(spark, sf_dir):
     for c in ("DE", "FR", "GB"):
         p = H.add_holidays(p, country=c, name=f"is_holiday_{c.lower()}")
     return round_doubles(H.add_holiday_windows(p, "GB", before=2, after=1))
+
+
+@register("forecast_paths")
+def q_forecast_paths(spark, sf_dir):
+    """FC-6, DK-9: a year of future paths of the one-lag model, its errors redrawn and fed back."""
+    panel, cfg = _clean_panel(spark, sf_dir), FCST.LinearARConfig(name="ar1", n_forecasts=3, **SMALL)
+    _, pred, coefs = WF.final_fit(panel, cfg)
+    return round_doubles(WF.forecast_paths(panel, coefs, pred, cfg, periods=365, paths=200))

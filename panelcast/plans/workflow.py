@@ -8,6 +8,7 @@ whole cross-validation is a single Spark job graph.
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -241,6 +242,12 @@ def future_forecast(panel: DataFrame, coef_table: DataFrame, cfg: FC.LinearARCon
     cannot be forecast, for want of values or of the model of any horizon, has
     one ``failed`` row that says so.  ``coef_table`` fixes the number of hinges.
     """
+    parts, cfg = _future_parts(panel, coef_table, cfg, periods, fold_idx)
+    return _cogroup(parts, _future_fn(cfg), FUTURE_SCHEMA)
+
+
+def _future_parts(panel: DataFrame, coef_table: DataFrame, cfg: FC.LinearARConfig, periods: int, fold_idx: int):
+    """Each series' last values, future calendar and models, and the settings with the table's number of hinges."""
     hinges = coef_table.select("terms").first()
     cfg = replace(cfg, max_changepoints=sum(t.startswith("cp_") for t in hinges[0]) if hinges else 0)
     p = panel.select("series_id", DS, Y)
@@ -252,27 +259,91 @@ def future_forecast(panel: DataFrame, coef_table: DataFrame, cfg: FC.LinearARCon
     fut = fut.select("series_id", DS, *FC._base_columns(cfg, F.col(DS), FC.day_number(F.col("_first"))))
     coefs = coef_table.where((F.col("fold_idx") == fold_idx) & (F.col("status") == "success")).select(
         "series_id", "horizon", "coef")
-    return _cogroup3(tail, fut, coefs, _future_fn(cfg))
+    return {"tail": tail, "future": fut, "coef": coefs}, cfg
+
+
+def _paths_fn(cfg: FC.LinearARConfig, paths: int, seed: int, quantiles: Sequence[float]):
+    L, H = cfg.n_lags, cfg.n_forecasts
+    base = cfg.base_terms()
+    columns = ["series_id", "ds", "step", "mean", *map(quantile_column, quantiles), "status", "error"]
+
+    def failed(key, error: str) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], None, None, None, *[None] * len(quantiles), "failed", error)], columns=columns)
+
+    def run(key, tail: pd.DataFrame, future: pd.DataFrame, coefs: pd.DataFrame, residuals: pd.DataFrame) -> pd.DataFrame:
+        last = tail.sort_values(DS)[Y].astype(float).to_numpy()[::-1][:L]
+        if len(last) < L or np.isnan(last).any():
+            return failed(key, f"the last {L} values are not all present")
+        by_h = {int(r.horizon): np.asarray(r.coef, dtype=float) for r in coefs.itertuples()}
+        gaps = [h for h in range(1, H + 1) if h not in by_h]
+        if gaps:
+            return failed(key, f"no fitted model for horizon {gaps[0]}")
+        if residuals.empty:
+            return failed(key, "no residuals of all horizons")
+        beta = np.stack([by_h[h] for h in range(1, H + 1)], axis=1)  # terms x horizons
+        blocks = np.stack(residuals.sort_values("origin")["block"].to_numpy()).astype(float)
+        blocks = blocks - blocks.mean(axis=0)
+        rng = np.random.default_rng([seed, zlib.crc32(str(key[0]).encode())])
+        fut = future.sort_values(DS)
+        terms = fut[base].to_numpy(dtype=float).reshape(len(fut), len(base))
+        recent, out = np.tile(last, (paths, 1)), []
+        for at in range(0, len(fut), H):
+            own = np.einsum("hb,bh->h", terms[at:at + H], beta[1 + L:, :len(terms[at:at + H])])
+            step = beta[0, :len(own)] + own + recent @ beta[1:1 + L, :len(own)]
+            step = step + blocks[rng.integers(0, len(blocks), paths)][:, :len(own)]
+            out.append(step)
+            recent = np.concatenate([step[:, ::-1], recent], axis=1)[:, :L]
+        made = np.concatenate(out, axis=1)
+        rows = pd.DataFrame({"series_id": key[0], "ds": fut[DS].to_numpy(), "step": np.arange(1, len(fut) + 1), "mean": made.mean(axis=0)})
+        for q, values in zip(quantiles, np.quantile(made, quantiles, axis=0)):
+            rows[quantile_column(q)] = values
+        return rows.assign(status="success", error=None)[columns]
+
+    return run
 
 
-def _cogroup3(tail: DataFrame, fut: DataFrame, coefs: DataFrame, fn) -> DataFrame:
-    """Bundle the three per-series inputs into one tagged frame and run ``fn`` per series."""
-    cols = sorted((set(tail.columns) | set(fut.columns) | set(coefs.columns)) - {"series_id"})
-    typed = {}
-    for df in (tail, fut, coefs):
+def forecast_paths(panel: DataFrame, coef_table: DataFrame, pred: DataFrame, cfg: FC.LinearARConfig, periods: int = 365,
+                   paths: int = 500, quantiles: Sequence[float] = (0.025, 0.5, 0.975), seed: int = 0, fold_idx: int = 0) -> DataFrame:
+    """FC-6, DK-9: quantiles of future paths, with the errors of blocks that are fed back.
+
+    A path goes on from a series' last values in blocks of H days; each block
+    adds the errors that one day's forecasts of horizons 1..H had in ``pred``
+    (drawn anew, all horizons together, centred), and the next block's lags
+    hold the path's own values.  All paths of a series are one matrix.  The
+    draws depend on ``seed`` and the series' name only.  A group holds one
+    series' last values, future calendar, models and one block of errors per
+    scored day; a series that has not all of them has a ``failed`` row.
+    """
+    if cfg.n_lags < 1:
+        raise ValueError("paths are fed back through lags")
+    parts, cfg = _future_parts(panel, coef_table, cfg, periods, fold_idx)
+    error = (pred.where(F.col(Y).isNotNull() & F.col("yhat").isNotNull())
+             .select("series_id", F.date_sub(DS, F.col("horizon").cast("int")).alias("origin"), "horizon", (F.col(Y) - F.col("yhat")).alias("r")))
+    listed = F.array_sort(F.collect_list(F.struct("horizon", "r")))
+    blocks = (error.groupBy("series_id", "origin").agg(listed.alias("b")).where(F.size("b") == cfg.n_forecasts)
+              .select("series_id", "origin", F.transform("b", lambda x: x["r"]).alias("block")))
+    schema = "series_id string, ds date, step int, mean double, " + ", ".join(f"{quantile_column(q)} double" for q in quantiles) + ", status string, error string"
+    return _cogroup(parts | {"residuals": blocks}, _paths_fn(cfg, paths, seed, quantiles), schema)
+
+
+def _cogroup(parts: dict[str, DataFrame], fn, schema: str) -> DataFrame:
+    """Bundle the per-series inputs into one tagged frame and run ``fn`` per series, with a frame for each tag."""
+    cols = sorted(set().union(*(df.columns for df in parts.values())) - {"series_id"})
+    tags, typed = list(parts), {}
+    for df in parts.values():
         for f in df.schema.fields:
             typed.setdefault(f.name, f.dataType)
     allrows = None
-    for df, tag in ((tail, "tail"), (fut, "future"), (coefs, "coef")):
+    for tag, df in parts.items():
         t = df.select("series_id", F.lit(tag).alias("_tag"),
                       *[(F.col(c) if c in df.columns else F.lit(None).cast(typed[c])).alias(c)
                         for c in cols if c != "series_id"])
         allrows = t if allrows is None else allrows.unionByName(t)
 
     def run(key, pdf):  # no annotations: applyInPandas takes the (key, frame) form
-        return fn(key, pdf[pdf["_tag"] == "tail"], pdf[pdf["_tag"] == "future"], pdf[pdf["_tag"] == "coef"])
+        return fn(key, *[pdf[pdf["_tag"] == tag] for tag in tags])
 
-    return allrows.groupBy("series_id").applyInPandas(run, FUTURE_SCHEMA)
+    return allrows.groupBy("series_id").applyInPandas(run, schema)
 
 
 def train_all(panel: DataFrame, configs: Sequence[FC.LinearARConfig], max_folds: int | None = DEFAULT_MAX_FOLDS):

@@ -41,3 +41,45 @@ def test_windows_and_unknown_countries(spark):
     assert got == [(0, 0), (1, 0), (0, 0), (0, 1), (1, 0)]
     with pytest.raises(ValueError, match="XX"):
         H.add_holidays(df, country="XX")
+
+
+# paths
+
+
+def ar1(n, phi=0.7, seed=3):
+    rng = np.random.default_rng(seed)
+    y = [0.0]
+    for _ in range(n - 1):
+        y.append(phi * y[-1] + rng.normal())
+    return y
+
+
+def test_paths_have_the_variance_of_the_process(spark, panel_df):
+    from panelcast.operators import forecast as FC
+    from panelcast.plans import workflow as WF
+    cfg = FC.LinearARConfig(n_lags=1, max_changepoints=0, weekly_order=0, yearly_order=0, ridge=0.0, trend=False)
+    panel = panel_df({"s": daily("2016-01-01", ar1(1500)), "short": daily("2016-01-01", [1.0, None])})
+    _, pred, coefs = WF.final_fit(panel, cfg)
+    out = WF.forecast_paths(panel, coefs, pred, cfg, periods=40, paths=6000, quantiles=(0.16, 0.5, 0.84))
+    rows = sorted(map(tuple, out.where("series_id = 's'").collect()), key=lambda r: r[2])
+    assert [tuple(r) for r in out.where("series_id = 'short'").select("status", "error").collect()] == [("failed", "the last 1 values are not all present")]
+    phi = coefs.where("series_id = 's'").first().coef[1]
+    errors = np.array([r.y - r.yhat for r in pred.where("series_id = 's' AND yhat IS NOT NULL").collect()])
+    for k in (1, 2, 5, 40):
+        sd = errors.std() * np.sqrt((1 - phi ** (2 * k)) / (1 - phi ** 2))
+        assert (rows[k - 1][6] - rows[k - 1][4]) / 2 == pytest.approx(sd * 0.9945, rel=0.06)
+    again = WF.forecast_paths(panel.repartition(3), coefs, pred, cfg, periods=40, paths=6000, quantiles=(0.16, 0.5, 0.84))
+    assert sorted(map(tuple, again.where("series_id = 's'").collect()), key=lambda r: r[2]) == rows
+
+
+def test_blocks_go_on_from_their_own_values(spark, panel_df):
+    from panelcast.operators import forecast as FC
+    from panelcast.plans import workflow as WF
+    cfg = FC.LinearARConfig(n_lags=2, n_forecasts=3, max_changepoints=0, weekly_order=1, yearly_order=0, ridge=0.0)
+    panel = panel_df({"s": daily("2016-01-01", ar1(500))})
+    _, pred, coefs = WF.final_fit(panel, cfg)
+    exact = pred.withColumn("y", F.col("yhat"))  # no errors: every path is the plain forecast
+    paths = WF.forecast_paths(panel, coefs, exact, cfg, periods=8, paths=5).orderBy("step").collect()
+    plain = WF.future_forecast(panel, coefs, cfg, periods=8).orderBy("step").collect()
+    assert [r["mean"] for r in paths] == pytest.approx([r.yhat for r in plain]) and [r.q97_5 for r in paths] == pytest.approx([r.yhat for r in plain])
+    assert [r.ds for r in paths] == [r.ds for r in plain]
