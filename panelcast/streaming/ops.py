@@ -11,8 +11,8 @@ rollup, scaling and scoring steps:
   stored forecasts and writes per-batch metric sums keyed by batch id, so
   a replayed batch overwrites its own partition instead of double counting.
 
-Row-count lags and rolling windows are not defined on unbounded streams;
-recompute them per batch over the recent tail if needed.
+Row-count lags and rolling statistics need state per series: see
+``stateful``.
 """
 
 from __future__ import annotations
