@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -267,6 +268,33 @@ def test_token_counts_add_up(make_docs, sf_docs):
             assert r.source_tokens + r.lang_tokens + r.text_tokens == r.n_tokens and sum(r.section_tokens) == r.text_tokens
 
 
+def sections_by_character(coder, parts):
+    """Tokens of every section: each character belongs to the section it stands in, a token to the one with most of its characters."""
+    owner = [k for k, p in enumerate(parts) for _ in p]
+    counts, crossing = [0] * len(parts), 0
+    for a, b in coder.encode("".join(parts), add_special_tokens=False).offsets:
+        own = [owner[i] for i in range(a, max(b, a + 1))]
+        counts[max(dict.fromkeys(own), key=own.count)] += 1  # the first on a tie
+        crossing += len(set(own)) > 1
+    return counts, crossing
+
+
+def test_token_counts_by_character(sf_docs, make_docs):
+    path = public_tokenizers.path(TOKENIZER)
+    coder = Tokenizer.from_file(path)
+    own = [(1, "é\n\n\nab  c\n", "s"), (2, "\n", None), (3, None, "x y"), (4, "naïve 日本\n語 text\r\nend", "")]
+    for docs in (sf_docs.where("n_chars < 4000"), make_docs(own)):
+        got = {r.doc_id: r for r in token_counts.count_tokens(docs, path).collect()}
+        for r in docs.collect():
+            text = r.text or ""
+            lines = text.split("\n")
+            lines = [x + "\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] or len(lines) == 1 else [])
+            counts, crossing = sections_by_character(coder, [f"{r.source or ''}\n", f"{r.lang or ''}\n", *lines])
+            mine = got[r.doc_id]
+            assert [mine.source_tokens, mine.lang_tokens, *mine.section_tokens] == counts
+            assert (mine.text_tokens, mine.crossing_tokens, mine.n_sections) == (sum(counts[2:]), crossing, len(lines))
+
+
 def test_a_crossing_token_goes_to_its_larger_part():
     where, crossing = token_counts.attribute(np.array([[0, 2], [2, 5], [5, 7], [7, 8]]), np.array([0, 3, 6]))
     assert where.tolist() == [0, 1, 1, 2] and crossing.tolist() == [False, True, True, False]
@@ -313,6 +341,26 @@ def test_mix_meets_its_targets(make_docs, sf_docs):
         assert sorted(map(key, out)) == sorted(map(key, again))
 
 
+def test_mix_takes_what_a_plain_queue_takes(sf_docs):
+    hashed = mixing.sized(sf_docs).withColumn("turn", F.xxhash64(F.lit(mixing.SEED), "doc_id", "size"))
+    rows = sorted(map(tuple, hashed.select("src", "turn", "doc_id", "size").collect()), key=lambda r: (r[0] is None, r[0] or "", r[1:]))
+    names = list(dict.fromkeys(r[0] for r in rows))
+    total = {s: sum(r[3] for r in rows if r[0] == s) for s in names}
+    queue, taken, left = [], dict.fromkeys((r[2] for r in rows), 0), 1.5 * sum(total.values())
+    for i, s in enumerate(names):  # virtual finish time: words of the source so far, over its weight
+        done = 0
+        for epoch in (0, 1):
+            for _, turn, doc_id, size in (r for r in rows if r[0] == s):
+                done += size
+                queue.append((done / mixing.WEIGHTS[i % 3], i, epoch, turn, doc_id, size))
+    for *_, doc_id, size in sorted(queue):
+        left -= size
+        if left < 0:
+            break
+        taken[doc_id] += size
+    assert {r.doc_id: r.taken for r in mixing.mix_report(sf_docs).collect()} == taken
+
+
 def test_mixed_documents(sf_docs):
     mixed = mixing.mix_documents(sf_docs)
     assert mixed.columns == sf_docs.columns
