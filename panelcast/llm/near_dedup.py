@@ -12,9 +12,17 @@ chunks for 0.85, 28 and 15 for 0.8); every other pair is found.
 Classes that share a key are compared by their signatures and joined into
 families, and within a family links are confirmed on the full sets.  Only the
 links of a spanning forest are written, so a family of n has fewer than n of
-them, however many pairs are similar.  A key or family that is large is dealt
-into tiles, and each pair of tiles is a group of its own: no group has over
-2 * TILE members, and no partner is left out.
+them, however many pairs are similar.
+
+A key or family of over TILE members goes through rounds with pivots, each a
+pass over what is left of it: members near the pivot are linked with it and
+leave.  Both distances are metrics, so a member that stays can only be linked
+with one that left if it lies within twice the distance of that pivot; such
+pairs (the pivot's near ones by its shell) are compared afterwards, by
+signatures simply taken into the family.  A family of copies of one text thus
+costs rows in proportion to its members.  What is left after the rounds is
+dealt into tiles, and each pair of tiles is a group of its own: no group has
+over 2 * TILE members, and no partner is left out.
 
 Defined results: documents without words have an empty set and are their own
 component; a null id comes after all others and gets a null component of its
@@ -45,6 +53,8 @@ SYMBOLS, ERRORS = 64, 1
 #: The probability at most that a pair just as similar as asked for has no key in common.
 MISSED = 5e-6
 TILE = 1024
+#: Passes over the rest of a large group, each with a pivot of its own; salts that spread such a group's rows over tasks.
+ROUNDS, SALTS = 4, 64
 #: Ids (8 bytes each) that are broadcast at most to pick out documents.
 BROADCAST_IDS = 500_000
 BATCH_BYTES = 1 << 20
@@ -206,6 +216,87 @@ def _groups(batches, keys: list[str]):
         yield rest, np.zeros(1, np.int64)
 
 
+def hamming(percent: int):
+    """(distances, linked, in reach) of signatures from a pivot's."""
+    most = distance(percent)
+
+    def of(pivot: bytes, others: list[bytes]):
+        d = (read_signatures(others) != np.frombuffer(pivot, np.uint16)).sum(axis=1)
+        return d.astype(float), d <= most, d <= 2 * most
+    return of
+
+
+def jaccard(percent: int):
+    """(distances, linked, in reach) of shingle sets from a pivot's."""
+    def of(pivot: bytes, others: list[bytes]):
+        mine, sets = np.frombuffer(pivot, np.uint64), [np.frombuffer(x, np.uint64) for x in others]
+        theirs, lengths = np.concatenate(sets), np.array([len(s) for s in sets])
+        found = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+        both = np.add.reduceat(found.astype(np.int64), np.cumsum(lengths) - lengths)
+        union = lengths + len(mine) - both
+        # twice the distance: 1 - both / union <= 2 (1 - percent / 100)
+        return 1 - both / union, 100 * both >= percent * union, 100 * (union - both) <= 2 * (100 - percent) * union
+    return of
+
+
+def _against_pivots(of):
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for _, own in pdf.groupby("pivot", sort=False):
+                d, linked, reach = of(own["pivot_payload"].iloc[0], list(own["payload"]))
+                out.append(own[["grp", "cls", "payload", "pivot"]].assign(d=d, linked=linked, reach=reach))
+            if out:
+                yield pd.concat(out, ignore_index=True)
+    return run
+
+
+def pivot_rounds(members: DataFrame, of) -> tuple[DataFrame, DataFrame]:
+    """(met, rest) of large groups' (grp, cls, payload): every meeting of a member with a pivot, and who is left after ROUNDS."""
+    rest, met = members.select("grp", "cls", "payload"), None
+    for _ in range(ROUNDS):
+        pivot = F.min(F.struct("cls", "payload")).alias("p")
+        pivots = (rest.groupBy("grp").agg(pivot).select(
+            F.col("grp").alias("g"), F.col("p")["cls"].alias("pivot"), F.col("p")["payload"].alias("pivot_payload"),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s")))
+        pairs = rest.join(pivots, (F.col("grp") == F.col("g")) & (F.pmod(F.xxhash64("cls"), F.lit(SALTS)) == F.col("s")))
+        round_ = materialise(pairs.select("grp", "cls", "payload", "pivot", "pivot_payload").mapInPandas(
+            _against_pivots(of), "grp long, cls long, payload binary, pivot long, d double, linked boolean, reach boolean"))
+        met = round_ if met is None else met.unionByName(round_)
+        rest = round_.where(~F.col("linked")).select("grp", "cls", "payload")
+    return met, rest
+
+
+def shell_links(met: DataFrame, percent: int) -> DataFrame:
+    """Links between those near a pivot and those in its shell, by tiles of both; one is enough for each of the shell."""
+    near_, shell = met.where("linked"), met.where("reach AND NOT linked")
+    per = shell.groupBy("pivot").agg(F.count("*").alias("n_shell"), F.min("d").alias("low"))
+    per = per.join(near_.groupBy("pivot").agg(F.count("*").alias("n_near")), "pivot")
+    tiles = lambda n: F.ceil(F.col(n) / F.lit(TILE)).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("cls"), tiles(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), tiles(n) - 1))
+    # x is linked with y only if d(x, pivot) >= d(y, pivot) - distance
+    inner = (near_.join(per, "pivot").where(F.col("d") >= F.col("low") - (1 - percent / 100) - 1e-9)
+             .withColumn("tile_a", own("n_near")).withColumn("tile_b", every("n_shell")).withColumn("outer", F.lit(False)))
+    outer = (shell.join(per, "pivot").withColumn("tile_b", own("n_shell")).withColumn("tile_a", every("n_near")).withColumn("outer", F.lit(True)))
+    both = inner.select("pivot", "tile_a", "tile_b", "outer", "cls", "payload").unionByName(
+        outer.select("pivot", "tile_a", "tile_b", "outer", "cls", "payload"))
+
+    def link(batches):
+        for pdf, first in _groups(batches, ["pivot", "tile_a", "tile_b"]):
+            links = []
+            for a, b in zip(first, np.append(first[1:], len(pdf))):
+                rows = pdf.iloc[a:b]
+                cls, outside = rows["cls"].to_numpy(), rows["outer"].to_numpy(bool)
+                linked, inside = similar([np.frombuffer(x, np.uint64) for x in rows["payload"]], percent), np.flatnonzero(~outside)
+                for y in np.flatnonzero(outside) if len(inside) else []:
+                    hit = np.flatnonzero(linked(y, inside))
+                    if len(hit):
+                        links.append((cls[inside[hit[0]]], cls[y]))
+            yield pd.DataFrame(links, columns=["a", "b"])
+    return _grouped(both, ["pivot", "tile_a", "tile_b"]).mapInPandas(link, "a long, b long")
+
+
 def tiled(members: DataFrame, key: str, size: str) -> DataFrame:
     """``members`` with (tile_a, tile_b): a group over TILE is dealt into tiles, every pair of them a group."""
     tiles = F.ceil(F.col(size) / F.lit(TILE)).cast("int")
@@ -214,6 +305,13 @@ def tiled(members: DataFrame, key: str, size: str) -> DataFrame:
             .withColumn("tile_a", F.least("_own", "_other")).withColumn("tile_b", F.greatest("_own", "_other")).drop("_own", "_other"))
 
 
+def _with_sizes(rest: DataFrame) -> DataFrame:
+    """``rest`` with ``n``, the members that its group has left; salted, as one group may have most of them."""
+    sizes = rest.groupBy("grp").agg(F.count("*").cast("int").alias("n"))
+    spread = sizes.select(F.col("grp").alias("g"), "n", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    return rest.join(spread, (F.col("grp") == F.col("g")) & (F.pmod(F.xxhash64("cls"), F.lit(SALTS)) == F.col("s"))).drop("g", "s")
+
+
 def _grouped(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
 
@@ -266,8 +364,16 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     keys = classes.select("cls", "signature").mapInPandas(keys_of, "key long, cls long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = keys.join(shared, "key").join(classes.select("cls", "signature"), "cls")
-    links = _grouped(tiled(members, "key", "n"), ["key", "tile_a", "tile_b"]).mapInPandas(_signature_links(most), "a long, b long")
+    shared = materialise(shared)
+    small = shared.where(F.col("n") <= TILE)
+    members = lambda some: keys.join(some, "key").join(classes.select("cls", "signature"), "cls")
+    alike = lambda some: _grouped(tiled(some, "key", "n"), ["key", "tile_a", "tile_b"]).mapInPandas(_signature_links(most), "a long, b long")
+    links = alike(members(small))
+    if small.count() < shared.count():
+        large = members(shared.where(F.col("n") > TILE)).select(F.col("key").alias("grp"), "cls", F.col("signature").alias("payload"))
+        met, rest = pivot_rounds(materialise(large), hamming(percent))
+        links = links.unionByName(met.where("reach AND cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
+        links = links.unionByName(alike(_with_sizes(rest).select(F.col("grp").alias("key"), "n", "cls", F.col("payload").alias("signature"))))
     families = materialise(components(links))
 
     sized = families.join(families.groupBy("root").agg(F.count("*").alias("n")), "root")
@@ -285,8 +391,19 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     # a class's set comes from a document with its representative's id and the same set
     sets = texts.mapInPandas(sets_of, "set_key binary, shingles binary")
-    in_families = tiled(wanted.drop("rep").join(sets, "set_key"), "root", "n")
-    confirmed = _grouped(in_families, ["root", "tile_a", "tile_b"]).mapInPandas(_set_links(percent), "a long, b long")
+    in_families = wanted.drop("rep").join(sets, "set_key").select("root", "n", "cls", "shingles")
+    confirm = lambda some: _grouped(tiled(some, "root", "n"), ["root", "tile_a", "tile_b"]).mapInPandas(_set_links(percent), "a long, b long")
+    if wanted.where(F.col("n") > TILE).isEmpty():
+        confirmed = confirm(in_families)
+    else:
+        in_families = materialise(in_families)
+        # a set may come from several documents with the representative's id
+        large = (in_families.where(F.col("n") > TILE).groupBy(F.col("root").alias("grp"), "cls").agg(F.first("shingles").alias("payload")))
+        met, rest = pivot_rounds(materialise(large), jaccard(percent))
+        near_ = met.where("linked AND cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
+        rest = _with_sizes(rest).select(F.col("grp").alias("root"), "n", "cls", F.col("payload").alias("shingles"))
+        confirmed = (confirm(in_families.where(F.col("n") <= TILE)).unionByName(near_).unionByName(shell_links(met, percent))
+                     .unionByName(confirm(rest)))
     groups = components(confirmed)
 
     return described, classes.join(groups, F.col("cls") == F.col("node"), "left").select("set_key", "rep", F.coalesce("root", "cls").alias("root"))

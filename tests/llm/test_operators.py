@@ -20,6 +20,11 @@ from panelcast.llm.tokens import PieceEncoder
 from . import brute
 from .conftest import SF, odd_rows
 
+
+def rows_of(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
 # chat
 
 
@@ -141,6 +146,37 @@ def test_near_copies_of_a_clean_text_are_not_depleted(spark, make_docs):
     assert sorted((r.doc_id, r.kept) for r in quality.quality_report(docs).collect()) == sorted(want)
 
 
+def test_a_family_of_copies_costs_rows_in_proportion(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TILE", 32)
+    sent = {}
+
+    def counted(n):
+        rnd = np.random.default_rng(n)
+        rows = []
+        for i in range(n):
+            words = [f"k{j}" for j in range(200)]
+            for at in rnd.integers(0, 200, 3 if i % 20 else 9):  # some of them further out
+                words[at] = f"e{i}x{at}"
+            rows.append((i, " ".join(words), "h"))
+        total = 0
+
+        def tiled(members, key, size, plain=near_dedup.tiled):
+            nonlocal total
+            out = plain(members, key, size)
+            total += out.count()
+            return out
+        monkeypatch.setattr(near_dedup, "tiled", tiled)
+        docs = make_docs(rows)
+        got = rows_of(near_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
+        monkeypatch.undo()
+        monkeypatch.setattr(near_dedup, "TILE", 32)
+        assert got == sorted(brute.near_rows([r[:2] for r in rows]), key=repr)
+        return total
+
+    few, many = counted(150), counted(450)
+    assert many < 5 * few + 1000  # by tiles alone: nine times
+
+
 # ids
 
 
