@@ -43,31 +43,62 @@ def add_lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, keys=Non
     return df.select("*", *lag_columns(lags, keys, value))
 
 
+def _joined(a: dict[str, Column], n: int, b: dict[str, Column], m: int) -> dict[str, Column]:
+    """Sum, squared deviations from the mean, least and most of two neighbouring stretches of n and m values; missing if either sum is."""
+    shift = a["s"] / F.lit(float(n)) - b["s"] / F.lit(float(m))
+    return {"s": a["s"] + b["s"], "q": a["q"] + b["q"] + shift * shift * F.lit(n * m / (n + m)),
+            "l": F.least(a["l"], b["l"]), "h": F.greatest(a["h"], b["h"])}
+
+
 def add_rolling_stats(df: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS, keys=None,
                       value: str = Y) -> DataFrame:
     """WN-2..WN-5: a statistic is defined only when all w rows of the frame hold a value.
 
-    Every window length is one frame of its last w rows and one Window
-    operator for all five statistics.  The sums never reach past the frame,
-    so a spike or an infinite value is gone from the results once it leaves
-    the frame.  All frames share one partitioning and ordering.
+    Statistics of 1, 2, 4, ... rows are put together from two of half their
+    length, and those of w rows from w's binary digits, with lags only: a row
+    costs some lags per power of two, where a sliding frame would go over all w rows
+    for each.  Nothing is subtracted and no sum reaches past its frame, so a
+    spike or an infinite value is gone from the results once it leaves the
+    frame.  All lags share one partitioning and ordering.
     """
     if not windows:
         return df
-    v = F.col(value)
-    out = []
+    over = by_series(keys_of(keys))
+    v = F.col(value).cast("double")
+    out = df.withColumns({"_s1": v, "_q1": F.when(v.isNotNull(), F.lit(0.0)), "_l1": v, "_h1": v})
+    powers = [1]
+    while 2 * powers[-1] <= max(windows):
+        p = powers[-1]
+        out = out.withColumns({f"_{c}_": F.lag(f"_{c}{p}", p).over(over) for c in "sqlh"})
+        both = _joined({c: F.col(f"_{c}{p}") for c in "sqlh"}, p, {c: F.col(f"_{c}_") for c in "sqlh"}, p)
+        out = out.withColumns({f"_{c}{2 * p}": x for c, x in both.items()}).drop(*[f"_{c}_" for c in "sqlh"])
+        powers.append(2 * p)
+    lags, parts = {}, {}
+    for w in windows:
+        done, parts[w] = 0, []
+        for p in reversed(powers):
+            if w & p:
+                for c in "sqlh":
+                    lags[f"_{c}{p}_{done}"] = F.lag(f"_{c}{p}", done).over(over) if done else F.col(f"_{c}{p}")
+                parts[w].append((p, done))
+                done += p
+    out = out.withColumns(lags)
+    made = []
     for w in windows:
-        frame = by_series(keys_of(keys)).rowsBetween(-(w - 1), 0)
-        full = F.count(v).over(frame) == w
-        low, high = F.min(v).over(frame), F.max(v).over(frame)
-        out += [
-            F.when(full, F.avg(v).over(frame)).alias(f"rolling_mean_{w}"),
-            F.when(full, F.stddev_samp(v).over(frame)).alias(f"rolling_std_{w}"),
-            F.when(full, low).alias(f"rolling_min_{w}"),
-            F.when(full, high).alias(f"rolling_max_{w}"),
-            F.when(full, high - low).alias(f"rolling_range_{w}"),
+        (n, at), *rest = parts[w]
+        whole = {c: F.col(f"_{c}{n}_{at}") for c in "sqlh"}
+        for p, at in rest:
+            whole, n = _joined(whole, n, {c: F.col(f"_{c}{p}_{at}") for c in "sqlh"}, p), n + p
+        full = whole["s"].isNotNull()
+        std = F.sqrt(whole["q"] / F.lit(float(w - 1))) if w > 1 else F.lit(None).cast("double")
+        made += [
+            (whole["s"] / F.lit(float(w))).alias(f"rolling_mean_{w}"),
+            std.alias(f"rolling_std_{w}"),
+            F.when(full, whole["l"]).alias(f"rolling_min_{w}"),
+            F.when(full, whole["h"]).alias(f"rolling_max_{w}"),
+            F.when(full, whole["h"] - whole["l"]).alias(f"rolling_range_{w}"),
         ]
-    return df.select("*", *out)
+    return out.select(*df.columns, *made)
 
 
 def seasonal_columns(periods: Sequence[int], keys=None, value: str = Y, pos: str = "pos",
