@@ -79,9 +79,12 @@ def plan(df):
 @pytest.fixture()
 def as_many_tasks(spark):
     """Small stages keep their partitions, as large ones do."""
+    was = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", was)
 
 
 def test_one_series_spans_many_tasks(spark, as_many_tasks):
