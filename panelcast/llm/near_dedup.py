@@ -14,15 +14,17 @@ families, and within a family links are confirmed on the full sets.  Only the
 links of a spanning forest are written, so a family of n has fewer than n of
 them, however many pairs are similar.
 
-A key or family of over TILE members goes through rounds with pivots, each a
-pass over what is left of it: members near the pivot are linked with it and
+A key or family of over TILE members is dealt into tiles, and each pair of
+tiles is a group of its own: no group has over 2 * TILE members, and no
+partner is left out.  A member is sent to every tile, so from LARGE tiles on
+the group first goes through rounds with pivots, each a pass over what is
+left of it: members near the pivot are linked with it and
 leave.  Both distances are metrics, so a member that stays can only be linked
 with one that left if it lies within twice the distance of that pivot; such
 pairs (the pivot's near ones by its shell) are compared afterwards, by
 signatures simply taken into the family.  A family of copies of one text thus
 costs rows in proportion to its members.  What is left after the rounds is
-dealt into tiles, and each pair of tiles is a group of its own: no group has
-over 2 * TILE members, and no partner is left out.
+dealt into tiles.
 
 Defined results: documents without words have an empty set and are their own
 component; a null id comes after all others and gets a null component of its
@@ -53,6 +55,8 @@ SYMBOLS, ERRORS = 64, 1
 #: The probability at most that a pair just as similar as asked for has no key in common.
 MISSED = 5e-6
 TILE = 1024
+#: Groups of more tiles than this go through rounds; up to it, sending members to all tiles costs less than the passes.
+LARGE = 16
 #: Passes over the rest of a large group, each with a pivot of its own; salts that spread such a group's rows over tasks.
 ROUNDS, SALTS = 4, 64
 #: Ids (8 bytes each) that are broadcast at most to pick out documents.
@@ -365,12 +369,12 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     keys = classes.select("cls", "signature").mapInPandas(keys_of, "key long, cls long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialise(shared)
-    small = shared.where(F.col("n") <= TILE)
+    small = shared.where(F.col("n") <= LARGE * TILE)
     members = lambda some: keys.join(some, "key").join(classes.select("cls", "signature"), "cls")
     alike = lambda some: _grouped(tiled(some, "key", "n"), ["key", "tile_a", "tile_b"]).mapInPandas(_signature_links(most), "a long, b long")
     links = alike(members(small))
     if small.count() < shared.count():
-        large = members(shared.where(F.col("n") > TILE)).select(F.col("key").alias("grp"), "cls", F.col("signature").alias("payload"))
+        large = members(shared.where(F.col("n") > LARGE * TILE)).select(F.col("key").alias("grp"), "cls", F.col("signature").alias("payload"))
         met, rest = pivot_rounds(materialise(large), hamming(percent))
         links = links.unionByName(met.where("reach AND cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
         links = links.unionByName(alike(_with_sizes(rest).select(F.col("grp").alias("key"), "n", "cls", F.col("payload").alias("signature"))))
@@ -393,16 +397,16 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     sets = texts.mapInPandas(sets_of, "set_key binary, shingles binary")
     in_families = wanted.drop("rep").join(sets, "set_key").select("root", "n", "cls", "shingles")
     confirm = lambda some: _grouped(tiled(some, "root", "n"), ["root", "tile_a", "tile_b"]).mapInPandas(_set_links(percent), "a long, b long")
-    if wanted.where(F.col("n") > TILE).isEmpty():
+    if wanted.where(F.col("n") > LARGE * TILE).isEmpty():
         confirmed = confirm(in_families)
     else:
         in_families = materialise(in_families)
         # a set may come from several documents with the representative's id
-        large = (in_families.where(F.col("n") > TILE).groupBy(F.col("root").alias("grp"), "cls").agg(F.first("shingles").alias("payload")))
+        large = (in_families.where(F.col("n") > LARGE * TILE).groupBy(F.col("root").alias("grp"), "cls").agg(F.first("shingles").alias("payload")))
         met, rest = pivot_rounds(materialise(large), jaccard(percent))
         near_ = met.where("linked AND cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
         rest = _with_sizes(rest).select(F.col("grp").alias("root"), "n", "cls", F.col("payload").alias("shingles"))
-        confirmed = (confirm(in_families.where(F.col("n") <= TILE)).unionByName(near_).unionByName(shell_links(met, percent))
+        confirmed = (confirm(in_families.where(F.col("n") <= LARGE * TILE)).unionByName(near_).unionByName(shell_links(met, percent))
                      .unionByName(confirm(rest)))
     groups = components(confirmed)
 

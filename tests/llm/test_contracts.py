@@ -61,9 +61,10 @@ def test_hot_anchors_are_split(docs):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(brute.byte_rows(rows), key=repr)
 
 
-@pytest.mark.parametrize("tile", [near_dedup.TILE, 3])
-def test_near_dedup(docs, tile, monkeypatch):
+@pytest.mark.parametrize("tile, large", [(near_dedup.TILE, near_dedup.LARGE), (3, near_dedup.LARGE), (3, 1)])
+def test_near_dedup(docs, tile, large, monkeypatch):
     monkeypatch.setattr(near_dedup, "TILE", tile)
+    monkeypatch.setattr(near_dedup, "LARGE", large)
     got = near_dedup.near_duplicates(docs)
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(brute.near_rows(plain(docs)), key=repr)
 

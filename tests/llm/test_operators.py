@@ -147,10 +147,9 @@ def test_near_copies_of_a_clean_text_are_not_depleted(spark, make_docs):
 
 
 def test_a_family_of_copies_costs_rows_in_proportion(spark, make_docs, monkeypatch):
-    monkeypatch.setattr(near_dedup, "TILE", 32)
-    sent = {}
-
     def counted(n):
+        monkeypatch.setattr(near_dedup, "TILE", 32)
+        monkeypatch.setattr(near_dedup, "LARGE", 1)
         rnd = np.random.default_rng(n)
         rows = []
         for i in range(n):
@@ -169,7 +168,6 @@ def test_a_family_of_copies_costs_rows_in_proportion(spark, make_docs, monkeypat
         docs = make_docs(rows)
         got = rows_of(near_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
         monkeypatch.undo()
-        monkeypatch.setattr(near_dedup, "TILE", 32)
         assert got == sorted(brute.near_rows([r[:2] for r in rows]), key=repr)
         return total
 
