@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from itertools import repeat
+from math import fsum
 
 import numpy as np
 import pandas as pd
@@ -131,7 +132,7 @@ class Index:
                 to = live[bisect_left(live, block)] * BLOCK
                 cursors = [c for c in cursors if c[0] >= to or move(c, to)]
             elif cursors[0][0] == pivot:
-                score = sum(self.impacts[c[2]][c[1]] for c in cursors if c[0] == pivot)
+                score = fsum(self.impacts[c[2]][c[1]] for c in cursors if c[0] == pivot)  # whatever the terms' order in the index
                 if score >= 1 - 1e-9:
                     found.append((pivot, float(score)))
                 cursors = [c for c in cursors if c[0] > pivot or move(c, pivot + 1)]

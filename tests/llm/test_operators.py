@@ -185,7 +185,7 @@ BIG = [(2 ** 60 + 1, "one fish two fish red fish", "a"), (None, "blue fish " * 7
 def test_large_ids_beside_a_null_stay_as_they_are(spark, make_docs, tmp_path):
     docs = make_docs(BIG).coalesce(1)
     path, ids = public_tokenizers.path(TOKENIZER), sorted((str(d) for d, *_ in BIG))
-    bench = spark.createDataFrame([(2 ** 60 + 5, "blue fish blue fish blue fish blue fish. blue fish blue fish"), (None, None)], "item_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(2 ** 60 + 5, "blue fish " * 6), (None, None)], "item_id long, text string").coalesce(1)
     for out in (token_files.token_output(docs, path), katz.score_documents(docs), suffix_dedup.remove_repeats(docs),
                 token_counts.count_tokens(docs, path), suffix_trees.remove_repeats(docs)):
         assert sorted(str(r.doc_id) for r in out.collect()) == ids
