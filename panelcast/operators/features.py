@@ -207,19 +207,21 @@ def create_all_features(df: DataFrame, keys=None, date_col: str = DS, value: str
     # Window features first, on the narrow input: every Window operator
     # buffers and copies whole rows, so the calendar columns (pure functions
     # of the date, never null) are added after the windows and the fill.
+    # The seasonal means come first of all, as each of them sorts the rows
+    # once more; the others share one order.
     out = df
     fillable = [value]
     lag_names = roll_names = seas_names = []
-    if add_lags:
-        out = add_lag_features(out, lags, ks, value)
-        lag_names = [f"lag_{k}" for k in lags]
+    if add_seasonality:
+        out = add_seasonality_features(out, seasonal_periods, ks, value, pos, leak_safe)
+        seas_names = [c for p in seasonal_periods for c in (f"seasonal_mean_{p}", f"deseasonalized_{p}")]
     if add_rolling:
         out = add_rolling_stats(out, windows, ks, value)
         roll_names = [c for w in windows for c in (f"rolling_mean_{w}", f"rolling_std_{w}", f"rolling_min_{w}",
                                                    f"rolling_max_{w}", f"rolling_range_{w}")]
-    if add_seasonality:
-        out = add_seasonality_features(out, seasonal_periods, ks, value, pos, leak_safe)
-        seas_names = [c for p in seasonal_periods for c in (f"seasonal_mean_{p}", f"deseasonalized_{p}")]
+    if add_lags:
+        out = add_lag_features(out, lags, ks, value)
+        lag_names = [f"lag_{k}" for k in lags]
     out = add_differencing_features(out, diffs, ks, value)
     out = add_pct_change_features(out, pct_periods, ks, value)
     diff_names = [f"diff_{k}" for k in diffs]
