@@ -137,14 +137,14 @@ def unstep(x: np.ndarray) -> np.ndarray:
     return np.cumsum(x.astype(np.int64))
 
 
-def _tables(said: DataFrame, columns: int) -> np.ndarray:
-    """The buckets' own figures, a row of numbers each (as many rows as buckets)."""
+def _figures(said: DataFrame, columns: int) -> np.ndarray:
+    """The buckets' own figures, added up by Spark; one row reaches the driver."""
     def read(batches):
         for pdf in batches:
-            yield pd.DataFrame([(b, *map(int, unsqueeze(m)["figures"])) for b, m in zip(pdf["bucket"], pdf["message"])],
-                               columns=["bucket", *[f"f{i}" for i in range(columns)]])
-    kinds = ", ".join(f"f{i} long" for i in range(columns))
-    return said.where(F.col("block") == TABLE).mapInPandas(read, f"bucket int, {kinds}").toPandas().to_numpy(np.int64)
+            yield pd.DataFrame([[int(x) for x in unsqueeze(m)["figures"]] for m in pdf["message"]], columns=names)
+    names = [f"f{i}" for i in range(columns)]
+    each = said.where(F.col("block") == TABLE).mapInPandas(read, ", ".join(f"{x} long" for x in names))
+    return np.array([x or 0 for x in each.agg(*[F.sum(x) for x in names]).first()], np.int64)
 
 
 def _of_counts(total: np.ndarray) -> np.ndarray:
@@ -179,26 +179,21 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
         cuts = np.cumsum([len(m[0]) for m in messages])[:-1]
         answers = [(small(total[r]), small(r)) for r in np.split(rank, cuts)]
         seen = total[total > 0]
-        figures = [len(total), len(seen), int(seen.sum()), *_of_counts(seen), *class_sums(seen, seen, np.zeros(len(seen), np.int64), 1)[0]]
+        figures = [len(seen), int(seen.sum()), *_of_counts(seen), *class_sums(seen, seen, np.zeros(len(seen), np.int64), 1)[0]]
         return answers, {"figures": figures, "word": word[order][first], "count": small(total)}
 
     unigram = materialise(answer(ask(blocks, None, unigrams_of), unigram_table))
-    figures = _tables(unigram, 3 + 2 * (CUT + 1))
-    offset = np.zeros(n + 1, np.int64)
-    if len(figures):
-        offset[figures[:, 0] + 1] = figures[:, 1]
-    offset = np.cumsum(offset)
-    types, train_tokens = (int(figures[:, i].sum()) for i in (2, 3))
-    of_counts = figures[:, 4:4 + CUT + 1].sum(axis=0)
-    base = Unigrams(train_tokens, np.concatenate(([0], of_counts)), figures[:, 4 + CUT + 1:].sum(axis=0))
-    shared_offset = docs.sparkSession.sparkContext.broadcast(offset)  # one number per bucket
+    figures = _figures(unigram, 2 + 2 * (CUT + 1))
+    types, train_tokens = (int(x) for x in figures[:2])
+    of_counts, sums = figures[2:2 + CUT + 1], figures[2 + CUT + 1:]
+    base = Unigrams(train_tokens, np.concatenate(([0], of_counts)), sums)
 
     def known(t: Tokens, answers: dict):
-        """Count and number of each type of the block, from the unigram table."""
+        """Count and number of each type of the block, from the unigram table; buckets number their words in turn."""
         count, number = np.zeros(len(t.types), np.int64), np.zeros(len(t.types), np.int64)
         for b, part in _buckets(t.types, n):
             total, rank = answers[b]
-            count[part], number[part] = total, rank.astype(np.int64) + shared_offset.value[b]
+            count[part], number[part] = total, rank.astype(np.int64) * n + b
         return count, number
 
     def spread(count: np.ndarray) -> np.ndarray:
@@ -266,8 +261,7 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
 
     to_blocks = F.col("block") != TABLE
     bigram = materialise(answer(ask(blocks, unigram.where(to_blocks), bigrams_of), bigram_table))
-    found = _tables(bigram, CUT + 1)
-    pair = Discounted(discounts(np.concatenate(([0], found[:, 1:].sum(axis=0)))))
+    pair = Discounted(discounts(np.concatenate(([0], _figures(bigram, CUT + 1)))))
 
     def end(block: Block, answers: dict) -> pd.DataFrame:
         t = Tokens(block)
