@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -20,14 +21,33 @@ WORD_PIECE = re.compile(f" ?[{LETTER}]+")
 MAX_PIECE, MAX_PIECES = 64, 1_000_000
 
 
+class _Remembered(dict):
+    """What pieces were encoded to.  When half of the pieces allowed are held, those not asked for since the last time go."""
+
+    def __init__(self, encode, most: int):
+        super().__init__()
+        self.encode, self.most, self.older = encode, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        made = self.older.get(piece)
+        if made is None:
+            made = self.encode(piece)
+        if len(piece) <= MAX_PIECE:
+            if len(self) >= self.most // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = made
+        return made
+
+
 class PieceEncoder:
     """Encodes whole texts with a byte-level tokenizer file, remembering pieces.
 
     The pre-tokenizer cuts a text before the merges and no merge crosses a
-    cut, so the ids of a text are those of its pieces in order.  New words
-    are encoded by the library many at once, in lists it cuts into the same
-    words; all other new pieces each on its own.  Texts that hold a special
-    token's string are encoded whole.
+    cut, so the ids of a text are those of its pieces in order.  A run of
+    letters is one word to the pre-tokenizer, so its new ones go straight to
+    the library's model; all other new pieces take the library's whole way.
+    Texts that hold a special token's string are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -35,54 +55,36 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.known: dict[str, dict[str, bytes]] = {"ids": {}, "offsets": {}}
-
-    def _listed(self, pieces: list[str], between: str, what: str) -> dict[str, bytes]:
-        """Words that the pre-tokenizer tells apart when ``between`` stands between them."""
-        out = {}
-        for at in range(0, len(pieces), 20_000):
-            part = pieces[at:at + 20_000]
-            encoded = self.tokenizer.encode(between.join(part), add_special_tokens=False)
-            spans = np.array(encoded.offsets, np.int64).reshape(-1, 2)
-            first = np.cumsum([0, *[len(x) + len(between) for x in part]])[:-1]
-            end = first + np.array([len(x) for x in part])
-            low, high = np.searchsorted(spans[:, 0], first), np.searchsorted(spans[:, 0], end)
-            if what == "ids":
-                size, data = 4, np.array(encoded.ids, "<u4").tobytes()
-            else:
-                word = np.maximum(np.searchsorted(first, spans[:, 0], "right") - 1, 0)
-                size, data = 8, (spans - first[word][:, None]).astype("<u4").tobytes()
-            out.update((x, data[size * a:size * b]) for x, a, b in zip(part, low.tolist(), high.tolist()))
-        return out
+        written = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        #: how the model writes the characters of words
+        self.letters = {ord(x): written(x)[0][0] for x in (" ", *re.findall(f"[{LETTER}]", "".join(map(chr, range(0x250)))))}
+        self.known = {"ids": _Remembered(self._ids, MAX_PIECES), "offsets": _Remembered(self._offsets, MAX_PIECES)}
 
-    def _encode(self, pieces: list[str], what: str) -> dict[str, bytes]:
-        """``ids``, or ``offsets`` (first and end character of each token), as 32-bit integers."""
-        words = [x for x in pieces if WORD_PIECE.fullmatch(x)]
-        made = self._listed([x for x in words if x[0] == " "], "", what) | self._listed([x for x in words if x[0] != " "], "\n", what)
-        rest = [x for x in pieces if x not in made]
-        for x, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            made[x] = np.array(e.ids if what == "ids" else e.offsets, "<u4").tobytes()
-        return made
+    def _ids(self, piece: str) -> bytes:
+        if WORD_PIECE.fullmatch(piece):
+            word = piece.replace(" ", self.letters[32]) if piece.isascii() else piece.translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _offsets(self, piece: str) -> bytes:
+        """First and end character of each token."""
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).offsets, "<u4").tobytes()
 
-    def _pieces(self, texts: list[str], what: str) -> list[tuple[list[str], list[bytes]]]:
-        cut = [[x] if any(s in x for s in self.special) else PIECE.findall(x) for x in texts]
-        known = self.known[what]
-        if len(known) > MAX_PIECES:
-            known.clear()
-        made = self._encode(list(set().union(*cut).difference(known)), what)
-        long = {k: v for k, v in made.items() if len(k) > MAX_PIECE}
-        known.update((k, v) for k, v in made.items() if len(k) <= MAX_PIECE)
-        return [(p, list(map(known.__getitem__, p)) if not long else [known[x] if x in known else long[x] for x in p]) for p in cut]
+    def _pieces(self, text: str) -> list[str]:
+        return [text] if any(s in text for s in self.special) else PIECE.findall(text)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(got), "<u4") for _, got in self._pieces(texts, "ids")]
+        known = self.known["ids"].__getitem__
+        return [np.frombuffer(b"".join(map(known, self._pieces(x))), "<u4") for x in texts]
 
     def spans(self, texts: list[str]) -> list[np.ndarray]:
         """Per text an (n_tokens, 2) array of the characters each token covers, from and to."""
-        out = []
-        for pieces, got in self._pieces(texts, "offsets"):
+        known, out = self.known["offsets"].__getitem__, []
+        for pieces in map(self._pieces, texts):
+            got = list(map(known, pieces))
             rel = np.frombuffer(b"".join(got), "<u4").reshape(-1, 2).astype(np.int64)
             starts = np.cumsum([0, *map(len, pieces)])[:-1]
             out.append(rel + np.repeat(starts, [len(g) // 8 for g in got])[:, None] if len(rel) else rel)

@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import re
 import subprocess
 import sys
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from panelcast.llm import chat, decontaminate, katz, mixing, near_dedup, quality, suffix_dedup, suffix_trees, token_counts, token_files
+from panelcast.llm import chat, decontaminate, katz, mixing, near_dedup, quality, suffix_dedup, suffix_trees, token_counts, token_files, tokens
 from panelcast.llm.queries import ORACLE, QUERIES, TOKENIZER
 from panelcast.llm.tokens import PieceEncoder
 
@@ -270,6 +271,44 @@ def test_pieces_give_the_tokenizers_ids(make_docs):
         assert ids.tolist() == want.ids and [tuple(x) for x in spans.tolist()] == want.offsets
 
 
+class _Counted:
+    """A tokenizer that notes what it is asked to encode."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, []
+
+    def encode(self, text, **how):
+        self.asked.append(text)
+        return self.tokenizer.encode(text, **how)
+
+    def encode_batch(self, texts, **how):
+        self.asked += texts
+        return self.tokenizer.encode_batch(texts, **how)
+
+
+def test_new_words_go_straight_to_the_model():
+    """op2, op11: encoding lists of new words with their offsets took most of the time."""
+    path = public_tokenizers.path(TOKENIZER)
+    letters = re.findall(f"[{tokens.LETTER}]", "".join(map(chr, range(0x250))))
+    texts = [" ".join(letters), "".join(letters), " ".join(x + y for x, y in zip(letters, reversed(letters))), " a" + "é" * 300]
+    ours = PieceEncoder(path)
+    ours.tokenizer = counted = _Counted(ours.tokenizer)
+    assert [x.tolist() for x in ours.ids(texts)] == [Tokenizer.from_file(path).encode(x).ids for x in texts]
+    assert not counted.asked
+
+
+def test_pieces_in_use_stay_remembered(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_PIECES", 20)
+    path = public_tokenizers.path(TOKENIZER)
+    ours, theirs = PieceEncoder(path), Tokenizer.from_file(path)
+    ours.tokenizer = counted = _Counted(ours.tokenizer)
+    for i in range(100):
+        text = f"12 {i + 1000} "
+        assert ours.ids([text])[0].tolist() == theirs.encode(text).ids
+    assert counted.asked.count("12") == 1
+    assert all(len(x) + len(x.older) <= 20 for x in ours.known.values())
+
+
 def test_random_access(sf_docs, tmp_path):
     path = public_tokenizers.path(TOKENIZER)
     files = token_files.write_sequences(sf_docs, str(tmp_path / "out"), path, length=64).orderBy("part", "file").collect()
