@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Window, WindowSpec
+from pyspark.sql import SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 SERIES = "series_id"
@@ -24,6 +24,16 @@ def keys_of(keys: str | Sequence[str] | None) -> list[str]:
     return list(keys)
 
 
+#: Rows of whole series that a task should get: a chain of sorts holds some 300 bytes of memory for each.
+ROWS_PER_TASK = 1_000_000
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions to deal ``rows`` rows over by series: as many as there are cores, more for more rows."""
+    cores = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(cores, -(-rows // ROWS_PER_TASK))
+
+
 def by_series(keys=None, order: str | Sequence = DS) -> WindowSpec:
     order = list(order) if isinstance(order, (list, tuple)) else [order]
     return Window.partitionBy(*keys_of(keys)).orderBy(*order)

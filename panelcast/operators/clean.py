@@ -266,7 +266,8 @@ def inverse_log_transform(panel: DataFrame, value: str = Y, out: str | None = No
 def preprocess_complete(panel: DataFrame, keys=None, missing: str = "interpolate",
                         outliers: bool = True, outlier_threshold: float = 3.0,
                         normalize: bool = True, fill_calendar: bool = True,
-                        log: bool = False, tie: str | None = None, fit_on: Column | None = None) -> DataFrame:
+                        log: bool = False, tie: str | None = None, fit_on: Column | None = None,
+                        partitions: int | None = None) -> DataFrame:
     """CL-15: validate (dates, order, duplicates), missing values, outlier flags, scaling.
 
     Output: the keys, ``ds``, ``pos``, ``y_raw`` (the target before scaling),
@@ -275,9 +276,14 @@ def preprocess_complete(panel: DataFrame, keys=None, missing: str = "interpolate
     missing last.  ``fit_on`` limits the rows that fit the scale.  Days are aggregated before any window, so a series is at
     most one row per day from there on.  ``fill_calendar`` first adds the
     missing days (the reference expects a gap-free daily series).
+    ``partitions`` deals the series over so many tasks: for panels of many
+    series, whose rows with the missing days Spark can't tell beforehand
+    (``windows.partitions_for``).
     """
     ks = keys_of(keys)
     p = coerce_dates(panel.withColumn(Y, nan_to_null(Y)))
+    if partitions:
+        p = p.repartition(partitions, *ks)
     order = F.col(tie) if tie else F.coalesce(F.col(Y), F.lit(float("inf")))
     p = p.groupBy(*ks, DS).agg(F.min_by(F.struct(Y), order)[Y].alias(Y)).where(F.col(DS).isNotNull())
     if fill_calendar:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..functions.windows import partitions_for
 from ..operators import clean as C
 from ..sources import tables as T
 from . import workflow as WF
@@ -704,8 +705,9 @@ def q_feature_table_leak_safe(spark, sf_dir):
 @register("cv_supplier_seasonal_naive")
 def q_cv_supplier_seasonal_naive(spark, sf_dir):
     """The flagship plan on the wider panel: daily shipped quantity of every supplier."""
-    p = C.preprocess_complete(T.lineitem_supplier_panel(spark, sf_dir)).select("series_id", "ds", "y")
-    return round_doubles(WF.cv_seasonal_naive(p, season=7))
+    n = partitions_for(spark, T.lineitem_supplier_days(spark, sf_dir))
+    p = C.preprocess_complete(T.lineitem_supplier_panel(spark, sf_dir), partitions=n).select("series_id", "ds", "y")
+    return round_doubles(WF.cv_seasonal_naive(p, season=7, partitions=n))
 
 
 # --- long series: the same results without a window over a series -----------------

@@ -84,6 +84,13 @@ def daily_rollup(df: DataFrame, keys: str | Sequence[str] | None, time_col: str,
     return p.groupBy(SERIES, DS).agg(agg.alias(Y))
 
 
+def span_days(df: DataFrame, keys: str | Sequence[str], time_col: str) -> int:
+    """Days from the first to the last row of each series, added up: the panel's rows once missing days are filled."""
+    day = F.to_date(F.col(time_col))
+    spans = df.groupBy(series_key(keys).alias(SERIES)).agg((F.datediff(F.max(day), F.min(day)) + 1).alias("days"))
+    return spans.agg(F.sum("days")).first()[0] or 0
+
+
 # --- the driver tables used as panels --------------------------------------
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +130,11 @@ def lineitem_supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_rollup(li, "l_suppkey", "l_shipdate", "l_quantity")
 
 
+def lineitem_supplier_days(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of ``lineitem_supplier_panel`` with its missing days."""
+    return span_days(table(spark, sf_dir, "lineitem", ["l_suppkey", "l_shipdate"]), "l_suppkey", "l_shipdate")
+
+
 def events_type_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily event value by ``event_type`` (30 days, 5 series)."""
     e = table(spark, sf_dir, "events", ["event_type", "ts", "value"])
